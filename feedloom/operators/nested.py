@@ -19,20 +19,40 @@ def _free_name(name: str, used: set[str]) -> str:
     return chosen
 
 
+def _clash(names: list[str]) -> bool:
+    return len({name.lower() for name in names}) < len(names)
+
+
 def flatten_structs(df: DataFrame) -> DataFrame:
     """Replace each struct column by its fields, one level deep, without prefix."""
+    fields = df.schema.fields
+    if _clash(df.columns):
+        # Names that differ in letter case only cannot be referred to; positions can.
+        df = df.toDF(*[f"__{i}" for i in range(len(fields))])
     used: set[str] = set()
     columns: list[Column] = []
-    for field in df.schema.fields:
-        parent = F.col(quoted(field.name))
+    for field, name in zip(fields, df.columns, strict=True):
+        parent = F.col(quoted(name))
         if isinstance(field.dataType, T.StructType):
-            for inner in field.dataType.fields:
-                columns.append(parent.getField(inner.name).alias(_free_name(inner.name, used)))
+            for inner, value in _struct_fields(parent, field.dataType):
+                columns.append(value.alias(_free_name(inner, used)))
         else:
             columns.append(parent.alias(_free_name(field.name, used)))
     return df.select(*columns)
 
 
+def _struct_fields(parent: Column, kind: T.StructType) -> list[tuple[str, Column]]:
+    """Name and value of each field; clashing names are reached by position."""
+    names = kind.fieldNames()
+    if not _clash(names):
+        return [(name, parent.getField(name)) for name in names]
+    places = [f"__{i}" for i in range(len(names))]
+    renamed = T.StructType(
+        [T.StructField(place, f.dataType) for place, f in zip(places, kind.fields, strict=True)]
+    )
+    return [(name, parent.cast(renamed).getField(place)) for name, place in zip(names, places, strict=True)]
+
+
 def explode_first(df: DataFrame) -> DataFrame:
     """Explode the first array-of-struct column; NULL and empty arrays keep their row."""
     name = next((f.name for f in df.schema.fields if _is_struct_array(f.dataType)), None)
@@ -75,7 +95,7 @@ def normalize(
     """
     for _ in range(max_rounds):
         kinds = [f.dataType for f in df.schema.fields]
-        structs = any(isinstance(kind, T.StructType) for kind in kinds)
+        structs = any(isinstance(kind, T.StructType) for kind in kinds) or _clash(df.columns)
         if structs:
             df = flatten_structs(df)
         arrays = explode and any(_is_struct_array(f.dataType) for f in df.schema.fields)

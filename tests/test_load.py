@@ -1,0 +1,148 @@
+import uuid
+
+import pytest
+
+from feedloom.plans.load import load
+from feedloom.specs import LoadSpec
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    """Loads frames into one new table; call with a mode, a frame and options."""
+    name = f"t_{uuid.uuid4().hex}"
+
+    def step(mode, df, **options):
+        schema, unique = options.pop("schema", None), options.pop("unique", False)
+        return load(spark, LoadSpec(mode, name, **options), df, str(tmp_path), schema, unique)
+
+    step.name = name
+    yield step
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def counts(result):
+    return result.before, result.after, result.inserted, result.updated, result.deleted
+
+
+@pytest.mark.parametrize("mode", ["full", "BULK "])
+def test_replace(spark, table, rows, mode):
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert counts(table(mode, first)) == (0, 2, 2, 0, 0)
+    second = spark.createDataFrame([("z", 9)], "V string, K int")
+    assert counts(table(mode, second)) == (2, 1, 1, 0, 2)
+    assert rows(spark.table(table.name)) == [(9, "z")]
+
+
+def test_failed_replace_keeps_the_old_rows(spark, table, rows):
+    table("full", spark.createDataFrame([(1,)], "k int"))
+    broken = spark.range(10).selectExpr("CAST(raise_error('broken') AS int) AS k")
+    with pytest.raises(Exception, match="broken"):
+        table("full", broken)
+    assert rows(spark.table(table.name)) == [(1,)]
+
+
+def test_replace_from_itself(spark, table, rows):
+    table("full", spark.createDataFrame([(1,), (2,)], "k int"))
+    table("full", spark.table(table.name).filter("k = 2"))
+    assert rows(spark.table(table.name)) == [(2,)]
+
+
+def test_append_by_mark(spark, table, rows):
+    df = spark.createDataFrame([(1, 10), (2, None)], "k int, w int")
+    assert counts(table("append", df, watermark="w")) == (0, 2, 2, 0, 0)
+    more = spark.createDataFrame([(3, 10), (4, 11), (5, 9), (6, None)], "k int, w int")
+    assert counts(table("append", more, watermark="w")) == (2, 3, 1, 0, 0)
+    assert counts(table("append", more, watermark="w")) == (3, 3, 0, 0, 0)
+    assert rows(spark.table(table.name)) == [(1, 10), (2, None), (4, 11)]
+
+
+def test_append_to_null_marks_takes_everything(spark, table):
+    table("append", spark.createDataFrame([(1, None)], "k int, w int"), watermark="w")
+    more = spark.createDataFrame([(2, None), (3, 1)], "k int, w int")
+    assert table("append", more, watermark="w").after == 3
+
+
+def test_append_without_mark(spark, table):
+    df = spark.createDataFrame([(1,)], "k int")
+    assert [table("append", df).after for _ in range(3)] == [1, 2, 3]
+
+
+def test_append_of_nothing(spark, table):
+    df = spark.createDataFrame([(1, 1)], "k int, w int")
+    table("append", df, watermark="w")
+    assert counts(table("append", df.filter("k > 5"), watermark="w")) == (1, 1, 0, 0, 0)
+
+
+def test_incremental(spark, table, rows):
+    table("full", spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string"))
+    source = spark.createDataFrame([(2, "B", 0), (3, "C", 0), (None, "N", 0)], "k int, v string, extra int")
+    assert counts(table("incremental", source, keys=("k",))) == (3, 5, 2, 1, 0)
+    assert rows(spark.table(table.name)) == [(None, "N"), (None, "n"), (1, "a"), (2, "B"), (3, "C")]
+    keyed = source.filter("k IS NOT NULL")
+    assert counts(table("incremental", keyed, keys=("k",))) == (5, 5, 0, 2, 0)
+
+
+def test_incremental_into_a_new_table(spark, table, rows):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert counts(table("incremental", df, keys=("k",), schema=df.schema)) == (0, 1, 1, 0, 0)
+    assert counts(table("incremental", df.filter("k > 1"), keys=("k",))) == (1, 1, 0, 0, 0)
+
+
+def test_incremental_by_mark(spark, table, rows):
+    table("full", spark.createDataFrame([(1, 5, "a"), (2, 7, "b")], "k int, w int, v string"))
+    source = spark.createDataFrame([(1, 7, "old"), (2, 8, "new"), (3, 9, "add")], "k int, w int, v string")
+    assert counts(table("incremental", source, keys=("k",), watermark="w")) == (2, 3, 1, 1, 0)
+    assert rows(spark.table(table.name)) == [(1, 5, "a"), (2, 8, "new"), (3, 9, "add")]
+
+
+def test_incremental_refuses_repeated_keys(spark, table):
+    table("full", spark.createDataFrame([(1, "a")], "k int, v string"))
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(ValueError, match="several rows"):
+        table("incremental", twice, keys=("k",))
+    with pytest.raises(ValueError, match="keys"):
+        table("incremental", twice)
+
+
+def test_partitioned_merge_rewrites_touched_partitions_only(spark, table, rows):
+    parts = {"partition_by": ("p",)}
+    start = spark.createDataFrame(
+        [(1, "a", "x"), (2, "b", "y"), (3, "c", None)], "k int, v string, p string"
+    )
+    table("full", start, **parts)
+    files = {r["p"]: r["f"] for r in spark.sql(f"SELECT p, input_file_name() AS f FROM {table.name}").collect()}
+    source = spark.createDataFrame([(1, "A", "x"), (4, "D", "z"), (3, "C", None)], "k int, v string, p string")
+    assert counts(table("incremental", source, keys=("k", "p"), **parts)) == (3, 5, 2, 1, 0)
+    assert rows(spark.table(table.name)) == [
+        (1, "A", "x"), (2, "b", "y"), (3, "C", None), (3, "c", None), (4, "D", "z"),
+    ]
+    after = {r["p"]: r["f"] for r in spark.sql(f"SELECT p, input_file_name() AS f FROM {table.name}").collect()}
+    assert after["y"] == files["y"] and after["x"] != files["x"]
+
+
+def test_partitions_that_are_no_key_are_rewritten_whole(spark, table, rows):
+    parts = {"partition_by": ("p",)}
+    table("full", spark.createDataFrame([(1, "x"), (2, "y")], "k int, p string"), **parts)
+    source = spark.createDataFrame([(1, "y"), (3, "z")], "k int, p string")
+    table("incremental", source, keys=("k",), **parts)
+    assert rows(spark.table(table.name)) == [(1, "y"), (2, "y"), (3, "z")]
+    table("append", source.filter("k = 3"), **parts)
+    assert spark.table(table.name).count() == 4
+
+
+def test_custom_query(spark, table):
+    result = table("full", None, query="SELECT 1 AS a, DATE'2024-01-02' AS d")
+    assert result.after == 1
+    assert tuple(spark.table(table.name).first()) == ("1", "2024-01-02")
+
+
+@pytest.mark.parametrize("word", ["NULL", " none ", "", None])
+def test_words_for_no_query(spark, table, word):
+    assert table("full", spark.range(2), query=word).after == 2
+    with pytest.raises(ValueError, match="rows or a custom query"):
+        table("full", None, query=word)
+
+
+def test_unknown_mode(spark, table):
+    with pytest.raises(ValueError, match="Unsupported LoadType"):
+        table("upsert", spark.range(1))
