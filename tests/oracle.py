@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
 from collections import Counter
 
 import duckdb
@@ -24,9 +22,6 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _kind(value):
-    return value
-
 
 def spark_rows(df) -> tuple[list[str], Counter, dict[str, str]]:
     names = sorted(df.columns)
