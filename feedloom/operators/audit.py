@@ -11,7 +11,8 @@ from feedloom.functions.names import source_name, target_name
 from feedloom.operators.dedupe import keep_latest
 from feedloom.operators.metadata import attach_status
 
-# The audit tables, in column order.
+# The audit tables, in column order. Row counts are 64 bits wide, as a
+# table may hold more than two thousand million rows.
 RUN_SCHEMA = (
     "MASTERLOGID string, RUNID string, STARTDATETIME timestamp, ENDDATETIME timestamp, "
     "STATUS string, MESSAGE string, TOTALPIPELINECOUNT int"
@@ -21,8 +22,8 @@ LOG_SCHEMA = (
     "PIPELINEENDDATETIME timestamp, PIPELINESTATUS string, STATUSMESSAGEID bigint NOT NULL, "
     "MASTERLOGID string NOT NULL, INSTANCEID string, INSTANCESTARTDATETIME timestamp, "
     "INSTANCEENDDATETIME timestamp, INSTANCESTATUS string, ERRORMESSAGE string, "
-    "ERRORSEVERITY string, ERRORDATETIME timestamp, SOURCECOUNT int, DESTINATIONCOUNT int, "
-    "INSERTEDCOUNT int, UPDATEDCOUNT int, DELETEDCOUNT int, TOTALINSTANCECOUNT int, "
+    "ERRORSEVERITY string, ERRORDATETIME timestamp, SOURCECOUNT bigint, DESTINATIONCOUNT bigint, "
+    "INSERTEDCOUNT bigint, UPDATEDCOUNT bigint, DELETEDCOUNT bigint, TOTALINSTANCECOUNT int, "
     "TRIGGERTYPE string, LOGDATETIME timestamp NOT NULL, LAYER string"
 )
 
@@ -57,13 +58,22 @@ def run_events(rows: DataFrame, settings: dict[str, str]) -> DataFrame:
     address. The result is (job_id, event), the document being JSON text.
     """
     kinds = {f.name: f.dataType for f in rows.schema.fields}
-    system = F.lit(settings["system"])
-    job = F.substring("job_id", 1, 45)
-    now = rfc3339(F.col("now"), kinds["now"])
-    started = F.coalesce(rfc3339(F.col("started"), kinds["started"]), now)
-    ended = F.coalesce(rfc3339(F.col("ended"), kinds["ended"]), now)
-    count = F.coalesce(F.col("record_count"), F.lit(0)).cast("bigint")
     source, target = source_name(F.col("source_path")), target_name(F.col("target_path"))
+    # Texts that occur several times in the document are worked out once, up front.
+    rows = rows.withColumns(
+        {
+            "__job": F.substring("job_id", 1, 45),
+            "__now": rfc3339(F.col("now"), kinds["now"]),
+            "__started": rfc3339(F.col("started"), kinds["started"]),
+            "__ended": rfc3339(F.col("ended"), kinds["ended"]),
+            "__source": source,
+            "__target": target,
+        }
+    )
+    system, job, now = F.lit(settings["system"]), F.col("__job"), F.col("__now")
+    started, ended = F.coalesce("__started", now), F.coalesce("__ended", now)
+    source, target = F.col("__source"), F.col("__target")
+    count = F.coalesce(F.col("record_count"), F.lit(0)).cast("bigint")
 
     def text(**fields: Column | str | int) -> Column:
         return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in fields.items()])

@@ -33,6 +33,7 @@ REQUIRED_FIELDS = {
     ),
 }
 MESSAGE_NAMES = {"SECRET": "Secret"}
+ENDPOINTS = (("SOURCE", "SOURCEID"), ("DESTINATION", "DESTINATIONID"))
 LOAD_TYPES = ("full", "bulk", "append", "incremental")
 LAYERS = ("bronze", "silver")
 
@@ -121,83 +122,114 @@ def distinct_messages(findings: DataFrame) -> DataFrame:
     return findings.select("table_name", "message").distinct()
 
 
-def _row_errors(config: Mapping[str, DataFrame], table: str, key: str, active: bool = True) -> DataFrame:
-    """Distinct (key, message) of one configuration table."""
-    rows = check_required(config[table], table, key, REQUIRED_FIELDS[table])
-    if active:
-        rows = rows.unionByName(check_active(config[table], table, key))
-    return rows.select(F.col("row_key").alias("ref_id"), "message").distinct()
-
-
 def validate_config(config: Mapping[str, DataFrame], requested: DataFrame | None = None) -> DataFrame:
     """All findings of all pipelines at once: distinct (pipeline_id, message).
 
     ``config`` maps table names to frames. ``requested`` holds a PIPELINEID column;
     ids without a pipeline row are reported, and only requested ones are checked.
+
+    The messages of each source, destination and lookup row are found first, each
+    once per row; the pipelines are then joined to them in one go.
     """
-    pipelines = config["PIPELINE"]
+    pipelines = config["PIPELINE"].withColumn("pipeline_id", _id("PIPELINEID"))
     parts: list[DataFrame] = []
     if requested is not None:
-        asked = requested.select(F.col("PIPELINEID").cast("string").alias("pipeline_id")).distinct()
-        there = pipelines.select(F.col("PIPELINEID").cast("string").alias("pipeline_id")).distinct()
-        message = F.lit(required_message("PIPELINE", "PIPELINEID")).alias("message")
-        parts.append(asked.join(there, "pipeline_id", "left_anti").select("pipeline_id", message))
-        pipelines = referenced_rows(pipelines.withColumn("__pid", F.col("PIPELINEID").cast("string")),
-                                    "__pid", asked, "pipeline_id").drop("__pid")
-
-    own = check_required(pipelines, "PIPELINE", "PIPELINEID", REQUIRED_FIELDS["PIPELINE"])
+        asked = requested.select(_id("PIPELINEID").alias("pipeline_id")).distinct()
+        absent = asked.join(pipelines.select("pipeline_id"), "pipeline_id", "left_anti")
+        parts.append(absent.withColumn("message", F.lit(required_message("PIPELINE", "PIPELINEID"))))
+        pipelines = pipelines.join(asked, "pipeline_id", "left_semi")
+
+    own = check_required(pipelines, "PIPELINE", "pipeline_id", REQUIRED_FIELDS["PIPELINE"])
     parts.append(own.select(F.col("row_key").alias("pipeline_id"), "message"))
 
-    def refs(df: DataFrame, column: str) -> DataFrame:
-        if column not in df.columns:
-            return df.select("pipeline_id", F.lit(None).cast("string").alias("ref_id")).limit(0)
-        return df.select("pipeline_id", F.col(column).cast("string").alias("ref_id")).filter("ref_id IS NOT NULL")
+    lookups, secrets = _row_errors(config, "LOOKUP", "LOOKUPID"), _row_errors(config, "SECRET", "SECRETID")
+    sources = _endpoint_errors(config, "SOURCE", "SOURCEID", ["SOURCETYPEID", "FORMATTYPEID"], lookups, secrets)
+    targets = _endpoint_errors(config, "DESTINATION", "DESTINATIONID", ["FORMATTYPEID"], lookups, secrets)
+    errors = _union(
+        lookups.select(F.lit("LOOKUP").alias("ref_table"), "ref_id", "message"),
+        sources.select(F.lit("SOURCE").alias("ref_table"), "ref_id", "message"),
+        targets.unionByName(_column_errors(config)).select(
+            F.lit("DESTINATION").alias("ref_table"), "ref_id", "message"
+        ),
+    ).distinct()
+    known = _union(
+        *[
+            config[table].select(F.lit(table).alias("ref_table"), _id(key).alias("ref_id"))
+            for table, key in ENDPOINTS
+        ]
+    ).distinct()
+    uses = _references(
+        pipelines, "pipeline_id",
+        [("LOOKUP", "LOADTYPEID"), ("LOOKUP", "LAYERID"), *ENDPOINTS],
+    )
+    parts.append(uses.filter("ref_id IS NOT NULL").join(errors, ["ref_table", "ref_id"]).select("pipeline_id", "message"))
+    missing = uses.filter("ref_table <> 'LOOKUP'").join(known, ["ref_table", "ref_id"], "left_anti")
+    text = F.when(F.col("ref_table") == "SOURCE", required_message("SOURCE", "SOURCEID")).otherwise(
+        required_message("DESTINATION", "DESTINATIONID")
+    )
+    parts.append(missing.select("pipeline_id", text.alias("message")))
+    return _union(*parts).distinct()
+
 
-    def attach(users: DataFrame, errors: DataFrame) -> DataFrame:
-        return users.distinct().join(errors, "ref_id").select("pipeline_id", "message")
+def _union(*frames: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
-    base = pipelines.withColumn("pipeline_id", F.col("PIPELINEID").cast("string"))
-    endpoints = {}
-    for table, key in (("SOURCE", "SOURCEID"), ("DESTINATION", "DESTINATIONID")):
-        users = base.select("pipeline_id", F.col(key).cast("string").alias("ref_id"))
-        known = config[table].select(F.col(key).cast("string").alias("ref_id")).distinct()
-        missing = users.join(known, "ref_id", "left_anti")
-        parts.append(missing.select("pipeline_id", F.lit(required_message(table, key)).alias("message")))
-        parts.append(attach(users.filter("ref_id IS NOT NULL"), _row_errors(config, table, key)))
-        rows = config[table].withColumn("ref_id", F.col(key).cast("string"))
-        endpoints[table] = users.join(rows, "ref_id").drop("ref_id")
 
-    source, destination = endpoints["SOURCE"], endpoints["DESTINATION"]
-    lookup_users = [refs(base, "LOADTYPEID"), refs(base, "LAYERID"), refs(source, "SOURCETYPEID"),
-                    refs(source, "FORMATTYPEID"), refs(destination, "FORMATTYPEID")]
-    parts.append(attach(reduce(DataFrame.unionByName, lookup_users), _row_errors(config, "LOOKUP", "LOOKUPID")))
-    secret_users = refs(source, "SECRETID").unionByName(refs(destination, "SECRETID"))
-    parts.append(attach(secret_users, _row_errors(config, "SECRET", "SECRETID")))
+def _id(column: str) -> Column:
+    return F.col(quoted(column)).cast("string")
+
+
+def _references(df: DataFrame, owner: str, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row (owner, ref_table, ref_id) per reference, from a single pass."""
+    present = set(df.columns)
+    links = [
+        F.struct(F.lit(table).alias("ref_table"), _id(column).alias("ref_id"))
+        for table, column in columns
+        if column in present
+    ]
+    return df.select(owner, F.inline(F.array(*links)))
 
-    parts.append(attach(refs(base, "DESTINATIONID"), _column_errors(config)))
-    return reduce(DataFrame.unionByName, parts).distinct()
+
+def _row_errors(config: Mapping[str, DataFrame], table: str, key: str) -> DataFrame:
+    """Distinct (ref_id, message) of the rows of one table."""
+    rows = config[table]
+    found = check_required(rows, table, key, REQUIRED_FIELDS[table])
+    found = found.unionByName(check_active(rows, table, key))
+    return found.select(F.col("row_key").alias("ref_id"), "message").distinct()
+
+
+def _endpoint_errors(
+    config: Mapping[str, DataFrame],
+    table: str,
+    key: str,
+    lookup_columns: Sequence[str],
+    lookups: DataFrame,
+    secrets: DataFrame,
+) -> DataFrame:
+    """(ref_id, message) of a source or destination: its own and those of what it refers to."""
+    links = [("LOOKUP", c) for c in lookup_columns] + [("SECRET", "SECRETID")]
+    rows = config[table].withColumn("owner", _id(key))
+    uses = _references(rows, "owner", links).filter("ref_id IS NOT NULL")
+    errors = _union(
+        lookups.select(F.lit("LOOKUP").alias("ref_table"), "ref_id", "message"),
+        secrets.select(F.lit("SECRET").alias("ref_table"), "ref_id", "message"),
+    )
+    referred = uses.join(errors, ["ref_table", "ref_id"]).select(F.col("owner").alias("ref_id"), "message")
+    return _row_errors(config, table, key).unionByName(referred)
 
 
 def _column_errors(config: Mapping[str, DataFrame]) -> DataFrame:
-    """Distinct (destination id, message) over the mapped columns of each destination."""
+    """(destination id, message) over the mapped columns of each destination."""
     columns = config["DESTINATIONCOLUMN"].select(
-        F.col("DESTINATIONCOLUMNID").cast("string").alias("column_id"),
-        F.col("DESTINATIONID").cast("string").alias("destination_id"),
-    ).distinct()
+        _id("DESTINATIONCOLUMNID").alias("column_id"), _id("DESTINATIONID").alias("ref_id")
+    )
     mapping = config["COLUMNMAPPING"].select(
-        F.col("DESTINATIONCOLUMNID").cast("string").alias("column_id"),
-        F.col("SOURCECOLUMNID").cast("string").alias("source_id"),
+        _id("DESTINATIONCOLUMNID").alias("column_id"), _id("SOURCECOLUMNID").alias("source_id")
+    )
+    source = _row_errors(config, "SOURCECOLUMN", "SOURCECOLUMNID").withColumnRenamed("ref_id", "source_id")
+    errors = _union(
+        _row_errors(config, "DESTINATIONCOLUMN", "DESTINATIONCOLUMNID").withColumnRenamed("ref_id", "column_id"),
+        _row_errors(config, "COLUMNMAPPING", "DESTINATIONCOLUMNID").withColumnRenamed("ref_id", "column_id"),
+        mapping.join(source, "source_id").select("column_id", "message"),
     ).distinct()
-
-    def errors(table: str, key: str, name: str) -> DataFrame:
-        return _row_errors(config, table, key).withColumnRenamed("ref_id", name)
-
-    found = [
-        errors("DESTINATIONCOLUMN", "DESTINATIONCOLUMNID", "column_id").join(columns, "column_id"),
-        errors("COLUMNMAPPING", "DESTINATIONCOLUMNID", "column_id").join(columns, "column_id"),
-        errors("SOURCECOLUMN", "SOURCECOLUMNID", "source_id")
-        .join(mapping, "source_id")
-        .join(columns, "column_id"),
-    ]
-    rows = [f.select(F.col("destination_id").alias("ref_id"), "message") for f in found]
-    return reduce(DataFrame.unionByName, rows).distinct()
+    return columns.join(errors, "column_id").select("ref_id", "message")

@@ -17,19 +17,22 @@ def source_rows(spark: SparkSession, spec: FeedSpec) -> DataFrame:
     return project(scan(spark, spec.source, spec.mappings), spec.mappings, spec.legacy_types)
 
 
-def shape(rows: DataFrame, spec: FeedSpec, mark: Column | None = None) -> DataFrame:
-    """Keep the latest row per key, then apply the rules.
+def latest_rows(rows: DataFrame, spec: FeedSpec, mark: Column | None = None) -> DataFrame:
+    """One row per key, the latest by watermark.
 
     ``mark`` drops rows at or below a high-water mark before the shuffle. That
     gives the rows a later filter would give only where ``mark_goes_first``.
     """
-    latest_by = []
-    if spec.load.watermark:
-        names = {c.lower() for c in rows.columns}
-        latest_by = [spec.load.watermark] if spec.load.watermark.lower() in names else []
-        rows = after_mark(rows, spec.load.watermark, mark)
-    unique = keep_latest(rows, spec.keys, latest_by)
-    return apply_rules(unique, spec.rules, spec.strict_rules)
+    names = {c.lower() for c in rows.columns}
+    watermark = spec.load.watermark
+    if watermark:
+        rows = after_mark(rows, watermark, mark)
+    return keep_latest(rows, spec.keys, [watermark] if watermark and watermark.lower() in names else [])
+
+
+def shape(rows: DataFrame, spec: FeedSpec, mark: Column | None = None) -> DataFrame:
+    """One row per key, then the rules."""
+    return apply_rules(latest_rows(rows, spec, mark), spec.rules, spec.strict_rules)
 
 
 def mark_goes_first(spec: FeedSpec) -> bool:

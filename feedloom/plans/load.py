@@ -7,11 +7,12 @@ A merge into a partitioned table rewrites only the partitions the source touches
 
 from __future__ import annotations
 
+import logging
 import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,9 +25,13 @@ from feedloom.operators.watermark import after_mark, high_water_mark
 from feedloom.session import shared_folder
 from feedloom.specs import LoadSpec
 
+log = logging.getLogger(__name__)
+
 OUTCOME = "__outcome"
 # Table option that lets an overwrite replace only the partitions it has rows for.
 OVERWRITE_MODE = "partitionOverwriteMode"
+# Up to so many touched partitions are named in a filter; more are joined.
+PARTITION_FILTER_LIMIT = 1000
 
 
 @dataclass(frozen=True)
@@ -169,6 +174,19 @@ def stage(spark: SparkSession, rows: DataFrame, path: str | None = None) -> Data
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def staging_copy(spark: SparkSession, rows: DataFrame, folder: str, destination: str) -> DataFrame:
+    """Keep a Parquet copy of the rows below ``folder`` and go on with that copy.
+
+    When the copy cannot be written the load goes on without it.
+    """
+    path = f"{folder.rstrip('/')}/staging/{destination.replace('.', '/')}"
+    try:
+        return stage(spark, rows, path)
+    except Exception as error:
+        log.warning("staging copy to %s failed: %s", path, error)
+        return rows
+
+
 def _merge(
     spark: SparkSession,
     spec: LoadSpec,
@@ -213,12 +231,32 @@ def _merge(
 def _touched(target: DataFrame, staged: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Target rows in the partitions the source has rows for.
 
-    The partition of NULL values is always kept in: it is rewritten as a whole when
-    the source adds to it, and NULL equals nothing in a join.
+    Up to a limit the partition values become a filter, so that the scan does not
+    open other partitions; beyond it they are joined. The partition of NULL values
+    is always kept in: it is rewritten as a whole when the source adds to it, and
+    NULL equals nothing in a join.
     """
-    used = staged.select(*[F.col(quoted(c)).alias(f"__part_{i}") for i, c in enumerate(columns)]).distinct()
-    same = reduce(
-        lambda a, b: a & b, [F.col(quoted(c)) == F.col(f"__part_{i}") for i, c in enumerate(columns)]
-    )
-    unknown = any_null([F.col(quoted(c)) for c in columns])
-    return target.filter(~unknown).join(used, same, "left_semi").unionByName(target.filter(unknown))
+    parts = [F.col(quoted(c)) for c in columns]
+    unknown = any_null(parts)
+    used = staged.filter(~unknown).select(*parts).distinct()
+    few = used.limit(PARTITION_FILTER_LIMIT + 1).collect()
+    if len(few) <= PARTITION_FILTER_LIMIT:
+        return target.filter(unknown | _any_of(target.schema, columns, few))
+    renamed = used.toDF(*[f"__part_{i}" for i in range(len(columns))])
+    same = reduce(Column.__and__, [part == F.col(f"__part_{i}") for i, part in enumerate(parts)])
+    return target.filter(~unknown).join(renamed, same, "left_semi").unionByName(target.filter(unknown))
+
+
+def _any_of(schema: T.StructType, columns: tuple[str, ...], rows: list) -> Column:
+    """Whether the columns equal one of the rows."""
+    kinds = {f.name.lower(): f.dataType for f in schema.fields}
+    literals = [
+        [F.lit(value).cast(kinds[c.lower()]) for c, value in zip(columns, row, strict=True)] for row in rows
+    ]
+    if len(columns) == 1:
+        return F.col(quoted(columns[0])).isin(*[row[0] for row in literals]) if literals else F.lit(False)
+    hits = [
+        reduce(Column.__and__, [F.col(quoted(c)) == value for c, value in zip(columns, row, strict=True)])
+        for row in literals
+    ]
+    return reduce(Column.__or__, hits, F.lit(False))

@@ -16,11 +16,12 @@ from feedloom.operators.audit import LOG_SCHEMA, RUN_SCHEMA, classify_errors
 from feedloom.operators.checks import LAYERS, validate_config
 from feedloom.operators.metadata import due_pipelines, status_content, status_name
 from feedloom.operators.project import target_schema
-from feedloom.operators.rules import COLUMN_RULES
+from feedloom.operators.rules import COLUMN_RULES, apply_rules
 from feedloom.operators.watermark import high_water_mark
 from feedloom.plans.config import feed_from_config
-from feedloom.plans.feed import mark_goes_first, shape, source_rows
-from feedloom.plans.load import LoadResult, create_table, load
+from feedloom.plans.feed import latest_rows, mark_goes_first, source_rows
+from feedloom.plans.load import LoadResult, create_table, load, staging_copy
+from feedloom.sources.scan import TABLE_KINDS
 from feedloom.specs import FeedSpec, LoadSpec
 
 log = logging.getLogger(__name__)
@@ -31,12 +32,15 @@ PIPELINE_FAILURE = "PIPELINE_FAILURE"
 PIPELINE_FAILURE_ID = 2
 
 
-def run_feed(spark: SparkSession, spec: FeedSpec, root: str) -> tuple[LoadResult, int]:
+def run_feed(
+    spark: SparkSession, spec: FeedSpec, root: str, staging_folder: str | None = None
+) -> tuple[LoadResult, int]:
     """Load one feed; returns the load's counts and the number of source rows.
 
     Source rows are counted while they are loaded. Only where a high-water mark can
-    be pushed down to a columnar scan is the count a job of its own, which then
-    reads no column.
+    be pushed down to a columnar scan, or a query replaces the source's rows, is
+    the count a job of its own. With ``staging_folder`` the rows before the rules
+    are kept there, and the load goes on from that copy.
     """
     if spec.layer not in LAYERS:
         raise ValueError(f"Unsupported layer '{spec.layer}' for pipeline {spec.feed_id}")
@@ -45,12 +49,17 @@ def run_feed(spark: SparkSession, spec: FeedSpec, root: str) -> tuple[LoadResult
     early = mark_goes_first(spec) and target.mode.strip().lower() in ("append", "incremental")
     if early and spark.catalog.tableExists(target.target):
         mark = high_water_mark(spark.table(target.target), target.watermark)
-    if mark is not None and spec.source.kind.lower() in ("table", "parquet"):
-        seen, source_count = None, rows.count()
+    columnar = spec.source.kind.strip().lower() in TABLE_KINDS
+    seen, source_count = None, 0
+    if target.custom_query() or (mark is not None and columnar):
+        source_count = rows.count()
     else:
-        seen, source_count = Observation(), 0
+        seen = Observation()
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    shaped = shape(rows, spec, mark)
+    latest = latest_rows(rows, spec, mark)
+    if staging_folder:
+        latest = staging_copy(spark, latest, staging_folder, target.target)
+    shaped = apply_rules(latest, spec.rules, spec.strict_rules)
     keys = {k.lower() for k in spec.keys}
     unique = bool(keys) and all(
         r.op in COLUMN_RULES and r.output.lower() not in keys for r in spec.rules
@@ -59,9 +68,7 @@ def run_feed(spark: SparkSession, spec: FeedSpec, root: str) -> tuple[LoadResult
         target = replace(target, watermark=None)
     schema = shaped.schema if spec.rules else target_schema(spec.mappings, spec.legacy_types)
     result = load(spark, target, shaped, root, schema, unique)
-    if seen is not None and target.custom_query() is None:
-        source_count = seen.get["rows"]
-    return result, source_count
+    return result, source_count if seen is None else seen.get["rows"]
 
 
 def append_rows(spark: SparkSession, rows: DataFrame, table: str, root: str) -> None:
@@ -71,6 +78,13 @@ def append_rows(spark: SparkSession, rows: DataFrame, table: str, root: str) ->
     rows.write.insertInto(table)
 
 
+def update_rows(
+    spark: SparkSession, rows: DataFrame, table: str, keys: tuple[str, ...], root: str
+) -> LoadResult:
+    """Update the rows of a table that have the same key; other columns keep their values."""
+    return load(spark, LoadSpec("incremental", table, keys), rows, root)
+
+
 def log_row(run_id: str, feed_id: str, layer: str, started: datetime, **values: Any) -> tuple:
     """One audit row of a pipeline attempt, in the order of the log table."""
     ended = datetime.now(UTC)
@@ -108,6 +122,8 @@ def run_due(
     for finding in validate_config(config, ids).orderBy("pipeline_id", "message").collect():
         findings.setdefault(finding["pipeline_id"], []).append(finding["message"])
 
+    opening = (run_id, f"run_{run_id}", started, None, None, None, len(due))
+    append_rows(spark, spark.createDataFrame([opening], RUN_SCHEMA), run_table, root)
     done = [
         row
         for feed_id in due
@@ -116,8 +132,9 @@ def run_due(
     append_rows(spark, spark.createDataFrame(done, LOG_SCHEMA), log_table, root)
     failed = any(row[11] is not None for row in done)
     name = status_name(status, RUN_FAILURE_ID if failed else RUN_SUCCESS_ID)
-    closing = (run_id, f"run_{run_id}", started, datetime.now(UTC), name, status_content(status, name), len(due))
-    append_rows(spark, spark.createDataFrame([closing], RUN_SCHEMA), run_table, root)
+    closing = (run_id, datetime.now(UTC), name, status_content(status, name))
+    columns = "MASTERLOGID string, ENDDATETIME timestamp, STATUS string, MESSAGE string"
+    update_rows(spark, spark.createDataFrame([closing], columns), run_table, ("MASTERLOGID",), root)
     return run_id
 
 

@@ -78,26 +78,48 @@ def audit_status_text(spark, sf_dir):
     return attach_status(rolled, status, "run_status", 4).drop("run_status")
 
 
+_NOW = "'2024-01-01T00:00:00Z'"
+
+
 @register(
-    """
-    SELECT o_orderkey, 'run_' || o_orderkey || '_' || repeat('x', 60 - 4 - length(CAST(o_orderkey AS VARCHAR)) - 1)
-             AS full_job,
-           substring('run_' || o_orderkey || '_' || repeat('x', 60), 1, 45) AS job,
-           strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS started,
-           strftime(o_orderdate + INTERVAL 1500 MILLISECOND, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS ended,
-           CASE o_orderkey % 2 WHEN 0 THEN 'success' ELSE 'failed' END AS outcome,
-           CAST(o_custkey AS BIGINT) AS record_count, 'orders.csv' AS source_table, 'core' AS target_schema,
-           'orders' AS target_table, '5-LOW' = o_orderpriority AS low
-    FROM orders
+    f"""
+    WITH runs AS (
+      SELECT o_orderkey, o_custkey, o_orderpriority, o_orderdate,
+             substring('run_' || o_orderkey || '_' || repeat('x', 60), 1, 45) AS job,
+             strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS started,
+             strftime(o_orderdate + INTERVAL 1500 MILLISECOND, '%Y-%m-%dT%H:%M:%S.%fZ') AS ended,
+             CASE o_orderkey % 2 WHEN 0 THEN 'C' ELSE 'F' END AS status
+      FROM orders)
+    SELECT o_orderkey, CAST(json_object(
+      'sourceConfig', json_object(
+        'sourceSystemName', 'feedloom', 'sourceType', 'sftp', 'description', 'no text',
+        'helpdeskAlert', 'Y', 'hostAddress', 'string', 'connectionConfig', 'string',
+        'databaseType', 'main', 'isEnabled', 'A', 'insertedDateTime', {_NOW}, 'importedDateTime', {_NOW}),
+      'sourceJobConfig', json_array(json_object(
+        'jobIDDetails', job, 'sourceSystemName', 'feedloom', 'targetSystemName', 'warehouse',
+        'description', o_orderpriority, 'criticalFlag', 4, 'severity', 1, 'completedAlert', 'Y',
+        'failedAlert', 'Y', 'delayedAlert', 'Y', 'validationlAlert', 'N',
+        'sourceSystemLocation', 'in/2024/orders.csv', 'targetSystemLocation', 'main.core.orders',
+        'sourceSchemaName', NULL, 'sourceTableName', 'orders.csv', 'targetSchemaName', 'core',
+        'targetTableName', 'orders', 'operationType', 'full', 'isBusinessAlert', 'Y',
+        'businessAlertEmail', '', 'helpDeskConfigID', 1, 'runSchedule', 'Y', 'day', 'Daily',
+        'time', '00:00', 'estimatedTime', strftime(o_orderdate, '%H:%M:%S'), 'isEnabled', 'S',
+        'insertedDateTime', {_NOW}, 'importedDateTime', {_NOW},
+        'sourceAlertLog', json_array(json_object(
+          'jobIDDetails', job, 'uniqueJobIDReference', job, 'sourceSystemName', 'feedloom',
+          'transactionStatus', status, 'jobStatus', status, 'reportedDateTime', ended,
+          'sourceRecordCount', o_custkey, 'startDateTime', started, 'endDateTime', ended,
+          'message', job || '_feedloom', 'pF1', CASE status WHEN 'C' THEN 'success' ELSE 'failed' END,
+          'pF2', CAST(o_custkey AS VARCHAR), 'pF3', 'automated'))))) AS VARCHAR) AS event
+    FROM runs
     """
 )
 def event_json(spark, sf_dir):
-    """Runs as nested documents; fields are read back from the JSON text."""
+    """Runs as nested documents, compared as whole JSON texts."""
     key = F.col("o_orderkey").cast("string")
-    job = F.rpad(F.concat(F.lit("run_"), key, F.lit("_")), 60, "x")
-    orders = table(spark, sf_dir, "orders")
-    rows = orders.select(
-        job.alias("job_id"),
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.rpad(F.concat(F.lit("run_"), key, F.lit("_")), 60, "x").alias("job_id"),
         F.col("o_orderpriority").alias("pipeline_name"),
         F.lit("in/2024/orders.csv").alias("source_path"),
         F.lit("sftp").alias("source_type"),
@@ -111,23 +133,5 @@ def event_json(spark, sf_dir):
         F.expr("o_orderdate + INTERVAL '1.5' SECOND").alias("ended"),
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("now"),
     )
-    events = run_events(rows, {"system": "feedloom"})
-
-    def field(path: str):
-        return F.get_json_object("event", path)
-
-    entry = "$.sourceJobConfig[0]"
-    alert = f"{entry}.sourceAlertLog[0]"
-    return events.select(
-        F.split("job_id", "_")[1].cast("bigint").alias("o_orderkey"),
-        F.col("job_id").alias("full_job"),
-        field(f"{entry}.jobIDDetails").alias("job"),
-        field(f"{alert}.startDateTime").alias("started"),
-        field(f"{alert}.endDateTime").alias("ended"),
-        field(f"{alert}.pF1").alias("outcome"),
-        field(f"{alert}.sourceRecordCount").cast("bigint").alias("record_count"),
-        field(f"{entry}.sourceTableName").alias("source_table"),
-        field(f"{entry}.targetSchemaName").alias("target_schema"),
-        field(f"{entry}.targetTableName").alias("target_table"),
-        (field(f"{entry}.description") == "5-LOW").alias("low"),
-    )
+    events = run_events(rows, {"system": "feedloom", "description": "no text", "database": "main"})
+    return events.select(F.split("job_id", "_")[1].cast("bigint").alias("o_orderkey"), "event")

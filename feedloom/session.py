@@ -18,6 +18,8 @@ def local_session(cores: str = "8", partitions: int = 8, **conf: str) -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Building plans is several times faster without call sites on every column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -1,8 +1,9 @@
 import uuid
+from datetime import date
 
 import pytest
 
-from feedloom.plans.load import load
+from feedloom.plans.load import _touched, load, staging_copy
 from feedloom.specs import LoadSpec
 
 
@@ -120,6 +121,36 @@ def test_partitioned_merge_rewrites_touched_partitions_only(spark, table, rows):
     assert after["y"] == files["y"] and after["x"] != files["x"]
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_two_partition_columns(spark, table, rows, monkeypatch, limit):
+    monkeypatch.setattr("feedloom.plans.load.PARTITION_FILTER_LIMIT", limit)
+    parts = {"partition_by": ("p", "d")}
+    schema = "k int, v string, p string, d date"
+    day, other = date(2024, 1, 1), date(2024, 1, 2)
+    table("full", spark.createDataFrame([(1, "a", "x", day), (2, "b", "x", other), (3, "c", "y", None)], schema), **parts)
+    source = spark.createDataFrame([(1, "A", "x", day), (4, "D", "z", day), (3, "C", "y", None)], schema)
+    table("incremental", source, keys=("k", "p", "d"), **parts)
+    assert rows(spark.table(table.name)) == [
+        (1, "A", "x", day), (2, "b", "x", other), (3, "C", "y", None), (3, "c", "y", None), (4, "D", "z", day),
+    ]
+
+
+def test_touched_partitions_are_all_that_is_scanned(spark, table):
+    parts = {"partition_by": ("p",)}
+    table("full", spark.createDataFrame([(1, "x"), (2, "y")], "k int, p string"), **parts)
+    source = spark.createDataFrame([(1, "x")], "k int, p string")
+    scanned = _touched(spark.table(table.name), source, ("p",)).inputFiles()
+    assert scanned and all("p=x" in name for name in scanned)
+
+
+def test_staging_copy(spark, tmp_path, rows):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert rows(staging_copy(spark, df, str(tmp_path), "db.t")) == [(1, "a")]
+    assert rows(spark.read.parquet(str(tmp_path / "staging" / "db" / "t"))) == [(1, "a")]
+    (tmp_path / "file").write_text("x")
+    assert staging_copy(spark, df, str(tmp_path / "file"), "t") is df
+
+
 def test_partitions_that_are_no_key_are_rewritten_whole(spark, table, rows):
     parts = {"partition_by": ("p",)}
     table("full", spark.createDataFrame([(1, "x"), (2, "y")], "k int, p string"), **parts)
