@@ -75,7 +75,7 @@ def _to_whole(col: Column, source: T.DataType, spark_type: str) -> Column:
         return F.lit(None).cast(spark_type)
     if spark_type != "boolean" and isinstance(source, T.StringType):
         # Text such as '1.5' has no direct integer cast; cut the fraction off instead.
-        return col.try_cast(_NUMBER_TEXT).try_cast(spark_type)
+        return F.coalesce(col.try_cast(spark_type), col.try_cast(_NUMBER_TEXT).try_cast(spark_type))
     return col.try_cast(spark_type)
 
 

@@ -66,23 +66,30 @@ def _findings(df: DataFrame, table: str, key: str, found: Sequence[tuple[Column,
     )
 
 
-def check_required(df: DataFrame, table: str, key: str, columns: Sequence[str]) -> DataFrame:
-    """A finding for every blank required field; an absent column is blank in all rows."""
+def _blank_fields(df: DataFrame, table: str, columns: Sequence[str]) -> list[tuple[Column, str, str]]:
     present = {c.lower(): c for c in df.columns}
     found = []
     for name in columns:
         actual = present.get(name.lower())
         blank = F.lit(True) if actual is None else is_blank(F.col(quoted(actual)))
         found.append((blank, name, required_message(table, name)))
-    return _findings(df, table, key, found)
+    return found
+
+
+def _not_active(df: DataFrame, table: str, column: str) -> tuple[Column, str, str]:
+    actual = {c.lower(): c for c in df.columns}.get(column.lower())
+    inactive = F.lit(True) if actual is None else ~is_active(F.col(quoted(actual)))
+    return inactive, column, inactive_message(table)
+
+
+def check_required(df: DataFrame, table: str, key: str, columns: Sequence[str]) -> DataFrame:
+    """A finding for every blank required field; an absent column is blank in all rows."""
+    return _findings(df, table, key, _blank_fields(df, table, columns))
 
 
 def check_active(df: DataFrame, table: str, key: str, column: str = "ACTIVE") -> DataFrame:
     """A finding for every row that is not active; without the column none is."""
-    present = {c.lower(): c for c in df.columns}
-    actual = present.get(column.lower())
-    inactive = F.lit(True) if actual is None else ~is_active(F.col(quoted(actual)))
-    return _findings(df, table, key, [(inactive, column, inactive_message(table))])
+    return _findings(df, table, key, [_not_active(df, table, column)])
 
 
 def check_domain(df: DataFrame, table: str, key: str, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -193,9 +200,8 @@ def _references(df: DataFrame, owner: str, columns: Sequence[tuple[str, str]]) -
 def _row_errors(config: Mapping[str, DataFrame], table: str, key: str) -> DataFrame:
     """Distinct (ref_id, message) of the rows of one table."""
     rows = config[table]
-    found = check_required(rows, table, key, REQUIRED_FIELDS[table])
-    found = found.unionByName(check_active(rows, table, key))
-    return found.select(F.col("row_key").alias("ref_id"), "message").distinct()
+    checks = [*_blank_fields(rows, table, REQUIRED_FIELDS[table]), _not_active(rows, table, "ACTIVE")]
+    return _findings(rows, table, key, checks).select(F.col("row_key").alias("ref_id"), "message").distinct()
 
 
 def _endpoint_errors(

@@ -84,10 +84,10 @@ def attach_lookup(
     default: str | None = None,
 ) -> DataFrame:
     """Add the text of an id within one lookup domain; unknown ids get the default."""
-    codes = lookup.filter(F.col("LOOKUPNAME") == domain).select(
-        F.col("LOOKUPID").cast("string").alias("__code"), F.col("LOOKUPVALUE").alias("__text")
+    codes = lookup.filter(F.col("LOOKUPNAME") == domain)
+    codes = codes.groupBy(F.col("LOOKUPID").cast("string").alias("__code")).agg(
+        F.max("LOOKUPVALUE").alias("__text")
     )
-    codes = keep_latest(codes, ["__code"])
     value = F.col("__text") if default is None else F.coalesce("__text", F.lit(default))
     joined = df.join(codes, F.col(id_column).cast("string") == F.col("__code"), "left")
     return joined.withColumn(output, value).drop("__code", "__text")
@@ -143,8 +143,8 @@ def resolve_pipelines(config: Mapping[str, DataFrame]) -> DataFrame:
     One joined query for all pipelines. A NULL text marks an id that is unknown.
     """
     lookup, secret = config["LOOKUP"], config["SECRET"]
-    secrets = keep_latest(
-        secret.select(F.col("SECRETID").cast("string").alias("__secret"), "SECRETKEY"), ["__secret"]
+    secrets = secret.groupBy(F.col("SECRETID").cast("string").alias("__secret")).agg(
+        F.max("SECRETKEY").alias("SECRETKEY")
     )
 
     def with_secret(df: DataFrame, output: str) -> DataFrame:

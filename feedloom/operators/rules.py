@@ -61,8 +61,8 @@ def _fillna(inputs: list[Input], args: tuple[Any, ...]) -> Column:
     """Fill NULLs; the column keeps its type when the default can be read as it."""
     col, kind = inputs[0]
     default = F.lit(str(args[0]))
-    if isinstance(kind, T.StringType):
-        return F.coalesce(col, default)
+    if isinstance(kind, (T.StringType, T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
+        return F.coalesce(col.cast("string"), default)
     typed = lenient_cast(default, T.StringType(), kind.simpleString())
     if _readable(str(args[0]), kind):
         return F.coalesce(col, typed)

@@ -35,6 +35,7 @@ from feedloom.queries import (  # noqa: E402, F401
     mapping,
     nesting,
     resolving,
+    running,
     scanning,
     transforming,
 )

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.operators.dedupe import keep_latest
 from feedloom.operators.merge import merge, merge_counts
 from feedloom.operators.watermark import after_mark, high_water_mark
 from feedloom.plans.load import load, stage
@@ -18,13 +19,15 @@ SPLIT = "ts < TIMESTAMP_NTZ '2024-01-21 00:00:00'"
 
 
 def run_loads(spark: SparkSession, *loads: tuple[dict, DataFrame | None]) -> DataFrame:
-    """Load the frames one after another into one new table; returns its rows.
-
-    The table's catalog entry is dropped again; its files are what is returned.
-    """
+    """Load the frames one after another into one new table; returns its rows."""
     root, name = shared_folder(spark, "tables"), f"feed_{uuid.uuid4().hex}"
     for options, rows in loads:
         load(spark, LoadSpec(target=name, **options), rows, root)
+    return detached(spark, name)
+
+
+def detached(spark: SparkSession, name: str) -> DataFrame:
+    """The files of a table, whose catalog entry is dropped."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     folder = described.filter("col_name = 'Location'").select("data_type").first()[0]
     result = spark.read.schema(spark.table(name).schema).parquet(folder)
@@ -102,6 +105,30 @@ def incremental_load_orders(spark, sf_dir):
     return run_loads(spark, ({"mode": "full"}, target), (step, source), (step, source))
 
 
+@register(
+    """
+    WITH latest AS (
+      SELECT * FROM events QUALIFY row_number() OVER (
+        PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+    old AS (
+      SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-21' QUALIFY row_number() OVER (
+        PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+    SELECT user_id, ts, event_type, value FROM latest
+    WHERE ts > (SELECT max(ts) FROM old) OR user_id IN (SELECT user_id FROM old)
+    """
+)
+def incremental_load_watermark(spark, sf_dir):
+    """The latest row per key, merged above the target's mark."""
+    columns = ["user_id", "ts", "event_type", "value"]
+    events = table(spark, sf_dir, "events")
+
+    def latest(rows):
+        return keep_latest(rows, ["user_id"], ["ts", "event_id"]).select(*columns)
+
+    step = {"mode": "incremental", "keys": ("user_id",), "watermark": "ts"}
+    return run_loads(spark, (step, latest(events.filter(SPLIT))), (step, latest(events)))
+
+
 @register(
     """
     SELECT o_orderkey, o_orderstatus,

@@ -86,6 +86,33 @@ def map_project_orders(spark, sf_dir):
     )
 
 
+@register(
+    """
+    SELECT CAST(l_orderkey AS INTEGER) AS order_id, CAST(l_partkey AS VARCHAR) AS part_id,
+           l_quantity AS quantity, l_shipdate AS shipped, CAST(l_linenumber AS INTEGER) AS line_no,
+           l_tax > 0.04 AS taxed, CAST(l_tax > 0.04 AS VARCHAR) AS taxed_text
+    FROM lineitem
+    """
+)
+def map_project_legacy(spark, sf_dir):
+    """The substring type table: wide integers narrowed, dates as timestamps, NUMBER as text."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("taxed", F.col("l_tax") > 0.04)
+    done = project(
+        lines,
+        mappings(
+            ("l_orderkey", "order_id", "BIGINT"),
+            ("l_partkey", "part_id", "NUMBER(38,0)"),
+            ("l_quantity", "quantity", "DECIMAL(12,4)"),
+            ("l_shipdate", "shipped", "DATE"),
+            ("l_linenumber", "line_no", "POINT"),
+            ("taxed", "taxed", "BOOLEAN"),
+            ("taxed", "taxed_text", "BOOL"),
+        ),
+        legacy_types=True,
+    )
+    return done.withColumn("shipped", F.col("shipped").cast("timestamp_ntz"))
+
+
 @register(
     """
     WITH texts AS (
