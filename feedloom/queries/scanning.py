@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from feedloom.operators.nested import normalize
@@ -18,6 +20,9 @@ from feedloom.sources.files import scan_delimited, scan_parquet, scan_query, uni
 from feedloom.sources.workbooks import workbook_rows
 from feedloom.specs import MISSING_WORDS, ReadOptions
 
+# The workbook functions travel with the tasks, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MISSING = ", ".join(f"'{word}'" for word in MISSING_WORDS)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +29,15 @@ def scan_delimited(
 ) -> DataFrame:
     """Separated text as strings; the mapping casts later.
 
-    Quoted line breaks are kept whole, which needs one task per file; set
-    ``multiline=False`` for files without them and Spark splits large files. With
-    ``columns`` the header, if any, is checked against them, so files whose
-    columns are in another order fail instead of being read into wrong columns.
+    Reading quoted line breaks takes one task per file, while Spark splits large
+    files without them. When ``multiline`` is not given, a parallel look at the
+    lines decides. With ``columns`` the header, if any, is checked against them, so
+    files whose columns are in another order fail instead of being read into wrong
+    columns.
     """
     options = options or ReadOptions()
+    if options.multiline is None:
+        options = replace(options, multiline=has_quoted_breaks(spark, path, options))
     reader = file_reader(spark, options).options(**options.to_spark())
     if columns:
         reader = reader.schema(", ".join(f"{quoted(c)} string" for c in columns))
@@ -40,6 +45,22 @@ def scan_delimited(
     return blank_out(reader.csv(path), options.missing_words)
 
 
+def has_quoted_breaks(spark: SparkSession, path: str | list[str], options: ReadOptions) -> bool:
+    """Whether some line leaves a quote open, as the first line of a broken cell must.
+
+    A doubled quote counts twice and so changes nothing. A lone quote within a cell
+    also counts as open, which only costs the splitting.
+    """
+    reader = file_reader(spark, options)
+    if options.line_separator:
+        reader = reader.option("lineSep", options.line_separator)
+    line = F.col("value")
+    if options.escape and options.escape != options.quote:
+        line = F.regexp_replace(line, f"{re.escape(options.escape)}.", "")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit(options.quote), F.lit("")))
+    return bool(options.quote) and not reader.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def blank_out(df: DataFrame, words: Sequence[str]) -> DataFrame:
     """Turn the given texts into NULL in every column."""
     if not words:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,9 @@ DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range
 _QUOTED_FORMAT = re.compile(r'"[^"]*"|\\.|\[[^\]]*\]')
 ROWS_PER_BATCH = 4096
 
+# The functions below travel with the tasks, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def scan_workbooks(
     spark: SparkSession,

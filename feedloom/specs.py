@@ -34,8 +34,8 @@ class ColumnMapping:
 class ReadOptions:
     """File reading options, as found in a feed's key/value properties.
 
-    ``multiline`` says whether a record may span lines; None leaves it to the
-    format: yes for separated text, found out from the data for JSON.
+    ``multiline`` says whether a record may span lines; when it is None the scan
+    finds out from the data.
     """
 
     delimiter: str = ","

@@ -1,8 +1,10 @@
+from dataclasses import replace
+
 import pytest
 
 from feedloom.sources import jdbc
 from feedloom.sources.documents import body_rows, scan_bodies, scan_json, scan_pages
-from feedloom.sources.files import scan_delimited, scan_parquet, union_by_name
+from feedloom.sources.files import has_quoted_breaks, scan_delimited, scan_parquet, union_by_name
 from feedloom.sources.scan import scan
 from feedloom.specs import ColumnMapping, ReadOptions, SourceSpec, split_keys
 
@@ -22,6 +24,26 @@ def test_csv(spark, tmp_path, rows):
     assert kept.filter("id = 2").first()["text"] == "NA"
 
 
+@pytest.mark.parametrize(
+    "text, options, broken",
+    [
+        ('a,b\n"x ""y""",z\n', {}, False),
+        ('a,b\n"x\ny",z\n', {}, True),
+        ('a,b\n5" pipe,z\n', {}, True),
+        ('a,b\n"x \\" y",z\n', {"escape": "\\"}, False),
+        ("a,b\n'x\ny',\"\n", {"quote": "'"}, True),
+        ("a,b\nx,\"\n", {"quote": "'"}, False),
+    ],
+)
+def test_quoted_breaks_are_found(spark, tmp_path, text, options, broken):
+    path = write(tmp_path, a__csv=text)
+    given = ReadOptions(**options)
+    assert has_quoted_breaks(spark, path, given) is broken
+    plain = scan_delimited(spark, path, given)
+    whole = scan_delimited(spark, path, replace(given, multiline=True))
+    assert plain.collect() == whole.collect()
+
+
 def test_psv_without_header(spark, tmp_path, rows):
     path = write(tmp_path, a__psv="1|'x|y'\n2|z\n")
     options = ReadOptions.from_properties({"delimiter": "|", "SKIPHEADER": "0", "quotechar": "'"})
