@@ -55,7 +55,7 @@ def storage_type(type_text: str | None, legacy: bool = False) -> T.DataType:
 def lenient_cast(col: Column, source: T.DataType, spark_type: str) -> Column:
     """Cast ``col`` (of type ``source``) to ``spark_type``; failures become NULL."""
     if spark_type == "time":
-        return F.date_format(to_timestamp(col, source), "HH:mm:ss")
+        return _clock_text(col, source)
     if spark_type == "string":
         return col.cast("string")
     if isinstance(source, T.NullType):
@@ -69,6 +69,13 @@ def lenient_cast(col: Column, source: T.DataType, spark_type: str) -> Column:
     return col.try_cast(spark_type)
 
 
+def _clock_text(col: Column, source: T.DataType) -> Column:
+    if isinstance(source, T.TimestampNTZType):
+        # Formatting would go through the session's zone and its missing hours.
+        return F.substring(F.substring_index(col.cast("string"), " ", -1), 1, 8)
+    return F.date_format(to_timestamp(col, source), "HH:mm:ss")
+
+
 def _to_whole(col: Column, source: T.DataType, spark_type: str) -> Column:
     moment = isinstance(source, (T.DateType, T.TimestampNTZType))
     if moment or (spark_type == "boolean" and isinstance(source, T.TimestampType)):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions.casts import lenient_cast
 from feedloom.functions.messages import error_status
 from feedloom.functions.moments import rfc3339
 from feedloom.functions.names import source_name, target_name
@@ -117,8 +118,8 @@ def run_events(rows: DataFrame, settings: dict[str, str]) -> DataFrame:
         helpDeskConfigID=1,
         runSchedule="Y",
         day="Daily",
-        time=F.date_format("now", "HH:mm"),
-        estimatedTime=F.date_format("started", "HH:mm:ss"),
+        time=F.substring(lenient_cast(F.col("now"), kinds["now"], "time"), 1, 5),
+        estimatedTime=lenient_cast(F.col("started"), kinds["started"], "time"),
         isEnabled="S",
         insertedDateTime=now,
         importedDateTime=now,

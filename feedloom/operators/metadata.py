@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from feedloom.functions.predicates import is_active, is_blank, same_name
+from feedloom.functions.moments import utc_literal
+from feedloom.functions.predicates import is_active, same_name
 from feedloom.operators.dedupe import keep_latest
 
 # The default slowly-changing type, when none is given or known.
@@ -64,9 +64,12 @@ def overlay_defaults(settings: DataFrame, defaults: DataFrame) -> DataFrame:
     )
 
 
-def due_pipelines(pipelines: DataFrame, schedules: DataFrame, now: datetime | Column) -> DataFrame:
-    """Active pipelines whose active schedule has no next run, or one that has come."""
-    moment = now if isinstance(now, Column) else F.lit(now)
+def due_pipelines(pipelines: DataFrame, schedules: DataFrame, now: datetime) -> DataFrame:
+    """Active pipelines whose active schedule has no next run, or one that has come.
+
+    Moments without a zone count as UTC.
+    """
+    moment = utc_literal(now, schedules.schema["NEXTRUN"].dataType)
     work = pipelines.filter(is_active(F.col("ACTIVE"))).select("PIPELINEID", "LAYERID", "CRONID")
     plan = schedules.filter(is_active(F.col("ACTIVE"))).select(
         "CRONID", "CRONEXPRESSION", "TIMEZONE", "NEXTRUN"
@@ -171,11 +174,3 @@ def resolve_pipelines(config: Mapping[str, DataFrame]) -> DataFrame:
     rows = attach_lookup(rows, lookup, "Layer", "LAYERID", "LAYER")
     rows = rows.join(sources.select(*source_names), "SOURCEID", "left")
     return rows.join(targets.select(*target_names), "DESTINATIONID", "left")
-
-
-def text_column(df: DataFrame, name: str) -> Column:
-    """A column as text, blanks as NULL; NULL when the frame lacks it."""
-    if name not in df.columns:
-        return F.lit(None).cast(T.StringType())
-    col = F.col(name).cast("string")
-    return F.when(~is_blank(col), col)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from typing import Any
 
@@ -24,6 +25,11 @@ from feedloom.specs import (
     split_keys,
 )
 
+log = logging.getLogger(__name__)
+
+# The file settings whose absence is reported.
+EXPECTED_PROPERTIES = ("compression", "skipheader", "delimiter", "quotechar", "escape", "lineseparator")
+
 # The references every pipeline must have, with the text each resolves to.
 RESOLVED = (
     ("LOADTYPEID", "LOAD_TYPE"),
@@ -66,6 +72,9 @@ def feed_from_config(
     )
     properties = resolve_properties(config["PIPELINEPROPERTIES"].filter(same), config["PROPERTIES"])
     options = {p["property_key"]: p["property_value"] for p in properties.collect()}
+    absent = [key for key in EXPECTED_PROPERTIES if key not in options]
+    if absent:
+        log.warning("pipeline %s: file settings not given, defaults apply: %s", pipeline_id, ", ".join(absent))
     chosen = transform_rules(config["VALIDATION"], pipeline_id) if "VALIDATION" in config else None
     return FeedSpec(
         feed_id=str(pipeline_id),

@@ -109,7 +109,7 @@ def config_tables(spark, sf_dir) -> dict[str, DataFrame]:
     return {
         "PIPELINE": of(
             "customer", "c_custkey AS PIPELINEID", "if(c_custkey % 7 = 0, ' ', c_name) AS PIPELINENAME",
-            "c_custkey % 13 AS SOURCEID", "c_custkey % 250 AS DESTINATIONID",
+            "c_custkey % 120 AS SOURCEID", "if(c_custkey % 17 = 0, -5, c_custkey) AS DESTINATIONID",
             "if(c_custkey % 11 = 0, NULL, c_nationkey) AS LOADTYPEID", "c_nationkey + 1 AS LAYERID",
         ),
         "SOURCE": of(
@@ -121,7 +121,7 @@ def config_tables(spark, sf_dir) -> dict[str, DataFrame]:
             "part", "p_partkey AS DESTINATIONID", "p_name AS DESTINATIONNAME",
             "if(p_size = 1, NULL, 'db.t') AS DESTINATIONPATH", "1 AS DESTINATIONTYPEID",
             "8 AS FORMATTYPEID", "if(p_partkey % 6 = 0, 'N', 'y') AS ACTIVE",
-        ).filter("DESTINATIONID <> 5"),
+        ),
         "LOOKUP": of(
             "nation", "n_nationkey AS LOOKUPID", "if(n_nationkey % 8 = 0, NULL, 'LoadType') AS LOOKUPNAME",
             "n_name AS LOOKUPVALUE", "if(n_nationkey % 9 = 0, 'no', 'TRUE') AS ACTIVE",
@@ -131,7 +131,7 @@ def config_tables(spark, sf_dir) -> dict[str, DataFrame]:
             "if(r_regionkey = 2, '  ', 'key') AS SECRETKEY", "r_regionkey <> 1 AS ACTIVE",
         ),
         "DESTINATIONCOLUMN": of(
-            "orders", "o_orderkey AS DESTINATIONCOLUMNID", "o_custkey % 260 AS DESTINATIONID",
+            "orders", "o_orderkey AS DESTINATIONCOLUMNID", "o_custkey AS DESTINATIONID",
             "if(o_orderkey % 97 = 0, '', 'c') AS DESTINATIONCOLUMNNAME", "1 AS DESTINATIONCOLUMNSEQUENCE",
             "o_orderpriority AS DESTINATIONCOLUMNDATATYPE", "o_orderkey % 101 <> 0 AS ACTIVE",
         ),
@@ -158,18 +158,18 @@ def _inactive(table_name: str) -> str:
 @register(
     f"""
     WITH pipe AS (
-      SELECT CAST(c_custkey AS VARCHAR) AS pipeline_id, c_custkey AS id, c_custkey % 13 AS src,
-             c_custkey % 250 AS dst, CASE WHEN c_custkey % 11 <> 0 THEN c_nationkey END AS load_type,
+      SELECT CAST(c_custkey AS VARCHAR) AS pipeline_id, c_custkey AS id, c_custkey % 120 AS src,
+             CASE WHEN c_custkey % 17 = 0 THEN -5 ELSE c_custkey END AS dst, CASE WHEN c_custkey % 11 <> 0 THEN c_nationkey END AS load_type,
              c_nationkey + 1 AS layer
       FROM customer),
     src AS (SELECT s_suppkey AS id, s_nationkey AS kind, s_suppkey % 3 AS secret FROM supplier),
-    dst AS (SELECT p_partkey AS id, p_size FROM part WHERE p_partkey <> 5),
+    dst AS (SELECT p_partkey AS id, p_size FROM part),
     used AS (
       SELECT pipeline_id, load_type AS id FROM pipe UNION SELECT pipeline_id, layer FROM pipe
       UNION SELECT pipeline_id, kind FROM pipe JOIN src ON src = src.id
       UNION SELECT pipeline_id, 7 FROM pipe JOIN src ON src = src.id
       UNION SELECT pipeline_id, 8 FROM pipe JOIN dst ON dst = dst.id),
-    dcol AS (SELECT o_orderkey AS id, o_custkey % 260 AS dst FROM orders),
+    dcol AS (SELECT o_orderkey AS id, o_custkey AS dst FROM orders),
     cmap AS (SELECT DISTINCT l_orderkey AS col, l_partkey AS src FROM lineitem)
     SELECT DISTINCT pipeline_id, message FROM (
       SELECT pipeline_id, {_message('PIPELINENAME', 'PIPELINE')} AS message FROM pipe WHERE id % 7 = 0

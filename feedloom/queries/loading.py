@@ -72,22 +72,24 @@ def append_watermark_only_new(spark, sf_dir):
 
 
 def _merge_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All orders as target and as source, their keys stretched so that some meet."""
     orders = table(spark, sf_dir, "orders")
-    target = orders.filter("o_orderkey % 2 = 0")
-    source = orders.filter("o_orderkey % 3 = 0").select(
-        "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), "o_orderstatus"
+    target = orders.withColumn("o_orderkey", F.col("o_orderkey") * 2)
+    source = orders.select(
+        (F.col("o_orderkey") * 3).alias("o_orderkey"),
+        (F.col("o_totalprice") + 1).alias("o_totalprice"),
+        "o_orderstatus",
     )
     return target, source
 
 
 MERGED_ORDERS = """
-    SELECT t.o_orderkey, t.o_custkey, t.o_orderstatus,
-           CASE WHEN t.o_orderkey % 3 = 0 THEN t.o_totalprice + 1 ELSE t.o_totalprice END AS o_totalprice,
-           t.o_orderdate, t.o_orderpriority
-    FROM orders t WHERE t.o_orderkey % 2 = 0
+    SELECT t.o_orderkey * 2 AS o_orderkey, t.o_custkey, coalesce(s.o_orderstatus, t.o_orderstatus) AS o_orderstatus,
+           coalesce(s.o_totalprice + 1, t.o_totalprice) AS o_totalprice, t.o_orderdate, t.o_orderpriority
+    FROM orders t LEFT JOIN orders s ON t.o_orderkey * 2 = s.o_orderkey * 3
     UNION ALL
-    SELECT o_orderkey, NULL, o_orderstatus, o_totalprice + 1, NULL, NULL
-    FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0
+    SELECT o_orderkey * 3, NULL, o_orderstatus, o_totalprice + 1, NULL, NULL
+    FROM orders WHERE o_orderkey * 3 NOT IN (SELECT o_orderkey * 2 FROM orders)
 """
 
 
@@ -131,34 +133,33 @@ def incremental_load_watermark(spark, sf_dir):
 
 @register(
     """
-    SELECT o_orderkey, o_orderstatus,
-           CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END
-             AS o_totalprice
-    FROM orders WHERE o_orderkey % 2 = 0
+    SELECT t.o_orderkey * 2 AS o_orderkey, t.o_orderstatus, coalesce(s.o_totalprice + 1, t.o_totalprice) AS o_totalprice
+    FROM orders t
+    LEFT JOIN orders s ON t.o_orderkey * 2 = s.o_orderkey * 3 AND t.o_orderstatus = 'F'
     UNION ALL
-    SELECT o_orderkey, o_orderstatus, o_totalprice + 1
-    FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0
+    SELECT o_orderkey * 3, 'F', o_totalprice + 1
+    FROM orders WHERE o_orderkey * 3 NOT IN (SELECT o_orderkey * 2 FROM orders WHERE o_orderstatus = 'F')
     """
 )
 def incremental_load_partitioned(spark, sf_dir):
-    """A merge that rewrites only the partitions its source touches."""
+    """A merge that rewrites only the partition its source touches."""
     target, source = _merge_inputs(spark, sf_dir)
     parts = {"partition_by": ("o_orderstatus",)}
     step = {"mode": "incremental", "keys": ("o_orderkey", "o_orderstatus"), **parts}
     done = run_loads(
         spark,
         ({"mode": "full", **parts}, target.select("o_orderkey", "o_totalprice", "o_orderstatus")),
-        (step, source.filter("o_orderstatus = 'F'")),
+        (step, source.withColumn("o_orderstatus", F.lit("F"))),
     )
     return done.select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
 @register(
     """
-    SELECT CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 = 0 THEN 'update'
-                WHEN o_orderkey % 2 = 0 THEN 'unchanged' ELSE 'insert' END AS outcome,
-           count(*) AS row_count
-    FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 GROUP BY ALL
+    WITH keys AS (SELECT o_orderkey * 2 AS t, o_orderkey * 3 AS s FROM orders)
+    SELECT 'update' AS outcome, count(*) AS row_count FROM keys WHERE t IN (SELECT s FROM keys)
+    UNION ALL SELECT 'unchanged', count(*) FROM keys WHERE t NOT IN (SELECT s FROM keys)
+    UNION ALL SELECT 'insert', count(*) FROM keys WHERE s NOT IN (SELECT t FROM keys)
     """
 )
 def merge_metrics_orders(spark, sf_dir):
@@ -167,19 +168,18 @@ def merge_metrics_orders(spark, sf_dir):
 
 @register(
     """
-    WITH keyed AS (
-      SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS k, c_name AS v, c_custkey FROM customer)
-    SELECT k, CASE WHEN k IS NOT NULL AND c_custkey % 2 = 0 THEN upper(v) ELSE v END AS v FROM keyed
+    WITH t AS (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey * 2 END AS k, c_name AS v FROM customer),
+    s AS (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey * 5 END AS k, upper(c_name) AS v FROM customer)
+    SELECT t.k, coalesce(s.v, t.v) AS v FROM t LEFT JOIN s ON t.k = s.k
     UNION ALL
-    SELECT k, upper(v) FROM keyed WHERE k IS NULL AND c_custkey % 2 = 0
+    SELECT k, v FROM s WHERE k IS NULL OR k NOT IN (SELECT k FROM t WHERE k IS NOT NULL)
     """
 )
 def merge_null_keys(spark, sf_dir):
     """A third of the rows has no key: they match nothing, so the source's are inserted."""
-    key = F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("k")
-    customer = table(spark, sf_dir, "customer")
-    target = customer.select(key, F.col("c_name").alias("v"))
-    source = customer.filter("c_custkey % 2 = 0").select(key, F.upper("c_name").alias("v"))
+    customer, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    target = customer.select(F.when(key % 3 != 0, key * 2).alias("k"), F.col("c_name").alias("v"))
+    source = customer.select(F.when(key % 3 != 0, key * 5).alias("k"), F.upper("c_name").alias("v"))
     return merge(target, source, ["k"])
 
 

@@ -100,8 +100,7 @@ def due_selection(spark, sf_dir):
         "if(s_suppkey % 4 <> 0, timestampadd(DAY, int(s_suppkey % 28), timestamp_ntz'2024-01-01'), NULL) AS NEXTRUN",
         "s_nationkey <> 3 AS ACTIVE",
     )
-    now = F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz")
-    return due_pipelines(pipelines, schedules, now)
+    return due_pipelines(pipelines, schedules, datetime(2024, 1, 15))
 
 
 @register(
@@ -158,8 +157,8 @@ def status_default(spark, sf_dir):
            CASE WHEN p_size <> 1 THEN 'db.t' END AS "DESTINATIONPATH"
     FROM customer
     LEFT JOIN nation l ON l.n_nationkey = c_nationkey AND l.n_nationkey % 8 <> 0 AND c_custkey % 11 <> 0
-    LEFT JOIN supplier ON s_suppkey = c_custkey % 13
-    LEFT JOIN part ON p_partkey = c_custkey % 250 AND p_partkey <> 5
+    LEFT JOIN supplier ON s_suppkey = c_custkey % 120
+    LEFT JOIN part ON p_partkey = c_custkey AND c_custkey % 17 <> 0
     """
 )
 def config_resolve(spark, sf_dir):

@@ -1,11 +1,12 @@
 """Configuration checks, resolution, audit rows and whole runs."""
 
 import uuid
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom.functions.casts import lenient_cast
 from feedloom.functions.messages import error_status
 from feedloom.functions.moments import rfc3339
 from feedloom.functions.names import qualified_name, source_name, target_name
@@ -81,6 +82,40 @@ def test_moments(any_mode):
         any_mode.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_moments_need_no_session_zone(spark, zone):
+    """Hours that the session's zone skips or has twice come out as they are."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql(
+            "SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00.5' AS n, t AS l, TIMESTAMP_NTZ'2024-03-10 02:30:00' AS c "
+            "FROM VALUES (TIMESTAMP'2024-11-03T05:30:00Z'), (TIMESTAMP'2024-11-03T06:30:00Z') v(t)"
+        )
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        out = df.select(
+            rfc3339(F.col("n"), kinds["n"]).alias("n"),
+            rfc3339(F.col("l"), kinds["l"]).alias("l"),
+            lenient_cast(F.col("c"), kinds["c"], "time").alias("c"),
+        ).orderBy("l").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r["l"] for r in out] == ["2024-11-03T05:30:00Z", "2024-11-03T06:30:00Z"]
+    assert {(r["n"], r["c"]) for r in out} == {("2024-03-10T02:30:00.500000Z", "02:30:00")}
+
+
+def test_due_in_another_zone(spark):
+    pipelines = spark.createDataFrame([(1, 1, 1, True)], "PIPELINEID int, LAYERID int, CRONID int, ACTIVE boolean")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for kind in ("TIMESTAMP_NTZ'2024-05-01 12:00:00'", "TIMESTAMP'2024-05-01T12:00:00Z'"):
+            crons = spark.sql(f"SELECT 1 AS CRONID, {kind} AS NEXTRUN, true AS ACTIVE, '' AS CRONEXPRESSION, '' AS TIMEZONE")
+            assert due_pipelines(pipelines, crons, NOW).count() == 1
+            assert due_pipelines(pipelines, crons, NOW.replace(tzinfo=UTC)).count() == 1
+            assert due_pipelines(pipelines, crons, NOW - timedelta(microseconds=1)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_error_classes(any_mode):
     messages = ["Login failed for user", "Invalid object name 'x'", "Object T does not exist", "table not found",
                 "boom", None]
