@@ -29,7 +29,13 @@ LEGACY_TYPE_PARTS = (
     ("BOOLEAN", "boolean"),
 )
 
-_NUMBER_TEXT = "decimal(38,10)"
+# A failed cast costs an exception per row, so text and numbers that cannot be cast
+# are made NULL beforehand.
+_NUMBER = r"^[\s\p{Cntrl}]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
+_DECIMAL_TEXT = _NUMBER + r"[\s\p{Cntrl}]*$"
+_DOUBLE_TEXT = _NUMBER + r"[dDfF]?[\s\p{Cntrl}]*$|^[\s\p{Cntrl}]*[+-]?(?i:nan|inf|infinity)[\s\p{Cntrl}]*$"
+_BOOLEAN_TEXT = r"^[\s\p{Cntrl}]*(?i:t|true|y|yes|1|f|false|n|no|0)[\s\p{Cntrl}]*$"
+_WHOLE_BITS = {"int": 31, "bigint": 63}
 _TYPE_TEXT = re.compile(r"\s*(\w+)[^(]*(?:\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?")
 
 
@@ -62,13 +68,26 @@ def lenient_cast(col: Column, source: T.DataType, spark_type: str) -> Column:
         return col.cast(spark_type)
     if spark_type in ("timestamp", "timestamp_ntz", "date"):
         return _to_moment(col, source, spark_type)
-    if spark_type in ("int", "bigint", "boolean"):
-        return _to_whole(col, source, spark_type)
     if isinstance(source, T.DateType):
         return F.lit(None).cast(spark_type)
+    if spark_type == "boolean":
+        return _to_boolean(col, source)
+    if spark_type in _WHOLE_BITS:
+        return _to_whole(col, source, spark_type)
+    if isinstance(source, T.StringType):
+        pattern = _DECIMAL_TEXT if spark_type.startswith("decimal") else _DOUBLE_TEXT
+        return F.when(col.rlike(pattern), col).try_cast(spark_type)
     return col.try_cast(spark_type)
 
 
+def _to_boolean(col: Column, source: T.DataType) -> Column:
+    if isinstance(source, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit(None).cast("boolean")
+    if isinstance(source, T.StringType):
+        col = F.when(col.rlike(_BOOLEAN_TEXT), col)
+    return col.try_cast("boolean")
+
+
 def _clock_text(col: Column, source: T.DataType) -> Column:
     if isinstance(source, T.TimestampNTZType):
         # Formatting would go through the session's zone and its missing hours.
@@ -77,13 +96,22 @@ def _clock_text(col: Column, source: T.DataType) -> Column:
 
 
 def _to_whole(col: Column, source: T.DataType, spark_type: str) -> Column:
-    moment = isinstance(source, (T.DateType, T.TimestampNTZType))
-    if moment or (spark_type == "boolean" and isinstance(source, T.TimestampType)):
+    if isinstance(source, T.TimestampNTZType):
         return F.lit(None).cast(spark_type)
-    if spark_type != "boolean" and isinstance(source, T.StringType):
+    if isinstance(source, T.StringType):
         # Text such as '1.5' has no direct integer cast; cut the fraction off instead.
-        return F.coalesce(col.try_cast(spark_type), col.try_cast(_NUMBER_TEXT).try_cast(spark_type))
-    return col.try_cast(spark_type)
+        col = F.when(col.rlike(_DECIMAL_TEXT), col).try_cast("decimal(38,10)")
+    elif not isinstance(source, T.NumericType):
+        return col.try_cast(spark_type)
+    # The lowest value may have a fraction, which is cut off; double holds it exactly.
+    limit = 2 ** _WHOLE_BITS[spark_type]
+    if isinstance(source, (T.FloatType, T.DoubleType)):
+        low = col > float(-limit - 1) if spark_type == "int" else col >= float(-limit)
+        fits = low & (col < float(limit))
+    else:
+        bound = F.lit(str(limit)).cast("decimal(20,0)")
+        fits = (col > -bound - F.lit(1)) & (col < bound)
+    return F.when(fits, col).try_cast(spark_type)
 
 
 def _to_moment(col: Column, source: T.DataType, spark_type: str) -> Column:

@@ -53,6 +53,38 @@ def test_wide_numbers_do_not_wrap(any_mode):
     assert tuple(row) == (None, 1, 1)
 
 
+def test_ends_of_the_ranges(any_mode):
+    texts = ["2147483647.9", "2147483648", "-2147483648.9", "-2147483649", "1e3", "+5", ".5", "5.", "1 2", "٣",
+             "9223372036854775807", "9223372036854775808", "-9223372036854775808.5", "1_0", "0x1", "12d", "- 1"]
+    assert cast_all(any_mode, texts, "int") == [
+        2147483647, None, -2147483648, None, 1000, 5, 0, 5, None, None, None, None, None, None, None, None, None,
+    ]
+    assert cast_all(any_mode, texts, "bigint")[10:13] == [9223372036854775807, None, -9223372036854775808]
+    assert cast_all(any_mode, ["1.5d", "Infinity", "-inf", "\t2\n", "1e400", "x"], "double") == [
+        1.5, float("inf"), float("-inf"), 2.0, float("inf"), None,
+    ]
+    assert cast_all(any_mode, ["\tTRUE\n", "tr ue", "11"], "boolean") == [True, None, None]
+
+
+@pytest.mark.parametrize(
+    "kind, values, ints, bigints",
+    [
+        ("double", [2147483647.9, 2147483648.0, -2147483648.9, -2147483649.0, float("nan"), float("inf"), None],
+         [2147483647, None, -2147483648, None, None, None, None],
+         [2147483647, 2147483648, -2147483648, -2147483649, None, None, None]),
+        ("double", [9.3e18, -9223372036854775808.0, -9.3e18], [None, None, None], [None, -9223372036854775808, None]),
+        ("bigint", [2147483648, -2147483648, 7], [None, -2147483648, 7], [2147483648, -2147483648, 7]),
+        ("decimal(30,1)", [Decimal("2147483647.9"), Decimal("-2147483648.9"), Decimal("1e20")],
+         [2147483647, -2147483648, None], [2147483647, -2147483648, None]),
+    ],
+)
+def test_numbers_to_whole_numbers(any_mode, kind, values, ints, bigints):
+    df = any_mode.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    for target, wanted in (("int", ints), ("bigint", bigints)):
+        out = df.select("i", lenient_cast(F.col("v"), df.schema["v"].dataType, target).alias("v"))
+        assert [r["v"] for r in out.orderBy("i").collect()] == wanted
+
+
 def test_dates_to_numbers_are_null(any_mode):
     df = any_mode.sql("SELECT DATE'2024-01-02' AS d, TIMESTAMP_NTZ'2024-01-02 03:04:05' AS t")
     row = df.select(
