@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,8 +38,7 @@ def scan(spark: SparkSession, source: SourceSpec, mappings: Sequence[ColumnMappi
     if kind in PAGE_KINDS:
         return documents.scan_pages(spark, source.path, names)
     if kind in WORKBOOK_KINDS:
-        pattern = source.options.pattern or "*"
-        return workbooks.scan_workbooks(spark, source.path, names, replace(source.options, pattern=pattern))
+        return workbooks.scan_workbooks(spark, source.path, names, source.options)
     if kind in BODY_KINDS:
         if not source.schema:
             raise ValueError("a source of API bodies needs a schema")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import io
 import re
 import sys
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.project import quoted
-from feedloom.sources.files import blank_out, file_reader
+from feedloom.sources.files import blank_out
 from feedloom.specs import ReadOptions
 
 # Number formats of the file format that show dates or times.
@@ -30,20 +31,39 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def scan_workbooks(
     spark: SparkSession,
-    path: str | list[str],
+    path: str,
     columns: Sequence[str],
     options: ReadOptions | None = None,
 ) -> DataFrame:
     """The given columns of all matching workbooks, by name, as text.
 
-    A column that a workbook lacks is NULL there. Memory per task is bounded by
-    the largest workbook, not by their number.
+    ``path`` is a workbook or a folder; the pattern of the options is held against
+    paths below the folder, and ``*`` in it matches slashes too. A column that a
+    workbook lacks is NULL there. Memory per task is bounded by the largest
+    workbook, not by their number.
     """
-    options = options or ReadOptions(pattern="*.xlsx")
-    files = file_reader(spark, options).format("binaryFile").load(path)
+    options = options or ReadOptions()
+    files = workbook_files(spark, path, options.pattern or "*")
+    if files.select("path").isEmpty():
+        raise ValueError(f"no workbook in '{path}' matches '{options.pattern}'")
     return workbook_rows(files, columns, options)
 
 
+def workbook_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """The files below a folder whose path from there matches the pattern."""
+    reader = spark.read.format("binaryFile")
+    if path.lower().endswith((".xlsx", ".xls")):
+        return reader.load(path)
+    # File names are narrowed down first, by what follows the last star.
+    tail = pattern.rpartition("*")[2].rpartition("/")[2]
+    narrowed = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{tail}")
+    base = re.sub(r"^[A-Za-z][\w+.-]*:", "", path).strip("/")
+    absolute = path.startswith("/") or ":" in path
+    start = r"^(?:[A-Za-z][\w+.-]*:)?/*" if absolute else "^(?:.*/)?"
+    whole = f"{start}{re.escape(base)}/{fnmatch.translate(pattern)}"
+    return narrowed.load(path).filter(F.col("path").rlike(whole))
+
+
 def workbook_rows(files: DataFrame, columns: Sequence[str], options: ReadOptions) -> DataFrame:
     """Rows of the workbooks in the binary column ``content``."""
     sheet, header, wanted = options.sheet, options.header, [c.lower() for c in columns]

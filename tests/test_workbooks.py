@@ -1,10 +1,17 @@
 import io
 import zipfile
+from pathlib import Path
 
 import pytest
 
 from feedloom.sources.scan import scan
-from feedloom.sources.workbooks import header_names, scan_workbooks, sheet_rows, workbook_columns
+from feedloom.sources.workbooks import (
+    header_names,
+    scan_workbooks,
+    sheet_rows,
+    workbook_columns,
+    workbook_files,
+)
 from feedloom.specs import ColumnMapping, ReadOptions, SourceSpec
 
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -85,6 +92,33 @@ def test_named_sheet_and_no_header(spark, folder, rows):
         scan_workbooks(spark, folder, ["id"], ReadOptions(pattern="b.xlsx", sheet="gone")).collect()
 
 
+@pytest.mark.parametrize(
+    "pattern, found",
+    [
+        ("a*.xlsx", ["a1", "a2"]),
+        ("*.xlsx", ["a1", "a2", "a3", "b"]),
+        ("sub/*", ["a3"]),
+        ("s*3.xlsx", ["a3"]),
+        ("a?.xlsx", ["a1", "a2"]),
+        ("[ab].xlsx", ["b"]),
+        ("a1.xlsx", ["a1"]),
+    ],
+)
+def test_patterns_hold_for_the_path_below_the_folder(spark, folder, pattern, found):
+    below = Path(folder) / "sub"
+    below.mkdir()
+    (below / "a3.xlsx").write_bytes(book({"first": text_row("id")}))
+    (below / "notes.txt").write_text("no")
+    names = workbook_files(spark, folder, pattern).select("path").collect()
+    assert sorted(Path(r["path"]).stem for r in names if r["path"].endswith("xlsx")) == found
+
+
+def test_one_file_or_none(spark, folder, rows):
+    assert rows(scan_workbooks(spark, folder + "/b.xlsx", ["id"])) == [("no",)]
+    with pytest.raises(ValueError, match="matches"):
+        scan_workbooks(spark, folder, ["id"], ReadOptions(pattern="z*.xlsx"))
+
+
 def test_columns_and_kind(spark, folder, rows):
     files = spark.read.format("binaryFile").load(folder)
     assert set(workbook_columns(files, ReadOptions())) == {"id", "name", "Name", "extra"}
