@@ -81,8 +81,8 @@ def append_rows(spark: SparkSession, rows: DataFrame, table: str, root: str) ->
 def update_rows(
     spark: SparkSession, rows: DataFrame, table: str, keys: tuple[str, ...], root: str
 ) -> LoadResult:
-    """Update the rows of a table that have the same key; other columns keep their values."""
-    return load(spark, LoadSpec("incremental", table, keys), rows, root)
+    """Update the rows of a table by unique keys; columns not given keep their values."""
+    return load(spark, LoadSpec("incremental", table, keys), rows, root, unique=True)
 
 
 def log_row(run_id: str, feed_id: str, layer: str, started: datetime, **values: Any) -> tuple:

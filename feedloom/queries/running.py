@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,18 +97,23 @@ def order_config(spark: SparkSession, source: str, target: str) -> dict[str, Dat
             "STATUSMESSAGEID bigint, STATUSMESSAGENAME string, STATUSMESSAGECONTENT string",
         ),
     }
-    return {name: spark.createDataFrame(rows, schema) for name, (rows, schema) in tables.items()}
+    return {name: _small_table(spark, rows, schema) for name, (rows, schema) in tables.items()}
 
 
-def _run_orders(spark: SparkSession, sf_dir: str, times: int = 1) -> tuple[str, str, str]:
-    """Runs of the configured feed; the names of its target, log and run tables."""
+def _small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows as a local relation, whose size Spark knows, as it does of stored tables."""
+    names = spark.createDataFrame([], schema).columns
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, row, strict=True)) for row in rows]), schema)
+
+
+def _run_orders(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """One run of the configured feed; the names of its target, log and run tables."""
     folder = shared_folder(spark, "run")
     source = f"{folder}/orders.csv"
     _write_orders(spark, sf_dir, source)
     target, log, runs = (f"{kind}_{uuid.uuid4().hex}" for kind in ("target", "log", "runs"))
     config = order_config(spark, source, target)
-    for _ in range(times):
-        run_due(spark, config, f"{folder}/tables", datetime(2024, 1, 2), log_table=log, run_table=runs)
+    run_due(spark, config, f"{folder}/tables", datetime(2024, 1, 2), log_table=log, run_table=runs)
     return target, log, runs
 
 
@@ -142,13 +148,11 @@ def configured_run(spark, sf_dir):
            n AS "SOURCECOUNT", k AS "DESTINATIONCOUNT", k AS "INSERTEDCOUNT",
            CAST(0 AS BIGINT) AS "UPDATEDCOUNT", CAST(0 AS BIGINT) AS "DELETEDCOUNT"
     FROM rows, kept
-    UNION ALL
-    SELECT 'PIPELINE_SUCCESS', 1, 'silver', n, k, 0, 0, 0 FROM rows, kept
     """
 )
 def configured_run_log(spark, sf_dir):
-    """The audit rows of two runs: the second finds nothing above the mark."""
-    target, log, runs = _run_orders(spark, sf_dir, 2)
+    """The audit row of that run: source rows, and what the merge did."""
+    target, log, runs = _run_orders(spark, sf_dir)
     for name in (target, runs):
         spark.sql(f"DROP TABLE {name}")
     return detached(spark, log).select(
