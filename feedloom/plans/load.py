@@ -30,6 +30,8 @@ log = logging.getLogger(__name__)
 OUTCOME = "__outcome"
 # Table option that lets an overwrite replace only the partitions it has rows for.
 OVERWRITE_MODE = "partitionOverwriteMode"
+# Table properties: the folder of the rows, and the one it replaced.
+FOLDER, REPLACED = "feedloom.folder", "feedloom.replaced"
 # Up to so many touched partitions are named in a filter; more are joined.
 PARTITION_FILTER_LIMIT = 1000
 
@@ -87,19 +89,31 @@ def create_table(spark: SparkSession, spec: LoadSpec, schema: T.StructType, root
     _declare(spark, spec, T.StructType(ordered), _new_folder(spec.target, root))
 
 
-def _declare(spark: SparkSession, spec: LoadSpec, schema: T.StructType, folder: str) -> None:
+def _declare(
+    spark: SparkSession, spec: LoadSpec, schema: T.StructType, folder: str, replaced: str = ""
+) -> None:
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     by = ""
     if spec.partition_by:
         names = ", ".join(quoted(p) for p in spec.partition_by)
         by = f"OPTIONS ({OVERWRITE_MODE} 'dynamic') PARTITIONED BY ({names})"
-    spark.sql(f"CREATE TABLE {spec.target} ({columns}) USING parquet {by} LOCATION '{folder}'")
+    kept = f"TBLPROPERTIES ('{FOLDER}' = '{folder}', '{REPLACED}' = '{replaced}')"
+    spark.sql(f"CREATE TABLE {spec.target} ({columns}) USING parquet {by} LOCATION '{folder}' {kept}")
 
 
 def _new_folder(table: str, root: str) -> str:
     return f"{root.rstrip('/')}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of a file system that Spark reaches; failure only warns."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception as error:
+        log.warning("folder %s was not removed: %s", folder, error)
+
+
 def _overwrites_by_partition(spark: SparkSession, table: str) -> bool:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Storage Properties'")
     return any(OVERWRITE_MODE.lower() in row["data_type"].lower() for row in described.collect())
@@ -134,19 +148,27 @@ def _replace_all(spark: SparkSession, spec: LoadSpec, data: DataFrame, root: str
 
 
 def publish(spark: SparkSession, spec: LoadSpec, rows: DataFrame, root: str) -> None:
-    """Write the rows to a new folder, then make it the table's content."""
+    """Write the rows to a new folder, then make it the table's content.
+
+    The folder replaced stays for those still reading it; the one before it goes.
+    """
     folder = _new_folder(spec.target, root)
-    if not spec.partition_by:
+    known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {spec.target}").collect()}
+    old, older = known.get(FOLDER, ""), known.get(REPLACED, "")
+    if spec.partition_by:
+        # A partitioned table keeps one location per partition, so it is declared anew.
+        schema = spark.table(spec.target).schema
+        _by_partition(rows, spec).write.mode("overwrite").partitionBy(*spec.partition_by).parquet(folder)
+        spark.sql(f"DROP TABLE {spec.target}")
+        _declare(spark, spec, schema, folder, old)
+        spark.catalog.recoverPartitions(spec.target)
+    else:
         rows.write.mode("overwrite").parquet(folder)
         spark.sql(f"ALTER TABLE {spec.target} SET LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {spec.target} SET TBLPROPERTIES ('{FOLDER}' = '{folder}', '{REPLACED}' = '{old}')")
         spark.catalog.refreshTable(spec.target)
-        return
-    # A partitioned table keeps one location per partition, so it is declared anew.
-    schema = spark.table(spec.target).schema
-    _by_partition(rows, spec).write.mode("overwrite").partitionBy(*spec.partition_by).parquet(folder)
-    spark.sql(f"DROP TABLE {spec.target}")
-    _declare(spark, spec, schema, folder)
-    spark.catalog.recoverPartitions(spec.target)
+    if older:
+        remove_folder(spark, older)
 
 
 def _by_partition(rows: DataFrame, spec: LoadSpec) -> DataFrame:
@@ -198,11 +220,22 @@ def _merge(
 ) -> LoadResult:
     if not spec.keys:
         raise ValueError("Primary keys must be provided for INCREMENTAL load")
-    target = spark.table(spec.target)
     fresh = data
     if spec.watermark and exists:
-        fresh = after_mark(data, spec.watermark, high_water_mark(target, spec.watermark))
-    staged = stage(spark, fresh)
+        mark = high_water_mark(spark.table(spec.target), spec.watermark)
+        fresh = after_mark(data, spec.watermark, mark)
+    folder = shared_folder(spark, "stage")
+    staged = stage(spark, fresh, folder)
+    try:
+        return _merge_staged(spark, spec, staged, root, before, unique)
+    finally:
+        remove_folder(spark, folder)
+
+
+def _merge_staged(
+    spark: SparkSession, spec: LoadSpec, staged: DataFrame, root: str, before: int, unique: bool
+) -> LoadResult:
+    target = spark.table(spec.target)
     if staged.isEmpty():
         return LoadResult(spec.target, before, before, inserted=0)
     if not unique and not repeated_keys(staged, spec.keys).isEmpty():

@@ -48,6 +48,33 @@ def test_replace_from_itself(spark, table, rows):
     assert rows(spark.table(table.name)) == [(2,)]
 
 
+@pytest.mark.parametrize("parts", [(), ("p",)])
+def test_replaced_folders_go_one_load_later(spark, table, tmp_path, rows, parts):
+    def folders():
+        return len(list((tmp_path / table.name).iterdir()))
+
+    for i in range(4):
+        table("full", spark.createDataFrame([(i, "x")], "k int, p string"), partition_by=parts)
+        if i == 1:
+            reader = spark.table(table.name)
+        if i == 2:
+            # A partitioned table is listed when it is read.
+            assert rows(reader) == [(2 if parts else 1, "x")]
+        assert folders() <= 2
+    assert rows(spark.table(table.name)) == [(3, "x")]
+
+
+def test_the_stage_is_removed(spark, table, tmp_path, monkeypatch):
+    folder = tmp_path / "stage"
+    monkeypatch.setattr("feedloom.plans.load.shared_folder", lambda *_: str(folder))
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    table("incremental", df, keys=("k",))
+    assert not folder.exists()
+    with pytest.raises(ValueError, match="several rows"):
+        table("incremental", df.unionByName(df), keys=("k",))
+    assert not folder.exists()
+
+
 def test_append_by_mark(spark, table, rows):
     df = spark.createDataFrame([(1, 10), (2, None)], "k int, w int")
     assert counts(table("append", df, watermark="w")) == (0, 2, 2, 0, 0)
