@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,11 +188,15 @@ def _sql(df: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _map_join(df: DataFrame, rule: Rule) -> DataFrame:
-    """A large dictionary as a left join; Spark broadcasts it if its size allows."""
+    """A large dictionary as a left join with a local relation.
+
+    Spark knows the size of that relation, and broadcasts it if the size allows.
+    """
     (mapping,) = rule.args
     kind = _field(df, rule.columns[0]).dataType
     key, value = f"__key_{uuid.uuid4().hex}", f"__value_{uuid.uuid4().hex}"
-    table = df.sparkSession.createDataFrame(_uniform_entries(mapping, kind), [key, value])
+    keys, values = zip(*_uniform_entries(mapping, kind), strict=True)
+    table = df.sparkSession.createDataFrame(pa.table({key: list(keys), value: list(values)}))
     wanted = _key_column(F.col(quoted(rule.columns[0])), kind, mapping)
     joined = df.join(table, wanted == F.col(key), "left")
     return joined.withColumn(rule.output, F.col(value)).drop(key, value)

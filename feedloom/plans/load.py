@@ -92,6 +92,7 @@ def create_table(spark: SparkSession, spec: LoadSpec, schema: T.StructType, root
 def _declare(
     spark: SparkSession, spec: LoadSpec, schema: T.StructType, folder: str, replaced: str = ""
 ) -> None:
+    """Declare the table over a folder, in which its rows are or will be."""
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     by = ""
     if spec.partition_by:

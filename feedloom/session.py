@@ -34,7 +34,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     Only a local session without that setting gets a folder of its own; on a
     cluster a machine-local folder would not be seen by the other executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -39,6 +39,11 @@ def test_rules_make_one_projection(spark):
     assert text.count("Project") == 1 and "Exchange" not in text
 
 
+def test_large_dictionary_does_not_shuffle_the_rows(spark):
+    text = plan(QUERIES["rule_map"](spark, SF))
+    assert "BroadcastHashJoin" in text and "LocalTableScan" in text and "Exchange hashpartitioning" not in text
+
+
 def test_scan_reads_what_is_used(spark):
     text = plan(QUERIES["parquet_scan"](spark, SF))
     assert "GreaterThan(p_size,10)" in text
