@@ -226,8 +226,11 @@ def _merge(
         mark = high_water_mark(spark.table(spec.target), spec.watermark)
         fresh = after_mark(data, spec.watermark, mark)
     folder = shared_folder(spark, "stage")
-    staged = stage(spark, fresh, folder)
+    rows, seen = _counted(fresh)
+    staged = stage(spark, rows, folder)
     try:
+        if seen.get["rows"] == 0:
+            return LoadResult(spec.target, before, before, inserted=0)
         return _merge_staged(spark, spec, staged, root, before, unique)
     finally:
         remove_folder(spark, folder)
@@ -237,8 +240,6 @@ def _merge_staged(
     spark: SparkSession, spec: LoadSpec, staged: DataFrame, root: str, before: int, unique: bool
 ) -> LoadResult:
     target = spark.table(spec.target)
-    if staged.isEmpty():
-        return LoadResult(spec.target, before, before, inserted=0)
     if not unique and not repeated_keys(staged, spec.keys).isEmpty():
         raise ValueError(f"the source holds several rows for one key of {spec.target}")
 
@@ -285,7 +286,7 @@ def _any_of(schema: T.StructType, columns: tuple[str, ...], rows: list) -> Colum
     """Whether the columns equal one of the rows."""
     kinds = {f.name.lower(): f.dataType for f in schema.fields}
     literals = [
-        [F.lit(value).cast(kinds[c.lower()]) for c, value in zip(columns, row, strict=True)] for row in rows
+        [F.lit(value).try_cast(kinds[c.lower()]) for c, value in zip(columns, row, strict=True)] for row in rows
     ]
     if len(columns) == 1:
         return F.col(quoted(columns[0])).isin(*[row[0] for row in literals]) if literals else F.lit(False)
