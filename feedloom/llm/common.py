@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.session import shared_folder
@@ -58,3 +58,24 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def running(df: DataFrame, key: list[str], size: str, order: list[str], rows: int, out: str, deal: list[str] | None = None) -> DataFrame:
+    """``df`` with ``out``: the sum of ``size`` over the rows of its key that come before it.
+
+    A key may hold any number of rows. They are dealt into buckets of some thousand by a hash of
+    ``deal`` (``order`` if not given), the buckets into some thousand larger ones, and each level is summed on its own, so
+    that no task sorts more than a bucket. The order is by bucket, then by ``order``.
+    """
+    many = max(1, rows // 8192)
+    large = max(1, many // 4096)
+    df = df.withColumn("__b", F.pmod(F.xxhash64(*(deal or order)), F.lit(many))).withColumn("__l", F.col("__b") % large)
+    before = lambda s, w: F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    small = df.groupBy(*key, "__l", "__b").agg(F.sum(size).alias("__s"))
+    small = small.withColumn("__p", before("__s", Window.partitionBy(*key, "__l").orderBy("__b")))
+    top = small.groupBy(*key, "__l").agg(F.sum("__s").alias("__t"))
+    top = top.withColumn("__q", before("__t", Window.partitionBy(*key).orderBy("__l"))).drop("__t")
+    starts = small.join(top, [*key, "__l"]).select(*key, "__b", (F.coalesce("__p", F.lit(0)) + F.coalesce("__q", F.lit(0))).alias("__o"))
+    df = df.withColumn("__i", before(size, Window.partitionBy(*key, "__b").orderBy(*order)))
+    df = df.join(starts, [*key, "__b"])
+    return df.withColumn(out, F.coalesce("__i", F.lit(0)) + F.col("__o")).drop("__b", "__l", "__i", "__o")

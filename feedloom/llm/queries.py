@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from feedloom.llm.common import table
 from feedloom.llm.exact import exact_groups
 from feedloom.llm.jaccard import similar_documents
+from feedloom.llm.mixing import mix_counts
+from feedloom.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,3 +41,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+@query()
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_counts(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
