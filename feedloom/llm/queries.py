@@ -11,6 +11,7 @@ from feedloom.llm.exact import exact_groups
 from feedloom.llm.jaccard import similar_documents
 from feedloom.llm.mixing import mix_counts
 from feedloom.llm.packing import pack
+from feedloom.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,3 +52,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
