@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.common import table
 from feedloom.llm.exact import exact_groups
+from feedloom.llm.html import extracted
 from feedloom.llm.jaccard import similar_documents
 from feedloom.llm.mixing import mix_counts
+from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack
 from feedloom.llm.toxicity import toxicity_scores
+from feedloom.llm.urls import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +60,18 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
