@@ -13,6 +13,8 @@ from feedloom.llm.jaccard import similar_documents
 from feedloom.llm.mixing import mix_counts
 from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack
+from feedloom.llm.privacy import personal_data, personal_data_digest
+from feedloom.llm.quality import quality_scores
 from feedloom.llm.toxicity import toxicity_scores
 from feedloom.llm.urls import url_verdicts
 
@@ -75,3 +77,13 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(personal_data(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
