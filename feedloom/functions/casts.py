@@ -21,7 +21,7 @@ TYPE_NAMES = {
     "TIME": "time",
 }
 
-# The reference's substring tests, first hit wins.
+# Substring tests of the legacy type table, first hit wins.
 LEGACY_TYPE_PARTS = (
     ("DATE", "timestamp"), ("TIMESTAMP", "timestamp"),
     ("INT", "int"),

@@ -33,14 +33,16 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
     lets Spark cut each task down to one row per key before the shuffle, so a key
     that holds much of the data still sends only one row per task.
     """
-    if not keys:
+    if not keys and not any(_holds_map(f.dataType) for f in df.schema.fields):
         return df.distinct()
     fields = {f.name.lower(): f for f in df.schema.fields}
     named = [fields[name.lower()] for name in order_by]
     skip = {name.lower() for name in (*keys, *order_by)}
     rest = [f for f in df.schema.fields if f.name.lower() not in skip]
     order = [_orderable(f).desc_nulls_last() for f in (*named, *rest)] or [F.lit(1)]
-    window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(*order)
+    # Without keys the whole row is the key; a map, which cannot be compared, stands as JSON.
+    by = [_orderable(fields[k.lower()]) for k in keys] or [_orderable(f) for f in df.schema.fields]
+    window = Window.partitionBy(*by).orderBy(*(order if keys else [F.lit(1)]))
     rank = "__row_rank"
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
 

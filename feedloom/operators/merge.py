@@ -46,7 +46,7 @@ def merge(
     new = {f.name: f"__new_{i}" for i, f in enumerate(target.schema.fields) if f.name.lower() in given}
     incoming = source.select(
         *[
-            _typed(given[f.name.lower()], f).alias(new[f.name])
+            typed(given[f.name.lower()], f).alias(new[f.name])
             for f in target.schema.fields
             if f.name in new
         ]
@@ -64,10 +64,6 @@ def merge(
         columns = [pick(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
         return columns + ([label.alias(outcome)] if outcome else [])
 
-    keyless = any_null([F.col(quoted(k)) for k in key_cols])
-    keyless_new = any_null([F.col(k) for k in new_keys])
-    keyed, keyed_new = target.filter(~keyless), incoming.filter(~keyless_new)
-
     matched = F.col("__matched").isNotNull()
 
     def merged_value(name: str) -> Column:
@@ -76,23 +72,24 @@ def merge(
             return old
         return F.when(matched, F.col(new[name])).otherwise(old)
 
-    joined = keyed.join(keyed_new.withColumn("__matched", F.lit(True)), same_key(), "left")
+    # A NULL key equals nothing: the outer join leaves its target row alone, the anti join keeps its
+    # source row.
+    joined = target.join(incoming.withColumn("__matched", F.lit(True)), same_key(), "left")
     result = joined.select(*row(merged_value, F.when(matched, UPDATE).otherwise(UNCHANGED)))
-    untouched = target.filter(keyless).select(*row(lambda n: F.col(quoted(n)), F.lit(UNCHANGED)))
-    result = result.unionByName(untouched)
     if not insert:
         return result
 
-    known = keyed.select(*[F.col(quoted(k)) for k in key_cols]).distinct()
-    known = known.join(keyed_new.select(*new_keys), same_key(), "left_semi")
-    added = keyed_new.join(known, same_key(), "left_anti").unionByName(incoming.filter(keyless_new))
+    known = target.select(*[F.col(quoted(k)) for k in key_cols]).distinct()
+    known = known.join(incoming.select(*new_keys), same_key(), "left_semi")
+    added = incoming.join(known, same_key(), "left_anti")
     inserted = added.select(
         *row(lambda n: F.col(new[n]) if n in new else F.lit(None), F.lit(INSERT))
     )
     return result.unionByName(inserted)
 
 
-def _typed(source_field, target_field) -> Column:
+def typed(source_field, target_field) -> Column:
+    """A source column with the type of the target's."""
     col = F.col(quoted(source_field.name))
     if source_field.dataType == target_field.dataType:
         return col

@@ -128,7 +128,7 @@ def status_name(status: DataFrame, status_id: int) -> str:
     """Name of a status id; an unknown id is an error."""
     row = status.filter(F.col("STATUSMESSAGEID") == status_id).select("STATUSMESSAGENAME").first()
     if row is None:
-        raise ValueError(f"STATUSMESSAGEID '{status_id}' not found in STATUSMESSAGE table.")
+        raise ValueError(f"no status message has the id {status_id}")
     return row[0]
 
 

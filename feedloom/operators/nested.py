@@ -86,14 +86,14 @@ def normalize(
     explode: bool = True,
     join_primitive: bool = False,
     separator: str = "|",
-    max_rounds: int = 20,
 ) -> DataFrame:
-    """Flatten and explode until the rows are flat, for at most ``max_rounds`` rounds.
+    """Flatten and explode until the rows are flat.
 
-    Only the schema is looked at: the loop builds one plan and runs nothing. Two
-    arrays side by side give every pairing of their elements within a row.
+    Only the schema is looked at, which is finite: the loop builds one plan and runs
+    nothing. Two arrays side by side give every pairing of their elements within a
+    row.
     """
-    for _ in range(max_rounds):
+    while True:
         kinds = [f.dataType for f in df.schema.fields]
         structs = any(isinstance(kind, T.StructType) for kind in kinds) or _clash(df.columns)
         if structs:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -20,8 +21,10 @@ from feedloom.specs import Rule
 
 log = logging.getLogger(__name__)
 
+_SRC = threading.Lock()
+
 # A dictionary up to this size is a map literal; a larger one is joined, because a
-# literal map is searched entry by entry for every row.
+# literal map is searched entry by entry for every row. Rows and types are the same.
 MAP_LITERAL_LIMIT = 64
 
 Input = tuple[Column, T.DataType]
@@ -109,19 +112,35 @@ def _mask(inputs: list[Input], args: tuple[Any, ...]) -> Column:
 def _map_literal(inputs: list[Input], args: tuple[Any, ...]) -> Column:
     (mapping,) = args
     col, kind = inputs[0]
-    entries = _uniform_entries(mapping, kind)
-    literal = F.create_map(*[F.lit(item) for pair in entries for item in pair])
+    entries, key_type, value_type = _uniform_entries(mapping, kind)
+    if not entries:
+        return F.lit(None).cast(value_type)
+    literal = F.create_map(
+        *[item for k, v in entries for item in (F.lit(k).cast(key_type), F.lit(v).cast(value_type))]
+    )
     return F.try_element_at(literal, _key_column(col, kind, mapping))
 
 
-def _uniform_entries(mapping: dict[Any, Any], kind: T.DataType) -> list[tuple[Any, Any]]:
-    """Entries with keys of one type and values of one type; mixed ones become text."""
-    keys, values = list(mapping), list(mapping.values())
-    if _text_keys(mapping, kind):
-        keys = [str(k) for k in keys]
-    if len({type(v) for v in values if v is not None}) > 1:
-        values = [None if v is None else str(v) for v in values]
-    return list(zip(keys, values, strict=True))
+def _uniform_entries(mapping: dict[Any, Any], kind: T.DataType) -> tuple[list[tuple[Any, Any]], str, str]:
+    """Entries with keys of one type and values of one type, and those types.
+
+    Mixed values become text. Of keys that are equal once typed the last holds.
+    """
+    texts = _text_keys(mapping, kind)
+    whole = all(isinstance(k, int) for k in mapping)
+    key_type = "string" if texts else "bigint" if whole else "double"
+    values = [v for v in mapping.values() if v is not None]
+    kinds = {type(v) for v in values}
+    plain = {bool: "boolean", float: "double"}
+    value_type = plain.get(next(iter(kinds)), "string") if len(kinds) == 1 else "string"
+    if kinds == {int}:
+        value_type = "int" if all(-(2**31) <= v < 2**31 for v in values) else "bigint"
+    entries: dict[Any, Any] = {}
+    for key, value in mapping.items():
+        key = str(key) if texts else int(key) if whole else float(key)
+        entries.pop(key, None)
+        entries[key] = str(value) if value is not None and value_type == "string" else value
+    return list(entries.items()), key_type, value_type
 
 
 def _text_keys(mapping: dict[Any, Any], kind: T.DataType) -> bool:
@@ -177,10 +196,15 @@ def _sql(df: DataFrame, rule: Rule) -> DataFrame:
     spark = df.sparkSession
     if "{src}" in rule.query:
         return spark.sql(rule.query, src=df)
+    with _SRC:  # feeds that run side by side share the session's view names
+        return _over_view(spark, df, rule.query)
+
+
+def _over_view(spark: SparkSession, df: DataFrame, query: str) -> DataFrame:
     known = spark.table("src") if spark.catalog.tableExists("src") else None
     df.createOrReplaceTempView("src")
     try:
-        return spark.sql(rule.query)
+        return spark.sql(query)
     finally:
         spark.catalog.dropTempView("src")
         if known is not None and not spark.catalog.tableExists("src"):
@@ -195,8 +219,10 @@ def _map_join(df: DataFrame, rule: Rule) -> DataFrame:
     (mapping,) = rule.args
     kind = _field(df, rule.columns[0]).dataType
     key, value = f"__key_{uuid.uuid4().hex}", f"__value_{uuid.uuid4().hex}"
-    keys, values = zip(*_uniform_entries(mapping, kind), strict=True)
+    entries, key_type, value_type = _uniform_entries(mapping, kind)
+    keys, values = zip(*entries, strict=True)
     table = df.sparkSession.createDataFrame(pa.table({key: list(keys), value: list(values)}))
+    table = table.select(F.col(key).cast(key_type).alias(key), F.col(value).cast(value_type).alias(value))
     wanted = _key_column(F.col(quoted(rule.columns[0])), kind, mapping)
     joined = df.join(table, wanted == F.col(key), "left")
     return joined.withColumn(rule.output, F.col(value)).drop(key, value)

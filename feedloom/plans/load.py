@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import logging
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from pyspark.sql import types as T
 from feedloom.functions.casts import lenient_cast
 from feedloom.functions.predicates import any_null
 from feedloom.operators.checks import LOAD_TYPES
-from feedloom.operators.merge import INSERT, UPDATE, merge, repeated_keys
+from feedloom.operators.merge import INSERT, UPDATE, merge, repeated_keys, typed
 from feedloom.operators.project import quoted
-from feedloom.operators.watermark import after_mark, high_water_mark
+from feedloom.operators.watermark import above_target
 from feedloom.session import shared_folder
 from feedloom.specs import LoadSpec
 
@@ -32,8 +33,8 @@ OUTCOME = "__outcome"
 OVERWRITE_MODE = "partitionOverwriteMode"
 # Table properties: the folder of the rows, and the one it replaced.
 FOLDER, REPLACED = "feedloom.folder", "feedloom.replaced"
-# Up to so many touched partitions are named in a filter; more are joined.
-PARTITION_FILTER_LIMIT = 1000
+# Fixed value: how a partition folder names NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -64,7 +65,7 @@ def load(
     """
     mode = spec.mode.strip().lower()
     if mode not in LOAD_TYPES:
-        raise ValueError(f"Unsupported LoadType: {spec.mode}")
+        raise ValueError(f"load mode {spec.mode!r} is not one of {', '.join(LOAD_TYPES)}")
     query = spec.custom_query()
     if query:
         data, unique = spark.sql(query), False
@@ -74,6 +75,7 @@ def load(
     exists = spark.catalog.tableExists(spec.target)
     if not exists:
         create_table(spark, spec, schema or data.schema, root)
+    spec = _as_partitioned(spark, spec)
     before = spark.table(spec.target).count() if exists else 0
     if mode in ("full", "bulk"):
         return _replace_all(spark, spec, data, root, before)
@@ -82,6 +84,14 @@ def load(
     return _merge(spark, spec, data, root, exists, before, unique)
 
 
+def _as_partitioned(spark: SparkSession, spec: LoadSpec) -> LoadSpec:
+    """The spec with the partition columns that the table has."""
+    actual = tuple(c.name for c in spark.catalog.listColumns(spec.target) if c.isPartition)
+    if spec.partition_by and [p.lower() for p in spec.partition_by] != [p.lower() for p in actual]:
+        raise ValueError(f"{spec.target} is partitioned by {actual}, not by {spec.partition_by}")
+    return replace(spec, partition_by=actual)
+
+
 def create_table(spark: SparkSession, spec: LoadSpec, schema: T.StructType, root: str) -> None:
     """An empty external Parquet table; partition columns come last, as Spark stores them."""
     parts = {p.lower() for p in spec.partition_by}
@@ -136,15 +146,9 @@ def conform(data: DataFrame, target: DataFrame) -> DataFrame:
     return data.select(*columns)
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def _replace_all(spark: SparkSession, spec: LoadSpec, data: DataFrame, root: str, before: int) -> LoadResult:
-    rows, seen = _counted(conform(data, spark.table(spec.target)))
-    publish(spark, spec, rows, root)
-    written = seen.get["rows"]
+    publish(spark, spec, conform(data, spark.table(spec.target)), root)
+    written = spark.table(spec.target).count()
     return LoadResult(spec.target, before, written, inserted=written, deleted=before)
 
 
@@ -157,21 +161,70 @@ def publish(spark: SparkSession, spec: LoadSpec, rows: DataFrame, root: str) ->
     known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {spec.target}").collect()}
     old, older = known.get(FOLDER, ""), known.get(REPLACED, "")
     if spec.partition_by:
-        # A partitioned table keeps one location per partition, so it is declared anew.
-        schema = spark.table(spec.target).schema
         _by_partition(rows, spec).write.mode("overwrite").partitionBy(*spec.partition_by).parquet(folder)
-        spark.sql(f"DROP TABLE {spec.target}")
-        _declare(spark, spec, schema, folder, old)
-        spark.catalog.recoverPartitions(spec.target)
+        _repoint(spark, spec, folder)
     else:
         rows.write.mode("overwrite").parquet(folder)
-        spark.sql(f"ALTER TABLE {spec.target} SET LOCATION '{folder}'")
-        spark.sql(f"ALTER TABLE {spec.target} SET TBLPROPERTIES ('{FOLDER}' = '{folder}', '{REPLACED}' = '{old}')")
-        spark.catalog.refreshTable(spec.target)
-    if older:
+    spark.sql(f"ALTER TABLE {spec.target} SET LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {spec.target} SET TBLPROPERTIES ('{FOLDER}' = '{folder}', '{REPLACED}' = '{old}')")
+    spark.catalog.refreshTable(spec.target)
+    if older and older not in (old, folder):
         remove_folder(spark, older)
 
 
+def _repoint(spark: SparkSession, spec: LoadSpec, folder: str) -> None:
+    """Point every partition of the table at its part of a folder, and drop those it lacks.
+
+    The table stays declared, with all its properties. A partition shows its old rows until it is
+    pointed at the new ones, and the partitions that are to go are dropped last, so that a run that
+    breaks off loses no rows and the next one puts things right.
+    """
+    shown = lambda table: {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    before, written = shown(spec.target), _partition_folders(spark, folder, len(spec.partition_by))
+    names = {}
+    for name in written:
+        clause = _partition_clause(name)
+        names[clause] = f"{folder}/{name}"
+    old = {_partition_clause(name) for name in before}
+    for clause in sorted(names.keys() & old):
+        spark.sql(f"ALTER TABLE {spec.target} PARTITION ({clause}) SET LOCATION {_literal(names[clause])}")
+    fresh = [f"PARTITION ({c}) LOCATION {_literal(names[c])}" for c in sorted(names.keys() - old)]
+    for i in range(0, len(fresh), 500):
+        spark.sql(f"ALTER TABLE {spec.target} ADD IF NOT EXISTS {' '.join(fresh[i : i + 500])}")
+    for clause in sorted(old - names.keys()):
+        spark.sql(f"ALTER TABLE {spec.target} DROP IF EXISTS PARTITION ({clause})")
+
+
+def _partition_folders(spark: SparkSession, folder: str, depth: int) -> list[str]:
+    """The partition folders below a folder, as Spark wrote them."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "/".join(["*=*"] * depth)))
+    paths = [found[i].getPath() for i in range(len(found))]
+    out = []
+    for path in paths:
+        parts = []
+        for _ in range(depth):
+            parts.append(path.getName())
+            path = path.getParent()
+        out.append("/".join(reversed(parts)))
+    return out
+
+
+def _partition_clause(name: str) -> str:
+    """``a=1/b=x`` as the inside of a PARTITION clause."""
+    parts = []
+    for part in name.split("/"):
+        column, _, value = part.partition("=")
+        text = "null" if value == NULL_PARTITION else _literal(unquote(value))
+        parts.append(f"{quoted(unquote(column))} = {text}")
+    return ", ".join(parts)
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _by_partition(rows: DataFrame, spec: LoadSpec) -> DataFrame:
     """Gather rows by partition, so that few files are written; large ones are split again."""
     return rows.hint("rebalance", *[F.col(quoted(p)) for p in spec.partition_by])
@@ -181,13 +234,13 @@ def _append(spark: SparkSession, spec: LoadSpec, data: DataFrame, exists: bool,
     target = spark.table(spec.target)
     fresh = data
     if spec.watermark and exists:
-        fresh = after_mark(data, spec.watermark, high_water_mark(target, spec.watermark))
-    rows, seen = _counted(conform(fresh, target))
+        fresh = above_target(data, target, spec.watermark)
+    rows = conform(fresh, target)
     if spec.partition_by:
         rows = _by_partition(rows, spec)
     rows.write.insertInto(spec.target)
-    written = seen.get["rows"]
-    return LoadResult(spec.target, before, before + written, inserted=written)
+    after = spark.table(spec.target).count()
+    return LoadResult(spec.target, before, after, inserted=after - before)
 
 
 def stage(spark: SparkSession, rows: DataFrame, path: str | None = None) -> DataFrame:
@@ -220,16 +273,14 @@ def _merge(
     unique: bool,
 ) -> LoadResult:
     if not spec.keys:
-        raise ValueError("Primary keys must be provided for INCREMENTAL load")
+        raise ValueError("an incremental load needs keys")
     fresh = data
     if spec.watermark and exists:
-        mark = high_water_mark(spark.table(spec.target), spec.watermark)
-        fresh = after_mark(data, spec.watermark, mark)
+        fresh = above_target(data, spark.table(spec.target), spec.watermark)
     folder = shared_folder(spark, "stage")
-    rows, seen = _counted(fresh)
-    staged = stage(spark, rows, folder)
+    staged = stage(spark, fresh, folder)
     try:
-        if seen.get["rows"] == 0:
+        if staged.isEmpty():
             return LoadResult(spec.target, before, before, inserted=0)
         return _merge_staged(spark, spec, staged, root, before, unique)
     finally:
@@ -266,32 +317,31 @@ def _merge_staged(
 def _touched(target: DataFrame, staged: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Target rows in the partitions the source has rows for.
 
-    Up to a limit the partition values become a filter, so that the scan does not
-    open other partitions; beyond it they are joined. The partition of NULL values
-    is always kept in: it is rewritten as a whole when the source adds to it, and
-    NULL equals nothing in a join.
+    The source's values are given the target's types first, as the merge does, and
+    joined. The values of each partition column, no more than the table will have
+    partitions, also become a filter, so that the scan does not open other
+    partitions. The partition of NULL values is always kept in: it is rewritten as a
+    whole when the source adds to it, and NULL equals nothing in a join.
     """
     parts = [F.col(quoted(c)) for c in columns]
     unknown = any_null(parts)
-    used = staged.filter(~unknown).select(*parts).distinct()
-    few = used.limit(PARTITION_FILTER_LIMIT + 1).collect()
-    if len(few) <= PARTITION_FILTER_LIMIT:
-        return target.filter(unknown | _any_of(target.schema, columns, few))
-    renamed = used.toDF(*[f"__part_{i}" for i in range(len(columns))])
-    same = reduce(Column.__and__, [part == F.col(f"__part_{i}") for i, part in enumerate(parts)])
-    return target.filter(~unknown).join(renamed, same, "left_semi").unionByName(target.filter(unknown))
-
-
-def _any_of(schema: T.StructType, columns: tuple[str, ...], rows: list) -> Column:
-    """Whether the columns equal one of the rows."""
-    kinds = {f.name.lower(): f.dataType for f in schema.fields}
-    literals = [
-        [F.lit(value).try_cast(kinds[c.lower()]) for c, value in zip(columns, row, strict=True)] for row in rows
-    ]
-    if len(columns) == 1:
-        return F.col(quoted(columns[0])).isin(*[row[0] for row in literals]) if literals else F.lit(False)
-    hits = [
-        reduce(Column.__and__, [F.col(quoted(c)) == value for c, value in zip(columns, row, strict=True)])
-        for row in literals
-    ]
-    return reduce(Column.__or__, hits, F.lit(False))
+    given = {f.name.lower(): f for f in staged.schema.fields}
+    kinds = {f.name.lower(): f for f in target.schema.fields}
+    new = [f"__part_{i}" for i in range(len(columns))]
+    used = staged.select(
+        *[typed(given[c.lower()], kinds[c.lower()]).alias(n) for c, n in zip(columns, new, strict=True)]
+    ).distinct()
+    used = used.filter(~any_null([F.col(n) for n in new]))
+    found = used.agg(*[F.collect_set(F.col(n).cast("string")).alias(n) for n in new]).first()
+    named = reduce(
+        Column.__and__,
+        [
+            part.isin(*[F.lit(v).cast(kinds[c.lower()].dataType) for v in found[n]]) if found[n] else F.lit(False)
+            for part, c, n in zip(parts, columns, new, strict=True)
+        ],
+    )
+    same = reduce(Column.__and__, [part == F.col(n) for n, part in zip(new, parts, strict=True)])
+    known = target.filter(~unknown & named)
+    if len(columns) > 1:
+        known = known.join(used, same, "left_semi")
+    return known.unionByName(target.filter(unknown))

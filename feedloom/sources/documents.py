@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.functions.predicates import is_blank
 from feedloom.operators.project import quoted
-from feedloom.sources.files import file_reader
+from feedloom.sources.files import file_reader, union_by_name
 from feedloom.specs import ReadOptions
 
 # The shape of a page, and the names that mean the item's own id.
@@ -18,6 +20,7 @@ PAGE_SCHEMA = (
     "paging struct<next: struct<after: string>>"
 )
 ID_NAMES = ("recordid", "id", "hs_object_id")
+CORRUPT = "__not_json"
 
 
 def scan_json(
@@ -29,38 +32,62 @@ def scan_json(
 ) -> DataFrame:
     """JSON files: an object or an array of objects per line, or per file if ``multiline``.
 
-    When ``multiline`` is not given it is found out. Text that is not JSON is an
-    error. Give a schema at scale: without one Spark reads the data twice, once to
+    When ``multiline`` is not given it is found out for each file, so that both kinds
+    may lie in one folder. Text that is not JSON is an error. Give a schema at scale: without one Spark reads the data twice, once to
     find the types.
     """
     options = options or ReadOptions()
-    if multiline is None:
-        multiline = not _first_line_is_whole(spark, path, options)
-    reader = file_reader(spark, options).option("multiLine", str(multiline).lower())
-    reader = reader.option("mode", "FAILFAST")
-    if schema:
-        reader = reader.schema(schema)
-    return reader.json(path)
 
+    def read(paths: str | list[str], reader: DataFrameReader, whole: bool) -> DataFrame:
+        reader = reader.option("multiLine", str(whole).lower()).option("mode", "FAILFAST")
+        return (reader.schema(schema) if schema else reader).json(paths)
+
+    if multiline is not None:
+        return read(path, file_reader(spark, options), multiline)
+    whole, lines = _layouts(spark, path, options)
+    if not whole or not lines:
+        return read(path, file_reader(spark, options), bool(whole))
+    # Paths found below a pattern are whole, so the pattern has done its part.
+    return union_by_name([read(lines, spark.read, False), read(whole, spark.read, True)])
+
+
+def _layouts(spark: SparkSession, path: str | list[str], options: ReadOptions) -> tuple[list[str], list[str]]:
+    """The files to read as one document each, and those with a document on every line.
+
+    The first line of a file that is not blank says it: if it is a document of its own,
+    so must every line be, or the read fails. Spark numbers the rows of a task in
+    their order, and a file's first line is in its first part. Only file names
+    reach the driver, which lists them in any case.
+    """
+    lines = file_reader(spark, options).text(path)
+    place = F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"), "value")
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), place.alias("line"))
+    first = lines.filter(~is_blank(F.col("value"))).groupBy("file").agg(F.min("line")["value"].alias("first"))
+    found = first.select("file", F.try_parse_json("first").isNotNull().alias("lines")).collect()
+    names = sorted((unquote(row["file"]), row["lines"]) for row in found)
+    return [name for name, lines in names if not lines], [name for name, lines in names if lines]
 
-def _first_line_is_whole(spark: SparkSession, path: str | list[str], options: ReadOptions) -> bool:
-    """Whether the first line that is not blank is a JSON document of its own."""
-    lines = file_reader(spark, options).text(path).filter(~is_blank(F.col("value")))
-    first = lines.limit(1).select(F.try_parse_json("value").isNotNull()).first()
-    return first is None or first[0]
 
+def scan_bodies(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
+    """Landed API bodies, one per file; without a schema it is found out in a first pass.
 
-def scan_bodies(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Landed API bodies, one per file."""
-    return body_rows(spark.read.text(path, wholetext=True), "value", schema)
+    Bodies that are not JSON give no rows.
+    """
+    if schema:
+        return body_rows(spark.read.text(path, wholetext=True), "value", schema)
+    reader = spark.read.option("multiLine", "true").option("columnNameOfCorruptRecord", CORRUPT)
+    found = reader.option("mode", "PERMISSIVE").json(path)
+    kinds = T.StructType([f for f in found.schema.fields if f.name != CORRUPT])
+    return body_rows(spark.read.text(path, wholetext=True), "value", kinds) if kinds.fields else found.limit(0)
 
 
-def body_rows(bodies: DataFrame, column: str, schema: str) -> DataFrame:
+def body_rows(bodies: DataFrame, column: str, schema: str | T.StructType) -> DataFrame:
     """Rows of API bodies: an object is a row, an array a row per element.
 
     A body that is not JSON, or is neither object nor array, gives no rows.
     """
-    parsed = F.from_json(F.col(quoted(column)), f"array<struct<{schema}>>")
+    kind = f"array<struct<{schema}>>" if isinstance(schema, str) else T.ArrayType(schema)
+    parsed = F.from_json(F.col(quoted(column)), kind)
     return bodies.select(F.inline(parsed))
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import replace
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.project import quoted
@@ -29,36 +30,76 @@ def scan_delimited(
 ) -> DataFrame:
     """Separated text as strings; the mapping casts later.
 
-    Reading quoted line breaks takes one task per file, while Spark splits large
-    files without them. When ``multiline`` is not given, a parallel look at the
-    lines decides. With ``columns`` the header, if any, is checked against them, so
-    files whose columns are in another order fail instead of being read into wrong
-    columns.
+    Files are looked at one by one, in one parallel pass over the lines. Those whose
+    headers differ, in order or in names, are read each by its own header and put
+    together by name; a column that a file lacks is NULL there. A file with quoted
+    line breaks takes one task, while Spark splits large files without them;
+    ``multiline`` in the options says it for all. With ``columns`` the header, if
+    any, is checked against them, and files whose columns are in another order fail.
     """
     options = options or ReadOptions()
-    if options.multiline is None:
-        options = replace(options, multiline=has_quoted_breaks(spark, path, options))
-    reader = file_reader(spark, options).options(**options.to_spark())
+    reader = file_reader(spark, options)
     if columns:
+        if options.multiline is None:
+            options = replace(options, multiline=has_quoted_breaks(spark, path, options))
         reader = reader.schema(", ".join(f"{quoted(c)} string" for c in columns))
-        reader = reader.option("enforceSchema", "false")
-    return blank_out(reader.csv(path), options.missing_words)
-
-
-def has_quoted_breaks(spark: SparkSession, path: str | list[str], options: ReadOptions) -> bool:
-    """Whether some line leaves a quote open, as the first line of a broken cell must.
+        reader = reader.option("enforceSchema", "false").options(**options.to_spark())
+        return blank_out(reader.csv(path), options.missing_words)
+    files = reader.text(path).inputFiles()
+    if options.multiline is not None and (len(files) < 2 or not options.header):
+        return blank_out(reader.options(**options.to_spark()).csv(path), options.missing_words)
+    groups = _layouts(spark, path, options)
+    if len(groups) <= 1:
+        (_, broken), _ = next(iter(groups.items()), ((None, False), []))
+        options = replace(options, multiline=broken)
+        return blank_out(reader.options(**options.to_spark()).csv(path), options.missing_words)
+    frames = [
+        spark.read.options(**replace(options, multiline=broken).to_spark()).csv(names)
+        for (_, broken), names in groups.items()
+    ]
+    return blank_out(union_by_name(frames), options.missing_words)
+
+
+def _quotes_left_open(options: ReadOptions) -> Column:
+    """Whether a line leaves a quote open, as the first line of a broken cell must.
 
     A doubled quote counts twice and so changes nothing. A lone quote within a cell
-    also counts as open, which only costs the splitting.
+    also counts as open, which only costs the splitting of its file.
     """
-    reader = file_reader(spark, options)
-    if options.line_separator:
-        reader = reader.option("lineSep", options.line_separator)
     line = F.col("value")
     if options.escape and options.escape != options.quote:
         line = F.regexp_replace(line, f"{re.escape(options.escape)}.", "")
     quotes = F.length(line) - F.length(F.replace(line, F.lit(options.quote), F.lit("")))
-    return bool(options.quote) and not reader.text(path).filter(quotes % 2 == 1).isEmpty()
+    return quotes % 2 == 1 if options.quote else F.lit(False)
+
+
+def _lines(spark: SparkSession, path: str | list[str], options: ReadOptions) -> DataFrame:
+    reader = file_reader(spark, options)
+    if options.line_separator:
+        reader = reader.option("lineSep", options.line_separator)
+    return reader.text(path)
+
+
+def has_quoted_breaks(spark: SparkSession, path: str | list[str], options: ReadOptions) -> bool:
+    """Whether some line leaves a quote open."""
+    return not _lines(spark, path, options).filter(_quotes_left_open(options)).isEmpty()
+
+
+def _layouts(spark: SparkSession, path: str | list[str], options: ReadOptions) -> dict[tuple[str | None, bool], list[str]]:
+    """Files by header and by whether they have quoted line breaks; empty files are left out.
+
+    Only a file's name and first line reach the driver. Spark numbers the rows of a
+    task in their order, and a file's first row is in the part that begins at 0.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"), "value")
+    lines = _lines(spark, path, options).select(F.col("_metadata.file_path").alias("file"), place.alias("line"), _quotes_left_open(options).alias("open"))
+    found = lines.groupBy("file").agg(F.min("line")["value"].alias("first"), F.bool_or("open").alias("broken")).collect()
+    groups: dict[tuple[str | None, bool], list[str]] = {}
+    for row in sorted(found, key=lambda r: r["file"]):
+        broken = bool(row["broken"]) if options.multiline is None else options.multiline
+        head = row["first"].rstrip("\r") if options.header else None
+        groups.setdefault((head, broken), []).append(unquote(row["file"]))
+    return groups
 
 
 def blank_out(df: DataFrame, words: Sequence[str]) -> DataFrame:

@@ -37,9 +37,13 @@ def connection_options(dialect: str, connection: Mapping[str, Any]) -> dict[str,
     """The ``url`` and ``driver`` options of a dialect, from connection settings."""
     name = dialect.strip().lower()
     name = DIALECT_ALIASES.get(name, name)
-    if name not in DRIVERS:
-        raise ValueError(f"Unsupported JDBC source type: {dialect}")
     given = {k.lower(): v for k, v in connection.items() if v not in (None, "")}
+    if name == "jdbc":
+        if "url" not in given:
+            raise ValueError("a generic JDBC source needs the connection setting 'url'")
+        return {"url": given["url"], **({"driver": given["driver"]} if "driver" in given else {})}
+    if name not in DRIVERS:
+        raise ValueError(f"{dialect} is not a JDBC source; known are {', '.join(DRIVERS)}")
     url = _URLS[name](given)
     custom = name in ("redshift", "saphana")
     return {"url": url, "driver": given.get("driver", DRIVERS[name]) if custom else DRIVERS[name]}

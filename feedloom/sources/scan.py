@@ -12,12 +12,14 @@ from feedloom.sources import documents, files, jdbc, workbooks
 from feedloom.specs import ColumnMapping, SourceSpec
 
 # The source type names a configuration may use.
+COMPRESSED = (".gz", ".bz2", ".lz4", ".snappy", ".zst", ".deflate")
 OBJECT_KINDS = ("salesforce", "sf", "sfdc")
 PAGE_KINDS = ("hubspot", "hubspotapi", "hubspot_rest")
 WORKBOOK_KINDS = ("awss3", "aws_s3", "azureblob", "azure_blob")
 FILE_KINDS = ("sftp",)
 BODY_KINDS = ("restapi", "api", "http", "rest")
 TABLE_KINDS = ("table", "parquet")
+JDBC_PARTITIONS = 16  # ranges of a split column, unless the connection says otherwise
 JDBC_KINDS = ("jdbc", *jdbc.DRIVERS, *jdbc.DIALECT_ALIASES)
 SOURCE_KINDS = (
     *JDBC_KINDS, *OBJECT_KINDS, *PAGE_KINDS, *WORKBOOK_KINDS, *FILE_KINDS, *BODY_KINDS, *TABLE_KINDS,
@@ -31,7 +33,7 @@ def scan(spark: SparkSession, source: SourceSpec, mappings: Sequence[ColumnMappi
     if kind in JDBC_KINDS:
         split = source.connection.get("split_column")
         return jdbc.scan_jdbc(
-            spark, kind, source.connection, source.path, split, int(source.connection.get("partitions", 1))
+            spark, kind, source.connection, source.path, split, int(source.connection.get("partitions", JDBC_PARTITIONS))
         )
     if kind in OBJECT_KINDS:
         return files.scan_query(spark, pruned_query(source.path, names))
@@ -40,8 +42,6 @@ def scan(spark: SparkSession, source: SourceSpec, mappings: Sequence[ColumnMappi
     if kind in WORKBOOK_KINDS:
         return workbooks.scan_workbooks(spark, source.path, names, source.options)
     if kind in BODY_KINDS:
-        if not source.schema:
-            raise ValueError("a source of API bodies needs a schema")
         return normalize(documents.scan_bodies(spark, source.path, source.schema))
     if kind == "table":
         return files.scan_table(spark, source.path)
@@ -62,4 +62,8 @@ def _scan_files(spark: SparkSession, source: SourceSpec, extension: str) -> Data
 
 
 def _extension(path: str) -> str:
-    return path.rstrip("/").rpartition(".")[2].lower()
+    """The ending of a path, without that of a compression Spark unpacks."""
+    name = path.rstrip("/").lower()
+    for ending in COMPRESSED:
+        name = name.removesuffix(ending)
+    return name.rpartition(".")[2]

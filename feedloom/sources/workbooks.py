@@ -160,9 +160,11 @@ def _cell_text(cell, strings: list[str], dated: set[int], base: datetime) -> str
         return "true" if value == "1" else "false"
     if kind != "n":
         return value
-    number = float(value)
     if int(cell.get("s", "0")) in dated:
-        return _moment_text(number, base)
+        return _moment_text(float(value), base)
+    if re.fullmatch(r"[+-]?[0-9]+", value):
+        return str(int(value))
+    number = float(value)
     return str(int(number)) if number.is_integer() else value
 
 

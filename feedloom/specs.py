@@ -8,8 +8,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-# The cell texts that the reference's file readers (pandas defaults,
-# listed in the pandas documentation of read_csv) take as missing.
+# The cell texts taken as missing, the defaults that the pandas
+# documentation of read_csv lists.
 MISSING_WORDS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
@@ -35,7 +35,8 @@ class ReadOptions:
     """File reading options, as found in a feed's key/value properties.
 
     ``multiline`` says whether a record may span lines; when it is None the scan
-    finds out from the data.
+    finds out from the data. ``compression`` is kept as given: Spark knows how to
+    unpack a file by the ending of its name.
     """
 
     delimiter: str = ","
@@ -82,8 +83,6 @@ class ReadOptions:
         }
         if self.line_separator:
             options["lineSep"] = self.line_separator
-        if self.compression:
-            options["compression"] = self.compression
         return options
 
 

@@ -16,7 +16,10 @@ from feedloom.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        "4", 4, spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse"))
+        "4",
+        4,
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     yield session
     session.stop()

@@ -148,9 +148,7 @@ def test_partitioned_merge_rewrites_touched_partitions_only(spark, table, rows):
     assert after["y"] == files["y"] and after["x"] != files["x"]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_two_partition_columns(spark, table, rows, monkeypatch, limit):
-    monkeypatch.setattr("feedloom.plans.load.PARTITION_FILTER_LIMIT", limit)
+def test_two_partition_columns(spark, table, rows):
     parts = {"partition_by": ("p", "d")}
     schema = "k int, v string, p string, d date"
     day, other = date(2024, 1, 1), date(2024, 1, 2)
@@ -202,5 +200,57 @@ def test_words_for_no_query(spark, table, word):
 
 
 def test_unknown_mode(spark, table):
-    with pytest.raises(ValueError, match="Unsupported LoadType"):
+    with pytest.raises(ValueError, match="load mode"):
         table("upsert", spark.range(1))
+
+
+def test_partition_values_are_typed_before_they_are_looked_up(spark, table, rows):
+    """A source of another type, with more distinct values than any limit, loses no target row."""
+    parts = {"partition_by": ("d",)}
+    old = spark.range(2000).selectExpr("id AS k", "DATE'2024-01-01' AS d")
+    table("full", old, **parts)
+    source = spark.range(1500).selectExpr("id + 5000 AS k", "TIMESTAMP'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id) AS d")
+    result = table("incremental", source, keys=("k", "d"), **parts)
+    assert (result.after, spark.table(table.name).count()) == (3500, 3500)
+    texts = spark.createDataFrame([(9000, "2024-01-01"), (9001, "2024-01-02"), (9002, "junk")], "k long, d string")
+    assert table("incremental", texts, keys=("k", "d"), **parts).after == spark.table(table.name).count() == 3503
+
+
+def test_partitions_come_from_the_table(spark, table, rows):
+    """A spec that says nothing about partitions loads a partitioned table all the same."""
+    table("full", spark.range(10).selectExpr("id AS k", "id % 3 AS p"), partition_by=("p",))
+    assert table("full", spark.createDataFrame([(1, 0), (2, 7)], "k long, p long")).after == 2
+    assert rows(spark.table(table.name)) == [(1, 0), (2, 7)]
+    for step in ((1, 0), (3, 8)):
+        result = table("incremental", spark.createDataFrame([step], "k long, p long"), keys=("k",))
+        assert result.after == spark.table(table.name).count()
+    assert rows(spark.table(table.name)) == [(1, 0), (2, 7), (3, 8)]
+    with pytest.raises(ValueError, match="partitioned by"):
+        table("full", spark.range(1).selectExpr("id AS k", "id AS p"), partition_by=("k",))
+
+
+def test_a_replaced_partitioned_table_keeps_its_properties(spark, table):
+    schema = "k long, p string"
+    table("full", spark.createDataFrame([(1, "a"), (2, "it's 1/2"), (3, None)], schema), partition_by=("p",))
+    spark.sql(f"ALTER TABLE {table.name} SET TBLPROPERTIES ('owner.note' = 'mine')")
+    table("full", spark.createDataFrame([(4, "it's 1/2"), (5, None), (6, "new")], schema))
+    assert {tuple(r) for r in spark.table(table.name).collect()} == {(4, "it's 1/2"), (5, None), (6, "new")}
+    known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table.name}").collect()}
+    assert known["owner.note"] == "mine"
+
+
+def test_marks_of_text_nan_and_absent_columns(spark, table):
+    """Marks are read as the source's type, NaN is none, an absent column leaves all rows."""
+    for _ in range(3):
+        table("append", None, query="SELECT CAST(id AS INT) AS id FROM range(1, 11)", watermark="id")
+    assert spark.table(table.name).count() == 10
+
+
+def test_nan_is_no_mark(spark, table):
+    table("append", spark.createDataFrame([(1, 1.0), (2, float("nan"))], "k int, w double"), watermark="w")
+    assert table("append", spark.createDataFrame([(3, 2.0), (4, 0.5)], "k int, w double"), watermark="w").inserted == 1
+
+
+def test_a_mark_column_that_is_not_there(spark, table):
+    table("append", spark.range(2), watermark="missing")
+    assert table("append", spark.range(2), watermark="missing").after == 4

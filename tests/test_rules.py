@@ -183,3 +183,13 @@ def test_unknown_rule(spark):
 def test_wrong_rules_raise(spark, row, error):
     with pytest.raises(ValueError, match=error):
         run(texts(spark, "a"), row)
+
+
+def test_the_size_of_a_dictionary_changes_nothing(spark):
+    """64 entries are a literal, 65 a join: the same type and the same rows, also for equal keys."""
+    df = spark.createDataFrame([("1",), ("5",), ("x",)], "k string")
+    for size in (64, 65):
+        mapping = {**{i: i * 10 for i in range(1, size)}, "1": 7}
+        out = apply_rules(df, [Rule("map", ("k",), (mapping,), "v")])
+        assert dict(out.dtypes)["v"] == "int"
+        assert {tuple(r) for r in out.collect()} == {("1", 7), ("5", 50), ("x", None)}

@@ -63,7 +63,7 @@ def test_read_options():
     )
     assert options.to_spark() == {
         "sep": ";", "header": "false", "quote": "'", "escape": "\\", "multiLine": "false",
-        "lineSep": "\n", "compression": "gzip",
+        "lineSep": "\n",
     }
     assert ReadOptions().to_spark()["multiLine"] == "true"
 
@@ -96,6 +96,29 @@ def test_broken_json_is_an_error(spark, tmp_path):
         scan_json(spark, path, "a int").collect()
 
 
+def test_layouts_are_found_for_each_file(spark, tmp_path, rows):
+    """A pretty-printed file beside a file of lines: every record of both is read."""
+    many = "".join(f'{{"a": {i}}}\n' for i in range(100))
+    path = write(tmp_path, a__json='{\n "a": -1,\n "b": "x"\n}\n', b__json=many)
+    for schema in (None, "a bigint, b string"):
+        assert scan_json(spark, path, schema).count() == 101
+    flat = scan_json(spark, path, "a bigint, b string")
+    assert flat.where("a = -1").first()["b"] == "x"
+
+
+def test_files_of_differing_columns_are_paired_by_name(spark, tmp_path, rows):
+    path = write(tmp_path, a__csv="id,name\n1,x\n", b__csv='name,id,more\n"y\nz",2,m\n', c__csv="id,name\n3,w\n")
+    found = scan(spark, SourceSpec("sftp", path + "/*.csv"))
+    assert rows(found.select("id", "name", "more")) == [("1", "x", None), ("2", "y\nz", "m"), ("3", "w", None)]
+
+
+def test_a_compressed_file(spark, tmp_path, rows):
+    import gzip
+
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(b"id\n7\n"))
+    assert rows(scan(spark, SourceSpec("sftp", str(tmp_path / "a.csv.gz")))) == [("7",)]
+
+
 def test_dotted_field(spark, tmp_path):
     path = write(tmp_path, a__json='{"p": {"x.y": 1}}')
     flat = scan(spark, SourceSpec("sftp", path + "/a.json"))
@@ -110,8 +133,8 @@ def test_bodies(spark, tmp_path, rows):
     assert rows(scan_bodies(spark, path, "a int")) == [(1,), (2,), (3,)]
     source = SourceSpec("restapi", path, schema="a int")
     assert rows(scan(spark, source)) == [(1,), (2,), (3,)]
-    with pytest.raises(ValueError, match="schema"):
-        scan(spark, SourceSpec("api", path))
+    found = scan(spark, SourceSpec("api", path))
+    assert rows(found.where("a IS NOT NULL")) == [(1,), (2,), (3,)]
 
 
 def test_body_rows_flatten(spark, rows):
@@ -208,7 +231,7 @@ def test_jdbc_urls(dialect, extra, url):
     assert options["url"] == url and "." in options["driver"]
 
 
-@pytest.mark.parametrize("dialect, error", [("jdbc", "Unsupported"), ("oracle", "Oracle"), ("azuresql", "database")])
+@pytest.mark.parametrize("dialect, error", [("jdbc", "url"), ("oracle", "Oracle"), ("azuresql", "database")])
 def test_jdbc_errors(dialect, error):
     with pytest.raises(ValueError, match=error):
         jdbc.connection_options(dialect, LOGIN)

@@ -33,3 +33,29 @@ def test_landed_files_load_once_and_are_archived(spark, tmp_path, rows):
         assert "a.csv" in moved and not left & moved
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_a_batch_that_comes_again_is_loaded_once(spark, tmp_path, rows):
+    """The run broke off between the load and the commit of its batch; marks see earlier runs."""
+    landing, table = tmp_path / "landing", f"t_{uuid.uuid4().hex}"
+    landing.mkdir()
+    checkpoint = tmp_path / "checkpoint"
+
+    def run(**load):
+        spec = FeedSpec(
+            "1", "landed", SourceSpec("sftp", str(landing), ReadOptions(pattern="*.csv")),
+            (ColumnMapping("id", "id", "INT", 1),), LoadSpec("append", table, (), **load),
+        )
+        load_landed(spark, spec, str(tmp_path / "tables"), str(checkpoint)).awaitTermination()
+        return rows(spark.table(table))
+
+    try:
+        (landing / "a.csv").write_text("id\n1\n2\n", encoding="utf-8")
+        assert run(watermark="id") == [(1,), (2,)]
+        for commit in (checkpoint / "commits").glob("*0*"):
+            commit.unlink()
+        assert run() == [(1,), (2,)]
+        (landing / "b.csv").write_text("id\n2\n3\n", encoding="utf-8")
+        assert run(watermark="id") == [(1,), (2,), (3,)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
