@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.operators.dedupe import keep_latest
 from feedloom.operators.merge import merge, merge_counts
 from feedloom.operators.watermark import after_mark, high_water_mark
-from feedloom.plans.load import load, stage
+from feedloom.plans.load import load, stage, staging_copy
 from feedloom.queries import register, table
 from feedloom.session import shared_folder
 from feedloom.specs import LoadSpec
@@ -154,6 +154,64 @@ def incremental_load_partitioned(spark, sf_dir):
     return done.select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+@register(
+    """
+    WITH t AS (SELECT o_orderkey AS k, o_totalprice AS price, CAST(date_trunc('year', o_orderdate) AS DATE) AS d FROM orders),
+    s AS (SELECT k * 2 AS k, price + 1 AS price, d FROM t)
+    SELECT t.k, coalesce(s.price, t.price) AS price, CAST(t.d AS VARCHAR) AS d FROM t LEFT JOIN s ON t.k = s.k AND t.d = s.d
+    UNION ALL
+    SELECT k, price, CAST(d AS VARCHAR) FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.k = s.k AND t.d = s.d)
+    """
+)
+def incremental_load_partitioned_typed(spark, sf_dir):
+    """Partitions by DATE, a source of moments: far more distinct values than partitions."""
+    year = F.date_trunc("year", F.col("o_orderdate").cast("timestamp_ntz"))
+    orders = table(spark, sf_dir, "orders")
+    target = orders.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), year.cast("date").alias("d"))
+    moment = year + F.make_dt_interval(secs=F.col("o_orderkey") % 5000)
+    source = orders.select((F.col("o_orderkey") * 2).alias("k"), (F.col("o_totalprice") + 1).alias("price"), moment.cast("timestamp_ntz").alias("d"))
+    step = {"mode": "incremental", "keys": ("k", "d")}
+    done = run_loads(spark, ({"mode": "full", "partition_by": ("d",)}, target), (step, source))
+    return done.withColumn("d", F.col("d").cast("string"))
+
+
+@register(
+    """
+    SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal > 0
+    UNION ALL
+    SELECT * FROM customer WHERE c_acctbal <= 0
+    """
+)
+def full_load_existing_partitioned(spark, sf_dir):
+    """A table that is partitioned stays so when the load says nothing of it."""
+    customer = table(spark, sf_dir, "customer")
+    rich = customer.filter("c_acctbal > 0").withColumn("c_name", F.upper("c_name"))
+    return run_loads(
+        spark,
+        ({"mode": "full", "partition_by": ("c_mktsegment",)}, rich.withColumn("c_mktsegment", F.lower("c_mktsegment"))),
+        ({"mode": "full"}, customer),
+        ({"mode": "incremental", "keys": ("c_custkey",)}, rich),
+    )
+
+
+@register("SELECT CAST(event_id AS VARCHAR) AS event_id, event_type FROM events")
+def custom_query_append_numeric_mark(spark, sf_dir):
+    """Three appends of the same query: marks kept as text compare as the numbers they are."""
+    view = f"v{uuid.uuid4().hex}"
+    table(spark, sf_dir, "events").createOrReplaceTempView(view)
+    step = {"mode": "append", "watermark": "event_id", "query": f"SELECT event_id, event_type FROM {view}"}
+    try:
+        return run_loads(spark, (step, None), (step, None), (step, None))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+@register("SELECT * FROM supplier")
+def staging_copy_supplier(spark, sf_dir):
+    """The copy that a load keeps and goes on from."""
+    return staging_copy(spark, table(spark, sf_dir, "supplier"), shared_folder(spark, "copies"), "core.supplier")
+
+
 @register(
     """
     WITH keys AS (SELECT o_orderkey * 2 AS t, o_orderkey * 3 AS s FROM orders)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.operators.audit import latest_rows
 from feedloom.plans.run import run_due
 from feedloom.queries import register, table
 from feedloom.queries.loading import detached
@@ -106,14 +107,16 @@ def _small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, row, strict=True)) for row in rows]), schema)
 
 
-def _run_orders(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+def _run_orders(spark: SparkSession, sf_dir: str, events: str | None = None) -> tuple[str, str, str]:
     """One run of the configured feed; the names of its target, log and run tables."""
     folder = shared_folder(spark, "run")
     source = f"{folder}/orders.csv"
     _write_orders(spark, sf_dir, source)
     target, log, runs = (f"{kind}_{uuid.uuid4().hex}" for kind in ("target", "log", "runs"))
     config = order_config(spark, source, target)
-    run_due(spark, config, f"{folder}/tables", datetime(2024, 1, 2), log_table=log, run_table=runs)
+    run_due(
+        spark, config, f"{folder}/tables", datetime(2024, 1, 2), log_table=log, run_table=runs, event_table=events
+    )
     return target, log, runs
 
 
@@ -161,6 +164,60 @@ def configured_run_log(spark, sf_dir):
     )
 
 
+@register(
+    """
+    SELECT 'MASTER_SUCCESS' AS "STATUS", 'all ok' AS "MESSAGE", CAST(1 AS INT) AS "TOTALPIPELINECOUNT",
+           count(*) > 0 AS has_rows FROM orders
+    """
+)
+def configured_run_master(spark, sf_dir):
+    """The state of that run: the latest of the rows that the run table got."""
+    target, log, runs = _run_orders(spark, sf_dir)
+    loaded = not detached(spark, target).isEmpty()
+    spark.sql(f"DROP TABLE {log}")
+    state = latest_rows(detached(spark, runs), "MASTERLOGID", "ENDDATETIME")
+    return state.select("STATUS", "MESSAGE", "TOTALPIPELINECOUNT", F.lit(loaded).alias("has_rows"))
+
+
+@register(
+    f"""
+    WITH kept AS (SELECT count(*) AS k FROM ({_LATEST}))
+    SELECT 'orders' AS pipeline, 'Incremental' AS operation, 'C' AS status, CAST(k AS VARCHAR) AS records FROM kept
+    """
+)
+def configured_run_events(spark, sf_dir):
+    """The event document that the run appends for its feed."""
+    events = f"events_{uuid.uuid4().hex}"
+    for name in _run_orders(spark, sf_dir, events):
+        spark.sql(f"DROP TABLE {name}")
+    job = "$.sourceJobConfig[0]"
+    fields = {
+        "pipeline": f"{job}.description", "operation": f"{job}.operationType",
+        "status": f"{job}.sourceAlertLog[0].jobStatus", "records": f"{job}.sourceAlertLog[0].pF2",
+    }
+    return detached(spark, events).select(*[F.get_json_object("event", p).alias(n) for n, p in fields.items()])
+
+
+@register("SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status FROM orders")
+def landed_append_by_mark(spark, sf_dir):
+    """Two runs in one session, the second with all rows again: the mark of the first holds."""
+    folder, name = shared_folder(spark, "landed"), f"landed_{uuid.uuid4().hex}"
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    orders = table(spark, sf_dir, "orders").select(*columns)
+    spec = FeedSpec(
+        "landed", "landed",
+        SourceSpec("sftp", f"{folder}/landing", ReadOptions(pattern="*.csv", multiline=False)),
+        tuple(ColumnMapping(s, t, k, i) for i, (s, t, k) in enumerate(
+            zip(columns, ("order_id", "customer_id", "status"), ("BIGINT", "BIGINT", "VARCHAR"), strict=True))),
+        LoadSpec("append", name, (), "order_id"),
+    )
+    half = orders.agg(F.max("o_orderkey")).first()[0] // 2
+    for part in (orders.filter(F.col("o_orderkey") <= half), orders):
+        part.write.mode("append").csv(f"{folder}/landing", header=True)
+        load_landed(spark, spec, f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
+    return detached(spark, name)
+
+
 @register(
     """
     SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status,

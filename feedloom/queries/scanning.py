@@ -17,8 +17,9 @@ from feedloom.queries import register, table
 from feedloom.session import shared_folder
 from feedloom.sources.documents import body_rows, scan_json, scan_pages
 from feedloom.sources.files import scan_delimited, scan_parquet, scan_query, union_by_name
+from feedloom.sources.scan import scan
 from feedloom.sources.workbooks import workbook_rows
-from feedloom.specs import MISSING_WORDS, ReadOptions
+from feedloom.specs import MISSING_WORDS, ReadOptions, SourceSpec
 
 # The workbook functions travel with the tasks, so workers need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -67,6 +68,41 @@ def psv_roundtrip(spark, sf_dir):
     return _round_trip(spark, sf_dir, "|")
 
 
+@register(
+    """
+    SELECT p_partkey AS id, p_name AS name FROM part
+    UNION ALL
+    SELECT n_nationkey, n_name FROM nation
+    """
+)
+def json_mixed_layouts(spark, sf_dir):
+    """A pretty-printed file among files with a document on every line: all rows of both."""
+    path = shared_folder(spark, "layouts") + ".json"
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    part.select(F.to_json(F.struct("id", "name"))).write.text(path)
+    nation = F.struct(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
+    pretty = table(spark, sf_dir, "nation").agg(F.to_json(F.collect_list(nation), {"pretty": "true"}))
+    pretty.write.mode("append").text(path)
+    return scan(spark, SourceSpec("sftp", path, schema="id bigint, name string"))
+
+
+@register(
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer
+    UNION ALL
+    SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL FROM supplier
+    """
+)
+def csv_mixed_columns(spark, sf_dir):
+    """Files whose columns differ in order and number are put together by name."""
+    path = shared_folder(spark, "columns") + ".csv"
+    customer = table(spark, sf_dir, "customer")
+    customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).write.csv(path, header=True)
+    supplier = table(spark, sf_dir, "supplier")
+    supplier.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id")).write.mode("append").csv(path, header=True)
+    return scan(spark, SourceSpec("sftp", path)).select("id", "name", "segment")
+
+
 @register("SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_size > 10")
 def parquet_scan(spark, sf_dir):
     """Three columns and one filter reach the scan."""

@@ -15,12 +15,16 @@ def rules(*rows: tuple) -> list[Rule]:
     return [Rule.parse(*row, seq=i) for i, row in enumerate(rows)]
 
 
-@register("SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
+@register(
+    """
+    SELECT * FROM orders QUALIFY row_number() OVER (
+      PARTITION BY o_custkey, o_orderstatus
+      ORDER BY o_orderkey DESC, o_totalprice DESC, o_orderdate DESC, o_orderpriority DESC) = 1
+    """
+)
 def rule_drop_duplicates(spark, sf_dir):
-    done = apply_rules(
-        table(spark, sf_dir, "orders"), rules(("drop_duplicates", "o_custkey,o_orderstatus"))
-    )
-    return done.select("o_custkey", "o_orderstatus")
+    """One row per key; which one is settled by all other columns."""
+    return apply_rules(table(spark, sf_dir, "orders"), rules(("drop_duplicates", "o_custkey,o_orderstatus")))
 
 
 @register(
