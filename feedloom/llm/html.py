@@ -155,10 +155,14 @@ def _blocks(found: list[tuple[str, str]]) -> list[str]:
 def main_text(page: str | None, score: dict[str, float]) -> str:
     """The words of the best run of tokens of a whole page, a line to each block."""
     found = tokens(page or "")
-    best, best_at, total, begin = 0.0, (0, 0), 0.0, 0
+    best, best_at, total, begin, inside = 0.0, (0, 0), 0.0, 0, 0
     for i, (kind, value) in enumerate(found):
+        if kind == "tag" and value.lstrip("/") in ("article", "main"):
+            inside = max(0, inside + (-1 if value[0] == "/" else 1))
         if kind == "text":
             gain = score["word"] * len(value.split())
+        elif kind == "skip" and inside:
+            gain = -0.05  # what is left out of the content does not end it
         else:
             name = value.lstrip("/")
             gain = score.get(f"{kind}:{name}", score.get(f"{kind}:other", -1.0 if kind == "tag" else -8.0))

@@ -1,0 +1,112 @@
+import random
+import zlib
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from feedloom.llm.quality import quality_scores, site_priors
+from feedloom.llm.toxicity import Restorer, costs, decode, drop_toxic, text_features, toxicity_scores, trigram_counts
+
+WORDS = "the and idiot worthless clown garden river walking summer evening letter stupid table".split()
+
+
+def corpus(n=400, seed=1):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 5 == 1 or i % 7 == 0
+        words = [rng.choice(WORDS[:2] + WORDS[5:11]) for _ in range(rng.randrange(5, 40))]
+        if toxic:
+            words[rng.randrange(len(words))] = rng.choice(["idiot", "worthless", "clown", "stupid"])
+        good = i % 4 > 0
+        text = " ".join(words) if good else " ".join(w + "%%%!!" for w in words[:6])
+        rows.append((i, text, f"s{i % 3}"))
+        labels.append((i, int(good), int(toxic)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def cost(spark):
+    rows, _ = corpus()
+    return costs(trigram_counts(spark.createDataFrame([(t,) for _, t, _ in rows], "text string")))
+
+
+def test_trigrams_count_all_texts(spark):
+    got = trigram_counts(spark.createDataFrame([("ab",), ("AB!",), (None,), ("",), ("é",)], "text string").repartition(3))
+    assert got[1 * 28 + 2] == 2 and got.sum() == 2 + 3 + 2
+
+
+@pytest.mark.parametrize("written, meant", [("1d10t", "idiot"), ("w0rthle55", "worthless"), ("cl0wn", "clown"), ("stuuuupid", "stupid"), ("garden", "garden"), ("$tupid", "stupid")])
+def test_decoding(cost, written, meant):
+    assert decode(written, cost) == meant
+
+
+def test_decoding_finds_the_best_path(cost):
+    """Against all readings of a short word."""
+    from itertools import product
+
+    from feedloom.llm.toxicity import LOOKALIKES, _SIGN_COST, _symbol
+
+    for word in ("1d1", "a4b", "s7e1"):
+        options = [[(x, _SIGN_COST) for x in LOOKALIKES.get(c, "")] or [(c, 0.0)] for c in word]
+        best = None
+        for path in product(*options):
+            a = b = 0
+            total = sum(p for _, p in path)
+            for x in [*(_symbol(c) for c, _ in path), 0]:
+                total += cost[a, b, x]
+                a, b = b, x
+            best = min(best or (total, "~"), (total, "".join(c for c, _ in path)))
+        assert decode(word, cost) == best[1]
+
+
+def test_disguises_are_seen(cost):
+    for text in ("you 1d10t", "an i d i o t here", "i.d.i.o.t", "idiooooot!", "You I-D-I-O-T"):
+        (found,) = text_features(pd.Series([text]), Restorer(cost))
+        assert "idiot" in found, text
+    assert list(text_features(pd.Series([None, ""], dtype=object), Restorer(cost))) == [set(), set()]
+
+
+def test_toxicity_of_held_out_rows(spark, documents):
+    rows, labels = corpus()
+    planted = [(9000, "walking the 1d10t and garden", "s"), (9001, "the evening w o r t h l e s s letter", "s"), (9002, "the garden and river", "s")]
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity_scores(documents(rows + planted), frame).collect()}
+    for i, _, toxic in labels:
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= got[i]["score"] <= 1
+        assert got[i]["predicted"] == int(got[i]["score"] >= 0.5)
+    held = [(got[i]["predicted"], t) for i, _, t in labels if got[i]["held_out"]]
+    assert np.mean([p == t for p, t in held]) > 0.95
+    assert [got[i]["predicted"] for i in (9000, 9001, 9002)] == [1, 1, 0]
+    flipped = spark.createDataFrame([(i, q, 1 - t if got[i]["held_out"] else t) for i, q, t in labels], "doc_id long, quality int, toxic int")
+    again = {r["doc_id"]: r["score"] for r in toxicity_scores(documents(rows + planted), flipped).collect()}
+    assert again == {i: r["score"] for i, r in got.items()}
+
+
+def test_odd_rows(spark, odd, clashing):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (2, 0, 0), (None, 1, 1), (3, None, None), (99, 1, 7)], "doc_id long, quality int, toxic int")
+    for table in (labels, labels.limit(0)):
+        got = toxicity_scores(clashing(odd), table)
+        assert got.count() == odd.count() and got.where("score between 0 and 1").count() == odd.count()
+        found = quality_scores(clashing(odd), table)
+        assert found.count() == odd.count() and found.where("score between 0 and 1").count() == odd.count()
+    assert toxicity_scores(odd.limit(0), labels).count() == quality_scores(odd.limit(0), labels).count() == 0
+    assert drop_toxic(clashing(odd), labels).columns == clashing(odd).columns
+
+
+def test_quality_of_held_out_rows(spark, documents):
+    rows, labels = corpus()
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality_scores(documents(rows), frame).collect()}
+    held = [(got[i]["predicted"], q) for i, q, _ in labels if got[i]["held_out"]]
+    assert np.mean([p == q for p, q in held]) > 0.95
+    assert all(r["keep"] == (r["score"] >= 0.5) for r in got.values())
+
+
+def test_sparse_sites_shrink_towards_their_prior(spark):
+    rows = [("h1", "a", i % 10 > 0) for i in range(200)] + [("h2", "a", i % 10 == 0) for i in range(200)] + [("h1", "b", False), ("h3", "a", True)]
+    found, share = site_priors(spark.createDataFrame([(h, p, int(y)) for h, p, y in rows], "host string, path string, y int"))
+    prior = {(r["host"], r["path"]): r["prior"] for r in found.collect()}
+    assert prior["h1", "a"] > 0.8 and prior["h2", "a"] < 0.2
+    assert 0.3 < prior["h1", "b"] < prior["h1", "a"] and share < prior["h3", "a"] < 0.95
