@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.predicates import is_active, is_blank
 from feedloom.operators.project import quoted
+from feedloom.session import shared_folder
 
 # Message texts, the required fields of each configuration table, and
 # the load types, layers and source kinds that are known.
@@ -135,107 +136,82 @@ def validate_config(config: Mapping[str, DataFrame], requested: DataFrame | None
     ``config`` maps table names to frames. ``requested`` holds a PIPELINEID column;
     ids without a pipeline row are reported, and only requested ones are checked.
 
-    The messages of each source, destination and lookup row are found first, each
-    once per row; the pipelines are then joined to them in one go.
+    Each table is read once, for its rows, their own messages and what they refer to.
+    Messages then pass along references, from the row they are about to whatever
+    refers to it, up to the pipelines.
     """
-    pipelines = config["PIPELINE"].withColumn("pipeline_id", _id("PIPELINEID"))
-    parts: list[DataFrame] = []
+    facts = _kept(reduce(DataFrame.unionByName, [_facts(config[t], t, *LINKS[t]) for t in LINKS]))
+    own = facts.filter("message IS NOT NULL").select("owner_table", "owner_id", "message")
+    uses = facts.filter("ref_id IS NOT NULL").select("owner_table", "owner_id", "ref_table", "ref_id")
+    found = own
+    for _ in range(LONGEST_WAY):
+        told = found.withColumnsRenamed({"owner_table": "ref_table", "owner_id": "ref_id"})
+        passed = uses.join(told, ["ref_table", "ref_id"]).select("owner_table", "owner_id", "message")
+        found = own.unionByName(passed).distinct()
+    known = facts.filter("is_row").select(F.col("owner_table").alias("ref_table"), F.col("owner_id").alias("ref_id"))
+    missing = uses.filter(f"owner_table = 'PIPELINE' AND ref_table IN {tuple(t for t, _ in ENDPOINTS)}")
+    missing = missing.join(known.distinct(), ["ref_table", "ref_id"], "left_anti")
+    text = reduce(
+        lambda rest, end: F.when(F.col("ref_table") == end[0], required_message(*end)).otherwise(rest), ENDPOINTS, F.lit(None)
+    )
+    result = found.filter("owner_table = 'PIPELINE'").select(F.col("owner_id").alias("pipeline_id"), "message")
+    result = result.unionByName(missing.select(F.col("owner_id").alias("pipeline_id"), text.alias("message")))
     if requested is not None:
         asked = requested.select(_id("PIPELINEID").alias("pipeline_id")).distinct()
-        absent = asked.join(pipelines.select("pipeline_id"), "pipeline_id", "left_anti")
-        parts.append(absent.withColumn("message", F.lit(required_message("PIPELINE", "PIPELINEID"))))
-        pipelines = pipelines.join(asked, "pipeline_id", "left_semi")
-
-    own = check_required(pipelines, "PIPELINE", "pipeline_id", REQUIRED_FIELDS["PIPELINE"])
-    parts.append(own.select(F.col("row_key").alias("pipeline_id"), "message"))
-
-    lookups, secrets = _row_errors(config, "LOOKUP", "LOOKUPID"), _row_errors(config, "SECRET", "SECRETID")
-    sources = _endpoint_errors(config, "SOURCE", "SOURCEID", ["SOURCETYPEID", "FORMATTYPEID"], lookups, secrets)
-    targets = _endpoint_errors(config, "DESTINATION", "DESTINATIONID", ["FORMATTYPEID"], lookups, secrets)
-    errors = _union(
-        lookups.select(F.lit("LOOKUP").alias("ref_table"), "ref_id", "message"),
-        sources.select(F.lit("SOURCE").alias("ref_table"), "ref_id", "message"),
-        targets.unionByName(_column_errors(config)).select(
-            F.lit("DESTINATION").alias("ref_table"), "ref_id", "message"
-        ),
-    ).distinct()
-    known = _union(
-        *[
-            config[table].select(F.lit(table).alias("ref_table"), _id(key).alias("ref_id"))
-            for table, key in ENDPOINTS
-        ]
-    ).distinct()
-    uses = _references(
-        pipelines, "pipeline_id",
-        [("LOOKUP", "LOADTYPEID"), ("LOOKUP", "LAYERID"), *ENDPOINTS],
-    )
-    parts.append(uses.filter("ref_id IS NOT NULL").join(errors, ["ref_table", "ref_id"]).select("pipeline_id", "message"))
-    missing = uses.filter("ref_table <> 'LOOKUP'").join(known, ["ref_table", "ref_id"], "left_anti")
-    text = F.when(F.col("ref_table") == "SOURCE", required_message("SOURCE", "SOURCEID")).otherwise(
-        required_message("DESTINATION", "DESTINATIONID")
-    )
-    parts.append(missing.select("pipeline_id", text.alias("message")))
-    return _union(*parts).distinct()
+        there = facts.filter("is_row AND owner_table = 'PIPELINE'").select(F.col("owner_id").alias("pipeline_id"))
+        absent = asked.join(there, "pipeline_id", "left_anti")
+        absent = absent.withColumn("message", F.lit(required_message("PIPELINE", "PIPELINEID")))
+        result = result.join(asked, "pipeline_id", "left_semi").unionByName(absent)
+    return result.distinct()
+
+
+# Of each configuration table: the column its rows are known by, and what they refer to. A column
+# mapping says things about its destination column; that belongs to its destination.
+LINKS: dict[str, tuple[str, tuple[tuple[str, str], ...]]] = {
+    "PIPELINE": ("PIPELINEID", (("LOOKUP", "LOADTYPEID"), ("LOOKUP", "LAYERID"), *ENDPOINTS)),
+    "SOURCE": ("SOURCEID", (("LOOKUP", "SOURCETYPEID"), ("LOOKUP", "FORMATTYPEID"), ("SECRET", "SECRETID"))),
+    "DESTINATION": ("DESTINATIONID", (("LOOKUP", "FORMATTYPEID"), ("SECRET", "SECRETID"))),
+    "LOOKUP": ("LOOKUPID", ()),
+    "SECRET": ("SECRETID", ()),
+    "SOURCECOLUMN": ("SOURCECOLUMNID", ()),
+    "DESTINATIONCOLUMN": ("DESTINATIONCOLUMNID", ()),
+    "COLUMNMAPPING": ("DESTINATIONCOLUMNID", (("SOURCECOLUMN", "SOURCECOLUMNID"),)),
+}
+# From a source column by way of its mapping, destination column and destination to a pipeline.
+LONGEST_WAY = 3
+
+
+def _facts(df: DataFrame, table: str, key: str, links: Sequence[tuple[str, str]]) -> DataFrame:
+    """From one pass: (owner_table, owner_id, is_row, message, ref_table, ref_id)."""
+    none = F.lit(None).cast("string")
+    owner = "DESTINATIONCOLUMN" if table == "COLUMNMAPPING" else table
+
+    def fact(name: str, owner_id: Column, is_row=False, message=none, ref_table=none, ref_id=none) -> Column:
+        values = (F.lit(name), owner_id, F.lit(is_row), message, ref_table, ref_id)
+        names = ("owner_table", "owner_id", "is_row", "message", "ref_table", "ref_id")
+        return F.struct(*[v.alias(n) for v, n in zip(values, names, strict=True)])
+
+    own = _id(key)
+    out = [fact(owner, own, is_row=table == owner)]
+    checks = _blank_fields(df, table, REQUIRED_FIELDS[table])
+    if table != "PIPELINE":
+        checks.append(_not_active(df, table, "ACTIVE"))
+    out += [F.when(hit, fact(owner, own, message=F.lit(message))) for hit, _, message in checks]
+    out += [
+        fact(owner, own, ref_table=F.lit(to), ref_id=_id(column)) for to, column in links if column in df.columns
+    ]
+    if table == "DESTINATIONCOLUMN":
+        out.append(fact("DESTINATION", _id("DESTINATIONID"), ref_table=F.lit(table), ref_id=own))
+    return df.select(F.inline(F.array_compact(F.array(*out)))).distinct()
 
 
-def _union(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def _kept(df: DataFrame) -> DataFrame:
+    """The rows computed once, in the folder that all executors share; Spark removes them after use."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
+    return df.checkpoint()
 
 
 def _id(column: str) -> Column:
     return F.col(quoted(column)).cast("string")
-
-
-def _references(df: DataFrame, owner: str, columns: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row (owner, ref_table, ref_id) per reference, from a single pass."""
-    present = set(df.columns)
-    links = [
-        F.struct(F.lit(table).alias("ref_table"), _id(column).alias("ref_id"))
-        for table, column in columns
-        if column in present
-    ]
-    return df.select(owner, F.inline(F.array(*links)))
-
-
-def _row_errors(config: Mapping[str, DataFrame], table: str, key: str) -> DataFrame:
-    """Distinct (ref_id, message) of the rows of one table."""
-    rows = config[table]
-    checks = [*_blank_fields(rows, table, REQUIRED_FIELDS[table]), _not_active(rows, table, "ACTIVE")]
-    return _findings(rows, table, key, checks).select(F.col("row_key").alias("ref_id"), "message").distinct()
-
-
-def _endpoint_errors(
-    config: Mapping[str, DataFrame],
-    table: str,
-    key: str,
-    lookup_columns: Sequence[str],
-    lookups: DataFrame,
-    secrets: DataFrame,
-) -> DataFrame:
-    """(ref_id, message) of a source or destination: its own and those of what it refers to."""
-    links = [("LOOKUP", c) for c in lookup_columns] + [("SECRET", "SECRETID")]
-    rows = config[table].withColumn("owner", _id(key))
-    uses = _references(rows, "owner", links).filter("ref_id IS NOT NULL")
-    errors = _union(
-        lookups.select(F.lit("LOOKUP").alias("ref_table"), "ref_id", "message"),
-        secrets.select(F.lit("SECRET").alias("ref_table"), "ref_id", "message"),
-    )
-    referred = uses.join(errors, ["ref_table", "ref_id"]).select(F.col("owner").alias("ref_id"), "message")
-    return _row_errors(config, table, key).unionByName(referred)
-
-
-def _column_errors(config: Mapping[str, DataFrame]) -> DataFrame:
-    """(destination id, message) over the mapped columns of each destination."""
-    columns = config["DESTINATIONCOLUMN"].select(
-        _id("DESTINATIONCOLUMNID").alias("column_id"), _id("DESTINATIONID").alias("ref_id")
-    )
-    mapping = config["COLUMNMAPPING"].select(
-        _id("DESTINATIONCOLUMNID").alias("column_id"), _id("SOURCECOLUMNID").alias("source_id")
-    )
-    source = _row_errors(config, "SOURCECOLUMN", "SOURCECOLUMNID").withColumnRenamed("ref_id", "source_id")
-    errors = _union(
-        _row_errors(config, "DESTINATIONCOLUMN", "DESTINATIONCOLUMNID").withColumnRenamed("ref_id", "column_id"),
-        _row_errors(config, "COLUMNMAPPING", "DESTINATIONCOLUMNID").withColumnRenamed("ref_id", "column_id"),
-        mapping.join(source, "source_id").select("column_id", "message"),
-    ).distinct()
-    return columns.join(errors, "column_id").select("ref_id", "message")
