@@ -175,6 +175,8 @@ def slots(spark, plan: _Sources, shard_slots: int = SHARD_SLOTS, seed: int = 11)
                     yield pd.DataFrame({"shard": shard, "drawn": s, "source_no": t, "pass": turn, "block": block, "words": words})
 
     numbered = running(drawn, ["source_no"], "count", ["shard"], shards, "first")
+    # A row stands for up to a shard of slots: few bytes, but work for many tasks.
+    numbered = numbered.repartition(shards // 16 + 1, "shard")
     return numbered.mapInPandas(deal, "shard long, drawn long, source_no long, pass long, block long, words long")
 
 
