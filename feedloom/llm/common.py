@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +29,33 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results are stored by now.
+
+    It does so when the driver collects its garbage, which a driver with little to do puts off
+    while executors' disks fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def smallest_hashes(df: DataFrame, by: list[str], size: int, likely: float = 0.25) -> DataFrame:
+    """At most ``size`` rows, those with the smallest hashes of ``by``: a sample that reruns repeat.
+
+    Only rows below a bound on the hash are sorted, so many that ``size`` are left although no more
+    than a share ``likely`` of the rows may be in ``df``; a table of any size sends a bounded
+    number of rows to the sort.
+    """
+    share = min(1.0, size / likely / max(1, df.count()))
+    h = F.xxhash64(*by)
+    low = df if share == 1 else df.where(h < F.lit(int(share * 2**64) - 2**63))
+    return low.orderBy(h, *by).limit(size)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components: (node, root) for every node of ``links`` (a, b).
 
@@ -51,6 +76,8 @@ def components(links: DataFrame) -> DataFrame:
         small = down.join(root, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = checkpointed(small.union(root.select("a", F.col("m").alias("b"))).distinct())
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        del both, least, large, down, root, small
+        release(links.sparkSession)
         if state == before:
             break
         before = state

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed
+from feedloom.llm.common import checkpointed, staged
 
 FAN_IN = 16
 SALTS = 16
@@ -80,10 +80,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: bool = False) -> DataFrame:
     """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
     groups = exact_groups(docs, id_col, text_col, largest)
-    dropped = checkpointed(
+    dropped = staged(
         groups.where("not kept").select(
             F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"), (F.col("keep_id").eqNullSafe(F.col("doc_id"))).alias("__same")
-        ).distinct()
+        ).distinct(),
+        "dropped",
     )
     names = docs.columns
     with_key = docs.withColumn("__sha", _digest(F.col(text_col))[0])

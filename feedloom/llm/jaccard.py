@@ -10,8 +10,10 @@ Exact. The steps:
    that is nearly all of them, and counting needs the sampled share of the n-grams only.
 3. What is left is posted under its first n-grams. Under each of them the classes are compared with
    the smallest one by the prefix-tree join, and linked components are formed. Only n-grams whose
-   classes are then in several components are compared further, in blocks, class against class,
-   leaving out pairs whose component is already the same: linked copies cost no pairs.
+   classes are then in several components are looked at further. Classes that share n-grams with
+   many others form families, which are compared block by block. Of the others the pairs are taken
+   that their prefixes, a tenth of the sets, do not rule out. Pairs whose component is already the
+   same are left out everywhere: linked copies cost no pairs.
 4. The prefix-tree join puts the ordered sets of a block into a trie and walks it once for each
    query set: overlaps of shared beginnings are counted once for all sets below, and a subtree is
    left as soon as the n-grams missed, or those remaining, rule out the threshold.
@@ -31,11 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, components, staged
+from feedloom.llm.common import checkpointed, components, release, staged
 from feedloom.llm.words import mixed, shingle_sets
 
 _U = np.uint64
 BLOCK = 256  # classes of a block of the prefix-tree join
+DENSE = 16  # classes of an n-gram from which its family is compared in blocks
+MAX_FAMILY = 64 * BLOCK  # of a larger family each n-gram's classes are blocks of their own
 BUCKET = 1 << 20  # n-gram entries of a counting bucket
 CLASS_SCHEMA = "doc_id long, sig binary, n long, s long, ext binary"
 
@@ -82,6 +86,11 @@ def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return docs.mapInArrow(rows, CLASS_SCHEMA)
 
 
+def _runs(begins: np.ndarray, size: int):
+    """(begin, end) of runs that begin at these places and fill ``size``."""
+    return zip(begins, np.append(begins, size)[1:], strict=True)
+
+
 def _bucketed(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int):
     """For each batch and bucket: the sampled n-grams, sorted, and the index of the class of each, and the classes."""
     for batch in batches:
@@ -102,7 +111,7 @@ def _bucketed(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets:
         grams, owner, bucket = grams[order], owner[order], bucket[order]
         sigs = np.array(list(seen), dtype="S16")
         at = np.flatnonzero(np.diff(bucket, prepend=-1))
-        for a, b in zip(at, [*at[1:], len(bucket)], strict=True):
+        for a, b in _runs(at, len(bucket)):
             yield int(bucket[a]), grams[a:b], owner[a:b], sigs
 
 
@@ -133,7 +142,11 @@ def frequencies(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFram
 
 
 def shared_grams(docs: DataFrame, found: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
-    """(sig, bucket, grams, counts): of every class, the sampled n-grams that are not its own alone."""
+    """(sig, bucket, grams, counts): of every class, the sampled n-grams that are not its own alone.
+
+    A bucket's counts come first in its task and its rows after them, a batch at a time; a bucket
+    with a frequent n-gram, which has many more entries, is dealt to several tasks.
+    """
 
     def listed(batches):
         for bucket, grams, owner, sigs in _bucketed(batches, k, percent, buckets):
@@ -145,40 +158,56 @@ def shared_grams(docs: DataFrame, found: DataFrame, k: int, percent: int, bucket
             )
 
     def answered(batches):
+        known, times = np.empty(0, _U), np.empty(0, np.int64)
         for batch in batches:
             out_sig, out_bucket, out_grams, out_counts = [], [], [], []
-            for bucket, sigs, runs, grams, df_grams, df_counts in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                known, times = np.frombuffer(df_grams, _U), np.frombuffer(df_counts, np.int64)
+            for i in range(batch.num_rows):
+                bucket, sigs, runs, grams = (batch.column(j)[i].as_py() for j in range(4))
+                if sigs is None:
+                    known, times = np.frombuffer(grams, _U), np.frombuffer(runs, np.int64)
+                    continue
                 if not len(known):
                     continue
                 grams, runs = np.frombuffer(grams, _U), np.frombuffer(runs, np.uint32)
                 at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
                 hit = known[at] == grams
                 owner = np.repeat(np.arange(len(runs)), runs)[hit]
-                grams, times = grams[hit], times[at[hit]]
+                grams, counts = grams[hit], times[at[hit]]
                 edge = np.flatnonzero(np.diff(owner, prepend=-1))
-                for a, b in zip(edge, [*edge[1:], len(owner)], strict=True):
-                    i = int(owner[a])
-                    out_sig.append(sigs[16 * i : 16 * i + 16])
+                for a, b in _runs(edge, len(owner)):
+                    x = int(owner[a])
+                    out_sig.append(sigs[16 * x : 16 * x + 16])
                     out_bucket.append(bucket)
                     out_grams.append(grams[a:b].tobytes())
-                    out_counts.append(times[a:b].tobytes())
+                    out_counts.append(counts[a:b].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out_sig, pa.binary()), pa.array(out_bucket, pa.int32()), pa.array(out_grams, pa.binary()), pa.array(out_counts, pa.binary())],
                 names=["sig", "bucket", "grams", "counts"],
             )
 
     parts = docs.select("text").mapInArrow(listed, "bucket int, sigs binary, runs binary, grams binary")
-    # A join, not a group: a task holds the counts of a bucket and one row of it at a time.
-    return parts.join(found.select("bucket", "df_grams", "df_counts"), "bucket").mapInArrow(
-        answered, "sig binary, bucket int, grams binary, counts binary"
+    split = found.withColumn("splits", F.ceil(F.col("entries") / (4 * BUCKET)).cast("int"))
+    heads = split.select(
+        "bucket", F.lit(None).cast("binary").alias("sigs"), F.col("df_counts").alias("runs"), F.col("df_grams").alias("grams"),
+        F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), "splits") - 1)).alias("split"),
     )
+    # Fewer than one row for each four BUCKETs of entries.
+    hot = split.where("splits > 1").select("bucket", "splits")
+    parts = parts.join(F.broadcast(hot), "bucket", "left")
+    parts = parts.withColumn("split", F.pmod(F.xxhash64("sigs"), F.coalesce("splits", F.lit(1))).cast("int")).drop("splits")
+    rows = heads.unionByName(parts).withColumn("body", F.col("sigs").isNotNull())
+    rows = rows.repartition("bucket", "split").sortWithinPartitions("bucket", "split", "body")
+    return rows.select("bucket", "sigs", "runs", "grams").mapInArrow(answered, "sig binary, bucket int, grams binary, counts binary")
+
 
+def prefixes(shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(sig, n, alone, last_count, last_gram, grams): the prefix of every class that shares one of it.
 
-def postings(shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(gram, sig, n): the prefix of every class that shares one of its first n-grams."""
+    ``grams`` are those of the prefix that other classes may have, in the global order, of which the
+    last is (last_count, last_gram); ``alone`` is how many more of the prefix are the class's own.
+    """
 
-    def prefixes(batches):
+    def ordered(batches):
         for batch in batches:
             out = []
             for sig, n, s, ext, grams, counts in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
@@ -186,17 +215,15 @@ def postings(shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 own = np.frombuffer(b"".join(grams or []), _U)
                 times = np.frombuffer(b"".join(counts or []), np.int64)
                 alone = s - len(own)
-                if alone < need and len(own):
-                    first = own[np.lexsort((own, times))][: need - alone]
-                    out.append((sig, n, first))
+                order = np.lexsort((own, times))[: max(0, need - alone)]
+                first, last = own[order], int(times[order[-1]]) if len(order) else 0
                 if ext is not None:
-                    out.append((sig, n, np.frombuffer(ext, _U)))
-            sizes = [len(x[2]) for x in out]
-            flat = _signed(np.concatenate([x[2] for x in out])) if out else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat, pa.int64()), pa.array([x[0] for x, c in zip(out, sizes, strict=True) for _ in range(c)], pa.binary()), pa.array([x[1] for x, c in zip(out, sizes, strict=True) for _ in range(c)], pa.int64())],
-                names=["gram", "sig", "n"],
-            )
+                    first, last = np.concatenate([first, np.frombuffer(ext, _U)]), 1 << 62
+                if len(first):
+                    out.append((sig, n, min(alone, need), last, int(_signed(first)[-1] ^ np.int64(-(1 << 63))), first.tobytes()))
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["sig", "n", "alone", "last_count", "last_gram", "grams"])
 
     # Copies give the same rows: one of each class and bucket is kept before anything is gathered.
     one = shared.groupBy("sig", "bucket").agg(F.min("grams").alias("grams"), F.min("counts").alias("counts"))
@@ -205,10 +232,25 @@ def postings(shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         reps.join(gathered, "sig", "left")
         .where("x is not null or ext is not null")
         .select("sig", "n", "s", "ext", "x.grams", "x.counts")
-        .mapInArrow(prefixes, "gram long, sig binary, n long")
+        .mapInArrow(ordered, "sig binary, n long, alone long, last_count long, last_gram long, grams binary")
     )
 
 
+def postings(prefix: DataFrame) -> DataFrame:
+    """(gram, sig) of the prefixes, for n-grams that two of them have."""
+
+    def rows(batches):
+        for batch in batches:
+            grams = [np.frombuffer(x, _U) for x in batch.column(1).to_pylist()]
+            if grams:
+                names = np.repeat(np.arange(len(grams)), [len(x) for x in grams])
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(grams))), batch.column(0).take(pa.array(names))], names=["gram", "sig"])
+
+    posted = prefix.select("sig", "grams").mapInArrow(rows, "gram long, sig binary")
+    many = posted.groupBy("gram").agg(F.count("*").alias("__m")).where("__m > 1")
+    return posted.join(many, "gram").select("gram", "sig")
+
+
 def gram_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(sig, grams): the whole sets of the wanted (sig, doc_id) classes, from one text of each."""
 
@@ -302,7 +344,9 @@ def verified_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFram
         held = [r for r, q in zip(rows, pdf["held"], strict=True) if q]
         return pd.DataFrame(trie_links(held, asks, percent), columns=["a", "b"])
 
-    return groups.join(sets, "sig").groupBy("key", "block").applyInPandas(found, "a binary, b binary").distinct()
+    links = checkpointed(groups.join(sets, "sig").groupBy("key", "block").applyInPandas(found, "a binary, b binary").distinct())
+    release(sets.sparkSession)
+    return links
 
 
 def _block_of(size: str):
@@ -310,30 +354,102 @@ def _block_of(size: str):
     return F.pmod(F.xxhash64("sig"), F.ceil(F.col(size) / BLOCK)).cast("int")
 
 
-def _first_pass(posted: DataFrame) -> DataFrame:
-    """Groups that hold each n-gram's classes, and ask for its smallest class."""
-    least = posted.groupBy("gram").agg(F.min("sig").alias("key"), F.count("*").alias("m")).where("m > 1")
-    pairs = posted.join(least, "gram").where("sig <> key").select("key", "sig").distinct()
-    of = pairs.groupBy("key").agg(F.count("*").alias("m"))
-    held = pairs.join(of, "key").select("key", _block_of("m").alias("block"), "sig", F.col("sig").alias("comp"), F.lit(False).alias("asks"), F.lit(True).alias("held"))
-    asks = of.select("key", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("m") / BLOCK) - 1).cast("int"))).alias("block"), F.col("key").alias("sig"), F.col("key").alias("comp"), F.lit(True).alias("asks"), F.lit(False).alias("held"))
-    return held.union(asks)
+def _first_pairs(posted: DataFrame) -> DataFrame:
+    """(a, b): under each n-gram, its smallest class and every other."""
+    least = posted.groupBy("gram").agg(F.min("sig").alias("a"))
+    return posted.join(least, "gram").where("sig <> a").select("a", F.col("sig").alias("b")).distinct()
 
 
-def _second_pass(posted: DataFrame, roots: DataFrame) -> DataFrame:
-    """Groups for n-grams whose classes are in several components: all but the largest's ask all."""
-    known = posted.select("gram", "sig").join(roots, posted["sig"] == roots["node"], "left").select("gram", "sig", F.coalesce("root", "sig").alias("comp"))
+def _undecided(posted: DataFrame, roots: DataFrame) -> DataFrame:
+    """(gram, m, sig, comp): the n-grams whose m classes are in several components.
+
+    n-grams with the very same classes are one.
+    """
+    known = posted.join(roots, posted["sig"] == roots["node"], "left").select("gram", "sig", F.coalesce("root", "sig").alias("comp"))
     by_comp = known.groupBy("gram", "comp").agg(F.count("*").alias("c"), F.sum(F.xxhash64("sig").cast("decimal(38,0)")).alias("h"))
-    mixed_up = by_comp.groupBy("gram").agg(
-        F.count("*").alias("comps"), F.sum("c").alias("m"), F.sum("h").alias("h"), F.max(F.struct("c", "comp")).alias("top")
-    ).where("comps > 1")
-    # n-grams with the very same classes make one group.
-    lists = mixed_up.groupBy("m", "h").agg(F.min("gram").alias("gram"), F.first("top.comp").alias("top"))
-    rows = known.join(lists, "gram").withColumn("own", _block_of("m")).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    held = rows.select("gram", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "sig", "comp", F.lit(False).alias("asks"), F.lit(True).alias("held"))
-    asks = rows.where("comp <> top").select("gram", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"), F.col("own").alias("other"), "sig", "comp", F.lit(True).alias("asks"), F.lit(False).alias("held"))
-    both = held.union(asks)
-    return both.select("gram", F.struct("own", "other").alias("block"), "sig", "comp", "asks", "held").withColumnRenamed("gram", "key")
+    several = by_comp.groupBy("gram").agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.sum("h").alias("h"))
+    lists = several.where("comps > 1").groupBy("m", "h").agg(F.min("gram").alias("gram"))
+    return known.join(lists.select("gram", "m"), "gram")
+
+
+def _families(lists: DataFrame) -> DataFrame:
+    """(sig, family, joined): classes that long lists connect; ``joined`` if the family is compared as one."""
+    found = components(lists.where(F.col("m") >= DENSE).select(_node("gram").alias("a"), F.col("sig").alias("b")))
+    found = found.where(F.length("node") == 16).select(F.col("node").alias("sig"), F.col("root").alias("family"))
+    sizes = found.groupBy("family").agg((F.count("*") <= MAX_FAMILY).alias("joined"))
+    return found.join(sizes, "family").select("sig", "family", "joined")
+
+
+def _node(gram: str):
+    return F.unhex(F.lpad(F.hex(gram), 18, "0"))  # nine bytes: no class has such a name
+
+
+def _block_groups(rows: DataFrame) -> DataFrame:
+    """Groups of blocks from (key, sig, comp): all but the largest component of a key ask all of it."""
+    by_comp = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    of = by_comp.groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"))
+    of = of.select("key", "m", (F.col("m") - F.col("top.c")).alias("k"), F.col("top.comp").alias("top")).where("k > 0")
+    rows = rows.join(of, "key")
+    every = lambda size: F.explode(F.sequence(F.lit(0), (F.ceil(F.col(size) / BLOCK) - 1).cast("int")))
+    held = rows.select("key", _block_of("m").alias("h"), every("k").alias("q"), "sig", "comp", F.lit(False).alias("asks"), F.lit(True).alias("held"))
+    asks = rows.where("comp <> top").select("key", every("m").alias("h"), _block_of("k").alias("q"), "sig", "comp", F.lit(True).alias("asks"), F.lit(False).alias("held"))
+    return held.union(asks).select("key", F.struct("h", "q").alias("block"), "sig", "comp", "asks", "held")
+
+
+def near_pairs(groups: DataFrame, of: DataFrame, prefix: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of the groups, of different components, that the prefixes do not rule out.
+
+    Of two prefixes, the one that ends first in the global order misses all it does not share. A
+    pair is given by the first of the groups that both are in, and by none if its family was joined.
+    """
+
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
+        grams = [np.frombuffer(g, _U) for g in pdf["grams"]]
+        n, alone = pdf["n"].to_numpy(), pdf["alone"].to_numpy()
+        size = alone + np.array([len(g) for g in grams])
+        ends = pd.MultiIndex.from_arrays([pdf["last_count"], pdf["last_gram"]])
+        rank = np.unique(np.array([*ends], dtype="i8,i8"), return_inverse=True)[1]
+        comp = np.unique(np.array(pdf["comp"], dtype="S16"), return_inverse=True)[1]
+        held, sigs = np.flatnonzero(pdf["held"]), pdf["sig"].to_numpy()
+        flat = np.concatenate([grams[i] for i in held]) if len(held) else np.empty(0, _U)
+        owner = np.repeat(np.arange(len(held)), [len(grams[i]) for i in held])
+        order = np.argsort(flat)
+        flat, owner = flat[order], owner[order]
+        keys = [np.asarray(x, dtype=np.int64) for x in pdf["keys"]]
+        before = [x[: np.searchsorted(x, pdf["key"].iloc[0])] for x in keys]
+        first_flat = np.concatenate([before[i] for i in held]) if len(held) else np.empty(0, np.int64)
+        first_owner = np.repeat(np.arange(len(held)), [len(before[i]) for i in held])
+        family = pd.factorize(pdf["family"])[0]  # -1: none that was joined
+        out = []
+        for x in np.flatnonzero(pdf["asks"]):
+            low, high = np.searchsorted(flat, grams[x], "left"), np.searchsorted(flat, grams[x], "right")
+            counts = high - low
+            at = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            common = np.bincount(owner[at], minlength=len(held))
+            need = -(-percent * (n[x] + n[held]) // (100 + percent))
+            mine = np.where(rank[x] <= rank[held], size[x] - common, alone[x])
+            theirs = np.where(rank[held] <= rank[x], size[held] - common, alone[held])
+            good = (comp[held] != comp[x]) & (mine <= n[x] - need) & (theirs <= n[held] - need)
+            if len(before[x]) and good.any():
+                good[first_owner[np.isin(first_flat, before[x])]] = False
+            if family[x] >= 0:
+                good &= family[held] != family[x]
+            out.extend((min(sigs[x], sigs[y]), max(sigs[x], sigs[y])) for y in held[good])
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return groups.join(prefix, "sig").join(of, "sig", "left").groupBy("key", "block").applyInPandas(found, "a binary, b binary").distinct()
+
+
+def _pair_groups(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """Groups that hold the partners of each class in ``pairs`` (a, b), and ask for it."""
+    of = pairs.groupBy(F.col("a").alias("key")).agg(F.count("*").alias("m"))
+    held = pairs.select(F.col("a").alias("key"), F.col("b").alias("sig")).join(of, "key").select("key", _block_of("m").alias("block"), "sig")
+    asks = of.select("key", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("m") / BLOCK) - 1).cast("int"))).alias("block"), F.col("key").alias("sig"))
+    both = held.withColumn("asks", F.lit(False)).union(asks.withColumn("asks", F.lit(True)))
+    both = both.withColumn("held", ~F.col("asks"))
+    if roots is None:
+        return both.withColumn("comp", F.col("sig"))
+    return both.join(roots, both["sig"] == roots["node"], "left").withColumn("comp", F.coalesce("root", "sig")).drop("node", "root")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -351,14 +467,32 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     buckets = max(8, -(-total // BUCKET))
     reps = own.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("s").alias("s"), F.max("ext").alias("ext"))
     found = checkpointed(frequencies(docs, k, percent, buckets))
-    posted = postings(shared_grams(docs, found, k, percent, buckets), reps, percent)
-    alone = posted.groupBy("gram").agg(F.count("*").alias("__m")).where("__m > 1")
-    posted = staged(posted.join(alone, "gram").select("gram", "sig", "n"), "postings")
+    prefix = checkpointed(prefixes(shared_grams(docs, found, k, percent, buckets), reps, percent))
+    posted = checkpointed(postings(prefix))
+    del found
+    release(docs.sparkSession)
     wanted = posted.select("sig").distinct().join(reps.select("sig", "rep"), "sig")
     sets = staged(gram_sets(docs, wanted, k), "sets")
-    links = checkpointed(verified_links(_first_pass(posted), sets, percent))
+    release(docs.sparkSession)
+    # First, under each n-gram, the smallest class against the others.
+    links = verified_links(_pair_groups(_first_pairs(posted)), sets, percent)
     roots = components(links)
-    more = checkpointed(verified_links(_second_pass(posted, roots), sets, percent))
+    # Then the families of classes that share long lists, in blocks of whole sets.
+    lists = checkpointed(_undecided(posted, roots))
+    families = checkpointed(_families(lists))
+    dense = lists.where(F.col("m") >= DENSE).join(families, "sig")
+    dense = dense.select(F.when(F.col("joined"), F.col("family")).otherwise(_node("gram")).alias("key"), "sig", "comp").distinct()
+    more = verified_links(_block_groups(dense), sets, percent)
+    if not more.isEmpty():
+        links = checkpointed(links.union(more))
+        roots = components(links)
+    # Last, the pairs of the short lists that are left and that their prefixes do not rule out.
+    lists = checkpointed(_undecided(posted, roots).where(F.col("m") < DENSE))
+    of = lists.groupBy("sig").agg(F.sort_array(F.collect_list("gram")).alias("keys"))  # no more than its prefix
+    of = of.join(families.where("joined").select("sig", "family"), "sig", "left")
+    groups = _block_groups(lists.select(F.col("gram").alias("key"), "sig", "comp"))
+    pairs = checkpointed(near_pairs(groups, of, prefix, percent))
+    more = verified_links(_pair_groups(pairs, roots), sets, percent)
     if not more.isEmpty():
         roots = components(links.union(more))
     marked = own.join(roots, own["sig"] == roots["node"], "left").select("doc_id", "n", F.coalesce("root", "sig").alias("root"))
@@ -374,5 +508,6 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without those linked to a row with a smaller identifier."""
     groups = similar_documents(docs, id_col, text_col, k, percent)
-    dropped = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("__dropped")).distinct()
+    # Stored first, so that Spark knows its size, and need not shuffle the texts if it is small.
+    dropped = staged(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
     return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")

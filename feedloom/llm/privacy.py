@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import checkpointed, smallest_hashes
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = (None, *KINDS)
 MAX_SAMPLE = 400
@@ -309,14 +311,20 @@ def listed(spans: list[Span]) -> str:
 
 
 def sample_texts(docs: DataFrame, id_col: str, text_col: str, size: int = MAX_SAMPLE) -> list[str]:
-    """Texts with base spans, those with the smallest hashes: a bounded sample for fitting."""
+    """Texts with base spans, those with the smallest hashes of the rows: a bounded sample for fitting.
+
+    Of large tables a bounded number of rows is looked at, a hundred for each text wanted; texts
+    of more than 20,000 characters are left out of the sample, though not of the decoding.
+    """
 
     def having(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: bool(base_spans(t)))
 
-    likely = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).where(F.length("t") <= 20_000).where("t rlike '[0-9]{2}|@'")
-    rows = likely.where(F.pandas_udf(having, "boolean")("t"))
-    return [r["t"] for r in rows.orderBy(F.xxhash64("i", "t"), "t").limit(size).collect()]
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
+    some = smallest_hashes(rows.select("i"), ["i"], 100 * size).distinct()
+    likely = rows.join(F.broadcast(some), "i").where(F.length("t") <= 20_000).where("t rlike '[0-9]{2}|@'")
+    likely = likely.where(F.pandas_udf(having, "boolean")("t")).orderBy(F.xxhash64("i"), "i", "t").limit(size)
+    return [r["t"] for r in checkpointed(likely).collect()]
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", replace: bool = False) -> DataFrame:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import smallest_hashes
 from feedloom.llm.toxicity import held_out
 from feedloom.llm.words import text_chunks, word_hashes
 
@@ -129,7 +130,7 @@ def quality_scores(
         return pd.Series(list(properties(pa.array(texts, pa.large_string(), from_pandas=True))))
 
     measure = F.pandas_udf(measured, "array<double>")
-    sample = marked.orderBy(F.xxhash64("__id"), "__id").limit(MAX_LABELLED)
+    sample = smallest_hashes(marked, ["__id"], MAX_LABELLED)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(sample), "__id")
     rows = rows.select("y", measure("t").alias("p")).collect()  # at most a row for each sampled label
     y = np.array([r["y"] for r in rows], dtype=float)

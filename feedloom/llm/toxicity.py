@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed
+from feedloom.llm.common import checkpointed, smallest_hashes
 from feedloom.llm.words import text_chunks
 
 MAX_LABELLED = 8_000
@@ -231,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
         .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("__y"))
     )
-    sample = marked.orderBy(F.xxhash64("__id"), "__id").limit(MAX_LABELLED)
+    sample = smallest_hashes(marked, ["__id"], MAX_LABELLED)
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(cost)

@@ -61,6 +61,8 @@ def family(seed):
 @pytest.mark.parametrize("seed, k, percent", [(1, 3, 90), (2, 5, 80), (3, 1, 50)])
 def test_components_against_brute_force(documents, seed, k, percent, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "DENSE", 4)
+    monkeypatch.setattr(jaccard, "MAX_FAMILY", (64, 12, 2)[seed - 1])
     rows = family(seed)
     got = similar_documents(documents([(i, t, "s") for i, t in rows]), k=k, percent=percent)
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, k, percent)
