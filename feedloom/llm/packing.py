@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,10 @@ from feedloom.llm.common import checkpointed, running
 CAPACITY = 2048
 #: A single space between two other characters: pre-tokenising never joins what is on both sides.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
-_CACHE = 300_000  # parts whose ids a task remembers
+#: Signs that some space or line break of a text is not of that kind.
+_ODD = (re.compile(r" \s"), re.compile(r"\n\s"), re.compile(r"[^\S ] "), re.compile(r"[^\S\n]\n"))
+_CACHE, _SHORT = 1_200_000, 9  # parts whose ids a worker remembers, and the length of those it keeps longest
+_MARKS = ".,"  # pre-tokenising cuts these off the letters before them
 
 
 def default_tokenizer() -> str:
@@ -39,22 +43,60 @@ class _Ids:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model, self.known = Tokenizer.from_file(path), {}
+        import tokenizers
+
+        # A worker runs many tasks: what it has encoded stays with the library's module.
+        held = vars(tokenizers).setdefault("_encoded_parts", {})
+        if path not in held:
+            held[path] = (tokenizers.Tokenizer.from_file(path), {})
+        self.model, self.known = held[path]
+        self.marks = dict(zip(_MARKS, self._encoded([*_MARKS]), strict=True))
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
+
+    def _learn(self, parts: set[str]) -> None:
+        """Encode parts, each with the space before it; words before a mark without the mark."""
+        known = self.known
+        if len(known) > _CACHE:  # what is short comes again
+            short = {k: v for k, v in known.items() if len(k) <= _SHORT}
+            known.clear()
+            if len(short) < _CACHE // 2:
+                known.update(short)
+        marked = [p for p in parts if p[-1] in _MARKS and p[-2:-1].isalpha()]
+        plain = [p for p in (parts - {*marked}) | {p[:-1] for p in marked} if p not in known]
+        known.update(zip(plain, self._encoded([p if p[0] == "\n" else " " + p for p in plain]), strict=True))
+        for p in marked:
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            parts = _BREAK.split(text)
-            parts[1:] = [" " + p for p in parts[1:]]
-            new = [p for p in {*parts} if p not in self.known]
+        """The ids of each text: those of its first part, and of each part after it."""
+        known = self.known
+        for a in range(0, len(texts), 256):
+            split = [_parts(text) for text in texts[a : a + 256]]
+            found = [list(map(known.get, parts[1:])) for parts in split]
+            new = {p for parts, ids in zip(split, found, strict=True) if None in ids for p, i in zip(parts[1:], ids, strict=True) if i is None}
             if new:
-                if len(self.known) > _CACHE:
-                    self.known.clear()
-                    new = [*{*parts}]
-                for p, e in zip(new, self.model.encode_batch(new, add_special_tokens=False), strict=True):
-                    self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
-            yield b"".join(map(self.known.__getitem__, parts))
+                self._learn(new)
+            first = self._encoded([parts[0] for parts in split])
+            for begin, parts, ids in zip(first, split, found, strict=True):
+                if None in ids:
+                    ids = [i if i is not None else known[p] for p, i in zip(parts[1:], ids, strict=True)]
+                yield begin + b"".join(ids)
+
+
+def _parts(text: str) -> list[str]:
+    """A text cut at its single spaces, which are left out, and before its single line breaks."""
+    if text[:1].isspace() or text[-1:].isspace() or any(odd.search(text) for odd in _ODD):
+        return _BREAK.split(text)
+    out: list[str] = []
+    for line in text.split("\n"):
+        at = len(out)
+        out += line.split(" ")
+        if at:
+            out[at] = "\n" + out[at]
+    return out
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
@@ -65,7 +107,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
         stop = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            texts = (x.as_py() or "" for x in batch.column(1))
+            texts = [x.as_py() or "" for x in batch.column(1)]
             for doc, tokens in zip(batch.column(0).to_pylist(), ids.of(texts), strict=True):
                 tokens += stop
                 n, start, piece = len(tokens) // 4, 0, 0
