@@ -38,10 +38,10 @@ BOUNDS = {
     "shouts": (0.001, 0.01, 0.05),
     "bars": (0.001, 0.01, 0.05),
 }
-_CLASS = np.zeros((256, 6), dtype=np.int64)
+_CLASS = np.zeros(256, dtype=np.uint8)  # 0: none of the classes below
 for _i, _c in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#$%&*+<=>@\\^_`{}~", "!?", "|")):
-    _CLASS[[ord(x) for x in _c], _i] = 1
-_CLASS[0xC0:, 0] = 1  # the first byte of any character beyond ASCII counts as a letter
+    _CLASS[[ord(x) for x in _c]] = _i + 1
+_CLASS[0xC0:] = 1  # the first byte of any character beyond ASCII counts as a letter
 
 
 def properties(column: pa.Array) -> np.ndarray:
@@ -49,15 +49,14 @@ def properties(column: pa.Array) -> np.ndarray:
     out = np.zeros((len(column), len(BOUNDS)))
     for row, end, data, bounds in text_chunks(column):
         words, at = word_hashes(data, bounds)
-        sums = np.zeros((len(data) + 1, 6), dtype=np.int64)
-        np.cumsum(_CLASS[data], axis=0, out=sums[1:])
+        kind = _CLASS[data]
         breaks = np.flatnonzero(data == 10)
         for i in range(end - row):
             a, b = bounds[i], bounds[i + 1]
             own = words[at[i] : at[i + 1]]
             if not len(own):
                 continue
-            low, up, digit, sign, shout, bar = sums[b] - sums[a]
+            low, up, digit, sign, shout, bar = np.bincount(kind[a:b], minlength=7)[1:]
             lines = [x for x in data[a:b].tobytes().split(b"\n") if x] if np.searchsorted(breaks, a) < np.searchsorted(breaks, b) else [b""]
             n, size = len(own), int(b - a)
             out[row + i] = (
