@@ -2,9 +2,10 @@
 
 Words score above zero and tags below. The scores are log odds of a token inside the content
 against outside, learnt from the labelled pages: those whose markup names the content with an
-``article`` or ``main`` element. Elements that are never content (menus, forms, scripts, ...) count
-as one token each, the element, and give no text. One scan finds the best contiguous run; its words are
-the text.
+``article`` or ``main`` element. Elements that are no content (menus, forms, scripts, ...) count
+as one token each, the element, and give no text, unless they hold an ``article`` or ``main``, or,
+on a page without these, most words of the page. Words of class, id or role that hint at
+something else are tokens of their own. One scan finds the best contiguous run; its words are the text.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ BLOCKS = frozenset(
     " th thead tr ul option caption".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Never content, by element, and by words of class, id or role.
+# No content, by element, and by whole names of class, id or role; as parts of names they are tokens.
 DROPPED = RAW | frozenset("nav footer aside form head button select menu dialog object canvas audio video map".split())
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer"
@@ -45,23 +46,48 @@ HINTS = frozenset(
 )
 
 
-def _dropped(name: str, more: str, inside: bool) -> bool:
-    if name in DROPPED or (name == "header" and not inside):
-        return True
+def _hints(name: str, more: str) -> tuple[bool, list[str]]:
+    """Whether a whole name of class, id or role is a hint, and all hints that names hold as words."""
     if name in ("html", "body", "article", "main") or not more:
-        return False
-    return any(w in HINTS for m in _HINT.finditer(more) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
+        return False, []
+    values = [(m[1] or m[2] or m[3] or "").lower() for m in _HINT.finditer(more)]
+    words = [w for v in values for w in re.split(r"[^a-z]+", v) if w in HINTS]
+    return bool(words) and any(w in HINTS for v in values for w in v.split()), words
+
+
+def _spans(page: str, marks: list[re.Match]) -> tuple[dict[int, int], list[int], list[int]]:
+    """The end of each closed element, and running numbers of words and of articles before each mark."""
+    ends: dict[int, int] = {}
+    begun: dict[str, list[int]] = {}
+    words, articles = [0], [0]
+    at = 0
+    for i, m in enumerate(marks):
+        name = (m["name"] or "").lower()
+        text = len(page[at : m.start()].split()) if m.start() > at else 0
+        words.append(words[-1] + text)
+        articles.append(articles[-1] + (m.start() >= at and not m["end"] and name in ("article", "main")))
+        if m["end"]:
+            if begun.get(name):
+                ends[begun[name].pop()] = i
+        elif name:
+            begun.setdefault(name, []).append(i)
+        if m.start() >= at:
+            at = _raw_end(page, m.end(), name) if name in RAW and not m["end"] else m.end()
+    words.append(words[-1] + len(page[at:].split()))
+    return ends, words, articles
+
+
+def _raw_end(page: str, at: int, name: str) -> int:
+    end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
+    return page.find(">", end.end() - 1) + 1 or len(page) if end else len(page)
 
 
 def tokens(page: str) -> list[tuple[str, str]]:
-    """(kind, value) in page order: ``text`` runs, ``tag`` names and ``skip`` for elements left out."""
+    """(kind, value) in page order: ``text`` runs, ``tag`` names, ``hint`` words and ``skip`` for elements left out."""
     out: list[tuple[str, str]] = []
     at = inside = 0
     marks = list(_MARK.finditer(page))
-    ends: dict[str, list[int]] = {}
-    for i, m in enumerate(marks):
-        if m["end"]:
-            ends.setdefault(m["name"].lower(), []).append(i)
+    ends, words, articles = _spans(page, marks)
     i = 0
     while i < len(marks):
         m = marks[i]
@@ -77,23 +103,27 @@ def tokens(page: str) -> list[tuple[str, str]]:
         if m["end"]:
             inside -= name in ("article", "main") and inside > 0
             out.append(("tag", "/" + name))
-        elif name in RAW:
-            end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
-            at = page.find(">", end.end() - 1) + 1 or len(page) if end else len(page)
+            continue
+        if name in RAW:
+            at = _raw_end(page, at, name)
             out.append(("skip", name))
-        elif name not in VOID and not m["more"].endswith("/") and _dropped(name, m["more"], inside > 0):
+            continue
+        whole, hints = _hints(name, m["more"])
+        if name not in VOID and not m["more"].endswith("/") and (whole or name in DROPPED or (name == "header" and not inside)):
             # To the element's own end, elements of its name inside it counted; unclosed ones go on alone.
-            depth, j = 1, i
-            while j < len(marks) and depth and name in ends:
-                if (marks[j]["name"] or "").lower() == name:
-                    depth += -1 if marks[j]["end"] else 1
-                j += 1
-            if depth == 0:
-                i, at = j, marks[j - 1].end()
-            out.append(("skip", name))
-        else:
-            inside += name in ("article", "main")
-            out.append(("tag", name))
+            j = ends.get(i - 1)
+            if j is None:
+                out.append(("skip", name))
+                continue
+            # Most words of a page are more than two thirds of them.
+            holds = articles[j + 1] > articles[i] or (not articles[-1] and 3 * (words[j + 1] - words[i]) > 2 * words[-1])
+            if not holds:
+                i, at = j + 1, marks[j].end()
+                out.append(("skip", name))
+                continue
+        inside += name in ("article", "main")
+        out.extend(("hint", w) for w in hints)
+        out.append(("tag", name))
     if at < len(page):
         out.append(("text", page[at:]))
     return out
@@ -101,7 +131,7 @@ def tokens(page: str) -> list[tuple[str, str]]:
 
 def token_counts(pages: DataFrame, html_col: str = "html") -> dict[tuple[str, bool], int]:
     """How often each kind of token is inside and outside the content of the labelled pages."""
-    known = BLOCKS | VOID | DROPPED | frozenset("a b i u em strong span code small sub sup font img label q cite".split())
+    known = BLOCKS | VOID | DROPPED | HINTS | frozenset("a b i u em strong span code small sub sup font img label q cite".split())
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
@@ -142,6 +172,8 @@ def _blocks(found: list[tuple[str, str]]) -> list[str]:
     for kind, value in [*found, ("tag", "p")]:
         if kind == "text":
             run.append(value)
+        elif kind == "hint":
+            continue
         elif value.lstrip("/") in BLOCKS:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
@@ -161,8 +193,8 @@ def main_text(page: str | None, score: dict[str, float]) -> str:
             inside = max(0, inside + (-1 if value[0] == "/" else 1))
         if kind == "text":
             gain = score["word"] * len(value.split())
-        elif kind == "skip" and inside:
-            gain = -0.05  # what is left out of the content does not end it
+        elif kind in ("skip", "hint") and inside:
+            gain = -0.05  # what is left out of the content, or hints at something else in it, does not end it
         else:
             name = value.lstrip("/")
             gain = score.get(f"{kind}:{name}", score.get(f"{kind}:other", -1.0 if kind == "tag" else -8.0))

@@ -57,3 +57,38 @@ def test_scores_come_from_labelled_pages(spark, clashing):
 def test_tokens_skip_whole_elements():
     kinds = tokens('<div class="ad"><div>x</div>y</div>z')
     assert kinds == [("skip", "div"), ("text", "z")]
+
+
+BODY = "<article><h1>Big</h1><p>First line of the text.</p><p>Second line.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<form id=aspnetForm>", "</form>"),
+        ('<div class="content-sidebar-wrap">', "</div>"),
+        ('<div class="layout has-sidebar with-widget">', "</div>"),
+        ('<div class="sidebar"><div id="widget">', "</div></div>"),
+    ],
+)
+def test_wrappers_do_not_take_the_article_with_them(before, after):
+    page = f'<html><body><nav>Menu</nav>{before}{BODY}<div class="sidebar">Other</div>{after}<footer>me</footer></body></html>'
+    assert main_text(page, DEFAULT) == "Big\nFirst line of the text.\nSecond line."
+
+
+def test_forms_with_most_words_of_a_page_without_article():
+    page = "<body><nav>Menu</nav><form id=aspnetForm><p>First line of the text.</p><p>Second line.</p></form></body>"
+    assert main_text(page, DEFAULT) == "First line of the text.\nSecond line."
+    assert ("skip", "form") in tokens(page.replace("<nav>Menu</nav>", f"<article>{'word ' * 9}</article>"))
+
+
+def test_hints_are_whole_names():
+    page = '<article><h1 class="entry-header">Big</h1><p>One.</p><section class="related-work"><p>Two.</p></section><div class="related">No</div></article>'
+    assert main_text(page, DEFAULT) == "Big\nOne.\nTwo."
+    assert ("hint", "related") in tokens(page)
+
+
+def test_hints_are_learnt(spark):
+    page = f'<div class="site-header"><p>Name of the site</p></div>{BODY}'
+    found = scores(token_counts(spark.createDataFrame([(i, "u", page) for i in range(20)], "page_id long, url string, html string")))
+    assert found["hint:header"] < -1
