@@ -2,9 +2,10 @@
 
 A noisy channel turned intended words into what is written: letters into look-alike signs, one
 letter into a run of it, a word into single letters with separators. Words that show such traces are
-decoded: the readings of every sign form a lattice, and Viterbi search finds the most likely
-spelling under a character trigram model. All other words have one reading, themselves. The
-trigram model is counted over all documents, as built-in sums of one count vector per task.
+decoded: the readings of every sign, letter run and separator form a lattice, and Viterbi search
+finds the most likely spelling under a character trigram model. Signs at a word's edge may also be
+none of it. All other words have one reading, themselves. The trigram model is counted over all
+documents, as built-in sums of one count vector per task.
 
 The restored words, with the written ones, are the features of a logistic regression. It is fitted
 on a bounded sample of labelled rows (``MAX_LABELLED``, the smallest hashes of doc_id), over at most
@@ -34,23 +35,27 @@ LOOKALIKES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t",
 }
-_SIGN_COST, _RUN_COST = 1.5, 0.7  # negative log probabilities of the channel
+# Negative log probabilities of the channel: a sign, a run of a letter, an added sign.
+_SIGN_COST, _RUN_COST, _DROP_COST = 1.5, 0.7, 2.0
+_END_COSTS = (0.0, 1.5, 3.0, 5.0)  # tried for a word end at a separator: the model alone favours short words
 
 _SYMBOLS = 28  # 0 word edge, 1-26 a-z, 27 any other letter
 _SYMBOL = np.zeros(256, dtype=np.int32)
 _SYMBOL[97:123] = _SYMBOL[65:91] = np.arange(1, 27)
 _SYMBOL[128:] = 27
-_LETTER = (_SYMBOL > 0) & (_SYMBOL < 27)
 _SIGN = np.zeros(256, dtype=bool)
 _SIGN[[ord(c) for c in LOOKALIKES]] = True
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[ord(c) for c in " .-_*"]] = True
 
 _WORD = re.compile(r"[^\W\d_]+")
-_SIGNED = re.compile(r"(?<![^\s])[^\s]*?[0-9@$!|+]+[a-z][^\s]*")
+_RUNS = re.compile(r"(.)\1*", re.S)
+_DOUBLE = re.compile(r"([a-z])\1\1")
+# A run of letters, digits and signs that has a letter beside a sign.
+_SIGNED = re.compile(r"(?<![^\W_])(?<![@$!|+])(?:[^\W\d_]++[0-9@$!|+]|[0-9@$!|+]++[^\W\d_])(?:[^\W_]|[@$!|+])*+")
+_LEADING, _TRAILING = re.compile(r"[\d@$!|+]+"), re.compile(r"[\d@$!|+]++\Z")
+_GAP = re.compile(r"[ ._*-]+")
 _SPACED = re.compile(r"(?<!\w)(?:[a-z0-9@$!|+][ ._*-]){3,}[a-z0-9@$!|+](?!\w)")
-_RUN = re.compile(r"\w*([a-z])\1\1\w*")
-_STRIP = " .,;:?!\"'()[]{}<>"
 
 
 def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -83,83 +88,148 @@ def costs(counts: np.ndarray) -> np.ndarray:
 
 
 def _symbol(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27
-
-
-def decode(written: str, cost: np.ndarray) -> str:
-    """The most likely intended word for a written one without separators: Viterbi over its lattice."""
+    return ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else 27
+
+
+def _readings(c: str, run: int, ends: bool, double: bool) -> list[tuple[str, float]]:
+    """What a run of one character may stand for, with its price."""
+    signs, gaps = LOOKALIKES.get(c), ("", " ") if ends else ("",)
+    if signs and run > 1:  # a sign's run is as many letters
+        return [(x + gap + y, 2 * _SIGN_COST) for x in signs for gap in gaps for y in signs]
+    if signs:
+        return [(x, _SIGN_COST) for x in signs]
+    if run == 1 or not c.isalpha():
+        return [(c * min(run, 2), 0.0)]
+    if run == 2 and not double:
+        return [(c + gap + c, 0.0) for gap in gaps]
+    # A letter's run is one letter or two.
+    return [(c, _RUN_COST), *((c + gap + c, _RUN_COST if run > 2 else 0.0) for gap in gaps)]
+
+
+def decode(
+    written: str, cost: np.ndarray | list[float], end: float | None = None, lead: int = 0, trail: int = 0, double: bool = True
+) -> str:
+    """The most likely intended word for a written one without separators: Viterbi over its lattice.
+
+    With a price ``end``, words may end (a space) between any two characters. Signs in the first
+    ``lead`` and the last ``trail`` characters may be none of the word. Without ``double``, a letter
+    written twice is meant twice. Time is linear in the length.
+    """
+    flat = cost if isinstance(cost, list) else cost.ravel().tolist()
     steps: list[list[tuple[str, float]]] = []
-    at = 0
-    while at < len(written):
-        c, end = written[at], at + 1
-        while end < len(written) and written[end] == c:
-            end += 1
-        run = end - at
-        readings = [(x, _SIGN_COST) for x in LOOKALIKES.get(c, "")] or [(c, 0.0)]
-        # A sign's run is as many letters; a letter's run of three or more is one letter or two.
-        if c.isalpha() and run > 2:
-            steps.append([(x * n, p + _RUN_COST) for x, p in readings for n in (1, 2)])
-        else:
-            steps.extend([readings] * min(run, 2))
-        at = end
-    best = {(0, 0): (0.0, "")}
-    for step in [*steps, [("", 0.0)]]:
-        new: dict = {}
-        for (a, b), (total, text) in best.items():
-            for reading, price in step:
-                x, y, sum_ = a, b, total + price
-                for z in map(_symbol, reading) if reading else (0,):
-                    sum_ += cost[x, y, z]
-                    x, y = y, z
-                if (x, y) not in new or sum_ < new[x, y][0]:
-                    new[x, y] = (sum_, text + reading)
+    for m in _RUNS.finditer(written):
+        if end is not None and steps:
+            steps.append([("", 0.0), (" ", end)])
+        readings = _readings(m[1], m.end() - m.start(), end is not None, double)
+        if m.end() <= lead or m.start() >= len(written) - trail:
+            readings = [*readings, ("", _DROP_COST)]
+        if steps and len(readings) == len(steps[-1]) == 1 and readings[0][1] == steps[-1][0][1] == 0:
+            (before, _), (more, _) = steps.pop()[0], readings[0]
+            readings = [(before + more, 0.0)]
+        steps.append(readings)
+    best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    for step in [*steps, [(" ", 0.0)]]:
+        options = [(reading, tuple(map(_symbol, reading)), price) for reading, price in step]
+        new: dict[int, tuple[float, tuple | None]] = {}
+        for state, (total, back) in best.items():
+            for reading, symbols, price in options:
+                at, sum_ = state, total + price
+                for z in symbols:
+                    gram = at * _SYMBOLS + z
+                    sum_ += flat[gram]
+                    at = gram % (_SYMBOLS * _SYMBOLS)
+                if at not in new or sum_ < new[at][0]:
+                    new[at] = (sum_, (back, reading))
         best = new
-    return min(best.values())[1]
-
-
-def _disguised(column: pa.Array) -> np.ndarray:
-    """Which texts show any trace of the channel: a quick look at all bytes."""
-    out = np.zeros(len(column), dtype=bool)
-    for row, end, data, bounds in text_chunks(column):
-        if len(data) < 3:
+    least = min(total for total, _ in best.values())
+    texts = []
+    for total, back in best.values():
+        if total == least:
+            parts = []
+            while back:
+                back, reading = back
+                parts.append(reading)
+            texts.append("".join(reversed(parts))[:-1])
+    return min(texts)
+
+
+def _wider(spaced: str, least: int) -> list[str]:
+    """The parts of a spaced run between the gaps that are wider than its least."""
+    parts, at = [], 0
+    for m in _GAP.finditer(spaced):
+        if m.end() - m.start() > least:
+            parts.append(spaced[at : m.start()])
+            at = m.end()
+    return [*parts, spaced[at:]]
+
+
+def _disguised(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts may have letters beside signs, and single characters between separators: a quick look at all bytes."""
+    signed, spaced = np.zeros(len(column), dtype=bool), np.zeros(len(column), dtype=bool)
+    for row, _, data, bounds in text_chunks(column):
+        if len(data) < 2:
             continue
-        letter, part = _LETTER[data], _SEPARATOR[data]
-        low = np.where(letter, data | 0x20, data)
-        trace = np.zeros(len(data), dtype=bool)
-        trace[:-1] |= _SIGN[data[:-1]] & letter[1:]
-        same = low[1:] == low[:-1]
-        trace[:-2] |= letter[:-2] & same[1:] & same[:-1]
-        if len(data) > 4:
-            trace[:-4] |= part[:-4] & ~part[1:-3] & part[2:-2] & ~part[3:-1] & part[4:]
-        at = np.searchsorted(bounds, np.flatnonzero(trace), "right") - 1
-        out[row + np.unique(at)] = True
-        del end
-    return out
+        letter, sign, part = _SYMBOL[data] > 0, _SIGN[data], _SEPARATOR[data]
+        for out, trace in ((signed, sign[:-1] & letter[1:] | letter[:-1] & sign[1:]), (spaced, part[:-2] & ~part[1:-1] & part[2:])):
+            at = np.searchsorted(bounds, np.flatnonzero(trace), "right") - 1
+            out[row + np.unique(at)] = True
+    return signed, spaced
 
 
 class Restorer:
     """Restored words of a text, remembering decoded spellings."""
 
     def __init__(self, cost: np.ndarray) -> None:
-        self.cost, self.known = cost, {}
-
-    def _decoded(self, written: str) -> str:
-        if written not in self.known:
+        self.cost, self.known = cost.ravel().tolist(), {}
+
+    def _kept(self, kind: str, written: str, found) -> tuple[str, ...]:
+        key = kind + written
+        if key in self.known:
+            return self.known[key]
+        words = tuple({w for text in found(written) for w in _WORD.findall(text)})
+        if len(written) <= 64:
             if len(self.known) > 100_000:
                 self.known.clear()
-            self.known[written] = decode(written, self.cost)
-        return self.known[written]
-
-    def words(self, low: str) -> set[str]:
-        """Intended words behind the disguised ones of a lower-case text."""
+            self.known[key] = words
+        return words
+
+    def _plain(self, written: str) -> list[str]:
+        return [decode(written, self.cost, double=False)]
+
+    def _signed(self, written: str) -> list[str]:
+        """Of the signs at an edge, the model chooses which are letters; and those beside the word's letters taken as letters."""
+        lead, trail = _LEADING.match(written), _TRAILING.search(written)
+        leads, trails = {0}, {0}
+        if lead:
+            run = lead[0]
+            leads = {len(run), len(run.rstrip(run[-1]))}
+        if trail:
+            run = trail[0]
+            trails = {len(run), len(run.lstrip(run[0]))}
+        doubles = {False}
+        return [decode(written, self.cost, lead=a, trail=b, double=d) for a in leads for b in trails for d in doubles]
+
+    def _spaced(self, written: str) -> list[str]:
+        """All characters as one word."""
+        doubles = {False}
+        return [decode(written, self.cost, double=d) for d in doubles]
+
+    def words(self, low: str, own: set[str], signed: bool = True, spaced: bool = True) -> set[str]:
+        """Intended words behind the disguised ones of a lower-case text with the words ``own``."""
         found = set()
-        for m in _SPACED.finditer(low):
-            found.add(self._decoded(re.sub(r"[ ._*-]", "", m.group())))
-        for pattern in (_SIGNED, _RUN):
-            for m in pattern.finditer(low):
-                word = m.group().strip(_STRIP[:-2] if m.group()[:1] in "!" else _STRIP)
-                if len(word) <= 40:
-                    found.update(_WORD.findall(self._decoded(word)))
+        if spaced:
+            for m in _SPACED.finditer(low):
+                gaps = {len(gap) for gap in _GAP.findall(m.group())}
+                parts = [m.group()] if len(gaps) == 1 else [m.group(), *_wider(m.group(), min(gaps))]
+                for part in parts:
+                    found.update(self._kept(" ", _GAP.sub("", part), self._spaced))
+        if signed:
+            for m in _SIGNED.finditer(low):
+                if len(m.group()) <= 40:
+                    found.update(self._kept("!", m.group(), self._signed))
+        for word in own:
+            if len(word) <= 40 and _DOUBLE.search(word):
+                found.update(self._kept("", word, self._plain))
         return found
 
 
@@ -171,13 +241,13 @@ def features(words: set[str]) -> set[str]:
 def text_features(texts: pd.Series, restorer: Restorer) -> Iterator[set[str]]:
     """The feature set of every whole text; a null text has none."""
     flags = _disguised(pa.array(texts, pa.large_string(), from_pandas=True))
-    for text, flag in zip(texts, flags, strict=True):
+    for text, signed, spaced in zip(texts, *flags, strict=True):
         if not isinstance(text, str):
             yield set()
             continue
         low = text.lower()
         words = set(_WORD.findall(low))
-        yield features(words | restorer.words(low) if flag else words)
+        yield features(words | restorer.words(low, words, signed, spaced))
 
 
 class Model:

@@ -110,3 +110,17 @@ def test_sparse_sites_shrink_towards_their_prior(spark):
     prior = {(r["host"], r["path"]): r["prior"] for r in found.collect()}
     assert prior["h1", "a"] > 0.8 and prior["h2", "a"] < 0.2
     assert 0.3 < prior["h1", "b"] < prior["h1", "a"] and share < prior["h3", "a"] < 0.95
+
+
+def restored(text, cost):
+    (found,) = text_features(pd.Series([text]), Restorer(cost))
+    return found
+
+
+@pytest.mark.parametrize("written, meant", [("idio7", "idiot"), ("idio+", "idiot"), ("idio7!!", "idiot"), ("1d10t!!", "idiot"), ("worthle55", "worthless"), ("worthle$$", "worthless"), ("$tupid!", "stupid")])
+def test_signs_at_the_end_are_read(cost, written, meant):
+    assert meant in restored(f"you {written} there", cost)
+
+
+def test_added_signs_are_left_out(cost):
+    assert {"walking", "garden", "river"} <= restored("w4lking7 g4rden!!! r1ver22", cost)
