@@ -55,7 +55,7 @@ _DOUBLE = re.compile(r"([a-z])\1\1")
 _SIGNED = re.compile(r"(?<![^\W_])(?<![@$!|+])(?:[^\W\d_]++[0-9@$!|+]|[0-9@$!|+]++[^\W\d_])(?:[^\W_]|[@$!|+])*+")
 _LEADING, _TRAILING = re.compile(r"[\d@$!|+]+"), re.compile(r"[\d@$!|+]++\Z")
 _GAP = re.compile(r"[ ._*-]+")
-_SPACED = re.compile(r"(?<!\w)(?:[a-z0-9@$!|+][ ._*-]){3,}[a-z0-9@$!|+](?!\w)")
+_SPACED = re.compile(r"(?<!\w)(?:[a-z0-9@$!|+][ ._*-]+){2,}[a-z0-9@$!|+](?!\w)")
 
 
 def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -210,9 +210,10 @@ class Restorer:
         return [decode(written, self.cost, lead=a, trail=b, double=d) for a in leads for b in trails for d in doubles]
 
     def _spaced(self, written: str) -> list[str]:
-        """All characters as one word."""
+        """Separators end words or do not, as the model has it at each price; and all characters, or those after the first, as one word."""
         doubles = {False}
-        return [decode(written, self.cost, double=d) for d in doubles]
+        found = [decode(written, self.cost, end=e, double=d) for e in (*_END_COSTS, None) for d in doubles]
+        return found + [decode(written[1:], self.cost, double=d) for d in doubles]
 
     def words(self, low: str, own: set[str], signed: bool = True, spaced: bool = True) -> set[str]:
         """Intended words behind the disguised ones of a lower-case text with the words ``own``."""

@@ -124,3 +124,8 @@ def test_signs_at_the_end_are_read(cost, written, meant):
 
 def test_added_signs_are_left_out(cost):
     assert {"walking", "garden", "river"} <= restored("w4lking7 g4rden!!! r1ver22", cost)
+
+
+@pytest.mark.parametrize("text, meant", [("you are a i d i o t", "idiot"), ("I s t u p i d", "stupid"), ("c l o w n i d i o t", "clown"), ("c l o w n i d i o t", "idiot"), ("i  d  i  o  t", "idiot"), ("a n d", "and"), ("t.h.e", "the"), ("you c l o w n  i d i o t", "clown")])
+def test_spaced_runs_are_split_into_words(cost, text, meant):
+    assert meant in restored(text, cost)
