@@ -50,7 +50,7 @@ _SEPARATOR[[ord(c) for c in " .-_*"]] = True
 
 _WORD = re.compile(r"[^\W\d_]+")
 _RUNS = re.compile(r"(.)\1*", re.S)
-_DOUBLE = re.compile(r"([a-z])\1\1")
+_DOUBLE = re.compile(r"([a-z])\1")
 # A run of letters, digits and signs that has a letter beside a sign.
 _SIGNED = re.compile(r"(?<![^\W_])(?<![@$!|+])(?:[^\W\d_]++[0-9@$!|+]|[0-9@$!|+]++[^\W\d_])(?:[^\W_]|[@$!|+])*+")
 _LEADING, _TRAILING = re.compile(r"[\d@$!|+]+"), re.compile(r"[\d@$!|+]++\Z")
@@ -194,7 +194,7 @@ class Restorer:
         return words
 
     def _plain(self, written: str) -> list[str]:
-        return [decode(written, self.cost, double=False)]
+        return [decode(written, self.cost)]
 
     def _signed(self, written: str) -> list[str]:
         """Of the signs at an edge, the model chooses which are letters; and those beside the word's letters taken as letters."""
@@ -206,12 +206,12 @@ class Restorer:
         if trail:
             run = trail[0]
             trails = {len(run), len(run.lstrip(run[0]))}
-        doubles = {False}
+        doubles = {False, _DOUBLE.search(written) is not None}
         return [decode(written, self.cost, lead=a, trail=b, double=d) for a in leads for b in trails for d in doubles]
 
     def _spaced(self, written: str) -> list[str]:
         """Separators end words or do not, as the model has it at each price; and all characters, or those after the first, as one word."""
-        doubles = {False}
+        doubles = {False, _DOUBLE.search(written) is not None}
         found = [decode(written, self.cost, end=e, double=d) for e in (*_END_COSTS, None) for d in doubles]
         return found + [decode(written[1:], self.cost, double=d) for d in doubles]
 
@@ -226,10 +226,9 @@ class Restorer:
                     found.update(self._kept(" ", _GAP.sub("", part), self._spaced))
         if signed:
             for m in _SIGNED.finditer(low):
-                if len(m.group()) <= 40:
-                    found.update(self._kept("!", m.group(), self._signed))
+                found.update(self._kept("!", m.group(), self._signed))
         for word in own:
-            if len(word) <= 40 and _DOUBLE.search(word):
+            if _DOUBLE.search(word):
                 found.update(self._kept("", word, self._plain))
         return found
 

@@ -129,3 +129,13 @@ def test_added_signs_are_left_out(cost):
 @pytest.mark.parametrize("text, meant", [("you are a i d i o t", "idiot"), ("I s t u p i d", "stupid"), ("c l o w n i d i o t", "clown"), ("c l o w n i d i o t", "idiot"), ("i  d  i  o  t", "idiot"), ("a n d", "and"), ("t.h.e", "the"), ("you c l o w n  i d i o t", "clown")])
 def test_spaced_runs_are_split_into_words(cost, text, meant):
     assert meant in restored(text, cost)
+
+
+@pytest.mark.parametrize("text, meant", [("i" + "d" * 60 + "iot", "idiot"), ("river/garden,walking_summer-evening/letter,w0rthle55", "worthless"), ("walking/" * 9 + "cl0wn", "clown"), ("iiddiioott", "idiot"), ("cclloowwnn", "clown"), ("1dd1oott", "idiot"), ("letter", "letter")])
+def test_long_tokens_and_double_letters(cost, text, meant):
+    assert meant in restored(text, cost)
+
+
+def test_decoding_takes_linear_time(cost):
+    assert len(decode("ab1" * 50_000, cost)) == 150_000
+    restored("1" * 200_000 + " " + "aab" * 50_000 + " " + "a b " * 20_000 + "x" + " " * 200_000 + "1a" * 20_000, cost)
