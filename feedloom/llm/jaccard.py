@@ -452,15 +452,8 @@ def _pair_groups(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     return both.join(roots, both["sig"] == roots["node"], "left").withColumn("comp", F.coalesce("root", "sig")).drop("node", "root")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """For every row of ``docs``: doc_id, n_shingles, component_id.
-
-    Documents are linked when ``100 * |A & B| >= percent * |A | B|`` holds for their sets of
-    distinct k-word n-grams; ``component_id`` is the smallest doc_id that links reach. A null or
-    empty text has an empty set and is linked with nothing. Rows that repeat a doc_id are linked by
-    their own texts; a null doc_id has part in links, and its component_id is null only if no other
-    row of the component has an identifier. An empty table gives no rows.
-    """
+def _linked_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """For every row: doc_id, sig, n, and of its component, if it has more rows: the smallest doc_id, and the first row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     own = checkpointed(classes(docs, k, percent))
     total = own.agg(F.sum("s")).first()[0] or 0
@@ -495,19 +488,55 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     more = verified_links(_pair_groups(pairs, roots), sets, percent)
     if not more.isEmpty():
         roots = components(links.union(more))
-    marked = own.join(roots, own["sig"] == roots["node"], "left").select("doc_id", "n", F.coalesce("root", "sig").alias("root"))
-    by_root = marked.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("c")).where("c > 1")
+    marked = own.join(roots, own["sig"] == roots["node"], "left").select("doc_id", "sig", "n", F.coalesce("root", "sig").alias("root"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sig"))
+    by_root = marked.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("c"), first.alias("first")).where("c > 1")
     # A group may hold a third of all rows: its rows are salted.
     salts = 16
     by_root = by_root.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     marked = marked.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    linked = marked.join(by_root, ["root", "salt"], "left")
+    return marked.join(by_root, ["root", "salt"], "left").select("doc_id", "sig", "n", "component_id", "first")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """For every row of ``docs``: doc_id, n_shingles, component_id.
+
+    Documents are linked when ``100 * |A & B| >= percent * |A | B|`` holds for their sets of
+    distinct k-word n-grams; ``component_id`` is the smallest doc_id that links reach. A null or
+    empty text has an empty set and is linked with nothing. Rows that repeat a doc_id are linked by
+    their own texts; a null doc_id has part in links, and its component_id is null only if no other
+    row of the component has an identifier. An empty table gives no rows.
+    """
+    linked = _linked_rows(docs, id_col, text_col, k, percent)
     return linked.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without those linked to a row with a smaller identifier."""
-    groups = similar_documents(docs, id_col, text_col, k, percent)
+    """The rows of ``docs`` without those linked to a row that stays: one row of each component.
+
+    That is the row with the smallest identifier, a null one only if there is no other; of several
+    rows with this identifier the one with the smallest digest of its n-grams, and of those one.
+    Rows that repeat an identifier go or stay by their own texts.
+    """
+    linked = _linked_rows(docs, id_col, text_col, k, percent).where("n > 0 and first is not null")
+    stays = F.col("doc_id").eqNullSafe(F.col("first")["doc_id"]) & (F.col("sig") == F.col("first")["sig"])
+    rows = linked.groupBy(F.col("doc_id").alias("__id"), F.col("sig").alias("__sig")).agg(F.max(stays).alias("__stays"), F.count("*").alias("__c"))
     # Stored first, so that Spark knows its size, and need not shuffle the texts if it is small.
-    dropped = staged(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
-    return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")
+    found = staged(rows.where("not __stays or __c > 1"), "dropped")
+    own = F.col(id_col).cast("long")
+    often = docs.groupBy(own.alias("__own")).count().where("count > 1")
+    if often.join(found, often["__own"].eqNullSafe(found["__id"]), "left_semi").isEmpty():
+        # No identifier of a row that goes is that of another row.
+        return docs.join(found, own.eqNullSafe(found["__id"]), "left_anti")
+
+    def signatures(texts: pd.Series) -> pd.Series:
+        return pd.Series([_signature(grams) for grams in shingle_sets(pa.array(texts, pa.string(), from_pandas=True), k)])
+
+    marked = docs.withColumn("__sig", F.pandas_udf(signatures, "binary")(F.col(text_col).cast("string")))
+    same = lambda other: own.eqNullSafe(other["__id"]) & (marked["__sig"] == other["__sig"])
+    gone, repeated = found.where("not __stays"), found.where("__stays")
+    kept = marked.join(gone, same(gone), "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, same(repeated), "left_semi").dropDuplicates([id_col, "__sig"])
+        kept = kept.join(repeated, same(repeated), "left_anti").unionByName(once)
+    return kept.select(*docs.columns)

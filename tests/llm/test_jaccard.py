@@ -113,3 +113,17 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 6)}, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20, **{100 + i: 100 for i in range(41)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_are_dropped_by_their_own_texts(documents):
+    x, y, z, q = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyzq")
+    rows = [(3, x, "a"), (5, x, "b"), (5, y, "c"), (None, z, "d"), (None, z, "e"), (7, q, "f"), (7, q, "g"), (7, q + " more", "h"), (None, q, "i"), (8, "", "j"), (8, "", "k")]
+    got = [(r["doc_id"], r["text"]) for r in drop_similar(documents(rows)).collect()]
+    assert sorted(got[i] for i in range(len(got)) if got[i][0] in (3, 5, 8)) == sorted([(3, x), (5, y), (8, ""), (8, "")])
+    assert [t for i, t in got if i is None] == [z]
+    assert len([t for i, t in got if i == 7]) == 1
+
+
+def test_a_null_identifier_among_unique_ones_goes(documents):
+    x = " ".join(f"x{i}" for i in range(40))
+    assert [r["doc_id"] for r in drop_similar(documents([(None, x, "a"), (4, x, "b"), (9, x, "c")])).collect()] == [4]
