@@ -23,7 +23,7 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 0.6, 3
+MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.6
 DEFAULT = "allow"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,7 +71,7 @@ def mined_rules(pages: DataFrame) -> DataFrame:
     baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), F.col("verdict")))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(baskets)
     rules = checkpointed(
-        model.associationRules.where(F.col("consequent")[0].startswith("verdict:") & (F.size("antecedent") <= MAX_TOKENS))
+        model.associationRules.where(F.col("consequent")[0].startswith("verdict:"))
         .where(~F.exists("antecedent", lambda x: x.startswith("verdict:")))
         .select(F.sort_array("antecedent").alias("tokens"), F.expr("substring(consequent[0], 9)").alias("says"), "confidence", "support")
     )

@@ -49,3 +49,10 @@ def test_rules_are_pruned(spark):
 def test_tokens(spark, url, some):
     got = spark.createDataFrame([(url,)], "u string").select(tokens_of(F.col("u"))).first()[0]
     assert some <= set(got) and len(got) == len(set(got)) and (some or not got)
+
+
+def test_rules_may_need_many_tokens(spark):
+    four = ["a", "b", "c", "d"]
+    rows = [(four, "block")] * 50 + [([x for x in four if x != gone], "allow") for gone in four for _ in range(100)]
+    found = mined_rules(spark.createDataFrame(rows, "tokens array<string>, verdict string")).collect()
+    assert [(tuple(r["tokens"]), r["says"]) for r in found if r["says"] == "block"] == [(tuple(four), "block")]
