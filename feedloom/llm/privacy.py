@@ -94,6 +94,9 @@ def base_spans(text: str) -> list[Span]:
 
 _TOKEN = re.compile(r"\S+")
 _CORE = " .,;:!?\"'<>[]{}"
+MIN_DIGITS = 7  # of a number that is known in any layout
+_ADDRESS = re.compile(r"[^\s@:;,<>()\[\]\"'=]+@[\w-]+(?:\.[\w-]+)*")
+_LABEL = re.compile(r"^[a-z]+[:=]")
 _HINT = re.compile(r"[0-9@]")
 
 
@@ -135,6 +138,18 @@ def _tokens(text: str) -> list[list[tuple[int, int]]]:
         at = m.end()
 
 
+def _form(core: str, groups: list[int]) -> str:
+    """A normal form that equal tokens, and numbers and addresses in other layouts, have in common."""
+    address = _ADDRESS.search(core)
+    if address:
+        return address[0]
+    bare = _LABEL.sub("", core)
+    digits = "".join(c for c in bare if c.isdigit())
+    # Not fractions and dotted quads, where the places of the marks tell numbers apart.
+    placed = "." in bare and (len(groups) == 2 or (len(groups) == 4 and max(groups) <= 3))
+    return core if len(digits) < MIN_DIGITS or placed or any(c.isalpha() for c in bare) else digits
+
+
 def _features(token: str) -> tuple[list[int], str]:
     """Active features of a token, and what alike tokens have in common."""
     core = token.strip(_CORE)
@@ -146,7 +161,7 @@ def _features(token: str) -> tuple[list[int], str]:
         "=" in core or "_" in core, len(core) > 20, digits >= 14, 10 <= digits < 14, 5 <= digits < 10, digits in (1, 2),
         digits in (3, 4), len(groups) == 4 and max(groups) <= 3, len(groups) == 2 and groups == [3, 4], core[:1].isupper(),
     ]
-    return [i for i, m in enumerate(marks) if m], core.lower()
+    return [i for i, m in enumerate(marks) if m], _form(core.lower(), groups)
 
 
 N_FEATURES = 20

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from feedloom.llm import privacy
 from feedloom.llm.privacy import KINDS, Field, N_FEATURES, all_spans, base_spans, fit_field, personal_data, personal_data_digest
 
 PATTERNS = (
@@ -99,3 +100,15 @@ def test_digest_and_replacing(documents):
         assert base == brute(text)
         assert digest[r["doc_id"]]["n_phone"] == sum(k == 3 for _, k, _ in base)
         assert not any(text[a:b] in r["clean"] for a, _, b in base)
+
+
+@pytest.mark.parametrize(
+    "one, other, same",
+    [
+        ("843-555-7672", "843.555.7672,", True), ("(843)555-7672", "tel:8435557672", True), ("A.b@x.org", "<mailto:a.b@X.org>", True),
+        ("843-555-7672", "843-555-7673", False), ("192.168.11.1", "192.168.1.11", False), ("12345.678", "1234567.8", False), ("12-3", "123", False),
+    ],
+)
+def test_repeats_in_another_layout_are_joined(one, other, same):
+    keys = [privacy._features(t)[1] for t in (one, other)]
+    assert (keys[0] == keys[1]) == same
