@@ -10,9 +10,9 @@ are numbered within their length in parallel and looked up.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,10 +26,10 @@ from feedloom.llm.common import checkpointed, running
 CAPACITY = 2048
 #: A single space between two other characters: pre-tokenising never joins what is on both sides.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
-#: Signs that some space or line break of a text is not of that kind.
-_ODD = (re.compile(r" \s"), re.compile(r"\n\s"), re.compile(r"[^\S ] "), re.compile(r"[^\S\n]\n"))
-_CACHE, _SHORT = 1_200_000, 9  # parts whose ids a worker remembers, and the length of those it keeps longest
-_MARKS = ".,"  # pre-tokenising cuts these off the letters before them
+SLICE = 1 << 18  # characters encoded at once; a longer text is cut at such a space
+_LONG_GAP = re.compile(r"\s{1000}")  # more than the quick way takes
+#: How byte-level models cut a text before merging (fixed value of the format).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def default_tokenizer() -> str:
@@ -38,65 +38,61 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_ranks(model: dict) -> dict[bytes, int] | None:
+    """The tokens of a tokenizer file as bytes, with their ids, if merging them in order of ids gives its ids.
+
+    That is so for a byte-level BPE without normalisation whose merges make tokens of rising ids.
+    """
+    bpe, cut = model.get("model") or {}, model.get("pre_tokenizer") or {}
+    plain = model.get("normalizer") is None and model.get("post_processor") is None and bpe.get("type") == "BPE"
+    plain = plain and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    if not plain or any(bpe.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return None
+    vocab = bpe["vocab"]
+    merges = [vocab.get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in bpe["merges"]]
+    if any(b <= a for a, b in zip(merges, merges[1:], strict=False)) or len(vocab) != 256 + len(merges) or (merges and merges[0] < 256):
+        return None
+    # Bytes that are no printable character of Latin-1 stand as the characters from 256 on, in order.
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    return {bytes(byte[c] for c in token): i for token, i in vocab.items()}
+
+
 class _Ids:
-    """Token ids of whole texts, as little-endian 32-bit bytes."""
+    """Token ids of whole texts, as little-endian 32-bit bytes.
+
+    A byte-level model's own vocabulary is given to the quick encoder, whose ids are the same; texts
+    that hold one of the model's added tokens or very long white space, and other models, are
+    encoded by the tokenizer itself. Nothing of a text is kept.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import tokenizers
-
-        # A worker runs many tasks: what it has encoded stays with the library's module.
-        held = vars(tokenizers).setdefault("_encoded_parts", {})
-        if path not in held:
-            held[path] = (tokenizers.Tokenizer.from_file(path), {})
-        self.model, self.known = held[path]
-        self.marks = dict(zip(_MARKS, self._encoded([*_MARKS]), strict=True))
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
-
-    def _learn(self, parts: set[str]) -> None:
-        """Encode parts, each with the space before it; words before a mark without the mark."""
-        known = self.known
-        if len(known) > _CACHE:  # what is short comes again
-            short = {k: v for k, v in known.items() if len(k) <= _SHORT}
-            known.clear()
-            if len(short) < _CACHE // 2:
-                known.update(short)
-        marked = [p for p in parts if p[-1] in _MARKS and p[-2:-1].isalpha()]
-        plain = [p for p in (parts - {*marked}) | {p[:-1] for p in marked} if p not in known]
-        known.update(zip(plain, self._encoded([p if p[0] == "\n" else " " + p for p in plain]), strict=True))
-        for p in marked:
-            known[p] = known[p[:-1]] + self.marks[p[-1]]
-
-    def of(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text: those of its first part, and of each part after it."""
-        known = self.known
-        for a in range(0, len(texts), 256):
-            split = [_parts(text) for text in texts[a : a + 256]]
-            found = [list(map(known.get, parts[1:])) for parts in split]
-            new = {p for parts, ids in zip(split, found, strict=True) if None in ids for p, i in zip(parts[1:], ids, strict=True) if i is None}
-            if new:
-                self._learn(new)
-            first = self._encoded([parts[0] for parts in split])
-            for begin, parts, ids in zip(first, split, found, strict=True):
-                if None in ids:
-                    ids = [i if i is not None else known[p] for p, i in zip(parts[1:], ids, strict=True)]
-                yield begin + b"".join(ids)
-
-
-def _parts(text: str) -> list[str]:
-    """A text cut at its single spaces, which are left out, and before its single line breaks."""
-    if text[:1].isspace() or text[-1:].isspace() or any(odd.search(text) for odd in _ODD):
-        return _BREAK.split(text)
-    out: list[str] = []
-    for line in text.split("\n"):
-        at = len(out)
-        out += line.split(" ")
-        if at:
-            out[at] = "\n" + out[at]
-    return out
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        self.added = [t["content"] for t in described.get("added_tokens") or []]
+        ranks = _byte_ranks(described)
+        self.quick = None
+        if ranks is not None:
+            import tiktoken
+
+            self.quick = tiktoken.Encoding("model", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def of(self, text: str) -> bytes:
+        if self.quick is None or any(t in text for t in self.added) or _LONG_GAP.search(text):
+            return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if len(text) <= SLICE:
+            return np.array(self.quick.encode_ordinary(text), dtype="<u4").tobytes()
+        out, at = [], 0
+        while at < len(text):
+            cut = _BREAK.search(text, at + SLICE)
+            end = cut.start() if cut else len(text)
+            out.append(np.array(self.quick.encode_ordinary(text[at:end]), dtype="<u4").tobytes())
+            at = end
+        return b"".join(out)
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
@@ -107,9 +103,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
         stop = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            texts = [x.as_py() or "" for x in batch.column(1)]
-            for doc, tokens in zip(batch.column(0).to_pylist(), ids.of(texts), strict=True):
-                tokens += stop
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                tokens = ids.of(text.as_py() or "") + stop
                 n, start, piece = len(tokens) // 4, 0, 0
                 size = (n - 1) % capacity + 1
                 while start < n:

@@ -144,3 +144,38 @@ def test_pieces_are_the_tokens(documents, odd, clashing):
     assert max(at.values()) <= 256
     assert pack(clashing(odd)).where("piece = 0").count() == odd.count()
     assert pack(odd.limit(0)).count() == 0
+
+
+def test_quick_ids_are_the_tokenizers(monkeypatch):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from tokenizers import Tokenizer
+
+    from feedloom.llm import packing
+
+    model, quick = Tokenizer.from_file(default_tokenizer()), packing._Ids(default_tokenizer())
+    assert quick.quick is not None
+    monkeypatch.setattr(packing, "SLICE", 7)
+    own = lambda t: np.frombuffer(quick.of(t), "<u4").tolist()
+    odd = st.text(st.sampled_from("aZé 9\n\t'.,-<|>\u00a0\u3000\u200b漢🙂\x00\x1cİß's"), max_size=60)
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.one_of(odd, st.text(max_size=40)))
+    def same(text):
+        assert own(text) == model.encode(text, add_special_tokens=False).ids
+
+    same()
+    for text in ("<|endoftext|> a", " " * 30_000, "\n" * 30_000 + "x", "a" * 30_000, "x y " * 9_000, "'s" * 500):
+        assert own(text) == model.encode(text, add_special_tokens=False).ids
+
+
+def test_other_models_are_read_by_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from feedloom.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = packing._Ids(path)
+    assert ids.quick is None
+    assert np.frombuffer(ids.of("Some Words, more."), "<u4").tolist() == Tokenizer.from_file(path).encode("Some Words, more.", add_special_tokens=False).ids
