@@ -95,7 +95,9 @@ def base_spans(text: str) -> list[Span]:
 _TOKEN = re.compile(r"\S+")
 _CORE = " .,;:!?\"'<>[]{}"
 MIN_DIGITS = 7  # of a number that is known in any layout
-_ADDRESS = re.compile(r"[^\s@:;,<>()\[\]\"'=]+@[\w-]+(?:\.[\w-]+)*")
+_NAME = r"[^\s@:;,<>()\[\]\"'=]"  # of an address, before its @
+_AT = re.compile(rf"(?<={_NAME})@[\w-]+(?:\.[\w-]+)*")
+_BACK = re.compile(rf"{_NAME}+")
 _LABEL = re.compile(r"^[a-z]+[:=]")
 _HINT = re.compile(r"[0-9@]")
 
@@ -140,9 +142,9 @@ def _tokens(text: str) -> list[list[tuple[int, int]]]:
 
 def _form(core: str, groups: list[int]) -> str:
     """A normal form that equal tokens, and numbers and addresses in other layouts, have in common."""
-    address = _ADDRESS.search(core)
-    if address:
-        return address[0]
+    at = _AT.search(core)
+    if at:
+        return _BACK.match(core[: at.start()][::-1])[0][::-1] + at[0]
     bare = _LABEL.sub("", core)
     digits = "".join(c for c in bare if c.isdigit())
     # Not fractions and dotted quads, where the places of the marks tell numbers apart.
@@ -224,7 +226,8 @@ class Field:
         evidence[fixed > 0] = -50.0
         evidence[fixed > 0, fixed[fixed > 0]] = 0.0
         score = score + evidence
-        groups = np.unique(np.array(alike, dtype=object).astype(str), return_inverse=True)[1]
+        numbers: dict[str, int] = {}
+        groups = np.array([numbers.setdefault(form, len(numbers)) for form in alike])
         skips = np.zeros_like(score)
         shared = np.bincount(groups)[groups] > 1
         for _ in range(ROUNDS if shared.any() else 1):

@@ -112,3 +112,26 @@ def test_digest_and_replacing(documents):
 def test_repeats_in_another_layout_are_joined(one, other, same):
     keys = [privacy._features(t)[1] for t in (one, other)]
     assert (keys[0] == keys[1]) == same
+
+
+@pytest.mark.parametrize("token", ["QUJD" * 250_000 + "9", "a" * 1_000_000 + ";9@x.org", "data:image/png;base64," + "iVBOR9" * 170_000])
+def test_a_long_token_among_many_small_ones(token):
+    import time
+    import tracemalloc
+
+    text = " ".join([*(f"w{i % 400} t{i}" for i in range(5_000)), token, "call +1 (843) 555-7672 today"])
+    field = fit_field(TEXTS)
+    begun = time.perf_counter()
+    tracemalloc.start()
+    spans = all_spans(text, base_spans(text), field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert any(KINDS[k] == "phone" and text[a:b] == "+1 (843) 555-7672" for a, k, b in spans)
+    assert peak < 300 << 20 and time.perf_counter() - begun < 60
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab.-@;:=<é ", max_size=30))
+def test_the_form_of_an_address(core):
+    found = re.search(r"[^\s@:;,<>()\[\]\"'=]+@[\w-]+(?:\.[\w-]+)*", core)
+    assert privacy._form(core, []) == (found[0] if found else core)
