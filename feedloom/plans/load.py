@@ -7,6 +7,7 @@ A merge into a partitioned table rewrites only the partitions the source touches
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import uuid
 from dataclasses import dataclass, replace
@@ -33,6 +34,9 @@ OUTCOME = "__outcome"
 OVERWRITE_MODE = "partitionOverwriteMode"
 # Table properties: the folder of the rows, and the one it replaced.
 FOLDER, REPLACED = "feedloom.folder", "feedloom.replaced"
+# Folders beside the rows, which scans pass over: names of loaded batches, and rows of one on their way.
+BATCHES, ARRIVING = "_batches", "_arriving"
+KEPT_BATCHES = 64  # names that a replaced folder hands on, the newest
 # Fixed value: how a partition folder names NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -56,12 +60,18 @@ def load(
     root: str,
     schema: T.StructType | None = None,
     unique: bool = False,
+    batch: str | None = None,
 ) -> LoadResult:
     """Load ``data`` into ``spec.target``, a catalog table kept below ``root``.
 
     The rows of ``spec.query`` replace ``data`` when it is given. ``schema`` is what
     a missing table is created with; for a query all its columns are text then. ``unique`` says the keys of ``data`` are known
     to be unique, which saves the check a merge needs.
+
+    With a name in ``batch`` the rows are loaded once: a load of a name that is known adds nothing.
+    The name becomes known together with the rows, when rows are appended or a folder is replaced, whatever
+    else changes the table and wherever a run breaks off. Merging into partitions comes before its
+    name; such a merge, when repeated, gives the same rows, but for those with a NULL key.
     """
     mode = spec.mode.strip().lower()
     if mode not in LOAD_TYPES:
@@ -77,11 +87,13 @@ def load(
         create_table(spark, spec, schema or data.schema, root)
     spec = _as_partitioned(spark, spec)
     before = spark.table(spec.target).count() if exists else 0
+    if batch and is_loaded(spark, spec.target, batch):
+        return LoadResult(spec.target, before, before, inserted=0)
     if mode in ("full", "bulk"):
-        return _replace_all(spark, spec, data, root, before)
+        return _replace_all(spark, spec, data, root, before, batch)
     if mode == "append":
-        return _append(spark, spec, data, exists, before)
-    return _merge(spark, spec, data, root, exists, before, unique)
+        return _append(spark, spec, data, exists, before, batch)
+    return _merge(spark, spec, data, root, exists, before, unique, batch)
 
 
 def _as_partitioned(spark: SparkSession, spec: LoadSpec) -> LoadSpec:
@@ -146,16 +158,74 @@ def conform(data: DataFrame, target: DataFrame) -> DataFrame:
     return data.select(*columns)
 
 
-def _replace_all(spark: SparkSession, spec: LoadSpec, data: DataFrame, root: str, before: int) -> LoadResult:
-    publish(spark, spec, conform(data, spark.table(spec.target)), root)
+class _Folder:
+    """Files of a folder that Spark reaches, as far as loads move them about."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.of = spark._jvm.org.apache.hadoop.fs.Path
+        self.path = self.of(path)
+        self.files = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self.of(self.path, name)
+
+    def names(self, below: str) -> list[str]:
+        """Names of a subfolder's files, the oldest first; none if it is not there."""
+        at = self._at(below)
+        found = self.files.listStatus(at) if self.files.exists(at) else []
+        return [p.getPath().getName() for p in sorted(found, key=lambda p: (p.getModificationTime(), p.getPath().getName()))]
+
+    def below(self, name: str) -> list[str]:
+        """Paths of all data files below a subfolder, relative to it."""
+        root, out = self.files.makeQualified(self._at(name)).toString().rstrip("/"), []
+        walk = self.files.listFiles(self._at(name), True)
+        while walk.hasNext():
+            path = walk.next().getPath()
+            if path.getName()[0] not in "._":
+                out.append(path.toString()[len(root) + 1 :])
+        return sorted(out)
+
+    def has(self, name: str) -> bool:
+        return self.files.exists(self._at(name))
+
+    def touch(self, name: str) -> None:
+        self.files.create(self._at(name), True).close()
+
+    def move(self, name: str, to: str) -> None:
+        target = self._at(to)
+        self.files.mkdirs(target.getParent())
+        if not self.files.rename(self._at(name), target):
+            raise OSError(f"{name} was not moved to {to} in {self.path}")
+
+    def remove(self, name: str) -> None:
+        self.files.delete(self._at(name), True)
+
+
+def _table_folder(spark: SparkSession, table: str) -> _Folder:
+    known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return _Folder(spark, known[FOLDER])
+
+
+def _file_name(batch: str) -> str:
+    return hashlib.sha256(batch.encode()).hexdigest()[:40]
+
+
+def is_loaded(spark: SparkSession, table: str, batch: str) -> bool:
+    """Whether the table holds the rows of a batch of that name."""
+    return _table_folder(spark, table).has(f"{BATCHES}/{_file_name(batch)}")
+
+
+def _replace_all(spark: SparkSession, spec: LoadSpec, data: DataFrame, root: str, before: int, batch: str | None) -> LoadResult:
+    publish(spark, spec, conform(data, spark.table(spec.target)), root, batch)
     written = spark.table(spec.target).count()
     return LoadResult(spec.target, before, written, inserted=written, deleted=before)
 
 
-def publish(spark: SparkSession, spec: LoadSpec, rows: DataFrame, root: str) -> None:
+def publish(spark: SparkSession, spec: LoadSpec, rows: DataFrame, root: str, batch: str | None = None) -> None:
     """Write the rows to a new folder, then make it the table's content.
 
-    The folder replaced stays for those still reading it; the one before it goes.
+    The folder replaced stays for those still reading it; the one before it goes. The names of
+    loaded batches lie in the folder, so that they and the rows become the table's at once.
     """
     folder = _new_folder(spec.target, root)
     known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {spec.target}").collect()}
@@ -165,6 +235,9 @@ def publish(spark: SparkSession, spec: LoadSpec, rows: DataFrame, root: str) ->
         _repoint(spark, spec, folder)
     else:
         rows.write.mode("overwrite").parquet(folder)
+    names = [*_Folder(spark, old).names(BATCHES)[-KEPT_BATCHES:]] if old else []
+    for name in [*names, *([_file_name(batch)] if batch else [])]:
+        _Folder(spark, folder).touch(f"{BATCHES}/{name}")
     spark.sql(f"ALTER TABLE {spec.target} SET LOCATION '{folder}'")
     spark.sql(f"ALTER TABLE {spec.target} SET TBLPROPERTIES ('{FOLDER}' = '{folder}', '{REPLACED}' = '{old}')")
     spark.catalog.refreshTable(spec.target)
@@ -230,7 +303,7 @@ def _by_partition(rows: DataFrame, spec: LoadSpec) -> DataFrame:
     return rows.hint("rebalance", *[F.col(quoted(p)) for p in spec.partition_by])
 
 
-def _append(spark: SparkSession, spec: LoadSpec, data: DataFrame, exists: bool, before: int) -> LoadResult:
+def _append(spark: SparkSession, spec: LoadSpec, data: DataFrame, exists: bool, before: int, batch: str | None) -> LoadResult:
     target = spark.table(spec.target)
     fresh = data
     if spec.watermark and exists:
@@ -238,11 +311,37 @@ def _append(spark: SparkSession, spec: LoadSpec, data: DataFrame, exists: bool,
     rows = conform(fresh, target)
     if spec.partition_by:
         rows = _by_partition(rows, spec)
-    rows.write.insertInto(spec.target)
+    if batch:
+        _append_once(spark, spec, rows, _file_name(batch))
+    else:
+        rows.write.insertInto(spec.target)
     after = spark.table(spec.target).count()
     return LoadResult(spec.target, before, after, inserted=after - before)
 
 
+def _append_once(spark: SparkSession, spec: LoadSpec, rows: DataFrame, name: str) -> None:
+    """Add rows under names that a repeated load of the batch would give them again.
+
+    The rows are written whole beside the table's, then moved into place file by file, and last the
+    batch's name is put down. A load that breaks off in between is gone on with where it stopped: what was
+    written is not written again, and what was moved is no longer there to be moved.
+    """
+    folder = _table_folder(spark, spec.target)
+    arriving = f"{ARRIVING}/{name}"
+    if not folder.has(f"{arriving}/_SUCCESS"):
+        writer = rows.write.mode("overwrite")
+        writer = writer.partitionBy(*spec.partition_by) if spec.partition_by else writer
+        writer.parquet(f"{folder.path.toString()}/{arriving}")
+    for path in folder.below(arriving):
+        part, _, file = path.rpartition("/")
+        folder.move(f"{arriving}/{path}", f"{part}/{name}-{file}" if part else f"{name}-{file}")
+    if spec.partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {spec.target} ADD PARTITIONS")
+    folder.touch(f"{BATCHES}/{name}")
+    folder.remove(arriving)
+    spark.catalog.refreshTable(spec.target)
+
+
 def stage(spark: SparkSession, rows: DataFrame, path: str | None = None) -> DataFrame:
     """Write rows to a shared folder and read them back: computed once, lineage cut."""
     folder = path or shared_folder(spark, "stage")
@@ -271,6 +370,7 @@ def _merge(
     exists: bool,
     before: int,
     unique: bool,
+    batch: str | None,
 ) -> LoadResult:
     if not spec.keys:
         raise ValueError("an incremental load needs keys")
@@ -282,13 +382,13 @@ def _merge(
     try:
         if staged.isEmpty():
             return LoadResult(spec.target, before, before, inserted=0)
-        return _merge_staged(spark, spec, staged, root, before, unique)
+        return _merge_staged(spark, spec, staged, root, before, unique, batch)
     finally:
         remove_folder(spark, folder)
 
 
 def _merge_staged(
-    spark: SparkSession, spec: LoadSpec, staged: DataFrame, root: str, before: int, unique: bool
+    spark: SparkSession, spec: LoadSpec, staged: DataFrame, root: str, before: int, unique: bool, batch: str | None
 ) -> LoadResult:
     target = spark.table(spec.target)
     if not unique and not repeated_keys(staged, spec.keys).isEmpty():
@@ -306,8 +406,10 @@ def _merge_staged(
     rows = merged.drop(OUTCOME)
     if scoped:
         _by_partition(rows, spec).write.mode("overwrite").insertInto(spec.target)
+        if batch:
+            _table_folder(spark, spec.target).touch(f"{BATCHES}/{_file_name(batch)}")
     else:
-        publish(spark, spec, rows, root)
+        publish(spark, spec, rows, root, batch)
     counts = seen.get
     return LoadResult(
         spec.target, before, before + counts["inserted"], counts["inserted"], counts["updated"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,13 +30,11 @@ def local_session(cores: str = "8", partitions: int = 8, **conf: str) -> SparkSe
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would not be seen by the other executors.
+    A session without that setting uses a folder of its warehouse, which holds tables and so is
+    shared as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="feedloom-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_feedloom"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/feedloom/{purpose}-{uuid.uuid4().hex}"

@@ -22,8 +22,8 @@ from feedloom.specs import FeedSpec
 def load_landed(spark: SparkSession, spec: FeedSpec, root: str, checkpoint: str) -> StreamingQuery:
     """Load the files below the feed's path that were not loaded before.
 
-    A batch is loaded once, also when a run breaks off between its load and its commit
-    and the next one gives it again. Spark archives a file when a later batch is committed, so the files of the last
+    A batch is loaded once, under a name that the table keeps together with its rows, also when a run
+    breaks off at any place and the next one gives the batch again. Spark archives a file when a later batch is committed, so the files of the last
     batch move on the next run. ``checkpoint`` must be a shared folder that is kept.
     """
 
@@ -37,34 +37,13 @@ def load_landed(spark: SparkSession, spec: FeedSpec, root: str, checkpoint: str)
         schema = shaped.schema if spec.rules else target_schema(spec.mappings, spec.legacy_types)
         if not own.catalog.tableExists(spec.load.target):
             create_table(own, spec.load, schema, root)
-        if not _is_loaded(own, spec.load.target, name, batch_id):
-            _record(own, spec.load.target, name, f"{batch_id}:{own.table(spec.load.target).count()}")
-            load(own, spec.load, shaped, root, schema)
-            _record(own, spec.load.target, name, f"{batch_id}:done")
+        load(own, spec.load, shaped, root, schema, batch=f"{name}:{batch_id}")
         spark.catalog.refreshTable(spec.load.target)
 
     stream = landed_files(spark, spec).writeStream.foreachBatch(load_batch)
     return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _is_loaded(spark: SparkSession, table: str, name: str, batch_id: int) -> bool:
-    """Whether the table already holds a batch that the stream gives again after a crash.
-
-    A batch is recorded with the table's row count before its load, and again when
-    done. An append is one commit of files: if the count has changed since, it was done.
-    """
-    known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    batch, _, state = known.get(name, "-1:").partition(":")
-    if int(batch) != batch_id:
-        return int(batch) > batch_id
-    spark.catalog.refreshTable(table)
-    return state == "done" or int(state) != spark.table(table).count()
-
-
-def _record(spark: SparkSession, table: str, name: str, state: str) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{state}')")
-
-
 def landed_files(spark: SparkSession, spec: FeedSpec) -> DataFrame:
     """Separated text below the feed's path as a stream of text columns.
 
