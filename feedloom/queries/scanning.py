@@ -68,6 +68,19 @@ def psv_roundtrip(spark, sf_dir):
     return _round_trip(spark, sf_dir, "|")
 
 
+@register("SELECT CAST(item_id AS VARCHAR) AS item, trim(line) AS line FROM ("
+          "SELECT item_id, unnest(string_split(replace(text, '. ', '.' || chr(10)), chr(10))) AS line FROM benchmark)"
+          " WHERE trim(line) <> ''")
+def csv_quoted_lines(spark, sf_dir):
+    """Cells of several lines in one large file, cut into records by many tasks."""
+    path = shared_folder(spark, "quoted")
+    lines = F.regexp_replace("text", r"\. ", ".\n")
+    table(spark, sf_dir, "benchmark").select("item_id", lines.alias("text")).coalesce(1).write.csv(path, header=True, escape='"')
+    found = scan_delimited(spark, path, ReadOptions(pattern="*.csv", missing_words=()))
+    line = F.explode(F.split("text", "\n"))
+    return found.select(F.col("item_id").alias("item"), line.alias("line")).select("item", F.trim("line").alias("line")).where("line <> ''")
+
+
 @register(
     """
     SELECT p_partkey AS id, p_name AS name FROM part

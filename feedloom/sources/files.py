@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.project import quoted
+from feedloom.sources.quoted import scan_quoted
 from feedloom.specs import ReadOptions
 
 
@@ -32,9 +33,9 @@ def scan_delimited(
 
     Files are looked at one by one, in one parallel pass over the lines. Those whose
     headers differ, in order or in names, are read each by its own header and put
-    together by name; a column that a file lacks is NULL there. A file with quoted
-    line breaks takes one task, while Spark splits large files without them;
-    ``multiline`` in the options says it for all. With ``columns`` the header, if
+    together by name; a column that a file lacks is NULL there. Files with quoted
+    line breaks are cut into records part by part (see ``quoted``), the others are split by
+    Spark; ``multiline`` in the options says it for all. With ``columns`` the header, if
     any, is checked against them, and files whose columns are in another order fail.
     """
     options = options or ReadOptions()
@@ -42,19 +43,22 @@ def scan_delimited(
     if columns:
         if options.multiline is None:
             options = replace(options, multiline=has_quoted_breaks(spark, path, options))
+        if options.multiline:
+            return blank_out(scan_quoted(spark, reader.text(path).inputFiles(), options, columns), options.missing_words)
         reader = reader.schema(", ".join(f"{quoted(c)} string" for c in columns))
         reader = reader.option("enforceSchema", "false").options(**options.to_spark())
         return blank_out(reader.csv(path), options.missing_words)
     files = reader.text(path).inputFiles()
-    if options.multiline is not None and (len(files) < 2 or not options.header):
+    if options.multiline is False and (len(files) < 2 or not options.header):
         return blank_out(reader.options(**options.to_spark()).csv(path), options.missing_words)
     groups = _layouts(spark, path, options)
-    if len(groups) <= 1:
-        (_, broken), _ = next(iter(groups.items()), ((None, False), []))
-        options = replace(options, multiline=broken)
+    if len(groups) <= 1 and not any(broken for _, broken in groups):
+        options = replace(options, multiline=False)
         return blank_out(reader.options(**options.to_spark()).csv(path), options.missing_words)
     frames = [
-        spark.read.options(**replace(options, multiline=broken).to_spark()).csv(names)
+        scan_quoted(spark, names, options)
+        if broken
+        else spark.read.options(**replace(options, multiline=False).to_spark()).csv(names)
         for (_, broken), names in groups.items()
     ]
     return blank_out(union_by_name(frames), options.missing_words)
