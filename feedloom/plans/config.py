@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.layout import parse_layout
 from feedloom.operators.metadata import (
     resolve_mappings,
     resolve_pipelines,
@@ -130,6 +131,7 @@ def _feed(
             row.get("WATERMARKCOLUMN") or row.get("WATERMARK_COLUMN"),
             row.get("CUSTOMQUERY"),
             split_keys(options.get("partition_by")),
+            tuple(str(b) for b in parse_layout(options.get("layout"))),
         ),
         rules=tuple(_rule(r, i) for i, r in enumerate(rules)),
         layer=row["LAYER"].strip().lower(),

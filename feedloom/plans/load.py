@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from feedloom.functions.casts import lenient_cast
 from feedloom.functions.predicates import any_null
 from feedloom.operators.checks import LOAD_TYPES
+from feedloom.operators.layout import Bucketing, laid_out, parse_layout, with_fields, without_layout
 from feedloom.operators.merge import INSERT, UPDATE, merge, repeated_keys, typed
 from feedloom.operators.project import quoted
 from feedloom.operators.watermark import above_target
@@ -32,8 +33,8 @@ log = logging.getLogger(__name__)
 OUTCOME = "__outcome"
 # Table option that lets an overwrite replace only the partitions it has rows for.
 OVERWRITE_MODE = "partitionOverwriteMode"
-# Table properties: the folder of the rows, and the one it replaced.
-FOLDER, REPLACED = "feedloom.folder", "feedloom.replaced"
+# Table properties: the folder of the rows, the one it replaced, and the layout.
+FOLDER, REPLACED, LAYOUT = "feedloom.folder", "feedloom.replaced", "feedloom.layout"
 # Folders beside the rows, which scans pass over: names of loaded batches, and rows of one on their way.
 BATCHES, ARRIVING = "_batches", "_arriving"
 KEPT_BATCHES = 64  # names that a replaced folder hands on, the newest
@@ -64,7 +65,8 @@ def load(
 ) -> LoadResult:
     """Load ``data`` into ``spec.target``, a catalog table kept below ``root``.
 
-    The rows of ``spec.query`` replace ``data`` when it is given. ``schema`` is what
+    With a layout, given when the table is created, merges open and rewrite only the buckets that
+    the source's keys fall into; ``table_rows`` leaves its columns out. The rows of ``spec.query`` replace ``data`` when it is given. ``schema`` is what
     a missing table is created with; for a query all its columns are text then. ``unique`` says the keys of ``data`` are known
     to be unique, which saves the check a merge needs.
 
@@ -85,7 +87,11 @@ def load(
     exists = spark.catalog.tableExists(spec.target)
     if not exists:
         create_table(spark, spec, schema or data.schema, root)
-    spec = _as_partitioned(spark, spec)
+    spec, layout = _as_partitioned(spark, spec)
+    if layout:
+        data = laid_out(data, spark.table(spec.target).schema, layout)
+        unique_by = {k.lower() for k in spec.keys}
+        spec = replace(spec, keys=spec.keys + tuple(b.name for b in layout if b.column.lower() in unique_by))
     before = spark.table(spec.target).count() if exists else 0
     if batch and is_loaded(spark, spec.target, batch):
         return LoadResult(spec.target, before, before, inserted=0)
@@ -96,16 +102,35 @@ def load(
     return _merge(spark, spec, data, root, exists, before, unique, batch)
 
 
-def _as_partitioned(spark: SparkSession, spec: LoadSpec) -> LoadSpec:
-    """The spec with the partition columns that the table has."""
+def _as_partitioned(spark: SparkSession, spec: LoadSpec) -> tuple[LoadSpec, tuple[Bucketing, ...]]:
+    """The spec with the partition columns that the table has, those of its layout among them."""
     actual = tuple(c.name for c in spark.catalog.listColumns(spec.target) if c.isPartition)
-    if spec.partition_by and [p.lower() for p in spec.partition_by] != [p.lower() for p in actual]:
+    layout = table_layout(spark, spec.target)
+    asked = parse_layout(spec.layout)
+    if asked and asked != layout:
+        raise ValueError(f"{spec.target} is laid out by {[str(b) for b in layout]}, not by {list(spec.layout)}")
+    plain = [p.lower() for p in actual if p not in {b.name for b in layout}]
+    if spec.partition_by and [p.lower() for p in spec.partition_by] != plain:
         raise ValueError(f"{spec.target} is partitioned by {actual}, not by {spec.partition_by}")
-    return replace(spec, partition_by=actual)
+    return replace(spec, partition_by=actual), layout
+
+
+def table_layout(spark: SparkSession, table: str) -> tuple[Bucketing, ...]:
+    """The layout a table was created with."""
+    known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return parse_layout(known.get(LAYOUT))
+
+
+def table_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table without the columns of its layout."""
+    return without_layout(spark.table(table), table_layout(spark, table))
 
 
 def create_table(spark: SparkSession, spec: LoadSpec, schema: T.StructType, root: str) -> None:
     """An empty external Parquet table; partition columns come last, as Spark stores them."""
+    layout = parse_layout(spec.layout)
+    schema = with_fields(schema, layout)
+    spec = replace(spec, partition_by=spec.partition_by + tuple(b.name for b in layout))
     parts = {p.lower() for p in spec.partition_by}
     ordered = sorted(schema.fields, key=lambda f: f.name.lower() in parts)
     _declare(spark, spec, T.StructType(ordered), _new_folder(spec.target, root))
@@ -120,7 +145,7 @@ def _declare(
     if spec.partition_by:
         names = ", ".join(quoted(p) for p in spec.partition_by)
         by = f"OPTIONS ({OVERWRITE_MODE} 'dynamic') PARTITIONED BY ({names})"
-    kept = f"TBLPROPERTIES ('{FOLDER}' = '{folder}', '{REPLACED}' = '{replaced}')"
+    kept = f"TBLPROPERTIES ('{FOLDER}' = '{folder}', '{REPLACED}' = '{replaced}', '{LAYOUT}' = '{'; '.join(spec.layout)}')"
     spark.sql(f"CREATE TABLE {spec.target} ({columns}) USING parquet {by} LOCATION '{folder}' {kept}")
 
 

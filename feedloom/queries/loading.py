@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.operators.dedupe import keep_latest
 from feedloom.operators.merge import merge, merge_counts
 from feedloom.operators.watermark import after_mark, high_water_mark
+from feedloom.operators.layout import parse_layout, without_layout
 from feedloom.plans.load import load, stage, staging_copy
 from feedloom.queries import register, table
 from feedloom.session import shared_folder
@@ -107,6 +108,16 @@ def incremental_load_orders(spark, sf_dir):
     return run_loads(spark, ({"mode": "full"}, target), (step, source), (step, source))
 
 
+@register(MERGED_ORDERS)
+def incremental_load_bucketed(spark, sf_dir):
+    """The same into a table laid out by ranges of its key: buckets that no source key falls into stay as they are."""
+    target, source = _merge_inputs(spark, sf_dir)
+    layout = ("truncate(20000, o_orderkey)",)
+    step = {"mode": "incremental", "keys": ("o_orderkey",)}
+    done = run_loads(spark, ({"mode": "full", "layout": layout}, target), (step, source), (step, source))
+    return without_layout(done, parse_layout(layout))
+
+
 @register(
     """
     WITH latest AS (

@@ -173,6 +173,7 @@ class LoadSpec:
     watermark: str | None = None
     query: str | None = None
     partition_by: tuple[str, ...] = ()
+    layout: tuple[str, ...] = ()  # such as bucket(64, id) or truncate(100000, id)
 
     def custom_query(self) -> str | None:
         text = (self.query or "").strip()
