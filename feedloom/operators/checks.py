@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.predicates import is_active, is_blank
 from feedloom.operators.project import quoted
-from feedloom.session import shared_folder
+from feedloom.session import checkpointed
 
 # Message texts, the required fields of each configuration table, and
 # the load types, layers and source kinds that are known.
@@ -140,7 +140,7 @@ def validate_config(config: Mapping[str, DataFrame], requested: DataFrame | None
     Messages then pass along references, from the row they are about to whatever
     refers to it, up to the pipelines.
     """
-    facts = _kept(reduce(DataFrame.unionByName, [_facts(config[t], t, *LINKS[t]) for t in LINKS]))
+    facts = checkpointed(reduce(DataFrame.unionByName, [_facts(config[t], t, *LINKS[t]) for t in LINKS]))
     own = facts.filter("message IS NOT NULL").select("owner_table", "owner_id", "message")
     uses = facts.filter("ref_id IS NOT NULL").select("owner_table", "owner_id", "ref_table", "ref_id")
     found = own
@@ -205,13 +205,5 @@ def _facts(df: DataFrame, table: str, key: str, links: Sequence[tuple[str, str]]
     return df.select(F.inline(F.array_compact(F.array(*out)))).distinct()
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """The rows computed once, in the folder that all executors share; Spark removes them after use."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
-    return df.checkpoint()
-
-
 def _id(column: str) -> Column:
     return F.col(quoted(column)).cast("string")

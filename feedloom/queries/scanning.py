@@ -164,6 +164,26 @@ def paged_envelope(spark, sf_dir):
     return scan_pages(spark, path, ["RecordId", "Name", "MktSegment", "absent"])
 
 
+@register(
+    """
+    SELECT o_orderkey AS id, CAST(o_totalprice AS DOUBLE) AS price, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE o_orderstatus END AS mixed,
+           CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS priority, CAST(NULL AS VARCHAR) AS nothing
+    FROM orders
+    """
+)
+def json_types_found(spark, sf_dir):
+    """JSON lines without a declared schema: read and parsed once, types found from the parsed rows."""
+    path = shared_folder(spark, "lines")
+    fields = (
+        F.lit('{"id":'), F.col("o_orderkey"), F.lit(',"mixed":'),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey").cast("string")).otherwise(F.concat(F.lit('"'), "o_orderstatus", F.lit('"'))),
+        F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit(',"priority":"'), "o_orderpriority", F.lit('"'))).otherwise(""),
+        F.lit(',"nothing":null,"none":{},"price":'), F.col("o_totalprice").cast("decimal(18,2)"), F.lit("}"),
+    )
+    table(spark, sf_dir, "orders").select(F.concat(*fields)).write.text(path)
+    return scan_json(spark, path).select("id", "price", "mixed", "priority", "nothing")
+
+
 @register(
     """
     SELECT p_partkey AS id, p_name AS name, p_size AS size, part AS part

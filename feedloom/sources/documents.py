@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions.predicates import is_blank
 from feedloom.operators.project import quoted
+from feedloom.session import checkpointed
 from feedloom.sources.files import file_reader, union_by_name
 from feedloom.specs import ReadOptions
 
@@ -33,8 +35,9 @@ def scan_json(
     """JSON files: an object or an array of objects per line, or per file if ``multiline``.
 
     When ``multiline`` is not given it is found out for each file, so that both kinds
-    may lie in one folder. Text that is not JSON is an error. Give a schema at scale: without one Spark reads the data twice, once to
-    find the types.
+    may lie in one folder. Text that is not JSON is an error. Without a schema the lines are read and
+    parsed once and kept in parsed form, of which the types are found and the columns taken; only
+    files of one document, and lines that this does not take, are read by Spark's own inference.
     """
     options = options or ReadOptions()
 
@@ -42,6 +45,11 @@ def scan_json(
         reader = reader.option("multiLine", str(whole).lower()).option("mode", "FAILFAST")
         return (reader.schema(schema) if schema else reader).json(paths)
 
+    if schema is None and not multiline:
+        lines = file_reader(spark, options).text(path)
+        found = parsed_once(lines.filter(~is_blank(F.col("value"))))
+        if found is not None:
+            return found
     if multiline is not None:
         return read(path, file_reader(spark, options), multiline)
     whole, lines = _layouts(spark, path, options)
@@ -51,6 +59,60 @@ def scan_json(
     return union_by_name([read(lines, spark.read, False), read(whole, spark.read, True)])
 
 
+def parsed_once(texts: DataFrame, skip: bool = False) -> DataFrame | None:
+    """Rows of JSON texts (value), objects and the elements of arrays, in columns of the types found.
+
+    The texts are parsed once and kept in parsed form below ``spark.checkpoint.dir``. Types are those that
+    Spark's inference finds: fractions are doubles, columns of several kinds and of nulls only are
+    text, objects without fields are left out; but an empty text is text, also beside numbers. None when a text is not JSON, holds a key
+    twice, or anything but objects, unless ``skip`` leaves out what is not JSON.
+    """
+    value = F.col("value")
+    parsed = F.try_parse_json(value)
+    many = F.ltrim(value, F.lit(" \t\r\n")).startswith("[")
+    # A text that is not taken by this parser may still be JSON, with a key that comes twice.
+    odd = F.get_json_object(value, "$").isNotNull() if skip else F.lit(True)
+    rows = texts.select(
+        (parsed.isNull() & odd).alias("bad"),
+        F.explode_outer(F.when(many, parsed.cast("array<variant>")).otherwise(F.array(parsed))).alias("item"),
+        (many & F.coalesce(F.size(parsed.cast("array<variant>")) == 0, F.lit(False))).alias("none"),
+    )
+    kept = checkpointed(rows.filter("NOT none").select("bad", "item"))
+    facts = kept.agg(F.schema_of_variant_agg("item").alias("kind"), F.bool_or(F.col("bad") | F.coalesce(F.is_variant_null("item"), F.lit(False))).alias("bad")).first()
+    if facts["bad"] or not facts["kind"].startswith("OBJECT<"):
+        return None
+    kind = _known_kind(_kind_of(facts["kind"]))
+    if kind is None:
+        return None
+    return kept.filter("item IS NOT NULL").select(F.col("item").cast(kind).alias("row")).select("row.*")
+
+
+# Kinds stand at the beginning, behind the name of a field, and in arrays.
+_KIND = re.compile(r"`(?:[^`]|``)*`|(?<![^ <])OBJECT<")
+
+
+def _kind_of(text: str) -> T.DataType:
+    """The type that ``schema_of_variant_agg`` names, whose objects are structs."""
+    ddl = _KIND.sub(lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], text)
+    return T.DataType.fromDDL(ddl)
+
+
+def _known_kind(kind: T.DataType) -> T.DataType | None:
+    """The type that Spark's JSON inference would find; None for an object without fields."""
+    if isinstance(kind, T.StructType):
+        fields = [(f.name, _known_kind(f.dataType)) for f in kind.fields]
+        fields = [T.StructField(name, k) for name, k in fields if k is not None]
+        return T.StructType(fields) if fields else None
+    if isinstance(kind, T.ArrayType):
+        element = _known_kind(kind.elementType)
+        return None if element is None else T.ArrayType(element)
+    if isinstance(kind, (T.NullType, T.VariantType)):
+        return T.StringType()
+    if isinstance(kind, T.DecimalType) and kind.scale > 0:
+        return T.DoubleType()
+    return kind
+
+
 def _layouts(spark: SparkSession, path: str | list[str], options: ReadOptions) -> tuple[list[str], list[str]]:
     """The files to read as one document each, and those with a document on every line.
 
@@ -69,12 +131,15 @@ def _layouts(spark: SparkSession, path: str | list[str], options: ReadOptions) -
 
 
 def scan_bodies(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
-    """Landed API bodies, one per file; without a schema it is found out in a first pass.
+    """Landed API bodies, one per file; without a schema it is found out from the parsed bodies.
 
     Bodies that are not JSON give no rows.
     """
     if schema:
         return body_rows(spark.read.text(path, wholetext=True), "value", schema)
+    parsed = parsed_once(spark.read.text(path, wholetext=True), skip=True)
+    if parsed is not None:
+        return parsed
     reader = spark.read.option("multiLine", "true").option("columnNameOfCorruptRecord", CORRUPT)
     found = reader.option("mode", "PERMISSIVE").json(path)
     kinds = T.StructType([f for f in found.schema.fields if f.name != CORRUPT])
