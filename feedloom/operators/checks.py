@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.predicates import is_active, is_blank
 from feedloom.operators.project import quoted
-from feedloom.session import checkpointed
 
 # Message texts, the required fields of each configuration table, and
 # the load types, layers and source kinds that are known.
@@ -136,73 +135,79 @@ def validate_config(config: Mapping[str, DataFrame], requested: DataFrame | None
     ``config`` maps table names to frames. ``requested`` holds a PIPELINEID column;
     ids without a pipeline row are reported, and only requested ones are checked.
 
-    Each table is read once, for its rows, their own messages and what they refer to.
-    Messages then pass along references, from the row they are about to whatever
-    refers to it, up to the pipelines.
+    There are few messages, so what is wrong with a row is one number with a bit for each of them.
+    These numbers pass along references, from a row to whatever refers to it, up to the
+    pipelines: one join and one grouping a level, a row for every reference.
     """
-    facts = checkpointed(reduce(DataFrame.unionByName, [_facts(config[t], t, *LINKS[t]) for t in LINKS]))
-    own = facts.filter("message IS NOT NULL").select("owner_table", "owner_id", "message")
-    uses = facts.filter("ref_id IS NOT NULL").select("owner_table", "owner_id", "ref_table", "ref_id")
-    found = own
-    for _ in range(LONGEST_WAY):
-        told = found.withColumnsRenamed({"owner_table": "ref_table", "owner_id": "ref_id"})
-        passed = uses.join(told, ["ref_table", "ref_id"]).select("owner_table", "owner_id", "message")
-        found = own.unionByName(passed).distinct()
-    known = facts.filter("is_row").select(F.col("owner_table").alias("ref_table"), F.col("owner_id").alias("ref_id"))
-    missing = uses.filter(f"owner_table = 'PIPELINE' AND ref_table IN {tuple(t for t, _ in ENDPOINTS)}")
-    missing = missing.join(known.distinct(), ["ref_table", "ref_id"], "left_anti")
-    text = reduce(
-        lambda rest, end: F.when(F.col("ref_table") == end[0], required_message(*end)).otherwise(rest), ENDPOINTS, F.lit(None)
-    )
-    result = found.filter("owner_table = 'PIPELINE'").select(F.col("owner_id").alias("pipeline_id"), "message")
-    result = result.unionByName(missing.select(F.col("owner_id").alias("pipeline_id"), text.alias("message")))
+    rows = {t: _noted(config[t], t, *LINKS[t]) for t in LINKS}
+    leaves = _or_of(rows["LOOKUP"].unionByName(rows["SECRET"]).unionByName(rows["SOURCECOLUMN"]))
+    columns = _told(rows["DESTINATIONCOLUMN"], _told(rows["COLUMNMAPPING"], leaves))
+    ends = _told(rows["SOURCE"].unionByName(rows["DESTINATION"]), leaves)
+    ends = _or_of(ends.unionByName(columns))
+    found = _told(rows["PIPELINE"], leaves.unionByName(ends)).select(F.col("id").alias("pipeline_id"), "bits")
     if requested is not None:
         asked = requested.select(_id("PIPELINEID").alias("pipeline_id")).distinct()
-        there = facts.filter("is_row AND owner_table = 'PIPELINE'").select(F.col("owner_id").alias("pipeline_id"))
-        absent = asked.join(there, "pipeline_id", "left_anti")
-        absent = absent.withColumn("message", F.lit(required_message("PIPELINE", "PIPELINEID")))
-        result = result.join(asked, "pipeline_id", "left_semi").unionByName(absent)
-    return result.distinct()
-
-
-# Of each configuration table: the column its rows are known by, and what they refer to. A column
-# mapping says things about its destination column; that belongs to its destination.
-LINKS: dict[str, tuple[str, tuple[tuple[str, str], ...]]] = {
-    "PIPELINE": ("PIPELINEID", (("LOOKUP", "LOADTYPEID"), ("LOOKUP", "LAYERID"), *ENDPOINTS)),
-    "SOURCE": ("SOURCEID", (("LOOKUP", "SOURCETYPEID"), ("LOOKUP", "FORMATTYPEID"), ("SECRET", "SECRETID"))),
-    "DESTINATION": ("DESTINATIONID", (("LOOKUP", "FORMATTYPEID"), ("SECRET", "SECRETID"))),
-    "LOOKUP": ("LOOKUPID", ()),
-    "SECRET": ("SECRETID", ()),
-    "SOURCECOLUMN": ("SOURCECOLUMNID", ()),
-    "DESTINATIONCOLUMN": ("DESTINATIONCOLUMNID", ()),
-    "COLUMNMAPPING": ("DESTINATIONCOLUMNID", (("SOURCECOLUMN", "SOURCECOLUMNID"),)),
+        absent = F.lit(1 << BITS["PIPELINE", "PIPELINEID"])
+        found = asked.join(found, "pipeline_id", "left").select("pipeline_id", F.coalesce("bits", absent).alias("bits"))
+    texts = [F.when(F.col("bits").bitwiseAND(F.lit(1 << k)) != 0, F.lit(_text(name))) for name, k in BITS.items()]
+    return found.select("pipeline_id", F.explode(F.array_compact(F.array(*texts))).alias("message"))
+
+
+# Of each configuration table: what its rows say things about, the column of that, and what they refer to.
+# A column mapping is about its destination column, and that is about its destination.
+LINKS: dict[str, tuple[str, str, tuple[tuple[str, str], ...]]] = {
+    "PIPELINE": ("PIPELINE", "PIPELINEID", (("LOOKUP", "LOADTYPEID"), ("LOOKUP", "LAYERID"), *ENDPOINTS)),
+    "SOURCE": ("SOURCE", "SOURCEID", (("LOOKUP", "SOURCETYPEID"), ("LOOKUP", "FORMATTYPEID"), ("SECRET", "SECRETID"))),
+    "DESTINATION": ("DESTINATION", "DESTINATIONID", (("LOOKUP", "FORMATTYPEID"), ("SECRET", "SECRETID"))),
+    "LOOKUP": ("LOOKUP", "LOOKUPID", ()),
+    "SECRET": ("SECRET", "SECRETID", ()),
+    "SOURCECOLUMN": ("SOURCECOLUMN", "SOURCECOLUMNID", ()),
+    "DESTINATIONCOLUMN": ("DESTINATION", "DESTINATIONID", (("DESTINATIONCOLUMN", "DESTINATIONCOLUMNID"),)),
+    "COLUMNMAPPING": ("DESTINATIONCOLUMN", "DESTINATIONCOLUMNID", (("SOURCECOLUMN", "SOURCECOLUMNID"),)),
+}
+# The bit of each message, named by table and column; a missing end of a pipeline has one of its own.
+BITS: dict[tuple[str, str], int] = {
+    name: k
+    for k, name in enumerate(
+        [(t, c) for t in LINKS for c in (*REQUIRED_FIELDS[t], *(() if t == "PIPELINE" else ("ACTIVE",)))]
+        + [*ENDPOINTS, ("PIPELINE", "PIPELINEID")]
+    )
 }
-# From a source column by way of its mapping, destination column and destination to a pipeline.
-LONGEST_WAY = 3
 
 
-def _facts(df: DataFrame, table: str, key: str, links: Sequence[tuple[str, str]]) -> DataFrame:
-    """From one pass: (owner_table, owner_id, is_row, message, ref_table, ref_id)."""
-    none = F.lit(None).cast("string")
-    owner = "DESTINATIONCOLUMN" if table == "COLUMNMAPPING" else table
+def _text(name: tuple[str, str]) -> str:
+    return inactive_message(name[0]) if name[1] == "ACTIVE" else required_message(*name)
 
-    def fact(name: str, owner_id: Column, is_row=False, message=none, ref_table=none, ref_id=none) -> Column:
-        values = (F.lit(name), owner_id, F.lit(is_row), message, ref_table, ref_id)
-        names = ("owner_table", "owner_id", "is_row", "message", "ref_table", "ref_id")
-        return F.struct(*[v.alias(n) for v, n in zip(values, names, strict=True)])
 
-    own = _id(key)
-    out = [fact(owner, own, is_row=table == owner)]
+def _noted(df: DataFrame, table: str, about: str, key: str, links: Sequence[tuple[str, str]]) -> DataFrame:
+    """From one pass: (table, id, bits, is_row, refs), refs with the bit that is set if nothing is there."""
     checks = _blank_fields(df, table, REQUIRED_FIELDS[table])
     if table != "PIPELINE":
         checks.append(_not_active(df, table, "ACTIVE"))
-    out += [F.when(hit, fact(owner, own, message=F.lit(message))) for hit, _, message in checks]
-    out += [
-        fact(owner, own, ref_table=F.lit(to), ref_id=_id(column)) for to, column in links if column in df.columns
+    bits = reduce(Column.bitwiseOR, [F.when(hit, F.lit(1 << BITS[table, c])).otherwise(F.lit(0)).cast("long") for hit, c, _ in checks])
+    refs = [
+        F.struct(F.lit(to).alias("table"), _id(c).alias("id"), F.lit(1 << BITS[to, c] if table == "PIPELINE" and (to, c) in ENDPOINTS else 0).cast("long").alias("lost"))
+        for to, c in links
+        if c in df.columns
     ]
-    if table == "DESTINATIONCOLUMN":
-        out.append(fact("DESTINATION", _id("DESTINATIONID"), ref_table=F.lit(table), ref_id=own))
-    return df.select(F.inline(F.array_compact(F.array(*out)))).distinct()
+    given = F.filter(F.array(*refs), lambda r: r["id"].isNotNull()) if refs else F.lit(None).cast("array<struct<table:string,id:string,lost:bigint>>")
+    # Rows of these two are about others, which have rows of their own or none.
+    is_row = table not in ("DESTINATIONCOLUMN", "COLUMNMAPPING")
+    return df.select(F.lit(about).alias("table"), _id(key).alias("id"), bits.alias("bits"), F.lit(is_row).alias("is_row"), given.alias("refs"))
+
+
+def _or_of(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("table", "id").agg(F.bit_or("bits").alias("bits"), F.bool_or("is_row").alias("is_row"))
+
+
+def _told(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(table, id, bits, is_row): the rows' own bits and those of what they refer to."""
+    flat = rows.select("table", "id", "bits", "is_row", F.explode_outer("refs").alias("ref"))
+    known = known.select(F.col("table").alias("to"), F.col("id").alias("to_id"), F.col("bits").alias("said"), F.col("is_row").alias("there"))
+    met = flat.join(known, (F.col("ref.table") == F.col("to")) & (F.col("ref.id") == F.col("to_id")), "left")
+    lost = F.when(F.coalesce("there", F.lit(False)), F.lit(0)).otherwise(F.coalesce("ref.lost", F.lit(0)))
+    bits = F.col("bits").bitwiseOR(F.coalesce("said", F.lit(0))).bitwiseOR(lost)
+    return _or_of(met.select("table", "id", bits.alias("bits"), "is_row"))
 
 
 def _id(column: str) -> Column:
