@@ -2,16 +2,22 @@
 
 Every vector is scaled to length one and rotated by one random orthogonal matrix; its code is the
 sign of each coordinate, packed to bits, and its correction scalar the inner product of the vector
-with its code as a unit vector. For a rotated query q the inner product is estimated as
-``<code, q> / correction``; the error is below ``EPSILON * sqrt((1 - c^2) / (c^2 * (d - 1)))`` with
-high probability. Queries meet all rows, in blocks of both: in a block the rows with the best
-estimates are measured exactly, which gives a bar, and every row whose estimate plus error bound
-reaches the bar is measured too, in double precision on the vectors as they are. The best of each
-block are merged. No row is left unseen, and a hot vector only fills blocks like any other row.
+with its code as a unit vector. Codes are made once; blocks of codes and of queries meet, and no vector
+goes along. A rotated query is cut into bit planes, so its inner product with a code is a sum of
+counts of common bits; divided by the correction it estimates the inner product of the vectors, with an
+error below ``EPSILON * sqrt((1 - c^2) / (c^2 * (d - 1)))`` with high probability.
+
+A first scan of the codes finds each query's best estimates, over all blocks. Their vectors are joined and
+measured exactly, which gives the query a bar. A second scan lets through the rows whose
+estimate plus error bound reaches the bar, and only their vectors are joined and measured, in double
+precision as they are. No row is left unseen. Of equal vectors only as many as can be
+among the nearest take part, those with the smallest identifiers, so a hot vector is a few rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,7 +25,9 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import checkpointed
 
-ROWS, QUERIES = 8192, 4096  # of a block
+ROWS, QUERIES = 32768, 1024  # of a block
+PLANES = 7  # bits of a query's coordinates
+FIRST = 4  # how many times the neighbours wanted are measured to find the bar
 EPSILON = 3.0
 
 
@@ -34,17 +42,33 @@ def encode(unit: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(turned >= 0, axis=1), np.abs(turned).sum(1) / np.sqrt(turned.shape[1])
 
 
-def estimates(codes: np.ndarray, correction: np.ndarray, turned_queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products (queries by rows) and the error bound of each row."""
-    dim = turned_queries.shape[1]
-    signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1
-    c = correction.astype(np.float32)
-    estimate = turned_queries.astype(np.float32) @ signs.T / (np.float32(np.sqrt(dim)) * c)
-    return estimate, EPSILON * np.sqrt(np.maximum(0, 1 - c * c) / (c * c * max(1, dim - 1)))
+def words(codes: np.ndarray) -> np.ndarray:
+    """Packed bits as rows of 64-bit words, padded with zeros."""
+    wide = -(-codes.shape[1] // 8) * 8
+    return np.ascontiguousarray(np.pad(codes, ((0, 0), (0, wide - codes.shape[1])))).view(np.uint64)
+
+
+def bounds(correction: np.ndarray, dim: int) -> np.ndarray:
+    """How far estimates may be off, by row."""
+    c = np.minimum(correction, 1.0)
+    return EPSILON * np.sqrt((1 - c * c) / (c * c * max(1, dim - 1)))
 
 
-def cosines(rows: np.ndarray, norms: np.ndarray, query: np.ndarray, norm: float) -> np.ndarray:
-    return (rows * query).sum(axis=1) / (norms * norm)
+def estimates(codes: np.ndarray, correction: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated inner products of a rotated query with the rows of ``codes`` (words), and what cutting it to planes may add to errors."""
+    dim = len(query)
+    low = query.min()
+    step = (query.max() - low) / ((1 << PLANES) - 1) or 1.0
+    level = np.rint((query - low) / step).astype(np.uint8)
+    cut = low + step * level
+    common = np.zeros(len(codes), dtype=np.int32)
+    for k in range(PLANES):
+        plane = words(np.packbits((level >> k) & 1)[None])[0]
+        both = np.bitwise_count(codes & plane)
+        common += both.sum(axis=1, dtype=np.int32) << k if codes.shape[1] > 1 else both[:, 0].astype(np.int32) << k
+    ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int32)
+    scale = np.sqrt(dim) * correction
+    return (2 * (low * ones + step * common) - cut.sum()) / scale, np.abs(query - cut).sum() / scale
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -56,6 +80,25 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
 
 
+def _measured(pairs: DataFrame, asked: DataFrame, data: DataFrame) -> DataFrame:
+    """(query, query_id, row, vec_id, score) of pairs (query, row), from their vectors."""
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = np.empty(len(pdf))
+            for a in range(0, len(pdf), 1024):
+                # By a power of two, which changes no digit of a cosine and keeps squares within bounds.
+                q, v = (np.array(pdf[c].iloc[a : a + 1024].tolist(), dtype=np.float64) for c in ("q", "v"))
+                q, v = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (q, v))
+                norms = np.sqrt((q * q).sum(axis=1)), np.sqrt((v * v).sum(axis=1))
+                found[a : a + 1024] = (v * q).sum(axis=1) / (norms[1] * norms[0])
+            yield pdf[["query", "query_id", "row", "vec_id"]].assign(score=found)
+
+    queries = asked.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    met = pairs.join(data.select("row", "vec_id", "v"), "row").join(queries, "query")
+    return met.select("query", "query_id", "row", "vec_id", "q", "v").mapInPandas(score, "query long, query_id long, row long, vec_id long, score double")
+
+
 def nearest(vectors: DataFrame, every: int = 50, top: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For every row whose identifier is divisible by ``every``: query_id, rank, vec_id, score of its ``top`` nearest.
 
@@ -69,49 +112,77 @@ def nearest(vectors: DataFrame, every: int = 50, top: int = 5, id_col: str = "ve
     result = "query_id long, rank int, vec_id long, score double"
     if sizes is None:
         return vectors.sparkSession.createDataFrame([], result)
-    dim, n = sizes["d"], sizes["n"]
+    dim = sizes["d"]
     rows = rows.where(F.size("v") == dim)
     asked = rows.where(F.col("vec_id") % every == 0)
-    data_blocks, query_blocks = -(-n // ROWS), max(1, -(-asked.count() // QUERIES))
-    number = lambda k: F.pmod(F.xxhash64("row"), F.lit(k)).cast("int")
-    others = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    held = rows.select(number(data_blocks).alias("d"), others(query_blocks).alias("q"), F.lit(False).alias("asks"), "row", "vec_id", "v")
-    asks = asked.select(others(data_blocks).alias("d"), number(query_blocks).alias("q"), F.lit(True).alias("asks"), "row", "vec_id", "v")
+    # Of equal vectors those with the smallest identifiers come first, and one may be the query itself.
+    place = F.row_number().over(Window.partitionBy("v").orderBy("vec_id", "row"))
+    data = checkpointed(rows.withColumn("place", place).where(F.col("place") <= top + 1).drop("place"))
     turn = rotation(dim)
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        flag = pdf["asks"].to_numpy()
-        v = np.array(pdf["v"].tolist(), dtype=np.float64).reshape(-1, dim)
-        row, vec = pdf["row"].to_numpy(), pdf["vec_id"].to_numpy()
-        # By a power of two, which changes no digit of a cosine and keeps squares within bounds.
-        v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
-        norms = np.sqrt((v * v).sum(axis=1))
-        unit = v / norms[:, None]
-        data, mine = np.flatnonzero(~flag), np.flatnonzero(flag)
-        if not len(data):
-            return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []})
-        rows_v, rows_n, rows_row, rows_vec = v[data], norms[data], row[data], vec[data]
-        codes, correction = encode(unit[data], turn)
-        out = []
-        for a in range(0, len(mine), 64):
-            batch = mine[a : a + 64]
-            guess, error = estimates(codes, correction, unit[batch] @ turn)
-            for i, q in enumerate(batch):
-                high = np.where(rows_row == row[q], -np.inf, guess[i])
-                k = min(4 * top, len(data))
-                first = np.argpartition(-high, k - 1)[:k]
-                first = first[np.isfinite(high[first])]
-                if not len(first):
-                    continue
-                exact = np.sort(cosines(rows_v[first], rows_n[first], v[q], norms[q]))[::-1]
-                bar = exact[min(top, len(exact)) - 1] if len(exact) >= top else -np.inf
-                # Single precision moves an estimate by far less than 1e-4.
-                chosen = np.flatnonzero((high + error + 1e-4 >= bar) & np.isfinite(high))
-                score = cosines(rows_v[chosen], rows_n[chosen], v[q], norms[q])
-                best = np.lexsort((rows_vec[chosen], -score))[:top]
-                out.append(pd.DataFrame({"query": row[q], "query_id": vec[q], "vec_id": rows_vec[chosen][best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []})
-
-    found = held.union(asks).groupBy("d", "q").applyInPandas(search, "query long, query_id long, vec_id long, score double")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            v = np.array(pdf["v"].tolist(), dtype=np.float64).reshape(-1, dim)
+            v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+            codes, correction = encode(v / np.sqrt((v * v).sum(axis=1, keepdims=True)), turn)
+            yield pd.DataFrame({"row": pdf["row"].to_numpy(), "code": [c.tobytes() for c in codes], "correction": correction})
+
+    def turned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            v = np.array(pdf["v"].tolist(), dtype=np.float64).reshape(-1, dim)
+            v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+            unit = (v / np.sqrt((v * v).sum(axis=1, keepdims=True))) @ turn
+            yield pd.DataFrame({"row": pdf["row"].to_numpy(), "code": [u.astype(np.float32).tobytes() for u in unit]})
+
+    codes = checkpointed(data.select("row", "v").mapInPandas(coded, "row long, code binary, correction double"))
+    queries = checkpointed(asked.select("row", "v").mapInPandas(turned, "row long, code binary"))
+    data_blocks, query_blocks = max(1, -(-codes.count() // ROWS)), max(1, -(-queries.count() // QUERIES))
+    number = lambda k: F.pmod(F.xxhash64("row"), F.lit(k)).cast("int")
+    others = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    held = codes.select(number(data_blocks).alias("d"), others(query_blocks).alias("b"), "row", "code", "correction")
+
+    def scan(bars: DataFrame | None) -> DataFrame:
+        """Pairs (query, row, estimate): the best of each block, or all that may reach the query's bar."""
+        asks = queries if bars is None else queries.join(bars, queries["row"] == bars["query"], "left").drop("query")
+        barred = bars is not None
+        bar = F.lit(0.0) if bars is None else F.coalesce("bar", F.lit(-2.0))
+        asks = asks.select(others(data_blocks).alias("d"), number(query_blocks).alias("b"), "row", "code", bar.alias("bar"))
+
+        def search(mine: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
+            packed = words(np.frombuffer(b"".join(those["code"]), dtype=np.uint8).reshape(len(those), -1))
+            row, correction = those["row"].to_numpy(), those["correction"].to_numpy()
+            error, out = bounds(correction, dim), []
+            for query, code, least in zip(mine["row"], mine["code"], mine["bar"], strict=True):
+                guess, more = estimates(packed, correction, np.frombuffer(code, dtype=np.float32).astype(np.float64))
+                guess[row == query] = -np.inf
+                if not barred:
+                    k = min(FIRST * top, len(row))
+                    chosen = np.argpartition(-guess, k - 1)[:k]
+                else:
+                    # Single precision moves an estimate by far less than 1e-4.
+                    chosen = np.flatnonzero(guess + error + more + 1e-4 >= least)
+                chosen = chosen[np.isfinite(guess[chosen])]
+                out.append(pd.DataFrame({"query": query, "row": row[chosen], "estimate": guess[chosen]}))
+            return pd.concat(out) if out else pd.DataFrame({"query": [], "row": [], "estimate": []})
+
+        both = asks.groupBy("d", "b").cogroup(held.groupBy("d", "b"))
+
+        def met(mine: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
+            if not len(mine) or not len(those):
+                return pd.DataFrame({"query": [], "row": [], "estimate": []})
+            return search(mine, those)
+
+        return both.applyInPandas(met, "query long, row long, estimate double")
+
+    by_guess = Window.partitionBy("query").orderBy(F.desc("estimate"), "row")
+    first = scan(None).withColumn("k", F.row_number().over(by_guess)).where(F.col("k") <= FIRST * top).select("query", "row")
+    measured = checkpointed(_measured(first, asked, data))
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    bars = measured.withColumn("k", F.row_number().over(by_score)).where(F.col("k") == top).select("query", F.col("score").alias("bar"))
+    rest = scan(bars).select("query", "row").join(measured.select("query", "row"), ["query", "row"], "left_anti")
+    found = measured.unionByName(_measured(rest, asked, data))
+    return found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

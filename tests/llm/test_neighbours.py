@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from feedloom.llm import neighbours
-from feedloom.llm.neighbours import encode, estimates, nearest, rotation
+from feedloom.llm.neighbours import bounds, encode, estimates, nearest, rotation, words
 
 
 def brute(rows, every, top):
@@ -54,6 +54,37 @@ def test_errors_are_within_their_bounds():
     assert np.allclose(turn @ turn.T, np.eye(64))
     codes, correction = encode(unit, turn)
     assert codes.shape == (500, 8)
-    guess, bound = estimates(codes, correction, unit[:40] @ turn)
-    error = np.abs(guess - unit[:40] @ unit.T)
-    assert (error <= bound + 1e-4).mean() > 0.99 and abs((guess - unit[:40] @ unit.T).mean()) < 0.01
+    error = bounds(correction, 64)
+    for query in unit[:40] @ turn:
+        guess, more = estimates(words(codes), correction, query)
+        off = guess - (unit @ turn) @ query
+        assert (np.abs(off) <= error + more + 1e-4).mean() > 0.99 and abs(off.mean()) < 0.03
+
+
+@pytest.mark.parametrize("dim", [1, 9, 64, 100, 130])
+def test_bit_planes_give_the_inner_product_of_the_code(dim):
+    rng = np.random.default_rng(dim)
+    unit = rng.standard_normal((50, dim))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    turn = rotation(dim)
+    codes, correction = encode(unit, turn)
+    query = rng.standard_normal(dim)
+    signs = np.where(unit @ turn >= 0, 1.0, -1.0)
+    guess, more = estimates(words(codes), correction, query)
+    assert (np.abs(guess - signs @ query / (np.sqrt(dim) * correction)) <= more + 1e-9).all()
+
+
+def test_codes_are_shipped_and_not_vectors(spark):
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.standard_normal(64)]) for i in range(60)], "vec_id long, embedding array<double>")
+    plan = nearest(df)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "FlatMapCoGroupsInPandas" in line]
+    assert len(grouped) == 1 and "array" not in grouped[0]
+
+
+def test_a_hot_vector_is_a_few_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [1.0, 2.0, 3.0] if i % 3 else [float(x) for x in rng.standard_normal(3)]) for i in range(3000)]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=100).collect()
+    for q in range(100, 3000, 300):
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [1, 2, 4, 5, 7]
