@@ -1,8 +1,10 @@
 """Main text of web pages by the maximum-scoring run of words and tags.
 
-Words score above zero and tags below. The scores are log odds of a token inside the content
-against outside, learnt from the labelled pages: those whose markup names the content with an
-``article`` or ``main`` element. Elements that are no content (menus, forms, scripts, ...) count
+Tags score below zero, and words by where they stand: in what kind of block, how long that block is,
+in a link or not, and, on a page that has an ``article`` or ``main`` of some words, inside or outside of it.
+The scores are log odds inside the content against outside, learnt from the labelled pages: those whose
+markup names the content with an ``article`` or ``main`` element, with all words of their menus, footers,
+adverts and so on as words outside. Elements that are no content (menus, forms, scripts, ...) count
 as one token each, the element, and give no text, unless they hold an ``article`` or ``main``, or,
 on a page without these, most words of the page. Words of class, id or role that hint at
 something else are tokens of their own. One scan finds the best contiguous run; its words are the text.
@@ -46,6 +48,16 @@ HINTS = frozenset(
 )
 
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LENGTHS = (5, 15)  # words from which a block is of middle length, and long
+SCOPE_WORDS = 25  # words from which an article or main is taken for the content
+#: Words inside and outside that each place is taken to have been seen with before any page.
+PLACES = {
+    "inside": (50, 0), "outside": (0, 50), "linked": (1, 10), "unlinked": (10, 5), "short": (1, 5), "middle": (5, 5), "long": (20, 2),
+    "p": (20, 2), "heading": (5, 2), "list": (5, 5), "other": (5, 5),
+}
+
+
 def _hints(name: str, more: str) -> tuple[bool, list[str]]:
     """Whether a whole name of class, id or role is a hint, and all hints that names hold as words."""
     if name in ("html", "body", "article", "main") or not more:
@@ -72,18 +84,26 @@ def _spans(page: str, marks: list[re.Match]) -> tuple[dict[int, int], list[int],
         elif name:
             begun.setdefault(name, []).append(i)
         if m.start() >= at:
-            at = _raw_end(page, m.end(), name) if name in RAW and not m["end"] else m.end()
+            at = _raw_end(page, m.end(), name) if not m["end"] and _is_raw(m, name) else m.end()
     words.append(words[-1] + len(page[at:].split()))
     return ends, words, articles
 
 
+def _is_raw(mark: re.Match, name: str) -> bool:
+    """Whether what follows a start tag is not parsed; pictures may close themselves."""
+    return name in RAW and not (name == "svg" and mark["more"].rstrip().endswith("/"))
+
+
 def _raw_end(page: str, at: int, name: str) -> int:
     end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
     return page.find(">", end.end() - 1) + 1 or len(page) if end else len(page)
 
 
-def tokens(page: str) -> list[tuple[str, str]]:
-    """(kind, value) in page order: ``text`` runs, ``tag`` names, ``hint`` words and ``skip`` for elements left out."""
+def tokens(page: str, whole: bool = False) -> list[tuple[str, str]]:
+    """(kind, value) in page order: ``text`` runs, ``tag`` names, ``hint`` words and ``skip`` for elements left out.
+
+    With ``whole`` only elements whose content is not parsed are left out.
+    """
     out: list[tuple[str, str]] = []
     at = inside = 0
     marks = list(_MARK.finditer(page))
@@ -104,12 +124,12 @@ def tokens(page: str) -> list[tuple[str, str]]:
             inside -= name in ("article", "main") and inside > 0
             out.append(("tag", "/" + name))
             continue
-        if name in RAW:
+        if _is_raw(m, name):
             at = _raw_end(page, at, name)
             out.append(("skip", name))
             continue
-        whole, hints = _hints(name, m["more"])
-        if name not in VOID and not m["more"].endswith("/") and (whole or name in DROPPED or (name == "header" and not inside)):
+        hinted, hints = _hints(name, m["more"])
+        if not whole and name not in VOID and not m["more"].endswith("/") and (hinted or name in DROPPED or (name == "header" and not inside)):
             # To the element's own end, elements of its name inside it counted; unclosed ones go on alone.
             j = ends.get(i - 1)
             if j is None:
@@ -129,6 +149,61 @@ def tokens(page: str) -> list[tuple[str, str]]:
     return out
 
 
+def places(found: list[tuple[str, str]]) -> list[tuple[str, ...]]:
+    """For each token the places of its words, without the side; empty for tokens that are no text."""
+    out: list[tuple[str, ...]] = [()] * len(found)
+    run: list[tuple[int, int, bool]] = []  # of the block at hand: token, words, in a link
+    opened: list[str] = []
+    links = 0
+
+    def told() -> None:
+        size = sum(n for _, n, _ in run)
+        length = "short" if size < LENGTHS[0] else "middle" if size < LENGTHS[1] else "long"
+        tag = next((t for t in reversed(opened)), "")
+        kind = "p" if tag == "p" else "heading" if tag in HEADINGS else "list" if tag in ("li", "dd", "dt", "td", "th") else "other"
+        for i, _, linked in run:
+            out[i] = ("linked" if linked else "unlinked", length, kind)
+        run.clear()
+
+    for i, (kind, value) in enumerate(found):
+        if kind == "text":
+            run.append((i, len(value.split()), links > 0))
+            continue
+        name = value.lstrip("/")
+        if kind != "tag" or (name not in BLOCKS and name != "a"):
+            continue
+        if name == "a":
+            links = max(0, links + (-1 if value[0] == "/" else 1))
+            continue
+        told()
+        if value[0] != "/":
+            if opened and opened[-1] == name == "p":  # a paragraph ends where the next begins
+                opened.pop()
+            if name != "hr":
+                opened.append(name)
+        elif name in opened[-64:]:
+            while opened.pop() != name:
+                pass
+    told()
+    return out
+
+
+def inside_of(found: list[tuple[str, str]]) -> list[bool]:
+    """Whether each token is inside an article, or, on a page whose articles hold less than half of main's words, inside main."""
+    sides, words = {}, {}
+    for scope in ("article", "main"):
+        depth, side = 0, []
+        for kind, value in found:
+            if kind == "tag" and value.lstrip("/") == scope:
+                depth = max(0, depth + (-1 if value[0] == "/" else 1))
+                side.append(False)
+            else:
+                side.append(depth > 0)
+        sides[scope] = side
+        words[scope] = sum(len(v.split()) for (k, v), inner in zip(found, side, strict=True) if inner and k == "text")
+    return sides["article"] if 2 * words["article"] >= words["main"] else sides["main"]
+
+
 def token_counts(pages: DataFrame, html_col: str = "html") -> dict[tuple[str, bool], int]:
     """How often each kind of token is inside and outside the content of the labelled pages."""
     known = BLOCKS | VOID | DROPPED | HINTS | frozenset("a b i u em strong span code small sub sup font img label q cite".split())
@@ -140,10 +215,14 @@ def token_counts(pages: DataFrame, html_col: str = "html") -> dict[tuple[str, bo
                 found = tokens(page) if isinstance(page, str) else []
                 if ("tag", "article") not in found and ("tag", "main") not in found:
                     continue
+                every = tokens(page, whole=True)
+                for (kind, value), place, side in zip(every, places(every), inside_of(every), strict=True):
+                    if kind == "text" and (n := len(value.split())):
+                        for name in ("word", *(f"word:{x}" for x in (*place, "inside" if side else "outside"))):
+                            total[name, side] += n
                 inside = 0
                 for kind, value in found:
                     if kind == "text":
-                        total["word", inside > 0] += len(value.split())
                         continue
                     own = value.lstrip("/") in ("article", "main")
                     inside += own and value[0] != "/"
@@ -159,11 +238,18 @@ def token_counts(pages: DataFrame, html_col: str = "html") -> dict[tuple[str, bo
 
 
 def scores(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """Log odds of a token: above zero for words, below for tags, lowest for what is left out."""
-    total = {side: sum(n for (_, s), n in counts.items() if s == side) for side in (True, False)}
-    odds = lambda t: np.log((counts.get((t, True), 0) + 0.5) / (total[True] + 1)) - np.log((counts.get((t, False), 0) + 0.5) / (total[False] + 1))
-    out = {t: min(-0.05, float(odds(t))) for t, _ in counts if t != "word"}
-    out["word"] = max(0.5, float(odds("word"))) if total[True] else 1.0
+    """Log odds: of words by their places, above or below zero; of other tokens, below zero."""
+    seen = lambda t, side: counts.get((t, side), 0)
+    total = {side: sum(n for (t, s), n in counts.items() if s == side and t[:4] != "word") for side in (True, False)}
+    odds = lambda t: np.log((seen(t, True) + 0.5) / (total[True] + 1)) - np.log((seen(t, False) + 0.5) / (total[False] + 1))
+    least = {"tag": -1.5, "hint": -4.0, "skip": -8.0}
+    out = {t: float(np.clip(odds(t), least[t.partition(":")[0]], -0.05)) for t, _ in counts if t[:4] != "word"}
+    words = {side: seen("word", side) + 100 for side in (True, False)}
+    out["word"] = float(np.clip(np.log(words[True] / words[False]), 0.5, 1.5))
+    for place, (inner, outer) in PLACES.items():
+        gain = np.log((seen(f"word:{place}", True) + inner + 0.5) / words[True]) - np.log((seen(f"word:{place}", False) + outer + 0.5) / words[False])
+        most = 6.0 if place in ("inside", "outside") else 2.5 if place in ("short", "middle", "long") else 1.5
+        out[f"word:{place}"] = float(np.clip(gain, -most, most))
     return out
 
 
@@ -184,26 +270,43 @@ def _blocks(found: list[tuple[str, str]]) -> list[str]:
     return out
 
 
-def main_text(page: str | None, score: dict[str, float]) -> str:
-    """The words of the best run of tokens of a whole page, a line to each block."""
-    found = tokens(page or "")
-    best, best_at, total, begin, inside = 0.0, (0, 0), 0.0, 0, 0
-    for i, (kind, value) in enumerate(found):
+def best_run(gains: list[float]) -> tuple[int, int]:
+    """The contiguous run of the largest sum, as (begin, end); an empty one if no sum is above zero."""
+    best, best_at, total, begin = 0.0, (0, 0), 0.0, 0
+    for i, gain in enumerate(gains):
+        total += gain
+        if total <= 0:
+            total, begin = 0.0, i + 1
+        elif total > best:
+            best, best_at = total, (begin, i + 1)
+    return best_at
+
+
+def token_gains(found: list[tuple[str, str]], score: dict[str, float]) -> list[float]:
+    """What each token adds to a run."""
+    sides = inside_of(found)
+    scoped = sum(len(v.split()) for (k, v), side in zip(found, sides, strict=True) if side and k == "text") >= SCOPE_WORDS
+    out, inside = [], 0
+    for (kind, value), place, side in zip(found, places(found), sides, strict=True):
         if kind == "tag" and value.lstrip("/") in ("article", "main"):
             inside = max(0, inside + (-1 if value[0] == "/" else 1))
         if kind == "text":
-            gain = score["word"] * len(value.split())
+            gain = score["word"] + sum(score.get(f"word:{x}", 0.0) for x in place)
+            if scoped:  # the markup says more than any block does
+                gain = max(gain, 0.5) + score.get("word:inside", 0.0) if side else min(gain, 0.0) + score.get("word:outside", score["word"])
+            out.append(gain * len(value.split()))
         elif kind in ("skip", "hint") and inside:
-            gain = -0.05  # what is left out of the content, or hints at something else in it, does not end it
+            out.append(-0.05)  # what is left out of the content, or hints at something else in it, does not end it
         else:
             name = value.lstrip("/")
-            gain = score.get(f"{kind}:{name}", score.get(f"{kind}:other", -1.0 if kind == "tag" else -8.0))
-        total += gain
-        if total <= 0:
-            total, begin = 0.0, i + 1
-        elif total > best:
-            best, best_at = total, (begin, i + 1)
-    return "\n".join(_blocks(found[slice(*best_at)]))
+            out.append(score.get(f"{kind}:{name}", score.get(f"{kind}:other", -1.0 if kind == "tag" else -8.0)))
+    return out
+
+
+def main_text(page: str | None, score: dict[str, float]) -> str:
+    """The words of the best run of tokens of a whole page, a line to each block."""
+    found = tokens(page or "")
+    return "\n".join(_blocks(found[slice(*best_run(token_gains(found, score)))]))
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
