@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.session import shared_folder
@@ -106,3 +109,31 @@ def running(df: DataFrame, key: list[str], size: str, order: list[str], rows: in
     df = df.withColumn("__i", before(size, Window.partitionBy(*key, "__b").orderBy(*order)))
     df = df.join(starts, [*key, "__b"])
     return df.withColumn(out, F.coalesce("__i", F.lit(0)) + F.col("__o")).drop("__b", "__l", "__i", "__o")
+
+
+def numbered(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
+    """``df`` with ``number``: the place of a row among those of its group, from 0, by ``order``.
+
+    Rows are sorted by group and order over all partitions, so a group of any size is spread over as
+    many as it needs; each partition numbers its own rows, and the rows of a group in the partitions
+    before it are added. ``order`` must be total.
+    """
+
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, last, seen = TaskContext.get().partitionId(), None, 0
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            number = pdf.groupby(group, sort=False).cumcount().to_numpy()
+            again = (pdf[group] == last).to_numpy()
+            number[again] += seen
+            last, seen = pdf[group].iloc[-1], int(number[-1]) + 1
+            yield pdf.assign(part=part, number=number)
+
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    rows = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    rows = checkpointed(rows.mapInPandas(local, f"{kind}, part int, number long"))
+    before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(group, "part").agg(F.count("*").alias("n"))
+    starts = starts.select(group, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.join(starts, [group, "part"]).withColumn("number", F.col("number") + F.col("start")).drop("part", "start")

@@ -2,8 +2,10 @@
 
 The words of a source, its documents one after another, are cut into blocks of a fixed number of
 words. The mix is a sequence of slots, a fixed number to an output shard. Every shard draws how
-many of its slots each source gets from a multinomial distribution with the target shares, by a
-generator seeded with the shard's number. The slots of a source, counted through all shards, run
+many of its slots each source gets from a multinomial distribution with the target shares, by
+generators seeded with the shard's number: first how many each range of sources gets, and then, range by
+range, how many each source of it. Sources are rows of a table, as many as there are; what a task or
+the driver holds is a number for each range. The slots of a source, counted through all shards, run
 through its blocks in passes, each pass in the order of a pseudorandom permutation of the block
 index that is computed, not stored; blocks are then joined by index.
 
@@ -16,36 +18,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, running, staged
+from feedloom.llm.common import checkpointed, numbered, running, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 512
 SHARD_SLOTS = 1024
-MAX_SOURCES = 1_000_000  # one row of each goes to every task; more raise an error
-
-
-def targets(sizes: np.ndarray, weights: np.ndarray, cap: float = 3.0) -> np.ndarray:
-    """Shares of the whole size by weight, none above ``cap`` times its own size, the excess shared anew."""
-    sizes, weights = np.asarray(sizes, dtype=float), np.asarray(weights, dtype=float)
-    out, free, left = np.zeros(len(sizes)), np.ones(len(sizes), dtype=bool), float(sizes.sum())
-    while free.any():
-        share = left * weights[free] / weights[free].sum()
-        over = share > cap * sizes[free]
-        if not over.any():
-            out[free] = share
-            break
-        at = np.flatnonzero(free)[over]
-        out[at] = cap * sizes[at]
-        free[at] = False
-        left = float(sizes.sum()) - out[~free].sum()
-    return out
+RANGE, CHUNK = 4096, 8192  # sources of a range, and shards that draw from a range together
+UNITS = 4096  # slots that move from source to source, cut into pieces that meet
 
 
 def _feistel(x: np.ndarray, size: int, seed: int, back: bool) -> np.ndarray:
@@ -72,49 +59,59 @@ def permuted(index: np.ndarray, size: int, seed: int, back: bool = False) -> np.
     return x.astype(np.int64)
 
 
-class _Sources:
-    """The plan by source: sizes, targets, due words, blocks and slots, and how slots move."""
+@dataclass(frozen=True)
+class Source:
+    """One source's part of the plan: its words, blocks, whole passes, and the words of the last pass."""
 
-    def __init__(self, names: list, sizes: np.ndarray, weights: tuple, block: int, cap: int) -> None:
-        self.names, self.sizes, self.block = names, sizes, block
-        self.target = targets(sizes, np.resize(np.array(weights, dtype=float), len(sizes)), cap)
-        due = np.minimum(np.rint(self.target).astype(np.int64), cap * sizes)
-        self.blocks = -(-sizes // block)
-        self.passes = np.divide(due, sizes, out=np.zeros(len(sizes)), where=sizes > 0).astype(np.int64)
-        self.rest = due - self.passes * sizes
-        self.short: dict[int, int] = {}
-        self.slots = self.passes * self.blocks + np.array([self._rest_slots(s) for s in range(len(sizes))], dtype=np.int64)
+    number: int
+    size: int
+    passes: int
+    rest: int
+    block: int
+    short: int = 0
 
-    def words(self, s: int, blocks: np.ndarray) -> np.ndarray:
-        return np.minimum(self.block, self.sizes[s] - blocks * self.block)
-
-    def _rest_slots(self, s: int) -> int:
-        if not self.rest[s]:
-            return 0
-        n = int(self.blocks[s])
+    @classmethod
+    def planned(cls, number: int, size: int, target: float, block: int, cap: int) -> Source:
+        due = min(round(target), cap * size)
+        passes = due // size if size else 0
+        own = cls(number, size, passes, due - passes * size, block)
         # Where the last pass meets the source's last, shorter block.
-        self.short[s] = at = int(permuted(np.array([n - 1]), n, self.seed(s, self.passes[s]), back=True)[0])
-        missing = self.block * n - int(self.sizes[s])
-        plain = -(-int(self.rest[s]) // self.block)
-        return plain if plain <= at else -(-(int(self.rest[s]) + missing) // self.block)
-
-    def seed(self, s: int, turn: int) -> int:
-        return int(s) * 8 + int(turn)
-
-    def taken(self, s: int, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(pass, block, words) of the slots of source s with these numbers."""
-        n = int(self.blocks[s])
-        turn, k = index // n, index % n
+        at = permuted(np.array([own.blocks - 1]), own.blocks, own.seed(passes), back=True)[0] if own.rest else 0
+        return replace(own, short=int(at))
+
+    @property
+    def blocks(self) -> int:
+        return -(-self.size // self.block)
+
+    @property
+    def slots(self) -> int:
+        if not self.rest:
+            return self.passes * self.blocks
+        plain = -(-self.rest // self.block)
+        if plain > self.short:
+            plain = -(-(self.rest + self.missing) // self.block)
+        return self.passes * self.blocks + plain
+
+    @property
+    def missing(self) -> int:
+        """Words that the last block lacks."""
+        return self.block * self.blocks - self.size
+
+    def seed(self, turn: int) -> int:
+        return self.number * 8 + int(turn)
+
+    def taken(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pass, block, words) of the slots with these numbers."""
+        turn, k = index // self.blocks, index % self.blocks
         block = np.empty(len(index), dtype=np.int64)
         for t in np.unique(turn):
             mine = turn == t
-            block[mine] = permuted(k[mine], n, self.seed(s, t))
-        words = self.words(s, block)
-        last = turn == self.passes[s]
+            block[mine] = permuted(k[mine], self.blocks, self.seed(t))
+        words = np.minimum(self.block, self.size - block * self.block)
+        last = turn == self.passes
         if last.any():
-            missing = self.block * n - int(self.sizes[s])
-            before = k[last] * self.block - np.where(k[last] > self.short[s], missing, 0)
-            words[last] = np.clip(self.rest[s] - before, 0, words[last])
+            before = k[last] * self.block - np.where(k[last] > self.short, self.missing, 0)
+            words[last] = np.clip(self.rest - before, 0, words[last])
         return turn, block, words
 
 
@@ -129,73 +126,130 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
     )
 
 
-def source_plan(rows: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK_WORDS, cap: int = 3) -> _Sources:
-    found = rows.groupBy("source").agg(F.sum("size").alias("size"))
-    found = found.limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    return _Sources([r["source"] for r in found], np.array([r["size"] for r in found], dtype=np.int64), weights, block, cap)
+def with_targets(sources: DataFrame, cap: int) -> DataFrame:
+    """Sources (size, weight) with ``target``: shares of the whole size by weight, none above ``cap`` times its own.
+
+    What is above is shared anew by weight. A share for each unit of weight only rises from round to
+    round, so a source that was above stays so, and a round is one sum over all sources.
+    """
+    full, known = F.lit(False), -1
+    total = sources.agg(F.sum("size")).first()[0] or 0
+    while True:
+        sums = sources.agg(
+            F.sum(F.when(full, F.col("size") * cap).otherwise(0)), F.sum(F.when(full, 0).otherwise(F.col("weight"))), F.count_if(full)
+        ).first()
+        left, weight = float(total - (sums[0] or 0)), float(sums[1] or 0)
+        share = F.lit(left) * F.col("weight") / F.lit(weight) if weight else F.lit(0.0)
+        if sums[2] == known or not weight:
+            return sources.withColumn("target", F.when(full, (F.col("size") * cap).cast("double")).otherwise(share))
+        known, full = sums[2], full | (share > F.col("size") * cap)
+
+
+def source_plan(rows: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK_WORDS, cap: int = 3) -> DataFrame:
+    """One row of each source: (source, source_no, size, target, passes, rest, short, block, slots)."""
+    found = rows.groupBy("source").agg(F.sum("size").alias("size")).withColumn("tree", F.lit("all"))
+    # By code point, which is the order of UTF-8 bytes; null last.
+    found = numbered(found, "tree", [F.col("source").asc_nulls_last()]).withColumnRenamed("number", "source_no")
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("source_no") % len(weights) + 1).cast("int"))
+    found = with_targets(checkpointed(found.select("source", "source_no", "size", weight.alias("weight"))), cap)
+
+    def planned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            plans = [Source.planned(int(n), int(size), target, block, cap) for n, size, target in zip(pdf["source_no"], pdf["size"], pdf["target"], strict=True)]
+            columns = {name: np.array([getattr(p, name) for p in plans], dtype=np.int64) for name in ("passes", "rest", "short", "block", "slots")}
+            yield pdf.assign(**columns)
+
+    schema = "source string, source_no long, size long, target double, passes long, rest long, short long, block long, slots long"
+    return checkpointed(found.select("source", "source_no", "size", "target").mapInPandas(planned, schema))
 
 
-def slots(spark, plan: _Sources, shard_slots: int = SHARD_SLOTS, seed: int = 11) -> DataFrame:
-    """The mix: (shard, place, source_no, pass, block, words) of every slot."""
-    total = int(plan.slots.sum())
+def _drawn(plan: DataFrame, total: int, shard_slots: int, seed: int) -> DataFrame:
+    """(shard, source_no, count): how many slots of each shard each source is drawn for."""
     shards = -(-total // shard_slots)
-    share = plan.slots / max(1, total)
+    ranged = plan.where("slots > 0").withColumn("range", F.expr(f"source_no div {RANGE}"))
+    sums = ranged.groupBy("range").agg(F.sum("slots").alias("n")).orderBy("range").collect()
+    names, ends = np.array([r["range"] for r in sums]), np.cumsum([r["n"] for r in sums])
+    sizes = {r["range"]: r["n"] for r in sums}
 
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def by_range(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for shard in pdf["id"]:
                 size = min(shard_slots, total - int(shard) * shard_slots)
-                counts = np.random.default_rng([seed, int(shard)]).multinomial(size, share / share.sum())
-                own = np.flatnonzero(counts)
-                yield pd.DataFrame({"shard": shard, "source_no": own, "count": counts[own]})
-
-    drawn = checkpointed(spark.range(shards).mapInPandas(draw, "shard long, source_no long, count long"))
-    sums = np.zeros(len(plan.sizes), dtype=np.int64)
-    for r in drawn.groupBy("source_no").agg(F.sum("count").alias("n")).collect():
-        sums[r["source_no"]] = r["n"]
-    above, below = np.maximum(sums - plan.slots, 0), np.maximum(plan.slots - sums, 0)
-    above_at, below_at = np.cumsum(above) - above, np.cumsum(below)
+                hit = np.searchsorted(ends, np.random.default_rng([seed, int(shard)]).integers(0, total, size), "right")
+                at, count = np.unique(hit, return_counts=True)
+                yield pd.DataFrame({"shard": shard, "range": names[at], "count": count})
+
+    def by_source(draws: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("source_no")
+        number, last, out = own["source_no"].to_numpy(), np.cumsum(own["slots"].to_numpy()), []
+        for shard, part, count in zip(draws["shard"], draws["range"], draws["count"], strict=True):
+            hit = np.random.default_rng([seed, int(shard), int(part)]).integers(0, sizes[part], count)
+            at, found = np.unique(np.searchsorted(last, hit, "right"), return_counts=True)
+            out.append(pd.DataFrame({"shard": shard, "source_no": number[at], "count": found}))
+        return pd.concat(out) if out else pd.DataFrame({"shard": [], "source_no": [], "count": []})
+
+    chunk = F.expr(f"shard div {CHUNK}")
+    ranges = plan.sparkSession.range(shards).mapInPandas(by_range, "shard long, range long, count long").withColumn("chunk", chunk)
+    every = F.explode(F.sequence(F.lit(0), F.lit((shards - 1) // CHUNK)).cast("array<long>"))
+    own = ranged.select("range", "source_no", "slots", every.alias("chunk"))
+    both = ranges.groupBy("range", "chunk").cogroup(own.groupBy("range", "chunk"))
+    return checkpointed(both.applyInPandas(by_source, "shard long, source_no long, count long"))
+
+
+def slots(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 11) -> DataFrame:
+    """The mix: (shard, drawn, source_no, pass, block, words) of every slot.
+
+    A source drawn more often than it has slots gives its last ones to sources drawn less often:
+    both are numbered through, and numbers that are equal meet.
+    """
+    total, many = plan.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count("*")).first()
+    shards = max(1, -(-total // shard_slots))
+    drawn = _drawn(plan, total, shard_slots, seed) if total else plan.sparkSession.createDataFrame([], "shard long, source_no long, count long")
+    sums = plan.select("source_no", "slots").join(drawn.groupBy("source_no").agg(F.sum("count").alias("got")), "source_no", "left")
+    sums = sums.withColumn("got", F.coalesce("got", F.lit(0))).withColumn("one", F.lit(1))
+    sums = checkpointed(sums.withColumn("units", F.abs(F.col("got") - F.col("slots"))))
+    line = lambda rows, out: running(rows, ["one"], "units", ["source_no"], many, out)
+    over = line(sums.where("got > slots"), "at").select("source_no", "slots", "at", "units")
+    under = line(sums.where("got < slots"), "at").select("source_no", "got", "at", "units")
+    piece = F.explode(F.sequence(F.expr(f"at div {UNITS}"), F.expr(f"(at + units - 1) div {UNITS}")))
+    a = over.withColumn("piece", piece).select("piece", F.col("source_no").alias("drawn"), F.col("at").alias("a"), (F.col("at") + F.col("units")).alias("a_end"))
+    b = under.withColumn("piece", piece).select("piece", "source_no", "got", F.col("at").alias("b"), (F.col("at") + F.col("units")).alias("b_end"))
+    met = a.join(b, "piece")
+    low = F.greatest("a", "b", F.col("piece") * UNITS)
+    high = F.least("a_end", "b_end", (F.col("piece") + 1) * UNITS)
+    moves = met.select("drawn", "source_no", low.alias("low"), high.alias("high"), (F.col("got") + low - F.col("b")).alias("number")).where("low < high")
+    # Of each shard's slots of a source those within the source's own, and those that move.
+    first = running(drawn, ["source_no"], "count", ["shard"], shards, "first").join(plan.select("source_no", "slots"), "source_no")
+    own = first.select("shard", F.col("source_no").alias("drawn"), "source_no", "first", F.least("count", F.col("slots") - F.col("first")).alias("count"))
+    late = first.where("first + count > slots").withColumnRenamed("source_no", "drawn").join(over.select(F.col("source_no").alias("drawn"), "at"), "drawn")
+    late = late.withColumn("begin", F.col("at") + F.greatest("first", "slots") - F.col("slots")).withColumn("end", F.col("at") + F.col("first") + F.col("count") - F.col("slots"))
+    late = late.select("shard", "drawn", "begin", "end").join(moves, "drawn").where("begin < high AND low < end")
+    begin, end = F.greatest("begin", "low"), F.least("end", "high")
+    moved = late.select("shard", "drawn", "source_no", (F.col("number") + begin - F.col("low")).alias("first"), (end - begin).alias("count"))
+    parts = own.where("count > 0").unionByName(moved).join(plan.select("source_no", "size", "passes", "rest", "short", "block"), "source_no")
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for shard, s, count, first in zip(pdf["shard"], pdf["source_no"], pdf["count"], pdf["first"], strict=True):
-                index = np.arange(first, first + count)
-                moved = index >= plan.slots[s]
-                kind, number = np.full(count, s), index.copy()
-                if moved.any():
-                    u = above_at[s] + index[moved] - plan.slots[s]
-                    kind[moved] = to = np.searchsorted(below_at, u, "right")
-                    number[moved] = sums[to] + u - (below_at[to] - below[to])
-                for t in np.unique(kind):
-                    mine = kind == t
-                    turn, block, words = plan.taken(int(t), number[mine])
-                    yield pd.DataFrame({"shard": shard, "drawn": s, "source_no": t, "pass": turn, "block": block, "words": words})
-
-    numbered = running(drawn, ["source_no"], "count", ["shard"], shards, "first")
+            for r in pdf.itertuples(index=False):
+                source = Source(int(r.source_no), int(r.size), int(r.passes), int(r.rest), int(r.block), int(r.short))
+                turn, block, words = source.taken(np.arange(r.first, r.first + r.count))
+                yield pd.DataFrame({"shard": r.shard, "drawn": r.drawn, "source_no": r.source_no, "pass": turn, "block": block, "words": words})
+
     # A row stands for up to a shard of slots: few bytes, but work for many tasks.
-    numbered = numbered.repartition(shards // 16 + 1, "shard")
-    return numbered.mapInPandas(deal, "shard long, drawn long, source_no long, pass long, block long, words long")
+    parts = parts.repartition(shards // 16 + 1, "shard", "source_no")
+    parts = parts.select("shard", "drawn", "source_no", "first", "count", "size", "passes", "rest", "short", "block")
+    return parts.mapInPandas(deal, "shard long, drawn long, source_no long, pass long, block long, words long")
 
 
-def takes(rows: DataFrame, plan: _Sources, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+def takes(rows: DataFrame, plan: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """(row, pass, first, last): the words of every row that the mix takes, by pass; last is exclusive."""
-    spark = rows.sparkSession
-    number = spark.createDataFrame(
-        pd.DataFrame({"source": pd.Series(plan.names, dtype=object), "source_no": np.arange(len(plan.names))}),
-        "source string, source_no long",
-    )
-    placed = rows.where("size > 0").join(F.broadcast(number), rows["source"].eqNullSafe(number["source"]))
-    placed = placed.select("row", "doc_id", "size", "source_no")
+    number = plan.select(F.col("source").alias("name"), "source_no")
+    placed = rows.where("size > 0").join(number, F.col("source").eqNullSafe(F.col("name"))).select("row", "doc_id", "size", "source_no")
     placed = running(placed, ["source_no"], "size", ["doc_id", "size", "row"], rows.count(), "start", ["doc_id", "size"])
-    pieces = placed.withColumn(
-        "block", F.explode(F.sequence(F.expr(f"start div {plan.block}"), F.expr(f"(start + size - 1) div {plan.block}")))
-    )
-    joined = pieces.join(slots(spark, plan, shard_slots), ["source_no", "block"])
-    first = F.greatest(F.lit(0), F.col("block") * plan.block - F.col("start"))
-    last = F.least(F.col("size"), F.col("block") * plan.block + F.col("words") - F.col("start"))
+    pieces = placed.withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
+    joined = pieces.join(slots(plan, shard_slots), ["source_no", "block"])
+    first = F.greatest(F.lit(0), F.col("block") * block - F.col("start"))
+    last = F.least(F.col("size"), F.col("block") * block + F.col("words") - F.col("start"))
     return joined.select("row", "pass", first.alias("first"), last.alias("last")).where("first < last")
 
 
@@ -208,15 +262,10 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = sized(docs, id_col, text_col, source_col)
     plan = source_plan(rows)
-    if not plan.names:
-        return rows.select("doc_id", "size", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("taken"))
-    found = rows.sparkSession.createDataFrame(
-        pd.DataFrame({"s": pd.Series(plan.names, dtype=object), "source_size": plan.sizes, "target": plan.target}),
-        "s string, source_size long, target double",
-    )
+    found = plan.select(F.col("source").alias("s"), F.col("size").alias("source_size"), "target")
     sums = takes(rows, plan).groupBy("row").agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
     return (
-        rows.join(F.broadcast(found), rows["source"].eqNullSafe(found["s"]))
+        rows.join(found, rows["source"].eqNullSafe(found["s"]))
         .join(sums, "row", "left")
         .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
@@ -232,8 +281,6 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "mix")
     rows = sized(held, id_col, text_col, source_col)
     plan = source_plan(rows)
-    if not int(plan.sizes.sum()):
-        return docs.limit(0)
     names = docs.columns
     parts = takes(rows, plan).groupBy("row", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("__parts"))
     parts = parts.join(rows.select("row", "size"), "row").select(F.col("row").alias("__row"), "__parts", F.col("size").alias("__size"))

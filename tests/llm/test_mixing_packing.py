@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import running
-from feedloom.llm.mixing import _Sources, mix_counts, mixed_documents, permuted, sized, slots, source_plan, targets
+from feedloom.llm import mixing
+from feedloom.llm.mixing import Source, mix_counts, mixed_documents, permuted, sized, slots, source_plan, with_targets
 from feedloom.llm.packing import bin_patterns, default_tokenizer, fullest, pack
 
 
@@ -16,11 +17,31 @@ def corpus(seed, n=120):
     return [(i, " ".join(f"v{rng.randrange(99)}" for _ in range(rng.choice([0, 1, 5, 40, 900]))), rng.choice(["a", "a", "b", "c", None])) for i in range(n)]
 
 
-def test_targets_reshare_what_is_above_the_cap():
+def targets(sizes, weights, cap=3.0):
+    """Shares by weight, none above ``cap`` times its own size, the excess shared anew."""
+    sizes, weights = np.asarray(sizes, dtype=float), np.asarray(weights, dtype=float)
+    out, free, left = np.zeros(len(sizes)), np.ones(len(sizes), dtype=bool), float(sizes.sum())
+    while free.any():
+        share = left * weights[free] / weights[free].sum()
+        over = share > cap * sizes[free]
+        if not over.any():
+            out[free] = share
+            break
+        at = np.flatnonzero(free)[over]
+        out[at] = cap * sizes[at]
+        free[at] = False
+        left = float(sizes.sum()) - out[~free].sum()
+    return out
+
+
+def test_targets_reshare_what_is_above_the_cap(spark):
     assert targets([100, 100, 100], [5, 2, 1]) == pytest.approx([187.5, 75, 37.5])
-    got = targets([10, 1000, 1000], [5, 2, 1])
-    assert got[0] == 30 and got.sum() == pytest.approx(2010) and got[1] == pytest.approx(2 * got[2])
-    assert list(targets([0, 0], [5, 2])) == [0, 0]
+    rng = random.Random(9)
+    for sizes in ([100, 100, 100], [10, 1000, 1000], [0, 0], [0, 7], [int(rng.lognormvariate(4, 3)) for _ in range(400)], [2**k for k in range(40)]):
+        weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
+        table = spark.createDataFrame([(i, n, w) for i, (n, w) in enumerate(zip(sizes, weights, strict=True))], "i int, size long, weight int")
+        got = [r["target"] for r in with_targets(table, 3).orderBy("i").collect()]
+        assert got == list(targets(sizes, weights))
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 17, 64, 1000])
@@ -46,23 +67,49 @@ def test_taken_words(documents, seed):
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
 
-def test_slots_fill_shards(documents):
+@pytest.mark.parametrize("parts", [(4096, 8192, 4096), (2, 3, 5)], ids=["whole", "cut"])
+def test_slots_fill_shards(documents, monkeypatch, parts):
+    for name, value in zip(("RANGE", "CHUNK", "UNITS"), parts, strict=True):
+        monkeypatch.setattr(mixing, name, value)
     plan = source_plan(sized(documents(corpus(3)), "doc_id", "text", "source"), block=64)
-    found = slots(documents(corpus(3)).sparkSession, plan, shard_slots=16)
-    assert found.count() == plan.slots.sum()
+    found = slots(plan, shard_slots=16).cache()
+    sources = {r["source_no"]: r for r in plan.collect()}
+    assert found.count() == sum(r["slots"] for r in sources.values())
     sizes = [r["count"] for r in found.groupBy("shard").count().orderBy("shard").collect()]
-    assert set(sizes[:-1]) == {16} and found.agg(F.sum("words")).first()[0] == np.rint(plan.target).sum()
-    most = found.groupBy("source_no", "block").count().agg(F.max("count")).first()[0]
-    assert most <= 3
+    assert set(sizes[:-1]) == {16}
+    # Every slot of each source is dealt once: its words are its target.
+    for r in found.groupBy("source_no").agg(F.sum("words").alias("words"), F.count("*").alias("n"), F.countDistinct("pass", "block").alias("d")).collect():
+        own = sources[r["source_no"]]
+        assert r["words"] == round(own["target"]) and r["n"] == r["d"] == own["slots"]
+
+
+def test_draws_follow_the_targets(spark):
+    plan = spark.createDataFrame([(i, (i % 7 + 1) * 40) for i in range(50)], "source_no long, slots long")
+    total = plan.agg(F.sum("slots")).first()[0]
+    got = mixing._drawn(plan, total, 64, 3)
+    assert got.groupBy("shard").agg(F.sum("count").alias("n")).where("n = 64").count() == total // 64
+    counts = {r["source_no"]: r["n"] for r in got.groupBy("source_no").agg(F.sum("count").alias("n")).collect()}
+    assert all(abs(counts[i] - (i % 7 + 1) * 40) < 5 * np.sqrt((i % 7 + 1) * 40) for i in range(50))
+
+
+def test_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE", 512)
+    docs = spark.range(9_000).selectExpr("id AS doc_id", "concat('host', id % 6000, '.org') AS source", "repeat('word ', CAST(1 + id % 40 AS INT)) AS text")
+    sums = mix_counts(docs).join(docs, "doc_id").groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("source_size").alias("size"))
+    rows = sorted(sums.collect(), key=lambda r: r["source"])
+    want = targets([r["size"] for r in rows], [(5, 2, 1)[i % 3] for i in range(len(rows))])
+    assert [r["target"] for r in rows] == list(want)
+    assert all(r["taken"] == min(round(r["target"]), 3 * r["size"]) for r in rows) and len(rows) == 6000
 
 
 def test_short_blocks_are_cut_right():
     for size in (1, 63, 64, 65, 130, 1000):
         for weight in (1, 2, 5):
-            plan = _Sources(["x", "y"], np.array([size, 500]), (weight, 3), 64, 3)
-            for s in (0, 1):
-                _, _, words = plan.taken(s, np.arange(plan.slots[s]))
-                assert words.sum() == min(round(plan.target[s]), 3 * plan.sizes[s]) and (words > 0).all()
+            goal = targets([size, 500], [weight, 3])
+            for s, n in enumerate((size, 500)):
+                plan = Source.planned(s, n, goal[s], 64, 3)
+                _, _, words = plan.taken(np.arange(plan.slots))
+                assert words.sum() == min(round(goal[s]), 3 * n) and (words > 0).all()
 
 
 def test_mixed_documents_hold_the_words(documents, odd, clashing):
