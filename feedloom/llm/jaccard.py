@@ -41,6 +41,7 @@ BLOCK = 256  # classes of a block of the prefix-tree join
 DENSE = 16  # classes of an n-gram from which its family is compared in blocks
 MAX_FAMILY = 64 * BLOCK  # of a larger family each n-gram's classes are blocks of their own
 BUCKET = 1 << 20  # n-gram entries of a counting bucket
+SLOT = 1024  # rows of small groups that a task takes together
 CLASS_SCHEMA = "doc_id long, sig binary, n long, s long, ext binary"
 
 
@@ -335,16 +336,35 @@ def trie_links(members: list, queries: list, percent: int) -> list[tuple[bytes,
     return links
 
 
+def _slotted(groups: DataFrame) -> DataFrame:
+    """Groups (key, block, ...) with the slot whose groups are handed over together.
+
+    Most groups are a few rows, and each would cost more to hand over than to compare. A slot has
+    some SLOT rows, or one group of more.
+    """
+    groups = checkpointed(groups)
+    return groups.withColumn("slot", F.pmod(F.xxhash64("key", "block"), F.lit(groups.count() // SLOT + 1)))
+
+
+def _each(pdf: pd.DataFrame) -> Iterator[np.ndarray]:
+    """Row numbers of each group of a slot."""
+    group = pd.factorize(pdf["key"])[0] * np.int64(len(pdf) + 1) + pd.factorize(pdf["block"])[0]
+    order = np.argsort(group, kind="stable")
+    yield from np.split(order, np.flatnonzero(np.diff(group[order])) + 1)
+
+
 def verified_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links found within the groups (key, block, sig, comp, asks, held) by the prefix-tree join."""
 
     def found(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = [(s, c, np.frombuffer(g, _U)) for s, c, g in zip(pdf["sig"], pdf["comp"], pdf["grams"], strict=True)]
-        asks = [r for r, q in zip(rows, pdf["asks"], strict=True) if q]
-        held = [r for r, q in zip(rows, pdf["held"], strict=True) if q]
-        return pd.DataFrame(trie_links(held, asks, percent), columns=["a", "b"])
+        asks, held = pdf["asks"].to_numpy(dtype=bool), pdf["held"].to_numpy(dtype=bool)
+        out: list = []
+        for group in _each(pdf):
+            out += trie_links([rows[i] for i in group if held[i]], [rows[i] for i in group if asks[i]], percent)
+        return pd.DataFrame(out, columns=["a", "b"])
 
-    links = checkpointed(groups.join(sets, "sig").groupBy("key", "block").applyInPandas(found, "a binary, b binary").distinct())
+    links = checkpointed(_slotted(groups).join(sets, "sig").groupBy("slot").applyInPandas(found, "a binary, b binary").distinct())
     release(sets.sparkSession)
     return links
 
@@ -393,7 +413,8 @@ def _block_groups(rows: DataFrame) -> DataFrame:
     every = lambda size: F.explode(F.sequence(F.lit(0), (F.ceil(F.col(size) / BLOCK) - 1).cast("int")))
     held = rows.select("key", _block_of("m").alias("h"), every("k").alias("q"), "sig", "comp", F.lit(False).alias("asks"), F.lit(True).alias("held"))
     asks = rows.where("comp <> top").select("key", every("m").alias("h"), _block_of("k").alias("q"), "sig", "comp", F.lit(True).alias("asks"), F.lit(False).alias("held"))
-    return held.union(asks).select("key", F.struct("h", "q").alias("block"), "sig", "comp", "asks", "held")
+    block = F.col("h").cast("long") * (1 << 31) + F.col("q")
+    return held.union(asks).select("key", block.alias("block"), "sig", "comp", "asks", "held")
 
 
 def near_pairs(groups: DataFrame, of: DataFrame, prefix: DataFrame, percent: int) -> DataFrame:
@@ -407,37 +428,44 @@ def near_pairs(groups: DataFrame, of: DataFrame, prefix: DataFrame, percent: int
         grams = [np.frombuffer(g, _U) for g in pdf["grams"]]
         n, alone = pdf["n"].to_numpy(), pdf["alone"].to_numpy()
         size = alone + np.array([len(g) for g in grams])
-        ends = pd.MultiIndex.from_arrays([pdf["last_count"], pdf["last_gram"]])
-        rank = np.unique(np.array([*ends], dtype="i8,i8"), return_inverse=True)[1]
-        comp = np.unique(np.array(pdf["comp"], dtype="S16"), return_inverse=True)[1]
-        held, sigs = np.flatnonzero(pdf["held"]), pdf["sig"].to_numpy()
-        flat = np.concatenate([grams[i] for i in held]) if len(held) else np.empty(0, _U)
-        owner = np.repeat(np.arange(len(held)), [len(grams[i]) for i in held])
-        order = np.argsort(flat)
-        flat, owner = flat[order], owner[order]
+        ends = np.lexsort((pdf["last_gram"], pdf["last_count"]))
+        steps = (np.diff(pdf["last_gram"].to_numpy()[ends]) != 0) | (np.diff(pdf["last_count"].to_numpy()[ends]) != 0)
+        rank = np.empty(len(ends), dtype=np.int64)
+        rank[ends] = np.r_[0, np.cumsum(steps)]
+        comp = pd.factorize(pdf["comp"])[0]
+        holds, questions, sigs, key = pdf["held"].to_numpy(dtype=bool), pdf["asks"].to_numpy(dtype=bool), pdf["sig"].to_numpy(), pdf["key"].to_numpy()
         keys = [np.asarray(x, dtype=np.int64) for x in pdf["keys"]]
-        before = [x[: np.searchsorted(x, pdf["key"].iloc[0])] for x in keys]
-        first_flat = np.concatenate([before[i] for i in held]) if len(held) else np.empty(0, np.int64)
-        first_owner = np.repeat(np.arange(len(held)), [len(before[i]) for i in held])
         family = pd.factorize(pdf["family"])[0]  # -1: none that was joined
-        out = []
-        for x in np.flatnonzero(pdf["asks"]):
-            low, high = np.searchsorted(flat, grams[x], "left"), np.searchsorted(flat, grams[x], "right")
-            counts = high - low
-            at = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-            common = np.bincount(owner[at], minlength=len(held))
-            need = -(-percent * (n[x] + n[held]) // (100 + percent))
-            mine = np.where(rank[x] <= rank[held], size[x] - common, alone[x])
-            theirs = np.where(rank[held] <= rank[x], size[held] - common, alone[held])
-            good = (comp[held] != comp[x]) & (mine <= n[x] - need) & (theirs <= n[held] - need)
-            if len(before[x]) and good.any():
-                good[first_owner[np.isin(first_flat, before[x])]] = False
-            if family[x] >= 0:
-                good &= family[held] != family[x]
-            out.extend((min(sigs[x], sigs[y]), max(sigs[x], sigs[y])) for y in held[good])
+        out: list = []
+        for group in _each(pdf):
+            held, asks = group[holds[group]], group[questions[group]]
+            if not len(held):
+                continue
+            flat = np.concatenate([grams[i] for i in held])
+            owner = np.repeat(np.arange(len(held)), [len(grams[i]) for i in held])
+            order = np.argsort(flat)
+            flat, owner = flat[order], owner[order]
+            before = [keys[i][: np.searchsorted(keys[i], key[i])] for i in held]
+            first_flat = np.concatenate(before)
+            first_owner = np.repeat(np.arange(len(held)), [len(x) for x in before])
+            for x in asks:
+                low, high = np.searchsorted(flat, grams[x], "left"), np.searchsorted(flat, grams[x], "right")
+                counts = high - low
+                at = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+                common = np.bincount(owner[at], minlength=len(held))
+                need = -(-percent * (n[x] + n[held]) // (100 + percent))
+                mine = np.where(rank[x] <= rank[held], size[x] - common, alone[x])
+                theirs = np.where(rank[held] <= rank[x], size[held] - common, alone[held])
+                good = (comp[held] != comp[x]) & (mine <= n[x] - need) & (theirs <= n[held] - need)
+                own = keys[x][: np.searchsorted(keys[x], key[x])]
+                if len(own) and good.any():
+                    good[first_owner[np.isin(first_flat, own)]] = False
+                if family[x] >= 0:
+                    good &= family[held] != family[x]
+                out.extend((min(sigs[x], sigs[y]), max(sigs[x], sigs[y])) for y in held[good])
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return groups.join(prefix, "sig").join(of, "sig", "left").groupBy("key", "block").applyInPandas(found, "a binary, b binary").distinct()
+    return _slotted(groups).join(prefix, "sig").join(of, "sig", "left").groupBy("slot").applyInPandas(found, "a binary, b binary").distinct()
 
 
 def _pair_groups(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
