@@ -19,7 +19,7 @@ from feedloom.sources.documents import body_rows, scan_json, scan_pages
 from feedloom.sources.files import scan_delimited, scan_parquet, scan_query, union_by_name
 from feedloom.sources.scan import scan
 from feedloom.sources.workbooks import workbook_rows
-from feedloom.specs import MISSING_WORDS, ReadOptions, SourceSpec
+from feedloom.specs import MISSING_WORDS, ColumnMapping, ReadOptions, SourceSpec
 
 # The workbook functions travel with the tasks, so workers need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -251,6 +251,29 @@ def excel_scan_union(spark, sf_dir):
     return workbook_rows(books, columns, ReadOptions(sheet="rows"))
 
 
+@register(
+    """
+    SELECT CAST(s_suppkey AS VARCHAR) AS "0", s_name AS "1", CAST(s_nationkey AS VARCHAR) AS "2" FROM supplier
+    UNION ALL
+    SELECT 's_suppkey', 's_name', 's_nationkey' FROM (SELECT DISTINCT s_nationkey FROM supplier)
+    """
+)
+def excel_folder_scan(spark, sf_dir):
+    """A folder of workbooks, one for each nation, by pattern and sheet; their headers are rows."""
+
+    def make(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"content": [workbook(rows)]})
+
+    folder = shared_folder(spark, "workbooks")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    books = rows.groupBy("s_nationkey").applyInPandas(make, "content binary")
+    # Spark writes text as the bytes it is given; what follows the end of an archive does no harm.
+    books.select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).text(folder)
+    options = ReadOptions(pattern="*part-*.txt", sheet="rows", header=False)
+    mappings = [ColumnMapping(str(i), f"c{i}", "VARCHAR", i) for i in range(3)]
+    return scan(spark, SourceSpec("awss3", folder, options), mappings)
+
+
 def workbook(rows: pd.DataFrame) -> bytes:
     """A workbook whose second sheet, ``rows``, holds a header row and the given rows."""
 

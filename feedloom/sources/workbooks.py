@@ -120,14 +120,20 @@ def sheet_rows(content: bytes, sheet: str | None = None) -> Iterator[list[str |
         strings, dated = _shared_strings(book), _date_styles(book)
         done = 0
         with book.open(path) as stream:
-            for _, node in ElementTree.iterparse(stream):
+            parents: list[ElementTree.Element] = []
+            for event, node in ElementTree.iterparse(stream, ("start", "end")):
+                if event == "start":
+                    parents.append(node)
+                    continue
+                parents.pop()
                 if not node.tag.endswith("}row"):
                     continue
                 number = int(node.get("r", done + 1))
                 yield from ([] for _ in range(number - done - 1))
                 done = number
                 yield _row(node, strings, dated, base)
-                node.clear()
+                if parents:
+                    parents[-1].remove(node)  # rows that were read are let go
 
 
 def _row(node, strings: list[str], dated: set[int], base: datetime) -> list[str | None]:
