@@ -247,7 +247,8 @@ def takes(rows: DataFrame, plan: DataFrame, block: int = BLOCK_WORDS, shard_slot
     placed = rows.where("size > 0").join(number, F.col("source").eqNullSafe(F.col("name"))).select("row", "doc_id", "size", "source_no")
     placed = running(placed, ["source_no"], "size", ["doc_id", "size", "row"], rows.count(), "start", ["doc_id", "size"])
     pieces = placed.withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
-    joined = pieces.join(slots(plan, shard_slots), ["source_no", "block"])
+    # Spark cannot know how many slots a shard is, and would take them for few enough to broadcast.
+    joined = pieces.join(slots(plan, shard_slots).hint("merge"), ["source_no", "block"])
     first = F.greatest(F.lit(0), F.col("block") * block - F.col("start"))
     last = F.least(F.col("size"), F.col("block") * block + F.col("words") - F.col("start"))
     return joined.select("row", "pass", first.alias("first"), last.alias("last")).where("first < last")

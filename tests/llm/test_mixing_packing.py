@@ -129,6 +129,13 @@ def test_mixed_documents_hold_the_words(documents, odd, clashing):
     assert mix_counts(odd.limit(0)).count() == mixed_documents(odd.limit(0)).count() == 0
 
 
+def test_slots_are_not_broadcast(documents):
+    rows = sized(documents(corpus(3)), "doc_id", "text", "source")
+    plan = mixing.takes(rows, source_plan(rows))._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("MapInPandas")]
+    assert "SortMergeJoin" in above and "BroadcastExchange" not in above.split("SortMergeJoin")[0]
+
+
 def test_running_sums(spark):
     df = spark.range(3000).selectExpr("id % 3 AS k", "id", "id % 5 AS v")
     got = running(df, ["k"], "v", ["id"], 40_000_000, "before").collect()
