@@ -1,11 +1,12 @@
 """Nearest neighbours by cosine with randomly rotated one-bit codes.
 
 Every vector is scaled to length one and rotated by one random orthogonal matrix; its code is the
-sign of each coordinate, packed to bits, and its correction scalar the inner product of the vector
-with its code as a unit vector. Codes are made once; blocks of codes and of queries meet, and no vector
-goes along. A rotated query is cut into bit planes, so its inner product with a code is a sum of
-counts of common bits; divided by the correction it estimates the inner product of the vectors, with an
-error below ``EPSILON * sqrt((1 - c^2) / (c^2 * (d - 1)))`` with high probability.
+sign of each coordinate, packed to bits. With few dimensions one such code leaves large errors, so what
+a code leaves over is coded in the same way, some times. Each code has its length as a scalar, and their sum has
+as correction scalar its inner product with the vector. Codes are made once, as packed bits; blocks of codes and of
+queries meet, and no vector goes along. The inner product of a rotated query with the sum of a row's
+codes, divided by the correction, estimates the inner product of the vectors, with an error
+below ``EPSILON / sqrt(d - 1)`` times what of the codes' sum is not along the vector, with high probability.
 
 A first scan of the codes finds each query's best estimates, over all blocks. Their vectors are joined and
 measured exactly, which gives the query a bar. A second scan lets through the rows whose
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import checkpointed
 
 ROWS, QUERIES = 32768, 1024  # of a block
-PLANES = 7  # bits of a query's coordinates
+CODES = 5  # of a vector
 FIRST = 4  # how many times the neighbours wanted are measured to find the bar
 EPSILON = 3.0
 
@@ -37,38 +38,33 @@ def rotation(dim: int, seed: int = 5) -> np.ndarray:
 
 
 def encode(unit: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed sign bits and correction scalars of unit vectors."""
+    """Packed sign bits of unit vectors (vectors by codes by bytes), and scalars: lengths, correction, what is across."""
     turned = unit @ turn
-    return np.packbits(turned >= 0, axis=1), np.abs(turned).sum(1) / np.sqrt(turned.shape[1])
-
-
-def words(codes: np.ndarray) -> np.ndarray:
-    """Packed bits as rows of 64-bit words, padded with zeros."""
-    wide = -(-codes.shape[1] // 8) * 8
-    return np.ascontiguousarray(np.pad(codes, ((0, 0), (0, wide - codes.shape[1])))).view(np.uint64)
+    rest, codes, lengths = turned.copy(), [], []
+    for _ in range(CODES):
+        sign = rest >= 0
+        length = np.abs(rest).mean(axis=1)
+        codes.append(np.packbits(sign, axis=1))
+        lengths.append(length)
+        rest -= np.where(sign, length[:, None], -length[:, None])
+    known = turned - rest
+    along = (known * turned).sum(axis=1)
+    across = np.sqrt(np.maximum((known * known).sum(axis=1) - along * along, 0))
+    return np.stack(codes, axis=1), np.stack([*lengths, along, across], axis=1)
+
+
+def bounds(scalars: np.ndarray, dim: int) -> np.ndarray:
+    """How far estimates may be off, by row."""
+    return EPSILON * scalars[:, -1] / (scalars[:, -2] * np.sqrt(max(1, dim - 1)))
 
 
-def bounds(correction: np.ndarray, dim: int) -> np.ndarray:
-    """How far estimates may be off, by row."""
-    c = np.minimum(correction, 1.0)
-    return EPSILON * np.sqrt((1 - c * c) / (c * c * max(1, dim - 1)))
-
-
-def estimates(codes: np.ndarray, correction: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products of a rotated query with the rows of ``codes`` (words), and what cutting it to planes may add to errors."""
-    dim = len(query)
-    low = query.min()
-    step = (query.max() - low) / ((1 << PLANES) - 1) or 1.0
-    level = np.rint((query - low) / step).astype(np.uint8)
-    cut = low + step * level
-    common = np.zeros(len(codes), dtype=np.int32)
-    for k in range(PLANES):
-        plane = words(np.packbits((level >> k) & 1)[None])[0]
-        both = np.bitwise_count(codes & plane)
-        common += both.sum(axis=1, dtype=np.int32) << k if codes.shape[1] > 1 else both[:, 0].astype(np.int32) << k
-    ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int32)
-    scale = np.sqrt(dim) * correction
-    return (2 * (low * ones + step * common) - cut.sum()) / scale, np.abs(query - cut).sum() / scale
+def decoded(codes: np.ndarray, scalars: np.ndarray, dim: int) -> np.ndarray:
+    """The sums of the codes of a block's rows, divided by the corrections, in single precision."""
+    known = np.zeros((len(codes), dim), dtype=np.float32)
+    for k in range(codes.shape[1]):
+        length = (scalars[:, k] / scalars[:, -2]).astype(np.float32)[:, None]
+        known += np.where(np.unpackbits(codes[:, k], axis=1, count=dim), length, -length)
+    return known
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -126,8 +122,8 @@ def nearest(vectors: DataFrame, every: int = 50, top: int = 5, id_col: str = "ve
                 continue
             v = np.array(pdf["v"].tolist(), dtype=np.float64).reshape(-1, dim)
             v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
-            codes, correction = encode(v / np.sqrt((v * v).sum(axis=1, keepdims=True)), turn)
-            yield pd.DataFrame({"row": pdf["row"].to_numpy(), "code": [c.tobytes() for c in codes], "correction": correction})
+            codes, scalars = encode(v / np.sqrt((v * v).sum(axis=1, keepdims=True)), turn)
+            yield pd.DataFrame({"row": pdf["row"].to_numpy(), "code": [c.tobytes() for c in codes], "scalars": [x.astype(np.float32).tobytes() for x in scalars]})
 
     def turned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -138,12 +134,12 @@ def nearest(vectors: DataFrame, every: int = 50, top: int = 5, id_col: str = "ve
             unit = (v / np.sqrt((v * v).sum(axis=1, keepdims=True))) @ turn
             yield pd.DataFrame({"row": pdf["row"].to_numpy(), "code": [u.astype(np.float32).tobytes() for u in unit]})
 
-    codes = checkpointed(data.select("row", "v").mapInPandas(coded, "row long, code binary, correction double"))
+    codes = checkpointed(data.select("row", "v").mapInPandas(coded, "row long, code binary, scalars binary"))
     queries = checkpointed(asked.select("row", "v").mapInPandas(turned, "row long, code binary"))
     data_blocks, query_blocks = max(1, -(-codes.count() // ROWS)), max(1, -(-queries.count() // QUERIES))
     number = lambda k: F.pmod(F.xxhash64("row"), F.lit(k)).cast("int")
     others = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    held = codes.select(number(data_blocks).alias("d"), others(query_blocks).alias("b"), "row", "code", "correction")
+    held = codes.select(number(data_blocks).alias("d"), others(query_blocks).alias("b"), "row", "code", "scalars")
 
     def scan(bars: DataFrame | None) -> DataFrame:
         """Pairs (query, row, estimate): the best of each block, or all that may reach the query's bar."""
@@ -153,20 +149,22 @@ def nearest(vectors: DataFrame, every: int = 50, top: int = 5, id_col: str = "ve
         asks = asks.select(others(data_blocks).alias("d"), number(query_blocks).alias("b"), "row", "code", bar.alias("bar"))
 
         def search(mine: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
-            packed = words(np.frombuffer(b"".join(those["code"]), dtype=np.uint8).reshape(len(those), -1))
-            row, correction = those["row"].to_numpy(), those["correction"].to_numpy()
-            error, out = bounds(correction, dim), []
-            for query, code, least in zip(mine["row"], mine["code"], mine["bar"], strict=True):
-                guess, more = estimates(packed, correction, np.frombuffer(code, dtype=np.float32).astype(np.float64))
-                guess[row == query] = -np.inf
-                if not barred:
-                    k = min(FIRST * top, len(row))
-                    chosen = np.argpartition(-guess, k - 1)[:k]
-                else:
-                    # Single precision moves an estimate by far less than 1e-4.
-                    chosen = np.flatnonzero(guess + error + more + 1e-4 >= least)
-                chosen = chosen[np.isfinite(guess[chosen])]
-                out.append(pd.DataFrame({"query": query, "row": row[chosen], "estimate": guess[chosen]}))
+            codes = np.frombuffer(b"".join(those["code"]), dtype=np.uint8).reshape(len(those), CODES, -1)
+            scalars = np.frombuffer(b"".join(those["scalars"]), dtype=np.float32).reshape(len(those), -1)
+            known, error, row = decoded(codes, scalars, dim), bounds(scalars, dim), those["row"].to_numpy()
+            asked_for = np.frombuffer(b"".join(mine["code"]), dtype=np.float32).reshape(len(mine), dim)
+            queries_at, bars_at, out = mine["row"].to_numpy(), mine["bar"].to_numpy(), []
+            for a in range(0, len(mine), 64):
+                for i, guess in enumerate(asked_for[a : a + 64] @ known.T, a):
+                    guess[row == queries_at[i]] = -np.inf
+                    if barred:
+                        # Single precision moves an estimate by far less than 1e-4.
+                        chosen = np.flatnonzero(guess + error + 1e-4 >= bars_at[i])
+                    else:
+                        k = min(FIRST * top, len(row))
+                        chosen = np.argpartition(-guess, k - 1)[:k]
+                    chosen = chosen[np.isfinite(guess[chosen])]
+                    out.append(pd.DataFrame({"query": queries_at[i], "row": row[chosen], "estimate": guess[chosen]}))
             return pd.concat(out) if out else pd.DataFrame({"query": [], "row": [], "estimate": []})
 
         both = asks.groupBy("d", "b").cogroup(held.groupBy("d", "b"))

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from feedloom.llm import neighbours
-from feedloom.llm.neighbours import bounds, encode, estimates, nearest, rotation, words
+from feedloom.llm.neighbours import bounds, decoded, encode, nearest, rotation
 
 
 def brute(rows, every, top):
@@ -52,26 +52,26 @@ def test_errors_are_within_their_bounds():
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     turn = rotation(64)
     assert np.allclose(turn @ turn.T, np.eye(64))
-    codes, correction = encode(unit, turn)
-    assert codes.shape == (500, 8)
-    error = bounds(correction, 64)
-    for query in unit[:40] @ turn:
-        guess, more = estimates(words(codes), correction, query)
-        off = guess - (unit @ turn) @ query
-        assert (np.abs(off) <= error + more + 1e-4).mean() > 0.99 and abs(off.mean()) < 0.03
+    codes, scalars = encode(unit, turn)
+    assert codes.shape == (500, neighbours.CODES, 8)
+    error = bounds(scalars, 64)
+    assert np.median(error) < 0.06 and error.max() < 0.15
+    off = decoded(codes, scalars, 64) @ (unit[:40] @ turn).T - unit @ unit[:40].T
+    assert (np.abs(off) <= error[:, None] + 1e-4).mean() > 0.99 and abs(off.mean()) < 0.01
 
 
 @pytest.mark.parametrize("dim", [1, 9, 64, 100, 130])
-def test_bit_planes_give_the_inner_product_of_the_code(dim):
+def test_codes_and_scalars_give_their_sum(dim):
     rng = np.random.default_rng(dim)
     unit = rng.standard_normal((50, dim))
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     turn = rotation(dim)
-    codes, correction = encode(unit, turn)
-    query = rng.standard_normal(dim)
-    signs = np.where(unit @ turn >= 0, 1.0, -1.0)
-    guess, more = estimates(words(codes), correction, query)
-    assert (np.abs(guess - signs @ query / (np.sqrt(dim) * correction)) <= more + 1e-9).all()
+    codes, scalars = encode(unit, turn)
+    signs = np.where(np.unpackbits(codes, axis=2, count=dim) == 1, 1.0, -1.0)
+    known = (signs * scalars[:, : neighbours.CODES, None]).sum(axis=1)
+    assert np.allclose(decoded(codes, scalars, dim) * scalars[:, -2:-1], known, atol=1e-6)
+    assert np.allclose((known * (unit @ turn)).sum(axis=1), scalars[:, -2])
+    assert codes.shape[1] * codes.shape[2] + 4 * scalars.shape[1] < 4 * dim or dim < 64
 
 
 def test_codes_are_shipped_and_not_vectors(spark):
