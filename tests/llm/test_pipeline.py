@@ -33,5 +33,5 @@ def test_stages_take_effect(spark, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 14)] == [1] * 13
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "ngram_jaccard", "mixing", "packing"]
