@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.casts import lenient_cast
 from feedloom.functions.predicates import any_null
+from feedloom.operators.dedupe import keep_latest
 from feedloom.operators.project import quoted
 
+#: Rows of a source that Spark may broadcast, if it takes the source for small. What it goes by is the size of
+#: files, and well compressed ones of a few MB hold millions of rows.
+SMALL_ROWS = 100_000
+
 # Values of the outcome column.
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
@@ -33,7 +38,9 @@ def merge(
     the source is small Spark broadcasts it and the target is not shuffled at all;
     otherwise only outer, semi and anti joins occur whose big side AQE can split.
     The target's keys are made distinct first, so a key that fills the target
-    meets the join as one row per task.
+    meets the join as one row per task. Whether the source has more than ``SMALL_ROWS``
+    rows is found out here, by a job that counts no more of them in a task; such a source is sorted and
+    merged, never broadcast.
     """
     if not keys:
         raise ValueError("a merge needs key columns")
@@ -53,6 +60,9 @@ def merge(
     )
     key_cols = [f.name for f in target.schema.fields if f.name.lower() in key_names]
     new_keys = [new[k] for k in key_cols]
+    large = is_large(source)
+    if large:
+        incoming = incoming.hint("merge")
 
     def same_key() -> Column:
         condition = F.lit(True)
@@ -79,8 +89,12 @@ def merge(
     if not insert:
         return result
 
-    known = target.select(*[F.col(quoted(k)) for k in key_cols]).distinct()
-    known = known.join(incoming.select(*new_keys), same_key(), "left_semi")
+    known = target.select(*[F.col(quoted(k)) for k in key_cols])
+    if large:
+        # What is left of a task's keys comes sorted, as the join wants it.
+        known = keep_latest(known, key_cols).hint("merge")
+    else:
+        known = known.distinct().join(incoming.select(*new_keys), same_key(), "left_semi")
     added = incoming.join(known, same_key(), "left_anti")
     inserted = added.select(
         *row(lambda n: F.col(new[n]) if n in new else F.lit(None), F.lit(INSERT))
@@ -88,6 +102,11 @@ def merge(
     return result.unionByName(inserted)
 
 
+def is_large(source: DataFrame) -> bool:
+    """Whether a source has more than ``SMALL_ROWS`` rows, of which no more are counted in a task."""
+    return source.select(F.lit(1)).limit(SMALL_ROWS + 1).count() > SMALL_ROWS
+
+
 def typed(source_field, target_field) -> Column:
     """A source column with the type of the target's."""
     col = F.col(quoted(source_field.name))

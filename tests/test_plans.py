@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.operators.merge import merge
+from feedloom.operators.merge import SMALL_ROWS, is_large, merge
 from feedloom.operators.rules import apply_rules
 from feedloom.plans.feed import mark_goes_first
 from feedloom.queries import QUERIES
@@ -74,6 +74,23 @@ def test_large_merge_uses_joins_that_skew_handling_splits(spark, broadcast):
     assert "FullOuter" not in text and "Cartesian" not in text and "NestedLoop" not in text
 
 
+def test_a_source_of_many_rows_is_not_broadcast_however_small_its_files(spark, tmp_path):
+    def source(count):
+        path = str(tmp_path / str(count))
+        spark.range(0, 2 * count, 2, 1).selectExpr("id AS k", "0 AS v").write.parquet(path)
+        return spark.read.parquet(path)
+
+    small, many = source(SMALL_ROWS), source(SMALL_ROWS + 1)
+    assert is_large(many) and not is_large(small)
+    target = spark.range(0, SMALL_ROWS, 1, 2).selectExpr("CAST(id DIV 2 AS BIGINT) AS k", "1 AS v", "id AS w")
+    assert "Broadcast" in plan(merge(target, small, ["k"]))
+    done = merge(target, many, ["k"])
+    assert "Broadcast" not in plan(done) and "SortMergeJoin" in plan(done)
+    met = SMALL_ROWS // 4
+    got = done.groupBy("v", F.col("w").isNull().alias("new")).count().collect()
+    assert {(r["v"], r["new"]): r["count"] for r in got} == {(0, False): 2 * met, (1, False): 2 * met, (0, True): SMALL_ROWS + 1 - met}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_single_task(spark, name):
     text = plan(QUERIES[name](spark, SF))
