@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, numbered, running, staged
+from feedloom.llm.common import checkpointed, numbered, release, running, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -160,7 +160,9 @@ def source_plan(rows: DataFrame, weights: tuple = WEIGHTS, block: int = BLOCK_WO
             yield pdf.assign(**columns)
 
     schema = "source string, source_no long, size long, target double, passes long, rest long, short long, block long, slots long"
-    return checkpointed(found.select("source", "source_no", "size", "target").mapInPandas(planned, schema))
+    plan = checkpointed(found.select("source", "source_no", "size", "target").mapInPandas(planned, schema))
+    release(rows.sparkSession)
+    return plan
 
 
 def _drawn(plan: DataFrame, total: int, shard_slots: int, seed: int) -> DataFrame:
@@ -209,7 +211,9 @@ def slots(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 11) -> Da
     sums = sums.withColumn("got", F.coalesce("got", F.lit(0))).withColumn("one", F.lit(1))
     sums = checkpointed(sums.withColumn("units", F.abs(F.col("got") - F.col("slots"))))
     line = lambda rows, out: running(rows, ["one"], "units", ["source_no"], many, out)
-    over = line(sums.where("got > slots"), "at").select("source_no", "slots", "at", "units")
+    # Each step is stored before the next: as one plan they are planned anew with every stage that ends, and the
+    # driver's memory fills with plans.
+    over = checkpointed(line(sums.where("got > slots"), "at").select("source_no", "slots", "at", "units"))
     under = line(sums.where("got < slots"), "at").select("source_no", "got", "at", "units")
     piece = F.explode(F.sequence(F.expr(f"at div {UNITS}"), F.expr(f"(at + units - 1) div {UNITS}")))
     a = over.withColumn("piece", piece).select("piece", F.col("source_no").alias("drawn"), F.col("at").alias("a"), (F.col("at") + F.col("units")).alias("a_end"))
@@ -218,8 +222,10 @@ def slots(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 11) -> Da
     low = F.greatest("a", "b", F.col("piece") * UNITS)
     high = F.least("a_end", "b_end", (F.col("piece") + 1) * UNITS)
     moves = met.select("drawn", "source_no", low.alias("low"), high.alias("high"), (F.col("got") + low - F.col("b")).alias("number")).where("low < high")
+    moves = checkpointed(moves)
     # Of each shard's slots of a source those within the source's own, and those that move.
     first = running(drawn, ["source_no"], "count", ["shard"], shards, "first").join(plan.select("source_no", "slots"), "source_no")
+    first = checkpointed(first)
     own = first.select("shard", F.col("source_no").alias("drawn"), "source_no", "first", F.least("count", F.col("slots") - F.col("first")).alias("count"))
     late = first.where("first + count > slots").withColumnRenamed("source_no", "drawn").join(over.select(F.col("source_no").alias("drawn"), "at"), "drawn")
     late = late.withColumn("begin", F.col("at") + F.greatest("first", "slots") - F.col("slots")).withColumn("end", F.col("at") + F.col("first") + F.col("count") - F.col("slots"))
@@ -237,7 +243,8 @@ def slots(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 11) -> Da
 
     # A row stands for up to a shard of slots: few bytes, but work for many tasks.
     parts = parts.repartition(shards // 16 + 1, "shard", "source_no")
-    parts = parts.select("shard", "drawn", "source_no", "first", "count", "size", "passes", "rest", "short", "block")
+    parts = checkpointed(parts.select("shard", "drawn", "source_no", "first", "count", "size", "passes", "rest", "short", "block"))
+    release(plan.sparkSession)
     return parts.mapInPandas(deal, "shard long, drawn long, source_no long, pass long, block long, words long")
 
 
@@ -246,6 +253,7 @@ def takes(rows: DataFrame, plan: DataFrame, block: int = BLOCK_WORDS, shard_slot
     number = plan.select(F.col("source").alias("name"), "source_no")
     placed = rows.where("size > 0").join(number, F.col("source").eqNullSafe(F.col("name"))).select("row", "doc_id", "size", "source_no")
     placed = running(placed, ["source_no"], "size", ["doc_id", "size", "row"], rows.count(), "start", ["doc_id", "size"])
+    placed = checkpointed(placed)
     pieces = placed.withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
     # Spark cannot know how many slots a shard is, and would take them for few enough to broadcast.
     joined = pieces.join(slots(plan, shard_slots).hint("merge"), ["source_no", "block"])

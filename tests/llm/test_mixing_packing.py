@@ -233,3 +233,10 @@ def test_other_models_are_read_by_the_tokenizer():
     ids = packing._Ids(path)
     assert ids.quick is None
     assert np.frombuffer(ids.of("Some Words, more."), "<u4").tolist() == Tokenizer.from_file(path).encode("Some Words, more.", add_special_tokens=False).ids
+
+
+def test_steps_of_the_mix_are_stored(documents):
+    # As one plan they filled the driver's memory with plans.
+    rows = sized(documents(corpus(5)), "doc_id", "text", "source")
+    found = mixing.takes(rows, source_plan(rows))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 3
