@@ -89,3 +89,25 @@ def test_buckets_of_values(spark):
     for wrong in ("buckets(3, a)", "bucket(0, a)", "truncate(a)"):
         with pytest.raises(ValueError, match="layout"):
             parse_layout(wrong)
+
+
+@pytest.mark.parametrize("small", [0, 100])
+def test_large_sources_merge_into_buckets_without_a_broadcast(spark, tmp_path, rows, monkeypatch, table, small):
+    from feedloom.operators import merge as merge_module
+
+    monkeypatch.setattr(merge_module, "SMALL_ROWS", small)
+    old = spark.createDataFrame([(i, "old") for i in range(40)] + [(None, "old")], "k int, v string")
+    fresh = spark.createDataFrame([(i, "new") for i in range(35, 45)] + [(None, "new")], "k int, v string")
+    load(spark, LoadSpec("full", table, ("k",), layout=("truncate(10, k)",)), old, str(tmp_path))
+    seen = []
+
+    def shown(*args, real=load_module.merge, **kwargs):
+        seen.append(real(*args, **kwargs))
+        return seen[0]
+
+    monkeypatch.setattr(load_module, "merge", shown)
+    result = load(spark, LoadSpec("incremental", table, ("k",)), fresh, str(tmp_path))
+    assert (result.inserted, result.updated) == (6, 5)
+    want = [(None, "new"), (None, "old")] + [(i, "old") for i in range(35)] + [(i, "new") for i in range(35, 45)]
+    assert rows(table_rows(spark, table)) == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r])
+    assert ("Broadcast" in seen[0]._jdf.queryExecution().sparkPlan().toString()) is bool(small)
