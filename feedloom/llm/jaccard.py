@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, components, release, staged
+from feedloom.llm.common import checkpointed, components, giving_back, release, staged
 from feedloom.llm.words import mixed, shingle_sets
 
 _U = np.uint64
@@ -84,7 +84,7 @@ def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 names=["doc_id", "sig", "n", "s", "ext"],
             )
 
-    return docs.mapInArrow(rows, CLASS_SCHEMA)
+    return docs.mapInArrow(giving_back(rows), CLASS_SCHEMA)
 
 
 def _runs(begins: np.ndarray, size: int):
@@ -138,7 +138,7 @@ def frequencies(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFram
             "df_counts": [total[many].tobytes()], "entries": [int(counts.sum())],
         })
 
-    parts = docs.select("text").mapInArrow(counted, "bucket int, grams binary, counts binary")
+    parts = docs.select("text").mapInArrow(giving_back(counted), "bucket int, grams binary, counts binary")
     return parts.groupBy("bucket").applyInPandas(summed, "bucket int, df_grams binary, df_counts binary, entries long")
 
 
@@ -186,7 +186,7 @@ def shared_grams(docs: DataFrame, found: DataFrame, k: int, percent: int, bucket
                 names=["sig", "bucket", "grams", "counts"],
             )
 
-    parts = docs.select("text").mapInArrow(listed, "bucket int, sigs binary, runs binary, grams binary")
+    parts = docs.select("text").mapInArrow(giving_back(listed), "bucket int, sigs binary, runs binary, grams binary")
     split = found.withColumn("splits", F.ceil(F.col("entries") / (4 * BUCKET)).cast("int"))
     heads = split.select(
         "bucket", F.lit(None).cast("binary").alias("sigs"), F.col("df_counts").alias("runs"), F.col("df_grams").alias("grams"),
@@ -198,7 +198,7 @@ def shared_grams(docs: DataFrame, found: DataFrame, k: int, percent: int, bucket
     parts = parts.withColumn("split", F.pmod(F.xxhash64("sigs"), F.coalesce("splits", F.lit(1))).cast("int")).drop("splits")
     rows = heads.unionByName(parts).withColumn("body", F.col("sigs").isNotNull())
     rows = rows.repartition("bucket", "split").sortWithinPartitions("bucket", "split", "body")
-    return rows.select("bucket", "sigs", "runs", "grams").mapInArrow(answered, "sig binary, bucket int, grams binary, counts binary")
+    return rows.select("bucket", "sigs", "runs", "grams").mapInArrow(giving_back(answered), "sig binary, bucket int, grams binary, counts binary")
 
 
 def prefixes(shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -233,7 +233,7 @@ def prefixes(shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         reps.join(gathered, "sig", "left")
         .where("x is not null or ext is not null")
         .select("sig", "n", "s", "ext", "x.grams", "x.counts")
-        .mapInArrow(ordered, "sig binary, n long, alone long, last_count long, last_gram long, grams binary")
+        .mapInArrow(giving_back(ordered), "sig binary, n long, alone long, last_count long, last_gram long, grams binary")
     )
 
 
@@ -247,7 +247,7 @@ def postings(prefix: DataFrame) -> DataFrame:
                 names = np.repeat(np.arange(len(grams)), [len(x) for x in grams])
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(grams))), batch.column(0).take(pa.array(names))], names=["gram", "sig"])
 
-    posted = prefix.select("sig", "grams").mapInArrow(rows, "gram long, sig binary")
+    posted = prefix.select("sig", "grams").mapInArrow(giving_back(rows), "gram long, sig binary")
     many = posted.groupBy("gram").agg(F.count("*").alias("__m")).where("__m > 1")
     return posted.join(many, "gram").select("gram", "sig")
 
@@ -265,7 +265,7 @@ def gram_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.binary()), pa.array(grams, pa.binary())], names=["sig", "grams"])
 
     texts = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(wanted["rep"])).select("text", "sig")
-    return texts.mapInArrow(rows, "sig binary, grams binary").dropDuplicates(["sig"])
+    return texts.mapInArrow(giving_back(rows), "sig binary, grams binary").dropDuplicates(["sig"])
 
 
 class _Forest:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, numbered, release, running, staged
+from feedloom.llm.common import checkpointed, giving_back, numbered, release, running, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -245,7 +245,7 @@ def slots(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 11) -> Da
     parts = parts.repartition(shards // 16 + 1, "shard", "source_no")
     parts = checkpointed(parts.select("shard", "drawn", "source_no", "first", "count", "size", "passes", "rest", "short", "block"))
     release(plan.sparkSession)
-    return parts.mapInPandas(deal, "shard long, drawn long, source_no long, pass long, block long, words long")
+    return parts.mapInPandas(giving_back(deal), "shard long, drawn long, source_no long, pass long, block long, words long")
 
 
 def takes(rows: DataFrame, plan: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
@@ -283,34 +283,40 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str = "n_chars") -> DataFrame:
     """The mix as documents: for each pass that takes words of a row, the row with those words.
 
-    A row taken whole keeps its text as it is; of one taken in part the runs of words are kept as
-    they stand, joined by a line break. Columns are those of ``docs``; ``length_col``, if there,
-    becomes the length of the new text.
+    A row taken whole keeps its text as it is, which does not go through Python; of one taken in part
+    the runs of words are kept as they stand, joined by a line break. Columns are those of ``docs``;
+    ``length_col``, if there, becomes the length of the new text.
     """
     held = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "mix")
     rows = sized(held, id_col, text_col, source_col)
     plan = source_plan(rows)
     names = docs.columns
-    parts = takes(rows, plan).groupBy("row", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("__parts"))
-    parts = parts.join(rows.select("row", "size"), "row").select(F.col("row").alias("__row"), "__parts", F.col("size").alias("__size"))
+    # A pass takes a word once, so a row of which it takes as many words as there are is taken whole.
+    parts = takes(rows, plan).groupBy("row", "pass").agg(
+        F.sort_array(F.collect_list(F.struct("first", "last"))).alias("__parts"), F.sum(F.col("last") - F.col("first")).alias("__taken")
+    )
+    parts = parts.join(rows.select("row", "size"), "row")
+    parts = parts.select(F.col("row").alias("__row"), F.when(F.col("__taken") < F.col("size"), F.col("__parts")).alias("__parts"))
 
-    def cut(text: pd.Series, runs: pd.Series, size: pd.Series) -> pd.Series:
+    def cut(text: pd.Series, runs: pd.Series) -> pd.Series:
         out = []
-        for t, r, n in zip(text, runs, size, strict=True):
+        for t, r in zip(text, runs, strict=True):
+            if t is None:
+                out.append(None)
+                continue
             spans: list[list[int]] = []
             for x in r:
                 if spans and x["first"] <= spans[-1][1]:
                     spans[-1][1] = max(spans[-1][1], x["last"])
                 else:
                     spans.append([x["first"], x["last"]])
-            if spans == [[0, n]]:
-                out.append(t)
-                continue
             at = [m.span() for m in re.finditer(WORD, t)]
             out.append("\n".join(t[at[a][0] : at[b - 1][1]] for a, b in spans))
         return pd.Series(out, dtype=object)
 
-    mix = held.join(parts, "__row").withColumn(text_col, F.pandas_udf(cut, "string")(F.col(text_col), F.col("__parts"), F.col("__size")))
+    mix = held.join(parts, "__row")
+    partly = F.pandas_udf(cut, "string")(F.when(F.col("__parts").isNotNull(), F.col(text_col)), F.col("__parts"))
+    mix = mix.withColumn(text_col, F.coalesce(partly, F.col(text_col)))
     if length_col in names:
         mix = mix.withColumn(length_col, F.char_length(text_col).cast(docs.schema[length_col].dataType))
     return mix.select(*names)

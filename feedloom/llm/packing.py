@@ -10,6 +10,7 @@ are numbered within their length in parallel and looked up.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, running
+from feedloom.llm.common import checkpointed, give_back, giving_back, running
 
 CAPACITY = 2048
 #: A single space between two other characters: pre-tokenising never joins what is on both sides.
@@ -63,14 +64,11 @@ class _Ids:
 
     A byte-level model's own vocabulary is given to the quick encoder, whose ids are the same; texts
     that hold one of the model's added tokens or very long white space, and other models, are
-    encoded by the tokenizer itself. Nothing of a text is kept.
+    encoded by the tokenizer itself, which is read when the first such text comes. Nothing of a text is kept.
     """
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.added = [t["content"] for t in described.get("added_tokens") or []]
@@ -80,6 +78,16 @@ class _Ids:
             import tiktoken
 
             self.quick = tiktoken.Encoding("model", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        # The file's text and tables are several times what is kept of them.
+        del described, ranks
+        give_back()
+
+    @functools.cached_property
+    def model(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def of(self, text: str) -> bytes:
         if self.quick is None or any(t in text for t in self.added) or _LONG_GAP.search(text):
@@ -117,7 +125,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(rows, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(id_col, text_col).mapInArrow(giving_back(rows), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -197,4 +205,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     numbered = running(cut.withColumn("__one", F.lit(1).cast("long")), ["length"], "__one", ["doc_id", "piece", "row"], sum(counts.values()), "number", ["doc_id", "piece"])
     numbered = numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "number")
     kind = docs.schema[id_col].dataType.simpleString()
-    return numbered.mapInArrow(place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return numbered.mapInArrow(giving_back(place), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, smallest_hashes
+from feedloom.llm.common import checkpointed, giving_back, smallest_hashes
 from feedloom.llm.words import text_chunks
 
 MAX_LABELLED = 8_000
@@ -71,7 +71,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         own = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["gram", "n"])
 
-    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(counted, "gram long, n long")
+    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(giving_back(counted), "gram long, n long")
     out = np.zeros(_SYMBOLS**3)
     for gram, n in rows.groupBy("gram").agg(F.sum("n")).collect():  # at most _SYMBOLS ** 3 rows
         out[gram] = n
@@ -267,7 +267,7 @@ class Model:
                 yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums, dtype=float), -30, 30))))
 
         scored.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-        return F.pandas_udf(scored, "double")(text.cast("string"))
+        return F.pandas_udf(giving_back(scored), "double")(text.cast("string"))
 
 
 def held_out(id_col: str) -> Column:
@@ -310,7 +310,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     # The sample is at most MAX_LABELLED rows of two numbers.
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")).join(F.broadcast(sample), "__id")
-    rows = checkpointed(rows.select("__y", "__t").mapInPandas(listed, "y int, f array<string>"))
+    rows = checkpointed(rows.select("__y", "__t").mapInPandas(giving_back(listed), "y int, f array<string>"))
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < toxic < n:
         share = (toxic + 0.5) / (n + 1)

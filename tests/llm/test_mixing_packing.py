@@ -240,3 +240,44 @@ def test_steps_of_the_mix_are_stored(documents):
     rows = sized(documents(corpus(5)), "doc_id", "text", "source")
     found = mixing.takes(rows, source_plan(rows))
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 3
+
+
+def test_whole_texts_of_the_mix_stay_out_of_python(documents):
+    found = mixed_documents(documents(corpus(5)))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    given = re.search(r"cut\((CASE WHEN )?", plan)
+    assert given and given[1]
+    assert found.where("text is null").count() == 0
+
+
+def test_the_tokenizer_is_read_when_a_text_needs_it():
+    from feedloom.llm import packing
+
+    ids = packing._Ids(default_tokenizer())
+    ids.of("plain text")
+    assert "model" not in vars(ids)
+    ids.of("<|endoftext|>")
+    assert "model" in vars(ids)
+
+
+def test_workers_give_back_what_they_freed():
+    import os
+
+    from feedloom.llm.common import giving_back
+
+    def held() -> float:
+        with open("/proc/self/statm", encoding="ascii") as file:
+            return int(file.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+    kept = []
+
+    def task(batches):
+        for _ in batches:
+            large = [bytes(2000) for _ in range(100_000)]
+            kept.append(bytes(2000))  # lies above, so that what is below is not given back by itself
+            yield len(large)
+            del large
+
+    before = held()
+    assert list(giving_back(task)(iter("ab"))) == [100_000, 100_000]
+    assert held() - before < 60
