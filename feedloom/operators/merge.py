@@ -16,6 +16,10 @@ from feedloom.operators.project import quoted
 #: files, and well compressed ones of a few MB hold millions of rows.
 SMALL_ROWS = 100_000
 
+#: Rows that a task of a large merge takes, and sorts. Spark goes by bytes of shuffle, and 64 MB of rows that
+#: compress well are many millions of them.
+TASK_ROWS = 1_000_000
+
 # Values of the outcome column.
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
@@ -40,7 +44,8 @@ def merge(
     The target's keys are made distinct first, so a key that fills the target
     meets the join as one row per task. Whether the source has more than ``SMALL_ROWS``
     rows is found out here, by a job that counts no more of them in a task; such a source is sorted and
-    merged, never broadcast.
+    merged, never broadcast. Rows are then dealt out by number, ``TASK_ROWS`` to a task, unless a key
+    is so hot that AQE has to split it (see ``dealt``).
     """
     if not keys:
         raise ValueError("a merge needs key columns")
@@ -61,8 +66,13 @@ def merge(
     key_cols = [f.name for f in target.schema.fields if f.name.lower() in key_names]
     new_keys = [new[k] for k in key_cols]
     large = is_large(source)
-    if large:
-        incoming = incoming.hint("merge")
+    parts = dealt(target, key_cols, incoming, new_keys) if large else 0
+
+    def gathered(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        return rows.repartition(parts, *[F.col(quoted(k)) for k in by]) if parts else rows
+
+    def sorted_join(rows: DataFrame) -> DataFrame:
+        return rows.hint("merge") if large else rows
 
     def same_key() -> Column:
         condition = F.lit(True)
@@ -84,18 +94,22 @@ def merge(
 
     # A NULL key equals nothing: the outer join leaves its target row alone, the anti join keeps its
     # source row.
-    joined = target.join(incoming.withColumn("__matched", F.lit(True)), same_key(), "left")
+    update = gathered(incoming.withColumn("__matched", F.lit(True)), new_keys)
+    joined = gathered(target, key_cols).join(sorted_join(update), same_key(), "left")
     result = joined.select(*row(merged_value, F.when(matched, UPDATE).otherwise(UNCHANGED)))
     if not insert:
         return result
 
     known = target.select(*[F.col(quoted(k)) for k in key_cols])
-    if large:
+    if parts:
+        # The source's rows follow: Spark would put an anti join below a repartition of theirs.
+        known = gathered(known, key_cols).hint("merge")
+    elif large:
         # What is left of a task's keys comes sorted, as the join wants it.
         known = keep_latest(known, key_cols).hint("merge")
     else:
         known = known.distinct().join(incoming.select(*new_keys), same_key(), "left_semi")
-    added = incoming.join(known, same_key(), "left_anti")
+    added = sorted_join(incoming).join(known, same_key(), "left_anti")
     inserted = added.select(
         *row(lambda n: F.col(new[n]) if n in new else F.lit(None), F.lit(INSERT))
     )
@@ -107,6 +121,23 @@ def is_large(source: DataFrame) -> bool:
     return source.select(F.lit(1)).limit(SMALL_ROWS + 1).count() > SMALL_ROWS
 
 
+def dealt(target: DataFrame, keys: Sequence[str], source: DataFrame, new_keys: Sequence[str]) -> int:
+    """Into how many partitions by key the rows of a large merge go; 0 leaves it to AQE.
+
+    It is left so with few rows, and with a hot key: when a partition would get more than twice its
+    share, as only AQE splits it between tasks. Two passes over the keys.
+    """
+    parts = -(-(target.count() + source.count()) // TASK_ROWS)
+    if parts < 2:
+        return 0
+    places = [
+        rows.select(F.pmod(F.hash(*[F.col(quoted(k)) for k in by]), F.lit(parts)).alias("place"))
+        for rows, by in ((target, keys), (source, new_keys))
+    ]
+    most = places[0].unionAll(places[1]).groupBy("place").count().agg(F.max("count")).first()[0]
+    return parts if most <= 2 * TASK_ROWS else 0
+
+
 def typed(source_field, target_field) -> Column:
     """A source column with the type of the target's."""
     col = F.col(quoted(source_field.name))
@@ -120,8 +151,15 @@ def merge_counts(merged: DataFrame, outcome: str) -> DataFrame:
     return merged.groupBy(outcome).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys without NULL that occur more than once, with their count."""
+def repeated_keys(source: DataFrame, keys: Sequence[str], rows: int = 0) -> DataFrame:
+    """Keys without NULL that occur more than once, with their count.
+
+    Nearly all keys occur once, so counting them in the tasks that read them saves nothing there but
+    takes memory for every row. With ``rows``, how many there are, ``TASK_ROWS`` of them are counted in a task.
+    """
     columns = [F.col(quoted(k)) for k in keys]
-    counted = source.filter(~any_null(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count"))
+    named = source.filter(~any_null(columns)).select(*columns)
+    if rows > TASK_ROWS:
+        named = named.repartition(-(-rows // TASK_ROWS), *columns)
+    counted = named.groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count"))
     return counted.filter(F.col("row_count") > 1)

@@ -416,7 +416,7 @@ def _merge_staged(
     spark: SparkSession, spec: LoadSpec, staged: DataFrame, root: str, before: int, unique: bool, batch: str | None
 ) -> LoadResult:
     target = spark.table(spec.target)
-    if not unique and not repeated_keys(staged, spec.keys).isEmpty():
+    if not unique and not repeated_keys(staged, spec.keys, staged.count()).isEmpty():
         raise ValueError(f"the source holds several rows for one key of {spec.target}")
 
     by_key = {p.lower() for p in spec.partition_by} <= {k.lower() for k in spec.keys}

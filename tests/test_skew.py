@@ -83,3 +83,39 @@ def test_reference_check(skewed):
         t=df, p=parents,
     )
     assert tuple(found.agg(F.count("*"), F.sum("row_count")).first()) == wanted
+
+
+@pytest.mark.parametrize("hot_key", [False, True])
+def test_large_merges_are_dealt_out_by_rows(spark, monkeypatch, hot_key):
+    from feedloom.operators import merge as merge_module
+
+    monkeypatch.setattr(merge_module, "SMALL_ROWS", 100)
+    monkeypatch.setattr(merge_module, "TASK_ROWS", 2_000)
+    key = F.when(F.col("id") % 500 == 0, F.lit(None)).when((F.col("id") % 3 == 0) & F.lit(hot_key), F.lit(-2)).otherwise(F.col("id") * 2)
+    # All rows are a few KB of shuffle: Spark by itself makes one task of them.
+    target = spark.range(0, 30_000, 1, 4).select(key.alias("k"), F.lit(5).cast("bigint").alias("w"), F.lit(1).cast("bigint").alias("v"))
+    source = spark.range(0, 30_000, 1, 4).select(
+        F.when(F.col("id") % 700 != 0, F.col("id") * 3).when(F.col("id") == 0, F.lit(-2)).alias("k"), F.lit(7).cast("bigint").alias("w")
+    )
+    done = merge(target, source, ["k"], "o")
+    most = done.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert (most <= 2 * 2_000) is not hot_key
+    wanted = in_duckdb(
+        "SELECT count(*), count(k), sum(k), sum(w), sum(v) FROM ("
+        "SELECT t.k, coalesce(s.w, t.w) AS w, t.v FROM t LEFT JOIN s ON t.k = s.k "
+        "UNION ALL SELECT s.k, s.w, NULL FROM s WHERE s.k IS NULL OR s.k NOT IN (SELECT k FROM t WHERE k IS NOT NULL))",
+        t=target, s=source,
+    )
+    assert totals(done) == wanted
+    if not hot_key:
+        assert final_plan(done).split("Initial Plan")[0].count("Exchange hashpartitioning") == 4
+
+
+def test_keys_are_counted_by_rows(spark, monkeypatch):
+    from feedloom.operators import merge as merge_module
+
+    monkeypatch.setattr(merge_module, "TASK_ROWS", 1_000)
+    df = spark.range(0, 9_000, 1, 2).select(F.when(F.col("id") == 7, 8).when(F.col("id") > 8_990, F.lit(None)).otherwise(F.col("id")).alias("k"))
+    found = merge_module.repeated_keys(df, ["k"], 9_000)
+    assert [tuple(r) for r in found.collect()] == [(8, 2)]
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
