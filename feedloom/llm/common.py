@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from feedloom.session import shared_folder
 
+FOREST = 1 << 17  # links that a task joins to trees by itself
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once, its lineage cut, below ``spark.checkpoint.dir``.
@@ -87,17 +89,45 @@ def smallest_hashes(df: DataFrame, by: list[str], size: int, likely: float = 0.2
     return low.orderBy(h, *by).limit(size)
 
 
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b): every node of the links of one task with the smallest node that they reach from it."""
+    up: dict = {}
+
+    def find(x):
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    kind = None
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    if up:
+        yield pa.RecordBatch.from_arrays([pa.array(list(up), kind), pa.array([find(x) for x in list(up)], kind)], names=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components: (node, root) for every node of ``links`` (a, b).
 
-    ``root`` is the smallest node of the component. Alternating large-star and small-star
-    rounds, each one join of the edges with the smallest neighbour of their node: what a round
-    holds is never more than the edges. The smallest neighbour is an aggregate with a map side,
-    and a hot node only makes a skewed join, which Spark splits.
+    ``root`` is the smallest node of the component. The links are dealt to tasks, some ``FOREST`` to
+    each however many there are, and a task leaves each of its nodes one link, to the smallest
+    node that it can reach. Links that filled one task are done with that. The trees of several
+    are joined by alternating large-star and small-star rounds, each one join of the edges with the
+    smallest neighbour of their node: what a round holds is never more than the edges. The
+    smallest neighbour is an aggregate with a map side, and a hot node only makes a skewed join,
+    which Spark splits. A round is some ten stages, which cost the driver, and its logs, the more the
+    more partitions there are; few links are not worth that.
     """
     edges = checkpointed(links.select("a", "b").where("a <> b").distinct())
+    kind = edges.schema["a"].dataType.simpleString()
+    parts = edges.count() // FOREST + 1
+    edges = checkpointed(edges.repartition(parts).mapInArrow(giving_back(_trees), f"a {kind}, b {kind}"))
+    release(links.sparkSession)
     before = None
-    while True:
+    while parts > 1:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
@@ -112,7 +142,7 @@ def components(links: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
-    # At the fixed point every edge leads from a node straight to its root.
+    # By now every edge leads from a node straight to its root.
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

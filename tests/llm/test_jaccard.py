@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from feedloom.llm import jaccard
+from feedloom.llm import common, jaccard
 from feedloom.llm.common import components
 from feedloom.llm.jaccard import drop_similar, prefix_size, similar_documents, trie_links
 from feedloom.llm.words import shingle_sets
@@ -115,6 +115,33 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_links_take_few_jobs(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(400)], "a long, b long")
+    spark.sparkContext.setJobGroup("few links", "components of a chain")
+    try:
+        got = {tuple(r) for r in components(chain).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {(i, 0) for i in range(401)}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few links")) < 20
+
+
+@pytest.mark.parametrize("forest", [16, 1 << 17])
+def test_trees_of_tasks_are_joined(spark, monkeypatch, forest):
+    monkeypatch.setattr(common, "FOREST", forest)
+    rng = random.Random(3)
+    pairs = [(f"n{rng.randrange(120):03}".encode(), f"n{rng.randrange(120):03}".encode()) for _ in range(90)]
+    up = {x: x for pair in pairs for x in pair}
+    for _ in up:
+        for a, b in pairs:
+            up[a] = up[b] = min(up[a], up[b])
+    alone = {a for a, b in pairs if a == b} - {x for a, b in pairs if a != b for x in (a, b)}
+    links = spark.createDataFrame([*pairs, (None, b"n000"), (b"n001", None)], "a binary, b binary").repartition(5)
+    got = [(bytes(r["node"]), bytes(r["root"])) for r in components(links).collect()]
+    assert len(got) == len(set(got))
+    assert dict(got) == {x: root for x, root in up.items() if x not in alone}
+
+
 def test_rows_are_dropped_by_their_own_texts(documents):
     x, y, z, q = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyzq")
     rows = [(3, x, "a"), (5, x, "b"), (5, y, "c"), (None, z, "d"), (None, z, "e"), (7, q, "f"), (7, q, "g"), (7, q + " more", "h"), (None, q, "i"), (8, "", "j"), (8, "", "k")]
