@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from feedloom.session import shared_folder
 
 FOREST = 1 << 17  # links that a task joins to trees by itself
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20  # of texts that a Python worker gets at once
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -47,6 +49,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Python workers of this session get some ``BATCH_BYTES`` at once, if it sets no bound itself.
+
+    Spark's own bounds, 10,000 rows and 64 MB, let a batch be all texts of a task: the executor holds
+    them beside its heap, twice while a buffer grows, and the worker once more with what it makes of them.
+    """
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, BATCH_BYTES)
+
+
 def give_back() -> None:
     """Hand memory that this process no longer uses back to the system.
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, components, giving_back, release, staged
+from feedloom.llm.common import checkpointed, components, giving_back, release, small_batches, staged
 from feedloom.llm.words import mixed, shingle_sets
 
 _U = np.uint64
@@ -482,6 +482,7 @@ def _pair_groups(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
 
 def _linked_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """For every row: doc_id, sig, n, and of its component, if it has more rows: the smallest doc_id, and the first row."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     own = checkpointed(classes(docs, k, percent))
     total = own.agg(F.sum("s")).first()[0] or 0

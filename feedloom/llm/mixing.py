@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, giving_back, numbered, release, running, staged
+from feedloom.llm.common import checkpointed, giving_back, numbered, release, running, small_batches, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -287,6 +287,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the runs of words are kept as they stand, joined by a line break. Columns are those of ``docs``;
     ``length_col``, if there, becomes the length of the new text.
     """
+    small_batches(docs.sparkSession)
     held = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "mix")
     rows = sized(held, id_col, text_col, source_col)
     plan = source_plan(rows)

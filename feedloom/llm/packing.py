@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, give_back, giving_back, running
+from feedloom.llm.common import checkpointed, give_back, giving_back, running, small_batches
 
 CAPACITY = 2048
 #: A single space between two other characters: pre-tokenising never joins what is on both sides.
@@ -124,6 +124,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(giving_back(rows), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 

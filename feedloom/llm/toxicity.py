@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import checkpointed, giving_back, smallest_hashes
+from feedloom.llm.common import checkpointed, giving_back, small_batches, smallest_hashes
 from feedloom.llm.words import text_chunks
 
 MAX_LABELLED = 8_000
@@ -296,6 +296,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     a document the largest holds. Without two classes every score is the share of toxic rows, one
     half without any label.
     """
+    small_batches(docs.sparkSession)
     cost = costs(trigram_counts(docs, text_col))
     marked = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # some twenty times as much is held while a chunk is worked on
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
