@@ -10,11 +10,16 @@ Exact. The steps:
    that is nearly all of them, and counting needs the sampled share of the n-grams only.
 3. What is left is posted under its first n-grams. Under each of them the classes are compared with
    the smallest one by the prefix-tree join, and linked components are formed. Only n-grams whose
-   classes are then in several components are looked at further. Classes that share n-grams with
-   many others form families, which are compared block by block. Of the others the pairs are taken
-   that their prefixes, a tenth of the sets, do not rule out. Pairs whose component is already the
-   same are left out everywhere: linked copies cost no pairs.
-4. The prefix-tree join puts the ordered sets of a block into a trie and walks it once for each
+   classes are then in several components are looked at further. Pairs whose component is already
+   the same are left out everywhere: linked copies cost no pairs.
+4. Classes that share n-grams with many others are given other first n-grams: all n-grams of their
+   sets are counted among these classes, and the rarest go first. A text that shares a frequent
+   line with many has rarer n-grams of its own before that, so most classes are done with this. The
+   lists that are left are compared with the class that has the fewest rarer n-grams, and linked.
+   Of a list that is still in several components the pairs are taken that the sizes, the place of
+   the n-gram in the order and the parities of the sets, some bits for each n-gram, do not rule out.
+5. Of the short lists the pairs are taken that the prefixes do not rule out, a tenth of the sets.
+6. The prefix-tree join puts the ordered sets of a block into a trie and walks it once for each
    query set: overlaps of shared beginnings are counted once for all sets below, and a subtree is
    left as soon as the n-grams missed, or those remaining, rule out the threshold.
 
@@ -24,7 +29,7 @@ buckets of frequent n-grams are split, postings are joined, and blocks have a fi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -38,8 +43,9 @@ from feedloom.llm.words import mixed, shingle_sets
 
 _U = np.uint64
 BLOCK = 256  # classes of a block of the prefix-tree join
-DENSE = 16  # classes of an n-gram from which its family is compared in blocks
-MAX_FAMILY = 64 * BLOCK  # of a larger family each n-gram's classes are blocks of their own
+DENSE = 16  # classes of an n-gram from which theirs are ordered anew, by all n-grams
+MAX_FAMILY = 16 * BLOCK  # classes of such an n-gram that are compared at once, of more in blocks
+MAX_BITS = 1 << 13  # parities of a set
 BUCKET = 1 << 20  # n-gram entries of a counting bucket
 SLOT = 1024  # rows of small groups that a task takes together
 CLASS_SCHEMA = "doc_id long, sig binary, n long, s long, ext binary"
@@ -92,13 +98,25 @@ def _runs(begins: np.ndarray, size: int):
     return zip(begins, np.append(begins, size)[1:], strict=True)
 
 
-def _bucketed(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int):
+def _of_texts(k: int) -> Callable[[pa.RecordBatch], Iterator[tuple[bytes, np.ndarray]]]:
+    def sets(batch):
+        for grams in shingle_sets(batch.column(0), k):
+            yield _signature(grams), grams
+
+    return sets
+
+
+def _of_sets(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
+    for sig, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        yield sig, np.frombuffer(grams, _U)
+
+
+def _bucketed(batches: Iterator[pa.RecordBatch], sets: Callable, percent: int, buckets: int):
     """For each batch and bucket: the sampled n-grams, sorted, and the index of the class of each, and the classes."""
     for batch in batches:
         seen: dict[bytes, int] = {}
         parts, owners = [], []
-        for grams in shingle_sets(batch.column(0), k):
-            sig = _signature(grams)
+        for sig, grams in sets(batch):
             if sig not in seen:
                 mine = grams[_is_sampled(grams, percent)]
                 parts.append(mine)
@@ -116,11 +134,14 @@ def _bucketed(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets:
             yield int(bucket[a]), grams[a:b], owner[a:b], sigs
 
 
-def frequencies(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
-    """(bucket, grams, counts, entries) of the sampled n-grams that more than one class or task has."""
+def frequencies(rows: DataFrame, sets: Callable, percent: int, buckets: int) -> DataFrame:
+    """(bucket, grams, counts, entries) of the sampled n-grams that more than one class or task has.
+
+    ``sets`` makes (digest, set) of the batches of ``rows``.
+    """
 
     def counted(batches):
-        for bucket, grams, _, _ in _bucketed(batches, k, percent, buckets):
+        for bucket, grams, _, _ in _bucketed(batches, sets, percent, buckets):
             own, counts = np.unique(grams, return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket], pa.int32()), pa.array([own.tobytes()], pa.binary()), pa.array([counts.astype(np.uint32).tobytes()], pa.binary())],
@@ -138,11 +159,11 @@ def frequencies(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFram
             "df_counts": [total[many].tobytes()], "entries": [int(counts.sum())],
         })
 
-    parts = docs.select("text").mapInArrow(giving_back(counted), "bucket int, grams binary, counts binary")
+    parts = rows.mapInArrow(giving_back(counted), "bucket int, grams binary, counts binary")
     return parts.groupBy("bucket").applyInPandas(summed, "bucket int, df_grams binary, df_counts binary, entries long")
 
 
-def shared_grams(docs: DataFrame, found: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
+def shared_grams(source: DataFrame, found: DataFrame, sets: Callable, percent: int, buckets: int) -> DataFrame:
     """(sig, bucket, grams, counts): of every class, the sampled n-grams that are not its own alone.
 
     A bucket's counts come first in its task and its rows after them, a batch at a time; a bucket
@@ -150,7 +171,7 @@ def shared_grams(docs: DataFrame, found: DataFrame, k: int, percent: int, bucket
     """
 
     def listed(batches):
-        for bucket, grams, owner, sigs in _bucketed(batches, k, percent, buckets):
+        for bucket, grams, owner, sigs in _bucketed(batches, sets, percent, buckets):
             held, runs = np.unique(owner, return_counts=True)
             names = b"".join(bytes(s).ljust(16, b"\0") for s in sigs[held])
             yield pa.RecordBatch.from_arrays(
@@ -186,7 +207,7 @@ def shared_grams(docs: DataFrame, found: DataFrame, k: int, percent: int, bucket
                 names=["sig", "bucket", "grams", "counts"],
             )
 
-    parts = docs.select("text").mapInArrow(giving_back(listed), "bucket int, sigs binary, runs binary, grams binary")
+    parts = source.mapInArrow(giving_back(listed), "bucket int, sigs binary, runs binary, grams binary")
     split = found.withColumn("splits", F.ceil(F.col("entries") / (4 * BUCKET)).cast("int"))
     heads = split.select(
         "bucket", F.lit(None).cast("binary").alias("sigs"), F.col("df_counts").alias("runs"), F.col("df_grams").alias("grams"),
@@ -237,19 +258,38 @@ def prefixes(shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def postings(prefix: DataFrame) -> DataFrame:
-    """(gram, sig) of the prefixes, for n-grams that two of them have."""
+def rarest_first(own: DataFrame, percent: int) -> DataFrame:
+    """As ``prefixes``, of the sets (sig, grams) alone, in an order of all their n-grams: by how many of the sets have it."""
+    reps = own.select("sig", (F.length("grams") / 8).cast("long").alias("n"))
+    reps = reps.select("sig", "n", F.col("n").alias("s"), F.lit(None).cast("binary").alias("ext"))
+    buckets = max(8, -(-(reps.agg(F.sum("n")).first()[0] or 0) // BUCKET))
+    found = checkpointed(frequencies(own, _of_sets, 0, buckets))
+    return checkpointed(prefixes(shared_grams(own, found, _of_sets, 0, buckets), reps, percent))
+
+
+def postings(prefix: DataFrame, percent: int) -> DataFrame:
+    """(gram, sig, n, upto) of the prefixes, for n-grams that two of them have.
+
+    If the n-gram is the first in the order that a similar set has as well, it misses all before it,
+    so that set has ``upto`` n-grams at most.
+    """
 
     def rows(batches):
         for batch in batches:
-            grams = [np.frombuffer(x, _U) for x in batch.column(1).to_pylist()]
+            n, alone = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            grams = [np.frombuffer(x, _U) for x in batch.column(3).to_pylist()]
             if grams:
                 names = np.repeat(np.arange(len(grams)), [len(x) for x in grams])
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(grams))), batch.column(0).take(pa.array(names))], names=["gram", "sig"])
-
-    posted = prefix.select("sig", "grams").mapInArrow(giving_back(rows), "gram long, sig binary")
+                place = alone[names] + np.concatenate([np.arange(len(x)) for x in grams])
+                upto = (n[names] - place) * (100 + percent) // percent - n[names]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_signed(np.concatenate(grams))), batch.column(0).take(pa.array(names)), pa.array(n[names]), pa.array(upto)],
+                    names=["gram", "sig", "n", "upto"],
+                )
+
+    posted = prefix.select("sig", "n", "alone", "grams").mapInArrow(giving_back(rows), "gram long, sig binary, n long, upto long")
     many = posted.groupBy("gram").agg(F.count("*").alias("__m")).where("__m > 1")
-    return posted.join(many, "gram").select("gram", "sig")
+    return posted.join(many, "gram").select("gram", "sig", "n", "upto")
 
 
 def gram_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -369,9 +409,9 @@ def verified_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return links
 
 
-def _block_of(size: str):
-    """The block of a class in a group of ``size``."""
-    return F.pmod(F.xxhash64("sig"), F.ceil(F.col(size) / BLOCK)).cast("int")
+def _block_of(size: str, block: int):
+    """The block of a class in a group of ``size``, in blocks of some ``block``."""
+    return F.pmod(F.xxhash64("sig"), F.ceil(F.col(size) / block)).cast("int")
 
 
 def _first_pairs(posted: DataFrame) -> DataFrame:
@@ -380,48 +420,107 @@ def _first_pairs(posted: DataFrame) -> DataFrame:
     return posted.join(least, "gram").where("sig <> a").select("a", F.col("sig").alias("b")).distinct()
 
 
+def _centre_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b): under each n-gram, the class with the fewest rarer n-grams and those that it may be similar to."""
+    top = lists.groupBy("gram").agg(F.max(F.struct("upto", "sig", "n", "comp")).alias("top"))
+    pairs = lists.join(top, "gram").where("comp <> top.comp and n <= top.upto and top.n <= upto")
+    return pairs.select(F.col("top.sig").alias("a"), F.col("sig").alias("b")).distinct()
+
+
 def _undecided(posted: DataFrame, roots: DataFrame) -> DataFrame:
-    """(gram, m, sig, comp): the n-grams whose m classes are in several components.
+    """(gram, m, sig, n, upto, comp): the n-grams whose m classes are in several components.
 
-    n-grams with the very same classes are one.
+    Of n-grams with the very same classes the first in the order is left.
     """
-    known = posted.join(roots, posted["sig"] == roots["node"], "left").select("gram", "sig", F.coalesce("root", "sig").alias("comp"))
-    by_comp = known.groupBy("gram", "comp").agg(F.count("*").alias("c"), F.sum(F.xxhash64("sig").cast("decimal(38,0)")).alias("h"))
-    several = by_comp.groupBy("gram").agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.sum("h").alias("h"))
-    lists = several.where("comps > 1").groupBy("m", "h").agg(F.min("gram").alias("gram"))
+    known = posted.join(roots, posted["sig"] == roots["node"], "left").select("gram", "sig", "n", "upto", F.coalesce("root", "sig").alias("comp"))
+    by_comp = known.groupBy("gram", "comp").agg(F.count("*").alias("c"), F.sum("upto").alias("u"), F.sum(F.xxhash64("sig").cast("decimal(38,0)")).alias("h"))
+    several = by_comp.groupBy("gram").agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.sum("u").alias("u"), F.sum("h").alias("h"))
+    lists = several.where("comps > 1").groupBy("m", "h").agg(F.max(F.struct("u", "gram"))["gram"].alias("gram"))
     return known.join(lists.select("gram", "m"), "gram")
 
 
-def _families(lists: DataFrame) -> DataFrame:
-    """(sig, family, joined): classes that long lists connect; ``joined`` if the family is compared as one."""
-    found = components(lists.where(F.col("m") >= DENSE).select(_node("gram").alias("a"), F.col("sig").alias("b")))
-    found = found.where(F.length("node") == 16).select(F.col("node").alias("sig"), F.col("root").alias("family"))
-    sizes = found.groupBy("family").agg((F.count("*") <= MAX_FAMILY).alias("joined"))
-    return found.join(sizes, "family").select("sig", "family", "joined")
-
-
-def _node(gram: str):
-    return F.unhex(F.lpad(F.hex(gram), 18, "0"))  # nine bytes: no class has such a name
-
-
-def _block_groups(rows: DataFrame) -> DataFrame:
-    """Groups of blocks from (key, sig, comp): all but the largest component of a key ask all of it."""
+def _block_groups(rows: DataFrame, block: int, *columns: str) -> DataFrame:
+    """Groups of blocks from (key, sig, comp) and ``columns``: all but the largest component of a key ask all of it."""
     by_comp = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
     of = by_comp.groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"))
     of = of.select("key", "m", (F.col("m") - F.col("top.c")).alias("k"), F.col("top.comp").alias("top")).where("k > 0")
     rows = rows.join(of, "key")
-    every = lambda size: F.explode(F.sequence(F.lit(0), (F.ceil(F.col(size) / BLOCK) - 1).cast("int")))
-    held = rows.select("key", _block_of("m").alias("h"), every("k").alias("q"), "sig", "comp", F.lit(False).alias("asks"), F.lit(True).alias("held"))
-    asks = rows.where("comp <> top").select("key", every("m").alias("h"), _block_of("k").alias("q"), "sig", "comp", F.lit(True).alias("asks"), F.lit(False).alias("held"))
-    block = F.col("h").cast("long") * (1 << 31) + F.col("q")
-    return held.union(asks).select("key", block.alias("block"), "sig", "comp", "asks", "held")
+    every = lambda size: F.explode(F.sequence(F.lit(0), (F.ceil(F.col(size) / block) - 1).cast("int")))
+    held = rows.select("key", _block_of("m", block).alias("h"), every("k").alias("q"), "sig", "comp", *columns, F.lit(False).alias("asks"), F.lit(True).alias("held"))
+    asks = rows.where("comp <> top").select("key", every("m").alias("h"), _block_of("k", block).alias("q"), "sig", "comp", *columns, F.lit(True).alias("asks"), F.lit(False).alias("held"))
+    number = F.col("h").cast("long") * (1 << 31) + F.col("q")
+    return held.union(asks).select("key", number.alias("block"), "sig", "comp", *columns, "asks", "held")
+
+
+def _parities(grams: np.ndarray) -> bytes:
+    """How often each of some bits is hit, modulo 2: two sets differ in no fewer n-grams than bits.
+
+    There are four to eight bits an n-gram, a power of 2. Both halves added up are those of half as many bits.
+    """
+    bits = min(MAX_BITS, 1 << max(6, (4 * len(grams) - 1).bit_length()))
+    return np.packbits((np.bincount((grams & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def parities(own: DataFrame) -> DataFrame:
+    """(sig, bits) of the sets (sig, grams)."""
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_parities(grams) for _, grams in _of_sets(batch)], pa.binary())], names=["sig", "bits"])
+
+    return own.mapInArrow(giving_back(rows), "sig binary, bits binary")
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def close_pairs(groups: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of the groups (key, block, sig, comp, n, upto, asks, held), of different components, that may be similar.
+
+    Sets are similar if they differ in few n-grams; they differ in no fewer than their parities do.
+    """
+
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("n", kind="stable")
+        n, upto, sigs = pdf["n"].to_numpy(), pdf["upto"].to_numpy(), pdf["sig"].to_numpy()
+        holds, questions, comp = pdf["held"].to_numpy(dtype=bool), pdf["asks"].to_numpy(dtype=bool), pd.factorize(pdf["comp"])[0]
+        own = [np.frombuffer(x, _U) for x in pdf["bits"]]
+        out: list = []
+        for group in _each(pdf):
+            held, asks = group[holds[group]], group[questions[group]]
+            if not len(held):
+                continue
+            size, most, parts = n[held], upto[held], comp[held]
+            widths = np.array([len(own[i]) for i in held])  # these grow with the size
+            runs = [(a, b, {int(widths[a]): np.stack([own[i] for i in held[a:b]])}) for a, b in _runs(np.flatnonzero(np.diff(widths, prepend=0)), len(held))]
+            for x in asks:
+                low, high = np.searchsorted(size, -(-percent * n[x] // 100)), np.searchsorted(size, upto[x], "right")
+                may = low + np.flatnonzero((most[low:high] >= n[x]) & (parts[low:high] != comp[x]))
+                for a, b, tables in runs:
+                    these = may[np.searchsorted(may, a) : np.searchsorted(may, b)]
+                    if not len(these):
+                        continue
+                    width = min(int(widths[a]), len(own[x]))
+                    if width not in tables:
+                        tables[width] = _folded(tables[int(widths[a])], width)
+                    apart = np.bitwise_count(tables[width][these - a] ^ _folded(own[x], width)).sum(axis=1, dtype=np.int64)
+                    both = n[x] + size[these]
+                    for y in held[these[apart <= both - 2 * -(-percent * both // (100 + percent))]]:
+                        out.append((min(sigs[x], sigs[y]), max(sigs[x], sigs[y])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return _slotted(groups).join(bits, "sig").groupBy("slot").applyInPandas(found, "a binary, b binary").distinct()
 
 
 def near_pairs(groups: DataFrame, of: DataFrame, prefix: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of the groups, of different components, that the prefixes do not rule out.
 
     Of two prefixes, the one that ends first in the global order misses all it does not share. A
-    pair is given by the first of the groups that both are in, and by none if its family was joined.
+    pair is given by the first of the groups that both are in, and by none if both are ``dense``.
     """
 
     def found(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -435,7 +534,7 @@ def near_pairs(groups: DataFrame, of: DataFrame, prefix: DataFrame, percent: int
         comp = pd.factorize(pdf["comp"])[0]
         holds, questions, sigs, key = pdf["held"].to_numpy(dtype=bool), pdf["asks"].to_numpy(dtype=bool), pdf["sig"].to_numpy(), pdf["key"].to_numpy()
         keys = [np.asarray(x, dtype=np.int64) for x in pdf["keys"]]
-        family = pd.factorize(pdf["family"])[0]  # -1: none that was joined
+        dense = pdf["dense"].notna().to_numpy()
         out: list = []
         for group in _each(pdf):
             held, asks = group[holds[group]], group[questions[group]]
@@ -460,8 +559,8 @@ def near_pairs(groups: DataFrame, of: DataFrame, prefix: DataFrame, percent: int
                 own = keys[x][: np.searchsorted(keys[x], key[x])]
                 if len(own) and good.any():
                     good[first_owner[np.isin(first_flat, own)]] = False
-                if family[x] >= 0:
-                    good &= family[held] != family[x]
+                if dense[x]:
+                    good &= ~dense[held]
                 out.extend((min(sigs[x], sigs[y]), max(sigs[x], sigs[y])) for y in held[good])
         return pd.DataFrame(out, columns=["a", "b"])
 
@@ -471,7 +570,7 @@ def near_pairs(groups: DataFrame, of: DataFrame, prefix: DataFrame, percent: int
 def _pair_groups(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """Groups that hold the partners of each class in ``pairs`` (a, b), and ask for it."""
     of = pairs.groupBy(F.col("a").alias("key")).agg(F.count("*").alias("m"))
-    held = pairs.select(F.col("a").alias("key"), F.col("b").alias("sig")).join(of, "key").select("key", _block_of("m").alias("block"), "sig")
+    held = pairs.select(F.col("a").alias("key"), F.col("b").alias("sig")).join(of, "key").select("key", _block_of("m", BLOCK).alias("block"), "sig")
     asks = of.select("key", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("m") / BLOCK) - 1).cast("int"))).alias("block"), F.col("key").alias("sig"))
     both = held.withColumn("asks", F.lit(False)).union(asks.withColumn("asks", F.lit(True)))
     both = both.withColumn("held", ~F.col("asks"))
@@ -488,9 +587,10 @@ def _linked_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: i
     total = own.agg(F.sum("s")).first()[0] or 0
     buckets = max(8, -(-total // BUCKET))
     reps = own.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("s").alias("s"), F.max("ext").alias("ext"))
-    found = checkpointed(frequencies(docs, k, percent, buckets))
-    prefix = checkpointed(prefixes(shared_grams(docs, found, k, percent, buckets), reps, percent))
-    posted = checkpointed(postings(prefix))
+    texts = docs.select("text")
+    found = checkpointed(frequencies(texts, _of_texts(k), percent, buckets))
+    prefix = checkpointed(prefixes(shared_grams(texts, found, _of_texts(k), percent, buckets), reps, percent))
+    posted = checkpointed(postings(prefix, percent))
     del found
     release(docs.sparkSession)
     wanted = posted.select("sig").distinct().join(reps.select("sig", "rep"), "sig")
@@ -499,21 +599,27 @@ def _linked_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: i
     # First, under each n-gram, the smallest class against the others.
     links = verified_links(_pair_groups(_first_pairs(posted)), sets, percent)
     roots = components(links)
-    # Then the families of classes that share long lists, in blocks of whole sets.
+    # Then the classes of long lists, by the rarest of all their n-grams.
     lists = checkpointed(_undecided(posted, roots))
-    families = checkpointed(_families(lists))
-    dense = lists.where(F.col("m") >= DENSE).join(families, "sig")
-    dense = dense.select(F.when(F.col("joined"), F.col("family")).otherwise(_node("gram")).alias("key"), "sig", "comp").distinct()
-    more = verified_links(_block_groups(dense), sets, percent)
-    if not more.isEmpty():
-        links = checkpointed(links.union(more))
-        roots = components(links)
-    # Last, the pairs of the short lists that are left and that their prefixes do not rule out.
+    dense = checkpointed(lists.where(F.col("m") >= DENSE).select("sig").distinct())
+    pairs = None
+    if not dense.isEmpty():
+        chosen = staged(sets.join(dense, "sig"), "dense")
+        rare = checkpointed(postings(rarest_first(chosen, percent), percent))
+        release(docs.sparkSession)
+        more = verified_links(_pair_groups(_centre_pairs(_undecided(rare, roots)), roots), chosen, percent)
+        if not more.isEmpty():
+            links = checkpointed(links.union(more))
+            roots = components(links)
+        left = _undecided(rare, roots).select(F.col("gram").alias("key"), "sig", "comp", "n", "upto")
+        pairs = close_pairs(_block_groups(left, MAX_FAMILY, "n", "upto"), parities(chosen), percent)
+    # Last, the short lists that are left; pairs of classes of long lists are known by now.
     lists = checkpointed(_undecided(posted, roots).where(F.col("m") < DENSE))
     of = lists.groupBy("sig").agg(F.sort_array(F.collect_list("gram")).alias("keys"))  # no more than its prefix
-    of = of.join(families.where("joined").select("sig", "family"), "sig", "left")
-    groups = _block_groups(lists.select(F.col("gram").alias("key"), "sig", "comp"))
-    pairs = checkpointed(near_pairs(groups, of, prefix, percent))
+    of = of.join(dense.withColumn("dense", F.lit(True)), "sig", "left")
+    groups = _block_groups(lists.select(F.col("gram").alias("key"), "sig", "comp"), BLOCK)
+    near = near_pairs(groups, of, prefix, percent)
+    pairs = checkpointed(near if pairs is None else pairs.union(near).distinct())
     more = verified_links(_pair_groups(pairs, roots), sets, percent)
     if not more.isEmpty():
         roots = components(links.union(more))

@@ -68,6 +68,52 @@ def test_components_against_brute_force(documents, seed, k, percent, monkeypatch
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, k, percent)
 
 
+@pytest.mark.parametrize("percent, most, block", [(90, 9, 16), (80, 16, 1000)])
+def test_variants_of_one_text_against_brute_force(documents, monkeypatch, percent, most, block):
+    monkeypatch.setattr(jaccard, "DENSE", 3)
+    monkeypatch.setattr(jaccard, "MAX_FAMILY", block)
+    rng = random.Random(percent)
+    word = lambda: f"w{rng.randrange(40)}"
+    text, rows = [word() for _ in range(120)], []
+    for i in range(150):
+        own = list(text)
+        for _ in range(rng.randrange(most)):
+            at = rng.randrange(len(own))
+            own[at : at + rng.randrange(2)] = [word()] * rng.randrange(1, 3)
+        rows.append((i, " ".join(own)))
+    want = brute(rows, 3, percent)
+    assert 3 < len({c for *_, c in want}) < 140
+    got = similar_documents(documents([(i, t, "s") for i, t in rows]), k=3, percent=percent)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_texts_that_share_a_line_are_not_compared_with_each_other(documents, monkeypatch):
+    handed, links = [], jaccard.verified_links
+
+    def counted(groups, sets, percent):
+        handed.append(groups.count())
+        return links(groups, sets, percent)
+
+    monkeypatch.setattr(jaccard, "verified_links", counted)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rng = random.Random(4)
+    line = " ".join(f"line{i}" for i in range(12))
+    rows = [(i, line + " " + " ".join(f"w{rng.randrange(50000)}" for _ in range(18))) for i in range(400)]
+    got = similar_documents(documents([(i, t, "s") for i, t in rows]), k=3, percent=90)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((i, 28, i) for i, _ in rows), key=str)
+    assert sum(handed) < 4 * len(rows)
+
+
+def test_parities_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(8)
+    for n, m, common in [(1, 1, 0), (10, 11, 9), (60, 70, 55), (500, 520, 480), (5000, 4000, 3900)]:
+        grams = rng.integers(0, 1 << 63, n + m - common).astype(np.uint64)
+        a, b = (np.frombuffer(jaccard._parities(x), np.uint64) for x in (grams[:n], grams[n - common :]))
+        width = min(len(a), len(b))
+        apart = int(np.bitwise_count(jaccard._folded(a, width) ^ jaccard._folded(b, width)).sum())
+        assert (n + m - 2 * common) // 2 <= apart <= n + m - 2 * common
+
+
 def test_odd_rows(odd, clashing):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     got = similar_documents(clashing(odd), k=3, percent=90)
